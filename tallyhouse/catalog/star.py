@@ -1 +1,238 @@
-"""Queries."""
+"""Facts, bridge and summaries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyhouse.catalog import sql as Q
+from tallyhouse.catalog.history import DEVICE
+from tallyhouse.catalog.registry import query
+from tallyhouse.operators import dimensions, facts, joins, summaries
+from tallyhouse.session import settle
+
+PLACES = f"""{Q.PLAYS},
+one AS (SELECT l_partkey AS game_name, min({Q.TABLE_CODE}) AS table_code FROM lineitem GROUP BY 1),
+place AS (SELECT one.game_name, table_code, table_code % 2147483648 AS staff_key, s_nationkey AS place_code FROM one JOIN supplier ON s_suppkey = table_code % 2147483648)"""
+MINUTES = """(epoch_us(play_time) - epoch_us(lag(play_time) OVER (PARTITION BY player_email ORDER BY play_time, game_name, amount_bet, amount_won)) + 30000000) // 60000000"""
+
+
+@query(
+    "fact_gaming_one",
+    f"""WITH {PLACES}, {DEVICE},
+    machine AS (SELECT player_email, play_time, min(l_suppkey) AS machine_code FROM plays GROUP BY 1, 2),
+    last AS (SELECT user_id, device_type, device AS device_model FROM devices QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+    SELECT CAST(CAST(play_time AS DATE) AS VARCHAR) AS full_date, player_email AS player_key, game_name, table_code, place_code AS location_code, machine_code, staff_key, device_type, device_model,
+      {Q.dbl('amount_bet')} AS bet_amount, {Q.dbl('amount_won')} AS win_amount, {Q.dbl('amount_won - amount_bet')} AS net_result, {MINUTES} AS session_duration_minutes, 1 AS plays_count
+    FROM plays JOIN part ON p_partkey = game_name JOIN customer ON c_custkey = player_email LEFT JOIN place USING (game_name) LEFT JOIN machine USING (player_email, play_time) LEFT JOIN last ON user_id = player_email""",
+)
+def fact_gaming_one(t):
+    """The whole fact: one row per play with table, place, machine, staff and device."""
+    fact = facts.gaming_fact(
+        t.plays(),
+        t.dim_player(),
+        t.dim_game(),
+        t.table_game(),
+        t.shifts(),
+        t.dim_staff(),
+        t.dim_location(),
+        t.slot_play(),
+        t.slot_machine(),
+        t.login_history(),
+        session="day",
+    )
+    return fact.drop("time_id", "play_time", "player_id", "game_id", "location_id", "device_id")
+
+
+@query(
+    "fact_gaming_fanout",
+    f"""WITH {Q.LINES}, copies AS (SELECT l_partkey AS game_name, s_nationkey AS location_code, count(*) AS copies FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2),
+    p AS (SELECT game_name, count(*) AS n, sum(amount_bet) AS bet, sum(amount_won) AS won FROM lines GROUP BY 1)
+    SELECT game_name, location_code, n * copies AS total_plays, {Q.dbl('bet * copies')} AS total_bets, {Q.dbl('won * copies')} AS total_wins FROM p JOIN copies USING (game_name)""",
+)
+def fact_gaming_fanout(t):
+    """Totals of the fact that repeats a play per table and shift, without making the repeats."""
+    return facts.fanout_totals(t.line_plays(), t.dim_game(), t.table_game(), t.shifts())
+
+
+@query(
+    "fact_gaming_one_place",
+    f"""WITH {PLACES} SELECT player_email AS player_key, game_name, CAST(play_time AS VARCHAR) AS play_time, place_code AS location_code, {Q.dbl('amount_bet')} AS bet_amount,
+    {Q.dbl('amount_won')} AS win_amount, {Q.dbl('amount_won - amount_bet')} AS net_result, {MINUTES} AS session_duration_minutes FROM plays JOIN place USING (game_name)""",
+)
+def fact_gaming_one_place(t):
+    return facts.gaming_fact_one_place(t.plays(), t.dim_player(), t.dim_game(), t.table_game(), t.dim_location()).drop("full_date")
+
+
+@query(
+    "fact_gaming_incremental",
+    f"""WITH {Q.EVENT_PLAYS} SELECT player_email AS player_key, game_name, CAST(play_time AS VARCHAR) AS play_time, {Q.dbl('amount_won - amount_bet')} AS net_result
+    FROM eplays WHERE play_time >= TIMESTAMP '2024-01-20'""",
+)
+def fact_gaming_incremental(t):
+    """All plays offered again to a fact that has those before a date: only the later ones are new."""
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    loaded = t.event_fact(session=False).where(F.col("play_time") < cut)
+    games = dimensions.game_dim(t.event_game())
+    tables = games.select("game_name", F.lit(0).alias("table_code"), F.lit(0).alias("location_code"))
+    shifts = tables.select("table_code", F.lit(0).cast("long").alias("staff_email"))
+    fact = facts.gaming_fact(t.event_plays(), t.dim_player(), games, tables, shifts, t.dim_staff(), existing=loaded, session=None)
+    return fact.select("player_key", "game_name", "play_time", "net_result")
+
+
+@query(
+    "fact_txn_points",
+    f"""WITH {Q.TXN}, one AS (SELECT l_partkey AS game_name, min({Q.TABLE_CODE}) AS table_code FROM lineitem GROUP BY 1)
+    SELECT transaction_code, CAST(CAST(transaction_time AS DATE) AS VARCHAR) AS full_date, player_email AS player_key, s_nationkey AS location_code, s_suppkey AS staff_key, transaction_type, {Q.dbl('amount')} AS amount,
+      CASE WHEN transaction_type = 'Bet' THEN CAST(floor(amount) AS BIGINT) ELSE 0 END AS loyalty_points_earned, CASE WHEN transaction_type = 'Withdraw' THEN CAST(floor(amount) AS BIGINT) ELSE 0 END AS loyalty_points_redeemed
+    FROM txn JOIN customer ON c_custkey = player_email LEFT JOIN one USING (game_name) LEFT JOIN supplier ON s_suppkey = table_code % 2147483648""",
+)
+def fact_txn_points(t):
+    fact = facts.txn_fact(t.transaction(), t.dim_player(), t.table_game(), t.shifts(), t.dim_staff())
+    return fact.drop("time_id", "player_id", "transaction_time")
+
+
+@query(
+    "latest_per_player",
+    f"WITH {DEVICE} SELECT user_id AS player_email, device_type, device AS device_model FROM devices QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+)
+def latest_per_player(t):
+    return facts.latest_device(t.login_history()).drop("device_id")
+
+
+@query(
+    "machine_of_play",
+    """SELECT o_custkey AS player_email, CAST(l_shipdate AS VARCHAR) AS play_time, min(l_suppkey) AS machine_code, arg_min(s_nationkey, l_suppkey) AS machine_location
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, l_shipdate""",
+)
+def machine_of_play(t):
+    return facts.machine_of_play(t.slot_play(), t.slot_machine())
+
+
+@query(
+    "staff_on_shift",
+    """WITH e AS (SELECT event_id, user_id % (SELECT count(*) FROM supplier) AS s, ts FROM events),
+    shift AS (SELECT DISTINCT s_suppkey, o_orderdate + INTERVAL (year(TIMESTAMP '2024-01-01') - 1998) YEAR AS a FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN orders ON o_orderkey = l_orderkey WHERE year(o_orderdate) = 1998)
+    SELECT event_id AS play_id, CASE WHEN count(a) > 0 THEN min(s) END AS staff_email FROM e LEFT JOIN shift ON s_suppkey = s AND ts >= a AND ts < a + INTERVAL 1 DAY GROUP BY 1""",
+)
+def staff_on_shift(t):
+    """Events during a day on which their table's staff had a shift; shifts follow the orders of one year."""
+    suppliers = t.raw("supplier").agg(F.count(F.lit(1))).scalar()
+    plays = t.raw("events").select(F.col("event_id").alias("play_id"), F.pmod(F.col("user_id"), suppliers).alias("table_code"), F.col("ts").alias("play_time"))
+    orders = t.raw("orders").where(F.year("o_orderdate") == 1998).select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    worked = t.raw("lineitem").select("l_orderkey", "l_suppkey").join(orders, "l_orderkey")
+    start = F.col("o_orderdate") + F.expr("interval 26 years")
+    shifts = worked.select(F.col("l_suppkey").alias("table_code"), F.col("l_suppkey").alias("staff_email"), start.alias("shift_start"), (start + F.expr("interval 1 day")).alias("shift_end")).distinct()
+    return facts.staff_on_shift(plays, shifts).select("play_id", "staff_email")
+
+
+# -- bridge and summaries
+
+
+BRIDGE = f"""SELECT player_email AS player_key, game_name, CAST(min(play_time) AS VARCHAR) AS first_play_date, CAST(max(play_time) AS VARCHAR) AS last_play_date, count(*) AS total_plays,
+    {Q.dbl('sum(amount_bet)')} AS total_bet_amount, {Q.dbl('sum(amount_won)')} AS total_win_amount"""
+
+
+@query("bridge_full", f"WITH {Q.PLAYS} {BRIDGE} FROM plays GROUP BY 1, 2")
+def bridge_full(t):
+    return summaries.bridge(t.line_fact())
+
+
+@query("bridge_accumulate", f"WITH {Q.EVENT_PLAYS} {BRIDGE} FROM eplays GROUP BY 1, 2")
+def bridge_accumulate(t):
+    """Totals of the plays after a date added to those before it."""
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    fact = t.event_fact(session=False)
+    return summaries.bridge_add(summaries.bridge(fact.where(F.col("play_time") < cut)), fact.where(F.col("play_time") >= cut))
+
+
+DAILY = f"""count(DISTINCT player_email) AS total_players, {Q.dbl('sum(amount_bet)')} AS total_bets, {Q.dbl('sum(amount_won)')} AS total_wins, {Q.dbl('sum(amount_won - amount_bet)')} AS net_revenue,
+    {Q.mean('sum(amount_bet)', 'count(amount_bet)')} AS average_bet_amount, count(*) AS total_plays"""
+
+
+@query("daily_summary", f"WITH {Q.PLAYS} SELECT CAST(CAST(play_time AS DATE) AS VARCHAR) AS full_date, location_code, game_name, {DAILY} FROM plays GROUP BY 1, 2, 3")
+def daily_summary(t):
+    return summaries.daily_summary(t.line_fact())
+
+
+@query(
+    "daily_player_winrate",
+    f"""WITH {Q.EVENT_PLAYS} SELECT CAST(CAST(play_time AS DATE) AS VARCHAR) AS full_date, player_email AS player_key, game_name, count(*) AS total_plays, {Q.dbl('sum(amount_bet)')} AS total_bet_amount,
+    {Q.dbl('sum(amount_won)')} AS total_win_amount, {Q.dbl('sum(amount_won - amount_bet)')} AS net_result, {Q.mean('sum(amount_bet)', 'count(amount_bet)')} AS average_bet,
+    CASE WHEN sum(amount_bet) > 0 THEN CAST(sum(amount_won) AS DOUBLE) / CAST(sum(amount_bet) AS DOUBLE) ELSE 0.0 END AS win_rate FROM eplays GROUP BY 1, 2, 3""",
+)
+def daily_player_winrate(t):
+    return summaries.player_day_summary(t.event_fact(session=False))
+
+
+@query("daily_refresh", f"WITH {Q.EVENT_PLAYS} SELECT CAST(CAST(play_time AS DATE) AS VARCHAR) AS full_date, game_name, {DAILY} FROM eplays GROUP BY 1, 2")
+def daily_refresh(t):
+    """A summary of the plays up to the middle of a day, refreshed with the rest: only touched groups are computed again."""
+    keys = ("full_date", "game_name")
+    cut = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    fact = t.event_fact(session=False)
+    old = settle(summaries.daily_summary(fact.where(F.col("play_time") < cut), keys), "summary")
+    return summaries.refresh(old, fact, fact.where(F.col("play_time") >= cut), keys)
+
+
+# -- joins
+
+
+@query(
+    "star_join",
+    f"""WITH {Q.PLAYS} SELECT c_mktsegment, p_type, r_name, count(*) AS plays, {Q.dbl('sum(amount_bet)')} AS total_bets FROM plays JOIN customer ON c_custkey = player_email JOIN part ON p_partkey = game_name
+    JOIN nation ON n_nationkey = location_code JOIN region ON r_regionkey = n_regionkey GROUP BY 1, 2, 3""",
+)
+def star_join(t):
+    """Fact with three dimensions; the player join is salted."""
+    people = t.raw("customer").select(F.col("c_custkey").alias("player_key"), "c_mktsegment")
+    games = t.raw("part").select(F.col("p_partkey").alias("game_name"), "p_type")
+    places = t.dim_location().select("location_code", F.col("country").alias("r_name"))
+    rows = joins.lookup(t.line_fact(), people, "player_key", salts=4)
+    rows = joins.lookup(joins.lookup(rows, games, "game_name"), places, "location_code")
+    return rows.groupBy("c_mktsegment", "p_type", "r_name").agg(F.count(F.lit(1)).alias("plays"), F.sum("bet_amount").alias("total_bets"))
+
+
+@query(
+    "interval_left_join",
+    """WITH reg AS (SELECT o_custkey, min(o_orderdate) AS r FROM orders GROUP BY 1)
+    SELECT reg.o_custkey AS player_email, count(o.o_orderkey) AS late_orders FROM reg LEFT JOIN orders o ON o.o_custkey = reg.o_custkey AND o.o_orderdate >= reg.r + INTERVAL 30 DAY GROUP BY 1""",
+)
+def interval_left_join(t):
+    """Left join on a key plus a time distance in the join condition."""
+    orders = t.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    first = orders.groupBy(F.col("o_custkey").alias("player_email")).agg(F.min("o_orderdate").alias("r"))
+    late = (F.col("player_email") == F.col("o_custkey")) & (F.col("o_orderdate") >= F.col("r") + F.expr("interval 30 days"))
+    return first.join(orders, late, "left").groupBy("player_email").agg(F.count("o_orderkey").alias("late_orders"))
+
+
+@query(
+    "left_anti",
+    "SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity >= 50)",
+)
+def left_anti(t):
+    large = t.raw("lineitem").where(F.col("l_quantity") >= 50).select(F.col("l_partkey").alias("p_partkey"))
+    return t.raw("part").select("p_partkey", "p_name").join(large, "p_partkey", "left_anti")
+
+
+@query(
+    "null_order",
+    """WITH g AS (SELECT c_custkey, c_acctbal, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer)
+    SELECT c_custkey, segment, c_acctbal FROM g ORDER BY segment DESC NULLS FIRST, c_acctbal NULLS LAST, c_custkey LIMIT 50""",
+)
+def null_order(t):
+    """Top rows with NULL first from above, last from below."""
+    rows = t.raw("customer").select("c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("segment"), "c_acctbal")
+    return rows.orderBy(F.desc_nulls_first("segment"), F.asc_nulls_last("c_acctbal"), "c_custkey").limit(50)
+
+
+@query(
+    "distinct_concat",
+    "SELECT r_name, string_agg(DISTINCT n_name, ', ' ORDER BY n_name) AS nations, count(*) AS suppliers FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1",
+)
+def distinct_concat(t):
+    """Distinct names per region as one text; names are made distinct before they are collected."""
+    per_name = t.raw("supplier").groupBy(F.col("s_nationkey").alias("location_code")).agg(F.count(F.lit(1)).alias("n")).join(t.location(), "location_code")
+    per_name = per_name.groupBy(F.col("country").alias("r_name"), "city").agg(F.sum("n").alias("n"))
+    return per_name.groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_list("city")), ", ").alias("nations"), F.sum("n").alias("suppliers"))
+
+

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators import dedup, joins, windows
+from tallyhouse.session import settle
 
 VERSION_COLUMNS = ("start_date", "end_date", "is_current", "version_number")
 
@@ -80,6 +81,9 @@ def merge(
         differs = ~F.col(c).eqNullSafe(F.col(f"prev_{c}")) if null_safe else F.coalesce(F.col(c) != F.col(f"prev_{c}"), F.lit(False))
         changed = changed | differs
     versions = seen.where(changed).select(*attrs, "_at", *order, "_new", "_step")
+    if width:
+        # Cutting reads its input twice; the changes are few, so they are written once here.
+        versions = settle(versions, "versions")
     dated = windows.neighbours(versions, [key], sequence, lead=["_at"], running=["_step"], bucket=bucket)
     fresh = dated.select(
         *attrs,
@@ -115,7 +119,10 @@ def as_of(fact: DataFrame, dim: DataFrame, key: str, at: str, columns: Sequence[
 
 
 def check(dim: DataFrame, key: str, width: str | None = None) -> DataFrame:
-    """Number of breaches per integrity rule: one open version, no gap or overlap, versions 1..n."""
+    """Number of breaches per integrity rule: one open version, no gap or overlap, versions 1..n.
+
+    `dim` is read several times, so it should be a stored table.
+    """
     bucket = F.date_trunc(width, F.col("start_date").cast("timestamp")) if width else None
     rows = dim.select(key, "start_date", "end_date", "is_current", "version_number")
     seen = windows.neighbours(rows, [key], ["start_date", "version_number"], lag=["version_number"], lead=["start_date"], bucket=bucket)
