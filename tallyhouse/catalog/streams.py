@@ -1 +1,214 @@
-"""Queries."""
+"""Streams over the events, run until everything available is done, and whole warehouse cycles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyhouse.bindings import AS_OF
+from tallyhouse.catalog import sql as Q
+from tallyhouse.catalog.history import DEVICE, FEED_ROWS, priority_feed
+from tallyhouse.catalog.registry import query
+from tallyhouse.catalog.star import BRIDGE
+from tallyhouse.operators import scd2
+from tallyhouse.plans.warehouse import History, Warehouse, run_cycle
+from tallyhouse.session import scratch
+from tallyhouse.sources.tables import Snapshots, read_table
+from tallyhouse.streaming import jobs
+
+CUTS = ("2024-01-11", "2024-01-21")
+
+
+def event_tables(t):
+    """One table per event type and nation of a user, at that nation."""
+    users = t.raw("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("location_code"))
+    pairs = t.raw("events").select("user_id", F.col("event_type").alias("game_name")).distinct().join(users, "user_id").select("game_name", "location_code").distinct()
+    code = F.concat_ws("-", "game_name", F.format_string("%03d", "location_code"))
+    return pairs.select(code.alias("table_code"), "game_name", "location_code", F.lit("Available").alias("status"))
+
+
+def event_shifts(t):
+    """Suppliers work at the tables of their nation."""
+    staff = t.raw("supplier").select(F.col("s_suppkey").alias("staff_email"), F.col("s_nationkey").alias("location_code"))
+    return event_tables(t).join(staff, "location_code").select("table_code", "staff_email")
+
+
+def sources(t):
+    return {
+        "game": t.event_game(),
+        "casino_location": t.location(),
+        "player": t.player_basic().withColumn("registration_date", F.lit(None).cast("timestamp_ntz")),
+        "staff": t.staff(),
+        "login_history": t.login_history(),
+        "table_game": event_tables(t),
+        "staff_assigned_tables": event_shifts(t),
+    }
+
+
+def house_with_dimensions(t, label: str, src) -> Warehouse:
+    house = Warehouse(t.spark, scratch(t.spark, label))
+    house.load_dimensions(src, F.lit(AS_OF).cast("timestamp_ntz"), 0)
+    return house
+
+
+EVENT_PLACE = """place AS (SELECT game_name, min(code) AS table_code, arg_min(nation, code) AS location_code FROM (
+  SELECT DISTINCT event_type AS game_name, c_nationkey AS nation, event_type || '-' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS code FROM events JOIN customer ON c_custkey = user_id) GROUP BY 1)"""
+DAILY_SQL = f"""WITH {Q.EVENT_PLAYS}, {EVENT_PLACE}
+    SELECT CAST(CAST(play_time AS DATE) AS VARCHAR) AS full_date, location_code, game_name, count(DISTINCT player_email) AS total_players, {Q.dbl('sum(amount_bet)')} AS total_bets,
+    {Q.dbl('sum(amount_won)')} AS total_wins, {Q.dbl('sum(amount_won - amount_bet)')} AS net_revenue, {Q.mean('sum(amount_bet)', 'count(amount_bet)')} AS average_bet_amount, count(*) AS total_plays
+    FROM eplays JOIN place USING (game_name) GROUP BY 1, 2, 3"""
+
+
+@query("stream_daily_summary", DAILY_SQL)
+def stream_daily_summary(t):
+    """Plays arrive in three steps; after each, only the touched dates of the summary are computed again."""
+    src = sources(t)
+    house = house_with_dimensions(t, "stream-daily", src)
+    jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.gaming_stream(plays, house, src, f"{house.root}/checkpoint"))
+    return house.stored("daily_summary")
+
+
+@query("stream_bridge", f"WITH {Q.EVENT_PLAYS} {BRIDGE} FROM eplays GROUP BY 1, 2")
+def stream_bridge(t):
+    src = sources(t)
+    house = house_with_dimensions(t, "stream-bridge", src)
+    jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.gaming_stream(plays, house, src, f"{house.root}/checkpoint"))
+    return house.table("bridge_game_player")
+
+
+@query("stream_late_dimension", f"WITH {Q.EVENT_PLAYS} SELECT game_name, count(*) AS plays, {Q.dbl('sum(amount_bet)')} AS bets FROM eplays GROUP BY 1")
+def stream_late_dimension(t):
+    """Plays of players in debt come before these are known; they wait and are booked with the next batch."""
+    src = sources(t)
+    house = Warehouse(t.spark, scratch(t.spark, "stream-late"))
+    early = src["player"].where(F.col("loyalty_points") >= 1000)
+    at = F.lit(AS_OF).cast("timestamp_ntz")
+    house.load_dimensions({**src, "player": early}, at, 0)
+    jobs.in_steps(t.event_plays(), "play_time", (), lambda plays: jobs.gaming_stream(plays, house, src, f"{house.root}/checkpoint"))
+    house.load_dimensions({"player": src["player"]}, at, 1000)
+    house.add_plays(t.event_plays().where(F.lit(False)), src, 1000)
+    return house.stored("gaming").groupBy("game_name").agg(F.count(F.lit(1)).alias("plays"), F.sum("bet_amount").alias("bets"))
+
+
+@query(
+    "stream_txn_fact",
+    f"""WITH {Q.TXN} SELECT transaction_type, CAST(CAST(transaction_time AS DATE) AS VARCHAR) AS full_date, count(*) AS n, {Q.dbl('sum(amount)')} AS amount,
+    CAST(sum(CASE WHEN transaction_type = 'Bet' THEN floor(amount) ELSE 0 END) AS BIGINT) AS earned, CAST(sum(CASE WHEN transaction_type = 'Withdraw' THEN floor(amount) ELSE 0 END) AS BIGINT) AS redeemed
+    FROM txn GROUP BY 1, 2""",
+)
+def stream_txn_fact(t):
+    src = sources(t)
+    house = house_with_dimensions(t, "stream-txn", src)
+    rows = t.transaction().withColumn("game_name", F.lit(None).cast("string"))
+    jobs.in_steps(rows, "transaction_time", CUTS, lambda stream: jobs.transaction_stream(stream, house, src, f"{house.root}/checkpoint"))
+    fact = house.stored("transactions")
+    return fact.groupBy("transaction_type", "full_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.sum("loyalty_points_earned").alias("earned"), F.sum("loyalty_points_redeemed").alias("redeemed")
+    )
+
+
+@query("stream_scd2", FEED_ROWS)
+def stream_scd2(t):
+    """The customers' priorities as a stream in three steps, many states of a customer in each."""
+    table, checkpoint = jobs.new_paths(t.spark, "stream-scd2")
+    history = History(Snapshots(t.spark, table), "dim_priority")
+    cuts = ("1997-01-01", "1999-01-01")
+    jobs.in_steps(priority_feed(t), "at", cuts, lambda changes: jobs.scd2_stream(changes, history, "player_key", ["priority"], "at", checkpoint, ["seq"], width="year"))
+    return history.rows()
+
+
+@query("stream_scd2_check", "SELECT unnest(['overlap', 'gap', 'version_jump', 'open_flag', 'one_current']) AS rule, unnest([0, 0, 0, 0, (SELECT 0 * count(*) FROM orders)]) AS breaches")
+def stream_scd2_check(t):
+    return scd2.check(stream_scd2(t), "player_key")
+
+
+@query("stream_devices", f"WITH {DEVICE} SELECT DISTINCT device_type, device AS device_model FROM devices")
+def stream_devices(t):
+    table, checkpoint = jobs.new_paths(t.spark, "stream-device")
+    jobs.in_steps(t.login_history(), "login_time", CUTS, lambda logins: jobs.device_stream(logins, table, checkpoint))
+    return read_table(t.spark, table).select("device_type", "device_model")
+
+
+@query("stream_dedup", "SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events")
+def stream_dedup(t):
+    """Every event is sent twice; each is kept once."""
+    table, checkpoint = jobs.new_paths(t.spark, "stream-dedup")
+    events = t.raw("events").select("event_id", "user_id", "event_type", "ts").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    events = events.drop("copy")
+    jobs.in_steps(events, "ts", CUTS, lambda stream: jobs.run_append(jobs.deduplicated(stream, ["event_id"], "ts", "1 hour"), table, checkpoint))
+    return read_table(t.spark, table).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# A window is given out when the watermark, one hour behind the last event, has passed its end.
+CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+
+
+@query(
+    "stream_tumbling",
+    f"""SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, CAST(date_trunc('hour', ts) + INTERVAL 1 HOUR AS VARCHAR) AS window_end, event_type AS game_name, count(*) AS n,
+    {Q.dbl(f'sum({Q.EVENT_BET})')} AS total FROM events GROUP BY date_trunc('hour', ts), event_type HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED}""",
+)
+def stream_tumbling(t):
+    table, checkpoint = jobs.new_paths(t.spark, "stream-tumbling")
+    jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.run_append(jobs.tumbling(plays, "play_time", "1 hour", "1 hour", ["game_name"], "amount_bet"), table, checkpoint))
+    return read_table(t.spark, table).drop("players_approx")
+
+
+@query(
+    "stream_sliding",
+    f"""WITH w AS (SELECT unnest([0, 1, 2, 3, 4, 5]) AS i, ts, event_type, {Q.EVENT_BET} AS bet FROM events),
+    s AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) - i * INTERVAL 10 MINUTE AS a, event_type, bet FROM w)
+    SELECT CAST(a AS VARCHAR) AS window_start, CAST(a + INTERVAL 1 HOUR AS VARCHAR) AS window_end, event_type AS game_name, count(*) AS n, {Q.dbl('sum(bet)')} AS total
+    FROM s GROUP BY a, event_type HAVING a + INTERVAL 1 HOUR <= {CLOSED}""",
+)
+def stream_sliding(t):
+    table, checkpoint = jobs.new_paths(t.spark, "stream-sliding")
+    jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.run_append(jobs.sliding(plays, "play_time", "1 hour", "10 minutes", "1 hour", ["game_name"], "amount_bet"), table, checkpoint))
+    return read_table(t.spark, table).drop("players_approx")
+
+
+@query(
+    "stream_sessions",
+    f"""WITH s AS (SELECT user_id, ts, {Q.EVENT_BET} AS bet, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM s)
+    SELECT user_id AS player_email, CAST(min(ts) AS VARCHAR) AS session_start, CAST(max(ts) + INTERVAL 30 MINUTE AS VARCHAR) AS session_end, count(*) AS events, {Q.dbl('sum(bet)')} AS total,
+    epoch_us(max(ts)) - epoch_us(min(ts)) AS duration_us FROM n GROUP BY user_id, no HAVING max(ts) + INTERVAL 30 MINUTE <= {CLOSED}""",
+)
+def stream_sessions(t):
+    table, checkpoint = jobs.new_paths(t.spark, "stream-sessions")
+    jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.run_append(jobs.sessions(plays, "play_time", "30 minutes", "1 hour", "player_email", "amount_bet"), table, checkpoint))
+    return read_table(t.spark, table)
+
+
+# -- cycles
+
+
+@query(
+    "initial_load",
+    f"""WITH {DEVICE} SELECT 'dim_time' AS table_name, count(DISTINCT CAST(ts AS DATE)) AS row_count FROM events UNION ALL SELECT 'dim_game', count(DISTINCT event_type) FROM events
+    UNION ALL SELECT 'dim_location', count(*) FROM nation UNION ALL SELECT 'dim_slot_machine', count(*) FROM supplier UNION ALL SELECT 'dim_player', count(*) FROM customer
+    UNION ALL SELECT 'dim_staff', count(*) FROM supplier UNION ALL SELECT 'dim_device', count(DISTINCT device) FROM devices UNION ALL SELECT 'gaming', count(*) FROM events
+    UNION ALL SELECT 'transactions', count(*) FROM events UNION ALL SELECT 'bridge_game_player', count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)
+    UNION ALL SELECT 'daily_summary', count(*) FROM (SELECT DISTINCT CAST(ts AS DATE), event_type FROM events)""",
+)
+def initial_load(t):
+    """Everything from the sources to the summaries in one cycle; rows per table."""
+    from tallyhouse.operators.quality import row_counts
+
+    src = sources(t) | {"player_game": t.event_plays(), "slot_machine": t.slot_machine(), "transaction": t.transaction().withColumn("game_name", F.lit(None).cast("string"))}
+    house = Warehouse(t.spark, scratch(t.spark, "initial"))
+    run_cycle(house, src, F.lit(AS_OF).cast("timestamp_ntz"), 0)
+    names = ("dim_time", "dim_game", "dim_location", "dim_slot_machine", "dim_player", "dim_staff", "dim_device", "bridge_game_player")
+    counted = {n: house.table(n) for n in names} | {n: house.stored(n) for n in ("gaming", "transactions", "daily_summary")}
+    return row_counts(counted)
+
+
+@query("incremental_cycle", DAILY_SQL)
+def incremental_cycle(t):
+    """A first load up to a date and a cycle with all plays from a little before it: the summary is that of all plays."""
+    src = sources(t)
+    house = Warehouse(t.spark, scratch(t.spark, "cycle"))
+    plays = t.event_plays()
+    run_cycle(house, src | {"player_game": plays.where(F.col("play_time") < F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"))}, F.lit(AS_OF).cast("timestamp_ntz"), 0)
+    later = plays.where(F.col("play_time") >= F.lit("2024-01-19").cast("timestamp_ntz"))
+    run_cycle(house, src | {"player_game": later}, F.lit("2024-02-02").cast("timestamp_ntz"), 1)
+    return house.stored("daily_summary")

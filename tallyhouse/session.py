@@ -25,7 +25,7 @@ SQL_SETTINGS = {
 
 def build_session(app: str = "tallyhouse", master: str | None = None, partitions: int | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; `partitions` only for small local runs."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     if partitions:
