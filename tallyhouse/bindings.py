@@ -182,6 +182,18 @@ class Roles:
         end = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.col("l_quantity").cast("int"))
         return self.raw("lineitem").select(F.col("l_suppkey").alias("staff_email"), self._table_code(), F.col("l_shipdate").alias("shift_start"), end.alias("shift_end"))
 
+    def event_tables(self) -> DataFrame:
+        """One table per event type and nation of a user, at that nation."""
+        users = self.raw("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("location_code"))
+        pairs = self.raw("events").select("user_id", F.col("event_type").alias("game_name")).distinct().join(users, "user_id").select("game_name", "location_code").distinct()
+        code = F.concat_ws("-", "game_name", F.format_string("%03d", "location_code"))
+        return pairs.select(code.alias("table_code"), "game_name", "location_code", F.lit("Available").alias("status"))
+
+    def event_shifts(self) -> DataFrame:
+        """Suppliers work at the tables of their nation."""
+        staff = self.raw("supplier").select(F.col("s_suppkey").alias("staff_email"), F.col("s_nationkey").alias("location_code"))
+        return self.event_tables().join(staff, "location_code").select("table_code", "staff_email")
+
     def slot_machine(self) -> DataFrame:
         status = F.element_at(F.array(F.lit("Online"), F.lit("Offline"), F.lit("Maintenance")), (F.col("s_suppkey") % 3 + 1).cast("int"))
         return self.raw("supplier").select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.bindings import Roles
+from tallyhouse.session import apply_settings
 
 Plan = Callable[[Roles], DataFrame]
 QUERIES: dict[str, Plan] = {}
@@ -43,4 +44,4 @@ def publish(df: DataFrame) -> DataFrame:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish(QUERIES[name](Roles(spark, sf_dir)))
+    return publish(QUERIES[name](Roles(apply_settings(spark), sf_dir)))

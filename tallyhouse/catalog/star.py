@@ -73,9 +73,7 @@ def fact_gaming_incremental(t):
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     loaded = t.event_fact(session=False).where(F.col("play_time") < cut)
     games = dimensions.game_dim(t.event_game())
-    tables = games.select("game_name", F.lit(0).alias("table_code"), F.lit(0).alias("location_code"))
-    shifts = tables.select("table_code", F.lit(0).cast("long").alias("staff_email"))
-    fact = facts.gaming_fact(t.event_plays(), t.dim_player(), games, tables, shifts, t.dim_staff(), existing=loaded, session=None)
+    fact = facts.gaming_fact(t.event_plays(), t.dim_player(), games, t.event_tables(), t.event_shifts(), t.dim_staff(), existing=loaded, session=None)
     return fact.select("player_key", "game_name", "play_time", "net_result")
 
 

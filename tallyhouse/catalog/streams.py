@@ -11,36 +11,23 @@ from tallyhouse.catalog.registry import query
 from tallyhouse.catalog.star import BRIDGE
 from tallyhouse.operators import scd2
 from tallyhouse.plans.warehouse import History, Warehouse, run_cycle
-from tallyhouse.session import scratch
+from tallyhouse.session import scratch, settle
 from tallyhouse.sources.tables import Snapshots, read_table
 from tallyhouse.streaming import jobs
 
 CUTS = ("2024-01-11", "2024-01-21")
 
 
-def event_tables(t):
-    """One table per event type and nation of a user, at that nation."""
-    users = t.raw("customer").select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("location_code"))
-    pairs = t.raw("events").select("user_id", F.col("event_type").alias("game_name")).distinct().join(users, "user_id").select("game_name", "location_code").distinct()
-    code = F.concat_ws("-", "game_name", F.format_string("%03d", "location_code"))
-    return pairs.select(code.alias("table_code"), "game_name", "location_code", F.lit("Available").alias("status"))
-
-
-def event_shifts(t):
-    """Suppliers work at the tables of their nation."""
-    staff = t.raw("supplier").select(F.col("s_suppkey").alias("staff_email"), F.col("s_nationkey").alias("location_code"))
-    return event_tables(t).join(staff, "location_code").select("table_code", "staff_email")
-
-
 def sources(t):
+    """The operational tables of the events; those that take a pass over the events are stored first, as they are in use."""
     return {
-        "game": t.event_game(),
+        "game": settle(t.event_game(), "game"),
         "casino_location": t.location(),
         "player": t.player_basic().withColumn("registration_date", F.lit(None).cast("timestamp_ntz")),
         "staff": t.staff(),
         "login_history": t.login_history(),
-        "table_game": event_tables(t),
-        "staff_assigned_tables": event_shifts(t),
+        "table_game": settle(t.event_tables(), "table-game"),
+        "staff_assigned_tables": settle(t.event_shifts(), "shifts"),
     }
 
 

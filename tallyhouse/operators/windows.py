@@ -134,7 +134,8 @@ def descending_prefix(df: DataFrame, value: str, buckets: int = 64) -> DataFrame
     at quantiles into ranges, each summed in its own task, and only the range totals
     (at most `buckets` rows) go through one.
     """
-    cuts = sorted(set(df.select(F.col(value).cast("double").alias("v")).approxQuantile("v", [i / buckets for i in range(1, buckets)], 0.2 / buckets)))
+    at = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(df.select(F.col(value).cast("double").alias("v")).approxQuantile("v", at, 0.2 / buckets))) if at else []
     values = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
     values = values.withColumn("s", F.col(value) * F.col("n")).withColumn("_v", F.col(value).cast("double"))
     if cuts:

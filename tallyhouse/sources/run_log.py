@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.sources.tables import append_row
+
 SCHEMA = T.StructType(
     [
         T.StructField("log_id", T.StringType(), False),
@@ -33,7 +35,7 @@ def log_event(spark: SparkSession, path: str, process: str, status: str, records
     now = _now()
     log_id = str(uuid.uuid4())
     row = (log_id, process, start or now, now if status == COMPLETED else None, status, records, error)
-    spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    append_row(spark, path, SCHEMA, row)
     return log_id
 
 

@@ -48,49 +48,57 @@ def _by(df: DataFrame, partition: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition) if partition else df
 
 
+def append_row(spark: SparkSession, path: str, schema: T.StructType, row: Sequence) -> None:
+    """Append one row of values known to the driver."""
+    values = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, row, strict=True)]
+    spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(path)
+
+
 class Snapshots:
     """Named tables under one folder; a new version counts once it is listed.
 
     A version is written to a folder of its own and then listed in a small append-only
-    table. A run that fails in between leaves the old version in place.
+    table. A run that fails in between leaves the old version in place. One writer is
+    assumed: it knows its own versions, others call `refresh` to see them.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    def _listed(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(VERSIONS).parquet(f"{self.root}/_versions")
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" not in str(err):
-                raise
-            return None
-
-    def _latest(self, name: str):
-        listed = self._listed()
-        if listed is None:
-            return None
-        row = listed.where(F.col("table_name") == name).agg(F.max(F.struct("version", "path")).alias("v")).first()
-        return row["v"]
+        self._known: dict[str, tuple[int, str]] | None = None
+
+    def refresh(self) -> None:
+        self._known = None
+
+    def _latest(self) -> dict[str, tuple[int, str]]:
+        """Version and path per table: one row per table comes to the driver."""
+        if self._known is None:
+            try:
+                listed = self.spark.read.schema(VERSIONS).parquet(f"{self.root}/_versions")
+            except AnalysisException as err:
+                if "PATH_NOT_FOUND" not in str(err):
+                    raise
+                self._known = {}
+                return self._known
+            last = listed.groupBy("table_name").agg(F.max(F.struct("version", "path")).alias("v"))
+            self._known = {row["table_name"]: (row["v"]["version"], row["v"]["path"]) for row in last.collect()}
+        return self._known
 
     def version(self, name: str) -> int:
         """Version now in force, -1 when there is none."""
-        latest = self._latest(name)
-        return latest["version"] if latest else -1
+        return self._latest().get(name, (-1, ""))[0]
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         """The version in force; without one an empty table when a schema is given, else None."""
-        latest = self._latest(name)
-        if latest is None:
+        if name not in self._latest():
             return self.spark.createDataFrame([], schema) if schema is not None else None
-        return read_table(self.spark, latest["path"], schema)
+        return read_table(self.spark, self._latest()[name][1], schema)
 
     def write(self, name: str, df: DataFrame, version: int | None = None, partition: Sequence[str] = ()) -> DataFrame:
         """Write and list a version; the same number written again replaces itself."""
         number = self.version(name) + 1 if version is None else version
         path = f"{self.root}/{name}/version={number}"
         _by(df, partition).write.mode("overwrite").partitionBy(*partition).parquet(path)
-        listing = self.spark.createDataFrame([(name, number, path)], VERSIONS)
-        listing.coalesce(1).write.mode("append").parquet(f"{self.root}/_versions")
+        append_row(self.spark, f"{self.root}/_versions", VERSIONS, (name, number, path))
+        self._latest()[name] = (number, path)
         return read_table(self.spark, path, df.schema)
