@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions import presets as P
 
@@ -32,6 +34,20 @@ def money(col: Column | str, kind: str = MONEY) -> Column:
     return _c(col).cast(kind)
 
 
+def total(df: DataFrame, col: str, kind: str = "decimal(22,2)") -> Column:
+    """Exact sum of a money column.
+
+    A sum of decimals wider than eight digits is kept as a big-number object per group.
+    Up to 16 digits with two decimals fit in whole cents, which Spark adds as a long; an
+    overflow (beyond 9e16) is an error in ANSI mode, never a wrong sum.
+    """
+    type_ = df.schema[col].dataType
+    if isinstance(type_, T.DecimalType) and type_.scale == 2 and type_.precision <= 16:
+        cents = (F.col(col) * F.lit(100)).cast("long")
+        return (F.sum(cents).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(kind)
+    return F.sum(col).cast(kind)
+
+
 def mean(total: Column, n: Column) -> Column:
     """Unrounded average from an exact sum, NULL for no rows."""
     return F.try_divide(total.cast("double"), n.cast("double"))

@@ -28,8 +28,8 @@ def bridge(fact: DataFrame) -> DataFrame:
         F.min("play_time").alias("first_play_date"),
         F.max("play_time").alias("last_play_date"),
         F.count(F.lit(1)).alias("total_plays"),
-        F.sum(F.coalesce("bet_amount", F.lit(0))).cast("decimal(22,2)").alias("total_bet_amount"),
-        F.sum(F.coalesce("win_amount", F.lit(0))).cast("decimal(22,2)").alias("total_win_amount"),
+        F.coalesce(S.total(fact, "bet_amount"), F.lit(0)).cast("decimal(22,2)").alias("total_bet_amount"),
+        F.coalesce(S.total(fact, "win_amount"), F.lit(0)).cast("decimal(22,2)").alias("total_win_amount"),
     )
 
 
@@ -45,7 +45,11 @@ def daily_summary(fact: DataFrame, keys: Sequence[str] = DAILY_KEY) -> DataFrame
     aggregate, and a hot group is reduced map-side on its players.
     """
     per_player = fact.groupBy(*keys, "player_key").agg(
-        F.sum("bet_amount").alias("bet"), F.sum("win_amount").alias("win"), F.sum("net_result").alias("net"), F.count(F.lit(1)).alias("n"), F.count("bet_amount").alias("nb")
+        S.total(fact, "bet_amount").alias("bet"),
+        S.total(fact, "win_amount").alias("win"),
+        S.total(fact, "net_result").alias("net"),
+        F.count(F.lit(1)).alias("n"),
+        F.count("bet_amount").alias("nb"),
     )
     return per_player.groupBy(*keys).agg(
         F.count("player_key").alias("total_players"),
@@ -59,13 +63,14 @@ def daily_summary(fact: DataFrame, keys: Sequence[str] = DAILY_KEY) -> DataFrame
 
 def player_day_summary(fact: DataFrame) -> DataFrame:
     """Per date, player and game, with the win rate (0 without bets)."""
+    bet, won = S.total(fact, "bet_amount"), S.total(fact, "win_amount")
     return fact.groupBy(*PLAYER_DAY_KEY).agg(
         F.count(F.lit(1)).alias("total_plays"),
-        F.sum("bet_amount").cast("decimal(22,2)").alias("total_bet_amount"),
-        F.sum("win_amount").cast("decimal(22,2)").alias("total_win_amount"),
-        F.sum("net_result").cast("decimal(22,2)").alias("net_result"),
-        S.mean(F.sum("bet_amount"), F.count("bet_amount")).alias("average_bet"),
-        S.win_rate(F.sum("win_amount"), F.sum("bet_amount")).alias("win_rate"),
+        bet.alias("total_bet_amount"),
+        won.alias("total_win_amount"),
+        S.total(fact, "net_result").alias("net_result"),
+        S.mean(bet, F.count("bet_amount")).alias("average_bet"),
+        S.win_rate(won, bet).alias("win_rate"),
     )
 
 

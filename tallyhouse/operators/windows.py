@@ -31,12 +31,16 @@ def neighbours(
     if bucket is None:
         return _within(df, list(keys), order, lag, lead, running)
     cut = df.withColumn("_b", bucket)
-    at = F.struct(*order)
+    at, lead_column = F.struct(*order), list(order)[:1]
     aggs = []
+    # The edge of the leading order column itself is a plain max or min, which hashes;
+    # that of other columns has to carry a row along, for which Spark sorts.
     if lag:
-        aggs.append(F.max_by(F.struct(*lag), at).alias("_last"))
+        last = F.struct(F.max(order[0]).alias(order[0])) if list(lag) == lead_column else F.max_by(F.struct(*lag), at)
+        aggs.append(last.alias("_last"))
     if lead:
-        aggs.append(F.min_by(F.struct(*lead), at).alias("_first"))
+        first = F.struct(F.min(order[0]).alias(order[0])) if list(lead) == lead_column else F.min_by(F.struct(*lead), at)
+        aggs.append(first.alias("_first"))
     aggs += [F.sum(c).alias(f"_sum_{c}") for c in running]
     edges = cut.groupBy(*keys, "_b").agg(*aggs)
     across = Window.partitionBy(*keys).orderBy("_b")

@@ -23,10 +23,6 @@ def _sum(col: str | Column) -> Column:
     return F.sum(col).cast(TOTAL)
 
 
-def _net() -> Column:
-    return (F.sum("win_amount") - F.sum("bet_amount")).cast(TOTAL)
-
-
 def _months(fact: DataFrame, *aggs: Column) -> DataFrame:
     """One row per month from the first to the last, months without rows included."""
     month = F.trunc("full_date", "month").alias("month")
@@ -39,7 +35,7 @@ def _months(fact: DataFrame, *aggs: Column) -> DataFrame:
 
 def revenue_trend(fact: DataFrame) -> DataFrame:
     """Bets per month with running total and growth on the month and the year before."""
-    months = _months(fact, _sum("bet_amount").alias("revenue")).withColumn("revenue", F.coalesce("revenue", F.lit(0)).cast(TOTAL))
+    months = _months(fact, S.total(fact, "bet_amount").alias("revenue")).withColumn("revenue", F.coalesce("revenue", F.lit(0)).cast(TOTAL))
     running = windows.running_total(months, ["revenue"], ["month"])
     return windows.growth(running, "revenue", "month", {"mom": 1, "yoy": 12})
 
@@ -60,13 +56,13 @@ def active_versus_registered(player: DataFrame, player_game: DataFrame) -> DataF
 
 def top_games(fact: DataFrame, k: int = 3) -> DataFrame:
     """Games with the highest bets, ties by name."""
-    totals = fact.groupBy("game_name").agg(_sum("bet_amount").alias("revenue"), _n().alias("total_plays"))
+    totals = fact.groupBy("game_name").agg(S.total(fact, "bet_amount").alias("revenue"), _n().alias("total_plays"))
     return totals.orderBy(F.desc_nulls_first("revenue"), "game_name").limit(k)
 
 
 def revenue_per_player(fact: DataFrame) -> DataFrame:
     """Bets, players and bets per player by month, with growth."""
-    per_player = fact.groupBy(F.trunc("full_date", "month").alias("month"), "player_key").agg(_sum("bet_amount").alias("bet"))
+    per_player = fact.groupBy(F.trunc("full_date", "month").alias("month"), "player_key").agg(S.total(fact, "bet_amount").alias("bet"))
     months = per_player.groupBy("month").agg(_sum("bet").alias("revenue"), F.count("player_key").alias("players"))
     spine = windows.month_spine(months, "month").join(months, "month", "left")
     spine = spine.withColumns({"revenue": F.coalesce("revenue", F.lit(0)).cast(TOTAL), "players": F.coalesce("players", F.lit(0))})
@@ -100,7 +96,7 @@ def staff_utilisation(shifts: DataFrame, fact: DataFrame) -> DataFrame:
     """Shifts, scheduled hours, plays and bets per staff member."""
     hours = F.unix_micros(F.col("shift_end").cast("timestamp")) - F.unix_micros(F.col("shift_start").cast("timestamp"))
     planned = shifts.groupBy(F.col("staff_email").alias("staff_key")).agg(_n().alias("shifts"), F.sum(hours).alias("micros"))
-    served = fact.groupBy("staff_key").agg(_n().alias("plays"), _sum("bet_amount").alias("revenue"))
+    served = fact.groupBy("staff_key").agg(_n().alias("plays"), S.total(fact, "bet_amount").alias("revenue"))
     out = planned.join(served, "staff_key", "left")
     hours_total = F.col("micros").cast("double") / F.lit(3_600_000_000.0)
     return out.select(
@@ -126,7 +122,7 @@ def equipment_availability(table_game: DataFrame, slot_machine: DataFrame) -> Da
 
 def segment_spending(fact: DataFrame, dim_player: DataFrame) -> DataFrame:
     """Players and bets per tier, with the tier's share of all bets; players without plays count."""
-    spent = fact.groupBy("player_key").agg(_sum("bet_amount").alias("bet"), _n().alias("n"))
+    spent = fact.groupBy("player_key").agg(S.total(fact, "bet_amount").alias("bet"), _n().alias("n"))
     people = dim_player.where(F.col("is_current")).select("player_key", "loyalty_tier").join(spent, "player_key", "left")
     tiers = people.groupBy("loyalty_tier").agg(
         _n().alias("players"), F.coalesce(_sum("bet"), F.lit(0)).cast(TOTAL).alias("total_bets"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_plays")
@@ -144,13 +140,13 @@ def funnel(player: DataFrame, player_game: DataFrame, days: int = P.RETENTION_DA
 
 def lifetime_value(fact: DataFrame, width: str | None = "year") -> DataFrame:
     """Bets per player and month and their running total."""
-    monthly = fact.groupBy("player_key", F.trunc("full_date", "month").alias("month")).agg(_sum("bet_amount").alias("revenue"))
+    monthly = fact.groupBy("player_key", F.trunc("full_date", "month").alias("month")).agg(S.total(fact, "bet_amount").alias("revenue"))
     return windows.neighbours(monthly, ["player_key"], ["month"], running=["revenue"], bucket=F.trunc("month", width) if width else None).withColumnRenamed("run_revenue", "lifetime_value")
 
 
 def revenue_concentration(fact: DataFrame, buckets: int = 64) -> DataFrame:
     """Per player: the share of players who bet at least as much, and their share of all bets."""
-    totals = fact.groupBy("player_key").agg(_sum("bet_amount").alias("revenue"))
+    totals = fact.groupBy("player_key").agg(S.total(fact, "bet_amount").alias("revenue"))
     return windows.cumulative_share(totals, "revenue", buckets)
 
 
@@ -171,7 +167,7 @@ def cash_flow(transaction: DataFrame) -> DataFrame:
 
 def margin_by_type(fact: DataFrame, dim_game: DataFrame) -> DataFrame:
     """Net of wins and bets per game type, and its share of the bets."""
-    per_game = fact.groupBy("game_name").agg(_sum("bet_amount").alias("bet"), _sum("win_amount").alias("won"))
+    per_game = fact.groupBy("game_name").agg(S.total(fact, "bet_amount").alias("bet"), S.total(fact, "win_amount").alias("won"))
     types = per_game.join(dim_game.select("game_name", "game_type"), "game_name").groupBy("game_type")
     out = types.agg(_sum("bet").alias("total_bets"), _sum("won").alias("total_wins"))
     out = out.withColumn("net_revenue", (F.col("total_wins") - F.col("total_bets")).cast(TOTAL))
@@ -180,7 +176,7 @@ def margin_by_type(fact: DataFrame, dim_game: DataFrame) -> DataFrame:
 
 def type_mix(transaction: DataFrame) -> DataFrame:
     """Number and amount per transaction type with their shares."""
-    out = transaction.groupBy("transaction_type").agg(_n().alias("transactions"), _sum("amount").alias("amount"))
+    out = transaction.groupBy("transaction_type").agg(_n().alias("transactions"), S.total(transaction, "amount").alias("amount"))
     out = windows.share_of_total(out, "transactions", "count_share")
     return windows.share_of_total(out, "amount", "amount_share")
 
@@ -190,7 +186,7 @@ def trend_forecast(fact: DataFrame, ahead: int = 3) -> DataFrame:
 
     The sums behind the line are exact; one division at the end gives a double.
     """
-    months = _months(fact, _sum("bet_amount").alias("y")).withColumn("y", F.coalesce("y", F.lit(0)).cast(TOTAL))
+    months = _months(fact, S.total(fact, "bet_amount").alias("y")).withColumn("y", F.coalesce("y", F.lit(0)).cast(TOTAL))
     start = months.agg(F.min("month")).scalar()
     x = F.floor(F.months_between(F.col("month"), start)).cast("long")
     points = months.select(x.alias("x"), "y", "month")
@@ -227,34 +223,34 @@ def drilldown(df: DataFrame, levels: Sequence[str], aggs: Sequence[Column], how:
 
 def time_drilldown(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Year > quarter > month > day. Only one row per day is expanded into the levels."""
-    daily = fact.groupBy("full_date").agg(_n().alias("n"), _sum("bet_amount").alias("bet"))
+    daily = fact.groupBy("full_date").agg(_n().alias("n"), S.total(fact, "bet_amount").alias("bet"))
     levels = ["year", "quarter", "month_number", "day_of_month"]
     return drilldown(daily.join(dim_time.select("full_date", *levels), "full_date"), levels, [F.sum("n").alias("total_plays"), _sum("bet").alias("total_bets")])
 
 
 def location_drilldown(fact: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Country > state > city > venue."""
-    per_place = fact.groupBy("location_code").agg(_n().alias("n"), _sum("bet_amount").alias("bet"))
+    per_place = fact.groupBy("location_code").agg(_n().alias("n"), S.total(fact, "bet_amount").alias("bet"))
     levels = ["country", "state", "city", "location_name"]
     return drilldown(per_place.join(dim_location.select("location_code", *levels), "location_code"), levels, [F.sum("n").alias("total_plays"), _sum("bet").alias("total_bets")])
 
 
 def game_drilldown(fact: DataFrame, dim_game: DataFrame) -> DataFrame:
     """Type > game."""
-    per_game = fact.groupBy("game_name").agg(_n().alias("n"), _sum("bet_amount").alias("bet"))
+    per_game = fact.groupBy("game_name").agg(_n().alias("n"), S.total(fact, "bet_amount").alias("bet"))
     return drilldown(per_game.join(dim_game.select("game_name", "game_type"), "game_name"), ["game_type", "game_name"], [F.sum("n").alias("total_plays"), _sum("bet").alias("total_bets")])
 
 
 def customer_drilldown(fact: DataFrame, dim_player: DataFrame) -> DataFrame:
     """Tier > player > type of game played."""
-    per_pair = fact.groupBy("player_key", "game_name").agg(_n().alias("n"), _sum("bet_amount").alias("bet"))
+    per_pair = fact.groupBy("player_key", "game_name").agg(_n().alias("n"), S.total(fact, "bet_amount").alias("bet"))
     people = dim_player.where(F.col("is_current")).select("player_key", "loyalty_tier")
     return drilldown(per_pair.join(people, "player_key"), ["loyalty_tier", "player_key", "game_name"], [F.sum("n").alias("total_plays"), _sum("bet").alias("total_bets")])
 
 
 def filter_cube(fact: DataFrame, dim_player: DataFrame) -> DataFrame:
     """Totals for every choice of tier, age band and game, "all" included."""
-    per_pair = fact.groupBy("player_key", "game_name").agg(_n().alias("n"), _sum("bet_amount").alias("bet"))
+    per_pair = fact.groupBy("player_key", "game_name").agg(_n().alias("n"), S.total(fact, "bet_amount").alias("bet"))
     people = dim_player.where(F.col("is_current")).select("player_key", "loyalty_tier", "age_group")
     cells = per_pair.join(people, "player_key").groupBy("loyalty_tier", "age_group", "game_name").agg(F.sum("n").alias("n"), _sum("bet").alias("bet"))
     return drilldown(cells, ["loyalty_tier", "age_group", "game_name"], [F.sum("n").alias("total_plays"), _sum("bet").alias("total_bets")], how="cube")
@@ -309,7 +305,7 @@ def audit_activity(audit_log: DataFrame) -> DataFrame:
 
 def slot_performance(slot_play: DataFrame, slot_machine: DataFrame) -> DataFrame:
     """Plays and money per model and location."""
-    per_machine = slot_play.groupBy("machine_code").agg(_n().alias("n"), _sum("bet_amount").alias("bet"), _sum("win_amount").alias("won"))
+    per_machine = slot_play.groupBy("machine_code").agg(_n().alias("n"), S.total(slot_play, "bet_amount").alias("bet"), S.total(slot_play, "win_amount").alias("won"))
     joined = slot_machine.select("machine_code", "model", "location_code").join(per_machine, "machine_code")
     out = joined.groupBy("model", "location_code").agg(_n().alias("machines"), F.sum("n").alias("plays"), _sum("bet").alias("total_bets"), _sum("won").alias("total_wins"))
     return out.withColumn("win_share", S.ratio(F.col("total_wins"), F.col("total_bets")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import presets as P
@@ -26,21 +26,18 @@ def _n() -> Column:
     return F.count(F.lit(1))
 
 
-def _sum(col: str) -> Column:
-    return F.sum(col).cast(TOTAL)
-
-
 def _plays_by(plays: DataFrame, *keys) -> DataFrame:
     """Additive measures of plays: n, bet, won and nb, the number of bets that are not NULL."""
-    return plays.groupBy(*keys).agg(_n().alias("n"), _sum("amount_bet").alias("bet"), _sum("amount_won").alias("won"), F.count("amount_bet").alias("nb"))
+    bet, won = S.total(plays, "amount_bet"), S.total(plays, "amount_won")
+    return plays.groupBy(*keys).agg(_n().alias("n"), bet.alias("bet"), won.alias("won"), F.count("amount_bet").alias("nb"))
 
 
 def _fact_by(fact: DataFrame, *keys) -> DataFrame:
     """Additive measures of the fact, with minutes of session and the number of known ones."""
     return fact.groupBy(*keys).agg(
         _n().alias("n"),
-        _sum("bet_amount").alias("bet"),
-        _sum("win_amount").alias("won"),
+        S.total(fact, "bet_amount").alias("bet"),
+        S.total(fact, "win_amount").alias("won"),
         F.count("bet_amount").alias("nb"),
         F.sum("session_duration_minutes").alias("minutes"),
         F.count("session_duration_minutes").alias("nm"),
@@ -116,7 +113,7 @@ def transactions_by_type_time(transaction: DataFrame, game: DataFrame, since: st
     kept = _since(transaction, "transaction_time", since)
     dow = S.day_of_week("transaction_time").alias("day_of_week")
     grouped = kept.groupBy("transaction_type", _year("transaction_time"), _month("transaction_time"), dow, "game_name").agg(
-        _n().alias("n"), _sum("amount").alias("total"), F.count("amount").alias("nb"), F.min("amount").alias("low"), F.max("amount").alias("high")
+        _n().alias("n"), S.total(kept, "amount").alias("total"), F.count("amount").alias("nb"), F.min("amount").alias("low"), F.max("amount").alias("high")
     )
     known = game.select("game_name", F.col("game_name").alias("known_game"), F.col("type").alias("game_type"))
     named = grouped.join(known, "game_name", "left")
@@ -256,13 +253,18 @@ def _games(dim_game: DataFrame, active_only: bool) -> DataFrame:
 
 
 def _game_place_totals(fact: DataFrame, dim_game: DataFrame, dim_location: DataFrame, active_only: bool, place: Sequence[str]) -> DataFrame:
-    """Per game and place name: codes that share a name are one group, their players counted once."""
-    plays = fact.withColumnsRenamed({"bet_amount": "amount_bet", "win_amount": "amount_won"})
-    per_code = _plays_by(plays, "game_name", "location_code", "player_id")
+    """Per game and place name: codes that share a name are one group, their players counted once.
+
+    Each code is mapped to the lowest code of its name on the small side, so the fact is
+    grouped by codes and the names are looked up for the result only.
+    """
+    named = dim_location.select("location_code", *place).withColumn("place_code", F.min("location_code").over(Window.partitionBy(*place)))
+    plays = fact.withColumnsRenamed({"bet_amount": "amount_bet", "win_amount": "amount_won"}).join(named.select("location_code", "place_code"), "location_code")
+    per_player = _plays_by(plays, "game_name", "place_code", "player_id")
+    per_place = _again(per_player, "game_name", "place_code", extra=[F.count("player_id").alias("unique_players")])
     games = _games(dim_game, active_only).select("game_name", "game_type")
-    named = per_code.join(games, "game_name").join(dim_location.select("location_code", *place), "location_code")
-    keys = ("game_name", "game_type", *place)
-    return _again(_again(named, *keys, "player_id"), *keys, extra=[F.count("player_id").alias("unique_players")])
+    names = named.where(F.col("location_code") == F.col("place_code")).select("place_code", *place)
+    return per_place.join(games, "game_name").join(names, "place_code")
 
 
 def game_performance(fact: DataFrame, dim_game: DataFrame, dim_location: DataFrame, active_only: bool = True) -> DataFrame:
@@ -299,7 +301,8 @@ def game_popularity_by_location(fact: DataFrame, dim_game: DataFrame, dim_locati
 
 
 def monthly_revenue_star(fact: DataFrame, dim_time: DataFrame, since: str | None = P.SINCE) -> DataFrame:
-    per_day = _since(fact, "full_date", since).groupBy("full_date").agg(_n().alias("n"), _sum("bet_amount").alias("bet"), _sum("win_amount").alias("won"))
+    kept = _since(fact, "full_date", since)
+    per_day = kept.groupBy("full_date").agg(_n().alias("n"), S.total(kept, "bet_amount").alias("bet"), S.total(kept, "win_amount").alias("won"))
     keys = ("year", "month_number", "month_name")
     out = _again(per_day.join(dim_time.select("full_date", *keys), "full_date"), *keys)
     return out.select(
