@@ -9,7 +9,6 @@ from tallyhouse.catalog.registry import query
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators import dimensions, windows
 from tallyhouse.plans import bi
-from tallyhouse.session import settle
 
 # Months of the lines with their bets, every month from first to last.
 MONTHS = f"""{Q.LINES},
@@ -88,7 +87,7 @@ def top3_per_group(t):
 )
 def revenue_share(t):
     totals = t.line_fact_short().groupBy("game_name").agg(F.sum("bet_amount").cast(bi.TOTAL).alias("revenue"))
-    return windows.share_of_total(settle(totals, "share"), "revenue")
+    return windows.share_of_total(totals, {"revenue": "share"})
 
 
 @query(

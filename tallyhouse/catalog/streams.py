@@ -59,7 +59,7 @@ def stream_bridge(t):
     src = sources(t)
     house = house_with_dimensions(t, "stream-bridge", src)
     jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.gaming_stream(plays, house, src, f"{house.root}/checkpoint"))
-    return house.table("bridge_game_player")
+    return house.bridge()
 
 
 @query("stream_late_dimension", f"WITH {Q.EVENT_PLAYS} SELECT game_name, count(*) AS plays, {Q.dbl('sum(amount_bet)')} AS bets FROM eplays GROUP BY 1")
@@ -184,6 +184,7 @@ def initial_load(t):
     src = sources(t) | {"player_game": t.event_plays(), "slot_machine": t.slot_machine(), "transaction": t.transaction().withColumn("game_name", F.lit(None).cast("string"))}
     house = Warehouse(t.spark, scratch(t.spark, "initial"))
     run_cycle(house, src, F.lit(AS_OF).cast("timestamp_ntz"), 0)
+    house.compact_bridge(0)
     names = ("dim_time", "dim_game", "dim_location", "dim_slot_machine", "dim_player", "dim_staff", "dim_device", "bridge_game_player")
     counted = {n: house.table(n) for n in names} | {n: house.stored(n) for n in ("gaming", "transactions", "daily_summary")}
     return row_counts(counted)

@@ -60,7 +60,7 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def load_report(staged: DataFrame, merged: DataFrame, skipped: Column) -> DataFrame:
     """total, inserted, updated, skipped of one load, as one row."""
-    counts = merge.action_counts(merged).select("inserted", "updated")
-    total = staged.agg(F.count(F.lit(1)).alias("total"), F.count_if(skipped).alias("skipped"))
-    inserted, updated = counts.select("inserted").scalar(), counts.select("updated").scalar()
-    return total.select("total", inserted.alias("inserted"), updated.alias("updated"), "skipped")
+    zero = F.lit(0).cast("long")
+    read = staged.agg(F.count(F.lit(1)).alias("total"), zero.alias("inserted"), zero.alias("updated"), F.count_if(skipped).alias("skipped"))
+    done = merge.action_counts(merged).select(zero.alias("total"), "inserted", "updated", zero.alias("skipped"))
+    return read.unionByName(done).agg(*[F.sum(c).alias(c) for c in read.columns])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.rules import GateError
+from tallyhouse.session import settle
 
 
 def _parent_keys(parent: DataFrame, child_keys: Sequence[str], parent_keys: Sequence[str]) -> DataFrame:
@@ -59,7 +60,7 @@ def orphan_report(df: DataFrame, parent: DataFrame, key: str, parent_key: str |
     The text is for a message. The numbers are of all orphans, and `orphans` gives
     every one of them.
     """
-    lost = orphans(df, parent, key, parent_key)
+    lost = settle(orphans(df, parent, key, parent_key), "orphans")
     name = F.col(key).cast("string")
     totals = lost.agg(F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"))
     first = lost.select(name.alias("k")).orderBy("k").limit(show)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -124,10 +124,14 @@ def first_seen(df: DataFrame, key, period: Column, out: str = "period") -> DataF
 # -- over a whole table
 
 
-def share_of_total(df: DataFrame, value: str, out: str = "share") -> DataFrame:
-    """Share of the column's total; the total is one scalar subquery, not a one-task window."""
-    total = df.agg(F.sum(value)).scalar()
-    return df.withColumn(out, S.ratio(F.col(value), total))
+def share_of_total(df: DataFrame, shares: Mapping[str, str]) -> DataFrame:
+    """Adds the share of each column's total, named as given: {"value": "share"}.
+
+    The totals are scalar subqueries, not a window in one task. `df` is settled, since
+    rows and totals both read it.
+    """
+    df = settle(df, "share")
+    return df.withColumns({out: S.ratio(F.col(value), df.agg(F.sum(value)).scalar()) for value, out in shares.items()})
 
 
 def descending_prefix(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:

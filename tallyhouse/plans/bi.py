@@ -127,7 +127,7 @@ def segment_spending(fact: DataFrame, dim_player: DataFrame) -> DataFrame:
     tiers = people.groupBy("loyalty_tier").agg(
         _n().alias("players"), F.coalesce(_sum("bet"), F.lit(0)).cast(TOTAL).alias("total_bets"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_plays")
     )
-    return windows.share_of_total(tiers, "total_bets", "bet_share")
+    return windows.share_of_total(tiers, {"total_bets": "bet_share"})
 
 
 def funnel(player: DataFrame, player_game: DataFrame, days: int = P.RETENTION_DAYS) -> DataFrame:
@@ -138,8 +138,8 @@ def funnel(player: DataFrame, player_game: DataFrame, days: int = P.RETENTION_DA
     return both.agg(_n().alias("registered"), F.count("last_play").alias("played"), F.count_if(late).alias("retained"))
 
 
-def lifetime_value(fact: DataFrame, width: str | None = "year") -> DataFrame:
-    """Bets per player and month and their running total."""
+def lifetime_value(fact: DataFrame, width: str | None = None) -> DataFrame:
+    """Bets per player and month and their running total; a player has one row per month."""
     monthly = fact.groupBy("player_key", F.trunc("full_date", "month").alias("month")).agg(S.total(fact, "bet_amount").alias("revenue"))
     return windows.neighbours(monthly, ["player_key"], ["month"], running=["revenue"], bucket=F.trunc("month", width) if width else None).withColumnRenamed("run_revenue", "lifetime_value")
 
@@ -177,8 +177,7 @@ def margin_by_type(fact: DataFrame, dim_game: DataFrame) -> DataFrame:
 def type_mix(transaction: DataFrame) -> DataFrame:
     """Number and amount per transaction type with their shares."""
     out = transaction.groupBy("transaction_type").agg(_n().alias("transactions"), S.total(transaction, "amount").alias("amount"))
-    out = windows.share_of_total(out, "transactions", "count_share")
-    return windows.share_of_total(out, "amount", "amount_share")
+    return windows.share_of_total(out, {"transactions": "count_share", "amount": "amount_share"})
 
 
 def trend_forecast(fact: DataFrame, ahead: int = 3) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators import dedup, merge, quality, referential, rules
 from tallyhouse.schemas import TABLES, TableSpec
+from tallyhouse.session import settle
 from tallyhouse.sources.csv import SCAN_ORDER, read_csv_staging, with_scan_order
 
 
@@ -45,7 +46,7 @@ def row_rules(spec: TableSpec) -> list[rules.Rule]:
 
 
 def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents: Mapping[str, DataFrame], null_fk: str = "drop") -> Load:
-    """Lazy but for the gates, which run one aggregate each."""
+    """Gates run one aggregate each; the rows that get in are written once, since the upsert reads them several times."""
     spark = staged.sparkSession
     names = list(spec.columns)
     rows = rules.drop_empty(staged, names)
@@ -88,13 +89,13 @@ def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents:
         good = dedup.keep_one(good, key)
     elif spec.dedup == "last":
         good = dedup.keep_last(good, key, SCAN_ORDER)
-    else:
+    for col in spec.normalise:
+        good = good.where(F.col(col).isNotNull())
+    good = settle(good.select(*names), f"load-{spec.name}")
+    if spec.dedup == "refuse":
         repeats = dedup.duplicate_keys(good, spec.key).agg(F.count(F.lit(1))).first()[0]
         if repeats:
             raise rules.GateError(f"{spec.name}: key repeated in one batch", {", ".join(spec.key): repeats})
-    for col in spec.normalise:
-        good = good.where(F.col(col).isNotNull())
-    good = good.select(*names)
 
     if current is None:
         current = spark.createDataFrame([], typed_schema(spec))
@@ -104,9 +105,9 @@ def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents:
 
 
 def load_file(spark: SparkSession, name: str, path: str, current: DataFrame | None = None, parents: Mapping[str, DataFrame] | None = None, **kwargs) -> Load:
-    """Load the file of a known table."""
+    """Load the file of a known table; the text is parsed once into a staging table."""
     spec = TABLES[name]
-    return load(spec, stage(spark, spec, path), current, parents or {}, **kwargs)
+    return load(spec, settle(stage(spark, spec, path), f"stage-{name}"), current, parents or {}, **kwargs)
 
 
 # Parents before children.

@@ -3,7 +3,8 @@
 Every change carries a batch number. A step that already ran for a batch is skipped or
 replaces its own files, so a batch may be run again after a failure at any point.
 
-    tables/          dimensions, bridge and pending plays, versioned (`Snapshots`)
+    tables/          dimensions, compacted bridge and pending plays, versioned (`Snapshots`)
+    bridge_changes/  batch_id=<n>/                 totals of one batch per player and game
     gaming/          batch_id=<n>/full_date=<d>/   one row per play
     transactions/    batch_id=<n>/full_date=<d>/
     daily_summary/   full_date=<d>/                only touched dates are rewritten
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import dimensions, facts, merge, scd2, summaries
+from tallyhouse.session import settle
 from tallyhouse.sources import run_log
 from tallyhouse.sources.tables import Snapshots, append_batch, read_table
 
@@ -30,6 +32,11 @@ def _flagged(df: DataFrame) -> DataFrame:
     return df.withColumn("is_current", F.col("is_current").cast("boolean"))
 
 
+def _dates(df: DataFrame) -> list:
+    """Calendar dates of a batch: as literals they prune partitions, and there are only so many days."""
+    return [row["full_date"] for row in df.select("full_date").distinct().collect()]
+
+
 class History:
     """A type-2 dimension of which a batch rewrites only the open versions.
 
@@ -59,7 +66,7 @@ class History:
             extra = {at, *ties} if isinstance(at, str) else set(ties)
             attrs = [c for c in batch.columns if c not in extra]
             now = scd2.init(batch.select(*attrs), F.lit(None)).where(F.lit(False))
-        merged = scd2.merge(now, batch, key, tracked, at, ties, width=width)
+        merged = scd2.merge(now, settle(batch, "states"), key, tracked, at, ties, width=width)
         self.snapshots.write(self.name, merged, batch_id, ["is_current"])
 
 
@@ -124,6 +131,7 @@ class Warehouse:
         Plays of a player or game that has no dimension row yet wait in the table
         `pending` and are tried again with the next batch.
         """
+        plays = settle(plays, "plays")
         waiting = self.table("pending")
         done = self.tables.version("pending") >= batch_id
         offered = plays if waiting is None or done else plays.unionByName(waiting.select(*plays.columns))
@@ -144,16 +152,11 @@ class Warehouse:
                 src.get("login_history"),
                 session=session,
             )
-            before = self.stored("gaming", batch_id)
-            # The date is part of the key, so only the touched dates of the fact are read.
-            new = built if before is None else merge.append_new(before, built, FACT_KEY)
-            append_batch(new, f"{self.root}/gaming", batch_id, ["full_date"])
-            return self._batch("gaming", batch_id).count()
+            return self._append_fact("gaming", built, FACT_KEY, batch_id)
 
         def write_bridge() -> int:
-            delta = summaries.bridge(self._batch("gaming", batch_id))
-            old = self.table("bridge_game_player")
-            return self._put("bridge_game_player", delta if old is None else merge.accumulate(old, delta, summaries.BRIDGE_KEY, summaries.BRIDGE_FOLDS), batch_id)
+            append_batch(summaries.bridge(self._batch("gaming", batch_id)), f"{self.root}/bridge_changes", batch_id)
+            return self._batch("bridge_changes", batch_id).count()
 
         def write_pending() -> int:
             unknown = offered.join(known_players, "player_email", "left_anti")
@@ -169,25 +172,42 @@ class Warehouse:
         self._step("daily_summary", lambda: self.refresh_days(batch_id))
         self._step("pending", write_pending)
 
+    def _append_fact(self, name: str, built: DataFrame, key: Sequence[str], batch_id: int) -> int:
+        """Append the rows that earlier batches lack. The date is in the key, so only touched dates are looked at."""
+        before = self.stored(name, batch_id)
+        if before is not None:
+            built = settle(built, f"batch-{name}")
+            built = merge.append_new(before.where(F.col("full_date").isin(_dates(built))), built, key)
+        append_batch(built, f"{self.root}/{name}", batch_id, ["full_date"])
+        return self._batch(name, batch_id).count()
+
     def _batch(self, name: str, batch_id: int) -> DataFrame:
         return self.stored(name).where(F.col("batch_id") == batch_id).drop("batch_id")
 
     def refresh_days(self, batch_id: int) -> int:
         """Compute the summary of the dates in the batch again and replace just these dates."""
-        fact = self.stored("gaming")
-        days = self._batch("gaming", batch_id).select("full_date").distinct()
-        fresh = summaries.daily_summary(fact.join(days, "full_date", "left_semi"))
+        days = _dates(self._batch("gaming", batch_id))
+        if not days:
+            return 0
+        fresh = summaries.daily_summary(self.stored("gaming").where(F.col("full_date").isin(days)))
         path = f"{self.root}/daily_summary"
         fresh.hint("rebalance", "full_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("full_date").parquet(path)
-        return days.count()
+        return len(days)
+
+    def bridge(self) -> DataFrame:
+        """Totals per player and game: the compacted totals and the changes of later batches."""
+        changes = self.stored("bridge_changes").where(F.col("batch_id") > self.tables.version("bridge_game_player")).drop("batch_id")
+        base = self.table("bridge_game_player")
+        return merge.accumulate(changes if base is None else base, changes if base is not None else changes.limit(0), summaries.BRIDGE_KEY, summaries.BRIDGE_FOLDS)
+
+    def compact_bridge(self, batch_id: int) -> None:
+        """Fold the changes up to the last batch, which is `batch_id`, into the stored totals."""
+        self._put("bridge_game_player", self.bridge(), batch_id)
 
     def add_transactions(self, transactions: DataFrame, src: Mapping[str, DataFrame], batch_id: int) -> None:
         def write() -> int:
             built = facts.txn_fact(transactions, self.players.open_rows(), src["table_game"], src["staff_assigned_tables"], self.staff.open_rows())
-            before = self.stored("transactions", batch_id)
-            new = built if before is None else merge.append_new(before, built, ["full_date", "transaction_code"])
-            append_batch(new, f"{self.root}/transactions", batch_id, ["full_date"])
-            return self._batch("transactions", batch_id).count()
+            return self._append_fact("transactions", built, ["full_date", "transaction_code"], batch_id)
 
         self._step("fact_financial_transactions", write)
 

@@ -44,26 +44,29 @@ def test_batches_that_run_again(spark, rows):
     house.add_plays(second, src, 1)
     fact = house.stored("gaming")
     assert rows(fact, "player_key", "play_time") == [("p1", at(1)), ("p1", at(1, 5)), ("p1", at(2)), ("p2", at(1))]
+    assert rows(house.bridge()) == rows(summaries.bridge(fact))
+    house.compact_bridge(1)
+    assert rows(house.bridge()) == rows(summaries.bridge(fact))
     assert rows(house.table("bridge_game_player")) == rows(summaries.bridge(fact))
     whole = summaries.daily_summary(fact)
     assert rows(house.stored("daily_summary").select(*whole.columns)) == rows(whole)
 
 
-def test_failure_between_fact_and_bridge(spark, rows, monkeypatch):
+def test_failure_between_fact_and_summary(spark, rows, monkeypatch):
     house = Warehouse(spark, scratch(spark, "failed"))
     src = sources(spark)
     house.load_dimensions(src, F.lit("2024-01-01").cast("timestamp_ntz"), 0)
     batch = plays(spark, [("p1", "g1", at(1), 10, 5), ("zz", "g1", at(1), 1, 1)])
-    real = house._put
-    monkeypatch.setattr(house, "_put", lambda name, df, n: 1 / 0)
+    real = house.refresh_days
+    monkeypatch.setattr(house, "refresh_days", lambda n: 1 / 0)
     try:
         house.add_plays(batch, src, 0)
     except ZeroDivisionError:
         pass
-    monkeypatch.setattr(house, "_put", real)
+    monkeypatch.setattr(house, "refresh_days", real)
     house.add_plays(batch, src, 0)
     assert house.stored("gaming").count() == 1
-    assert rows(house.table("bridge_game_player"), "total_plays") == [(1,)]
+    assert rows(house.bridge(), "total_plays") == [(1,)]
     assert rows(house.table("pending"), "player_email") == [("zz",)]
     assert house.log().where("status = 'ERROR'").count() == 1
 

@@ -58,4 +58,4 @@ def test_growth_over_gaps(spark, rows):
 def test_top_per_group_and_share(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 4)], "g string, v int")
     assert rows(windows.top_per_group(df, ["g"], [F.desc("v")], 2)) == [("a", 2, 2), ("a", 3, 1), ("b", 4, 1)]
-    assert rows(windows.share_of_total(df, "v"), "v", "share") == [(1, 0.1), (2, 0.2), (3, 0.3), (4, 0.4)]
+    assert rows(windows.share_of_total(df, {"v": "share"}), "v", "share") == [(1, 0.1), (2, 0.2), (3, 0.3), (4, 0.4)]
