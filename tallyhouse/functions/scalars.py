@@ -174,6 +174,15 @@ def safe_cast(col: Column | str, kind: str) -> Column:
     return F.when(text.rlike(P.PATTERNS[kind]), text.try_cast(CASTS[kind]))
 
 
+def initcap(col: Column | str) -> Column:
+    """Upper case after every character that is no letter or digit, lower case elsewhere.
+
+    Spark's own function starts a word at blanks only ("Slot-machine").
+    """
+    words = F.split(F.lower(_c(col)), r"(?<=[^\p{L}\p{N}])")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, 2, 1 << 30))), "")
+
+
 def truncate(col: Column | str, n: int) -> Column:
     return F.left(_c(col), F.lit(n))
 

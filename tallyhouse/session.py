@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # SQL settings the library is designed for; every one may be set at run time.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # An overflowing sum or a bad cast is an error, never a wrong value.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A hot key of an inner, left, semi or anti join is split into several tasks,

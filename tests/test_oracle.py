@@ -16,7 +16,11 @@ def con():
     return compare.duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+# Whole warehouse cycles take half a minute each; tests/test_streams.py covers them on small data.
+SLOW = ("stream_daily_summary", "stream_bridge", "stream_late_dimension", "stream_txn_fact", "stream_scd2_check", "initial_load", "incremental_cycle")
+
+
+@pytest.mark.parametrize("name", [n for n in contract.queries() if os.environ.get("TEST_SLOW") or n not in SLOW])
 def test_query_equals_sql(spark, con, name):
     ok, note = compare.compare(spark, con, name, SF_DIR)
     assert ok, note

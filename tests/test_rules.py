@@ -98,6 +98,11 @@ def test_tiers_bands_departments_devices(spark, rows):
     assert [r[0] for r in devices.select(S.device_class("d")).collect()] == ["Mobile", "Tablet", "Desktop", "Desktop"]
 
 
+def test_initcap(spark):
+    df = spark.createDataFrame([("slot-MACHINE x2y o'neil",), ("",), (None,), (" élan",)], "t string")
+    assert [r[0] for r in df.select(S.initcap("t")).collect()] == ["Slot-Machine X2y O'Neil", "", None, " Élan"]
+
+
 def test_dates(spark):
     sunday = spark.range(1).select(F.lit("2024-01-07").cast("date").alias("d"))
     row = sunday.select(S.day_of_week("d"), S.is_weekend("d"), S.day_name("d"), S.day_name("d", pad=True), S.month_name("d", pad=True)).first()
