@@ -36,6 +36,7 @@ def merge(
     ties: Sequence[str] = (),
     null_safe: bool = True,
     width: str | None = None,
+    hot_rows: int = windows.HOT_ROWS,
 ) -> DataFrame:
     """The dimension after `incoming`, which may hold several states of one key.
 
@@ -44,8 +45,8 @@ def merge(
     nothing, so other attributes of the open version stay as they were. A state older
     than the open version counts from that version's start. `null_safe=False` compares
     with plain `!=`, where NULL is never a change; it takes the last state per key.
-    `width` ("month", "hour") cuts the history of a hot key into pieces, see
-    `windows.neighbours`.
+    `width` ("month", "hour") cuts the history of a key with more than `hot_rows` states
+    into pieces, see `windows.neighbours`.
 
     Closed versions and keys without news are passed on unshuffled when the batch is
     small enough to be broadcast.
@@ -75,16 +76,16 @@ def merge(
     if width:
         bucket = F.when(F.col("_new") == 0, F.lit(-(1 << 62))).otherwise(F.unix_micros(F.date_trunc(width, F.col("_at").cast("timestamp"))))
     sequence = ["_new", "_at", *order]
-    seen = windows.neighbours(states, [key], sequence, lag=[*tracked, "_one"], bucket=bucket)
+    seen = windows.neighbours(states, [key], sequence, lag=[*tracked, "_one"], bucket=bucket, hot_rows=hot_rows)
     changed = F.col("prev__one").isNull()
     for c in tracked:
         differs = ~F.col(c).eqNullSafe(F.col(f"prev_{c}")) if null_safe else F.coalesce(F.col(c) != F.col(f"prev_{c}"), F.lit(False))
         changed = changed | differs
     versions = seen.where(changed).select(*attrs, "_at", *order, "_new", "_step")
     if width:
-        # Cutting reads its input twice; the changes are few, so they are written once here.
+        # Finding and cutting hot keys reads the input again; the changes are few, so they are written once here.
         versions = settle(versions, "versions")
-    dated = windows.neighbours(versions, [key], sequence, lead=["_at"], running=["_step"], bucket=bucket)
+    dated = windows.neighbours(versions, [key], sequence, lead=["_at"], running=["_step"], bucket=bucket, hot_rows=hot_rows)
     fresh = dated.select(
         *attrs,
         F.col("_at").alias("start_date"),
@@ -96,11 +97,13 @@ def merge(
     return closed.unionByName(untouched).unionByName(fresh).select(*dim.columns)
 
 
-def build(incoming: DataFrame, key: str, tracked: Sequence[str], at: str, ties: Sequence[str] = (), width: str | None = None) -> DataFrame:
+def build(
+    incoming: DataFrame, key: str, tracked: Sequence[str], at: str, ties: Sequence[str] = (), width: str | None = None, hot_rows: int = windows.HOT_ROWS
+) -> DataFrame:
     """History from a change feed alone."""
     attrs = [c for c in incoming.columns if c != at and c not in ties]
     empty = init(incoming.select(*attrs), F.lit(None)).where(F.lit(False))
-    return merge(empty, incoming, key, tracked, at, ties, width=width)
+    return merge(empty, incoming, key, tracked, at, ties, width=width, hot_rows=hot_rows)
 
 
 def current(dim: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ from tallyhouse.functions import scalars as S
 from tallyhouse.session import settle
 
 
+# A window over so many rows of one key still sorts within a task's memory.
+HOT_ROWS = 1_000_000
+
+
 def neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -20,16 +24,39 @@ def neighbours(
     lead: Sequence[str] = (),
     running: Sequence[str] = (),
     bucket: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds `prev_<c>`, `next_<c>` and `run_<c>` (sum up to this row) per key in `order`.
 
-    With `bucket`, which must never fall as `order` rises (the hour of the time, say),
-    one task holds only one bucket of a key. What has to cross bucket borders is the
-    first row, the last row and the sum of each bucket; these are aggregated map-side
-    and handed over on one row per key and bucket.
+    A key with more than `hot_rows` rows is cut by `bucket`, which must never fall as
+    `order` rises (the hour of the time, say), so that no task holds all of it; the
+    others, and all keys without a bucket, are one window each. Counting the keys is a
+    job of its own that reads only the key columns.
     """
+    plain = (list(keys), order, lag, lead, running)
     if bucket is None:
-        return _within(df, list(keys), order, lag, lead, running)
+        return _within(df, *plain)
+    if hot_rows <= 0:
+        return _cut(df, bucket, *plain)
+    counted = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = settle(counted.where(F.col("_n") > hot_rows).drop("_n"), "hot-keys")
+    if hot.isEmpty():
+        return _within(df, *plain)
+    same = _same_keys(keys)
+    calm = _within(df.join(hot, same, "left_anti"), *plain)
+    return calm.unionByName(_cut(df.join(hot, same, "left_semi"), bucket, *plain))
+
+
+def _same_keys(keys: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return same
+
+
+def _cut(df: DataFrame, bucket: Column, keys, order, lag, lead, running) -> DataFrame:
+    """Windows per key and bucket. What crosses bucket borders is the first row, the last
+    row and the sum of each bucket, handed over on one row per key and bucket."""
     cut = df.withColumn("_b", bucket)
     at, lead_column = F.struct(*order), list(order)[:1]
     aggs = []
@@ -51,9 +78,7 @@ def neighbours(
     if lead:
         carried.append(F.lead("_first").over(across).alias("_first"))
     carried += [F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_sum_{c}") for c in running]
-    same = F.col("_b") == F.col("_kb")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    same = (F.col("_b") == F.col("_kb")) & _same_keys(keys)
     joined = _within(cut.join(edges.select(*carried), same, "left"), [*keys, "_b"], order, lag, lead, running)
     out = [F.col(c) for c in df.columns]
     edge = Window.partitionBy(*keys, "_b").orderBy(*order)
@@ -78,10 +103,10 @@ def _within(df, keys, order, lag, lead, running) -> DataFrame:
     return df.withColumns(new)
 
 
-def minutes_since_previous(df: DataFrame, keys: Sequence[str], at: str, order: Sequence[str] = (), out: str = "session_duration_minutes", width: str | None = "hour") -> DataFrame:
+def minutes_since_previous(df: DataFrame, keys: Sequence[str], at: str, order: Sequence[str] = (), out: str = "session_duration_minutes", width: str | None = "hour", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Minutes since the previous event of the key, NULL for the first; ties by `order`."""
     bucket = F.date_trunc(width, F.col(at).cast("timestamp")) if width else None
-    stepped = neighbours(df, keys, [at, *order], lag=[at], bucket=bucket)
+    stepped = neighbours(df, keys, [at, *order], lag=[at], bucket=bucket, hot_rows=hot_rows)
     return stepped.withColumn(out, S.minutes_between(at, f"prev_{at}")).drop(f"prev_{at}")
 
 

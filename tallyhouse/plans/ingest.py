@@ -49,7 +49,8 @@ def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents:
     """Gates run one aggregate each; the rows that get in are written once, since the upsert reads them several times."""
     spark = staged.sparkSession
     names = list(spec.columns)
-    rows = rules.drop_empty(staged, names)
+    # Elsewhere a row without any value breaks a rule like any other.
+    rows = rules.drop_empty(staged, names) if spec.force_null else staged
     checks = row_rules(spec)
     bad = rules.any_broken(checks)
     if spec.stop_on_null:
@@ -70,13 +71,14 @@ def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents:
     if spec.limits:
         good = rules.truncate_cols(good, spec.limits)
 
-    lost = {}
+    # Unknown keys are reported from all valid rows, not only from those the other keys left in.
+    lost, valid = {}, good
     for col, (parent, parent_col) in spec.foreign.items():
         if col in spec.missing:
             # Only rows that are still in: an unknown game takes its row out before the place is asked for.
             referential.fk_gate(good, parents[parent], col, parent_col, f"{spec.name}: unknown {col}")
         else:
-            lost[col] = referential.orphans(good, parents[parent], col, parent_col)
+            lost[col] = referential.orphans(valid, parents[parent], col, parent_col)
             good = referential.fk_keep(good, parents[parent], col, parent_col, "keep" if null_fk == "keep" and col not in spec.required else "drop")
 
     key = [F.lower(F.trim(F.col(k))) for k in spec.key] if spec.key_folded else list(spec.key)

@@ -177,6 +177,18 @@ def test_gates_stop(spark, loads):
         ingest.load(TABLES["reward"], staged(spark, "reward", [("R1", "a", "1", ""), ("R1", "b", "1", "")]), None, parents)
 
 
+def test_empty_row_breaks_a_gate(spark, loads):
+    with pytest.raises(GateError):
+        ingest.load(TABLES["reward"], staged(spark, "reward", [(None, None, None, None)]), None, {})
+
+
+def test_unknown_keys_are_all_reported(spark, loads, rows):
+    parents = {n: load.rows for n, load in loads.items()}
+    data = staged(spark, "transaction", [("X1", "zz@x", "1", "Bet", "2024-01-01 00:00:00", "gX")])
+    load = ingest.load(TABLES["transaction"], data, None, parents)
+    assert rows(load.orphans["game_name"]) == [("gX", 1)] and rows(load.orphans["player_email"]) == [("zz@x", 1)]
+
+
 def test_transaction_without_game_may_be_kept(spark, loads, rows):
     parents = {n: load.rows for n, load in loads.items()}
     data = staged(spark, "transaction", [("X1", "a@x", "1", "Deposit", "2024-01-01 00:00:00", None)])

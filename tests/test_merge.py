@@ -75,7 +75,7 @@ def test_scd2_several_states_of_one_key(spark, rows):
     dim = scd2.init(state(spark, [("a", "S", "n1", ts(1)), ("b", "S", "n1", ts(1))]), "at")
     news = state(spark, [("a", "S", "n2", ts(2)), ("a", "G", "n3", ts(3)), ("a", "G", "n4", ts(4)), ("a", "S", "n5", ts(5)), ("c", "B", "n6", ts(2))])
     for width in (None, "day"):
-        got = scd2.merge(dim, news, "k", ["tier"], "at", width=width)
+        got = scd2.merge(dim, news, "k", ["tier"], "at", width=width, hot_rows=0)
         want = [
             ("a", "G", "n3", ts(3), ts(5), False, 2),
             ("a", "S", "n1", ts(1), ts(3), False, 1),
@@ -87,7 +87,7 @@ def test_scd2_several_states_of_one_key(spark, rows):
         assert not scd2.check(got, "k").where("breaches > 0").count()
         # The same news again changes nothing but what their order implies for an open row.
         last = state(spark, [("a", "S", "n5", ts(5)), ("c", "B", "x", ts(9))])
-        assert rows(scd2.merge(got, last, "k", ["tier"], "at", width=width)) == want
+        assert rows(scd2.merge(got, last, "k", ["tier"], "at", width=width, hot_rows=1)) == want
 
 
 def test_scd2_null_comparison(spark, rows):

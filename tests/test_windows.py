@@ -22,8 +22,11 @@ def test_cut_windows_equal_whole_ones(spark, rows):
     args = {"lag": ["at", "v"], "lead": ["id"], "running": ["v"]}
     whole = windows.neighbours(df, ["k"], ["at", "id"], **args)
     for width in ("hour", "day"):
-        cut = windows.neighbours(df, ["k"], ["at", "id"], bucket=F.date_trunc(width, F.col("at").cast("timestamp")), **args)
-        assert rows(cut.select(*whole.columns)) == rows(whole)
+        bucket = F.date_trunc(width, F.col("at").cast("timestamp"))
+        # All keys cut, only the hot one cut, none cut.
+        for hot_rows in (0, 20, 1000):
+            cut = windows.neighbours(df, ["k"], ["at", "id"], bucket=bucket, hot_rows=hot_rows, **args)
+            assert rows(cut.select(*whole.columns)) == rows(whole)
 
 
 def test_minutes_round_half_up(spark, rows):
