@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe
+from tallyhouse.llm import bpe, langid, quality, toxicity
+from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,7 +22,15 @@ def query(function: Query) -> Query:
     return function
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it; installed or shipped packages are found anyway."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,3 +44,33 @@ def byte_vocabulary() -> str:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; digests of ids and of the decoded text."""
     return bpe.digests(table(spark, sf_dir, "documents"), byte_vocabulary())
+
+
+def _judged(scored: DataFrame, folds: int, held: int) -> DataFrame:
+    """The columns that both label scores return; 0.3 and above is label 1."""
+    return scored.withColumn("held_out", F.coalesce(fold("doc_id", folds) == held, F.lit(False))).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every document; rows of fold 2 of 4 are never learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(fold("doc_id", 4) != 2))
+    return _judged(toxicity.scores(docs, model), 4, 2).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document; rows of fold 0 of 5 are never learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(fold("doc_id", 5) != 0))
+    return _judged(quality.scores(docs, model), 5, 0).select("doc_id", "held_out", "score", "predicted", "rank_score")
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; rows of fold 2 of 4 are never learned from."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, docs.where(fold("doc_id", 4) != 2))
+    found = langid.predict(docs, model).withColumn("held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")

@@ -128,11 +128,30 @@ def rows_of(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
-def distinct_per_row(rows: np.ndarray, values: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct `values` (uint64) of each row and where each row's values begin."""
-    order = np.lexsort((values, rows)) if n_rows > 1 else np.argsort(values)
-    r, v = rows[order], values[order]
-    new = np.ones(len(v), bool)
-    new[1:] = (v[1:] != v[:-1]) | (r[1:] != r[:-1])
-    r, v = r[new], v[new]
-    return v, np.searchsorted(r, np.arange(n_rows + 1))
+def distinct_per_row(bounds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values of each row, from where each row's values begin; sorts `values` in place."""
+    at = bounds.tolist()
+    for lo, hi in zip(at[:-1], at[1:], strict=True):
+        if hi - lo > 1:
+            values[lo:hi].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[bounds[:-1][bounds[:-1] < len(values)]] = True
+    return values[new], np.concatenate(([0], np.cumsum(new)))[bounds]
+
+
+def distinct_packed(rows: np.ndarray, values: np.ndarray, bits: int, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """As above for values below 2**bits, by one sort over row and value."""
+    key = rows.astype(np.int64) << bits | values.astype(np.int64)
+    key.sort()
+    key = key[np.r_[True, key[1:] != key[:-1]]] if len(key) else key
+    return key & ((1 << bits) - 1), np.searchsorted(key >> bits, np.arange(n_rows + 1))
+
+
+def sum_rows(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums over each row's items, 0 for none; `values` may have a second dimension."""
+    out = np.zeros((len(bounds) - 1, *values.shape[1:]), np.float64)
+    held = np.flatnonzero(np.diff(bounds))
+    if len(held):
+        out[held] = np.add.reduceat(values, bounds[:-1][held], axis=0)
+    return out
