@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, langid, quality, toxicity
+from tallyhouse.llm import bpe, langid, pii, quality, toxicity
 from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs, docs.where(fold("doc_id", 4) != 2))
     found = langid.predict(docs, model).withColumn("held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document. The counts and the digest are of the base spans; `spans` has the disguised ones too."""
+    return pii.digests(table(spark, sf_dir, "documents"))
