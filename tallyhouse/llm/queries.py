@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, langid, pii, quality, toxicity
+from tallyhouse.llm import bpe, langid, pii, quality, toxicity, winnowing
 from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document. The counts and the digest are of the base spans; `spans` has the disguised ones too."""
     return pii.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every document and of its edited text."""
+    return winnowing.against_next(table(spark, sf_dir, "documents"))
