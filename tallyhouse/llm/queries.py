@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, langid, pii, quality, toxicity, winnowing
+from tallyhouse.llm import bpe, langid, pii, quality, secret_scan, toxicity, winnowing
 from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every document and of its edited text."""
     return winnowing.against_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; a document is a repository, its source the owner. Counts and digest are of the base spans."""
+    return secret_scan.scan(table(spark, sf_dir, "documents")).drop("text_key", "live_spans")
