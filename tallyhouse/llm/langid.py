@@ -108,8 +108,11 @@ def fit(rows: list[tuple], epochs: int = 12, batch: int = 128, rate: float = 0.3
             gradient = np.stack([np.bincount(used, each[:, k], 1 << BITS) for k in range(bits)], 1) if bits else weights
             step.step(weights, gradient + ridge * weights)
             step_bias.step(bias, error.sum(0))
-    raw = sum_rows(weights[ids] * values[:, None], bounds) + bias
-    wrong = ((raw > 0) != (target > 0.5)).mean(0)
+    wrong = np.zeros(bits)
+    for lo in range(0, len(rows), batch):
+        at, cut = take(bounds, np.arange(lo, min(lo + batch, len(rows))))
+        raw = sum_rows(weights[ids[at]] * values[at][:, None], cut) + bias
+        wrong += ((raw > 0) != (target[lo : lo + batch] > 0.5)).sum(0) / len(rows)
     trust = np.maximum(0.01, 1 - 2 * wrong)
     return Model(languages, code, weights.astype(np.float32), bias, trust / trust.sum() if bits else trust, 100.0)
 

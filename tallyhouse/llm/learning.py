@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.text import row_blocks, utf8
 
-# Of a block of texts (bytes and row offsets): the features of every row (int32 ids, float32 values, where each row's begin).
-Features = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+# Of a block of texts (bytes and row offsets): the features of every row (int32 ids, float32 values or None for all 1, where each
+# row's begin).
+Features = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray | None, np.ndarray]]
+
+SALTS = 64
 
 
 def fold(id: str, n: int) -> Column:
@@ -23,15 +26,17 @@ def fold(id: str, n: int) -> Column:
 def sample(rows: DataFrame, label: str, limit: int, id: str = "doc_id") -> DataFrame:
     """At most `limit` rows (id, label), chosen by a hash of the id, as many of each label as there are.
 
-    Rows without id or label are left out. Spark keeps the first rows of each label per task before the shuffle.
+    Rows without id or label are left out. Labels take turns; a label is dealt over `SALTS` tasks, so that a frequent one
+    doesn't fill one, and Spark keeps the first rows of each per task before the shuffle.
     """
     known = rows.where(F.col(id).isNotNull() & F.col(label).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(label).alias("label"))
-    turn = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    return known.withColumn("turn", turn).where(F.col("turn") <= limit).orderBy("turn", F.xxhash64("id"), "id", "label").limit(limit).select("id", "label")
+    salted = known.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    turn = F.row_number().over(Window.partitionBy("label", "salt").orderBy(F.xxhash64("id"), "id"))
+    return salted.withColumn("turn", turn).where(F.col("turn") <= limit).orderBy("turn", "salt", F.xxhash64("id"), "id", "label").limit(limit).select("id", "label")
 
 
 def collect_features(docs: DataFrame, chosen: DataFrame, features: Features, id: str = "doc_id", text: str = "text") -> list[tuple]:
-    """(label, ids, values) of the chosen rows; `chosen` is bounded by `sample`, so it is broadcast and collected."""
+    """(label, ids, values) of the chosen rows, values empty for all 1; `chosen` is bounded by `sample`, so it is broadcast and collected."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -39,6 +44,7 @@ def collect_features(docs: DataFrame, chosen: DataFrame, features: Features, id:
             for lo, hi in row_blocks(offsets):
                 ids, values, bounds = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 cut = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+                values = np.zeros(0) if values is None else values
                 packed = [pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (ids.astype(np.int32), values.astype(np.float32))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), *packed], ["label", "id", "ids", "vals"])
 

@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.learning import Adagrad, collect_features, sample, sigmoid, stack, take
+from tallyhouse.llm.learning import Adagrad, collect_features, sample, sigmoid, take
 from tallyhouse.llm.text import BETWEEN, LOWER, distinct_packed, hash_spans, mix, row_blocks, rows_of, spans, sum_rows, utf8
 
 BITS = 18
 PREFIXES = (3, 4, 5)
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashed terms of every row, each with value 1."""
+def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, None, np.ndarray]:
+    """Distinct hashed terms of every row."""
     low = LOWER[data]
     starts, ends, bounds = spans(low, offsets, BETWEEN)
     rows = rows_of(bounds)
@@ -36,7 +36,7 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     hashes += [hash_spans(low, starts, np.minimum(ends, starts + n)) ^ np.uint64(n << 56) for n in PREFIXES]
     dims = mix(np.concatenate(hashes)) >> np.uint64(64 - BITS)
     ids, at = distinct_packed(np.concatenate([rows] * len(hashes)), dims, BITS, len(offsets) - 1)
-    return ids.astype(np.int32), np.ones(len(ids), np.float32), at
+    return ids.astype(np.int32), None, at
 
 
 @dataclass
@@ -46,24 +46,24 @@ class Model:
     table: np.ndarray
 
 
-def fit(rows: list[tuple], rank: int = 4, epochs: int = 8, batch: int = 256, rate: float = 0.05, ridge: float = 1e-5, min_docs: int = 5, min_chi2: float = 30.0, common: float = 0.2, seed: int = 7) -> Model:
-    """Logistic loss by Adagrad over mini-batches; rows are (label, term ids, values)."""
+def fit(rows: list[tuple], rank: int = 4, epochs: int = 8, batch: int = 256, rate: float = 0.1, ridge: float = 1e-5, min_docs: int = 5, min_chi2: float = 20.0, common: float = 0.2, seed: int = 7) -> Model:
+    """Logistic loss by Adagrad over mini-batches; rows are (label, term ids, _)."""
     table = np.zeros((1 << BITS, 1 + rank), np.float32)
     if not rows:
         return Model(-40.0, table)
-    ids, _, bounds = stack(rows)
     y = np.array([float(r[0]) for r in rows])
-    seen = np.bincount(ids, minlength=1 << BITS)
-    among = np.bincount(ids, np.repeat(y, np.diff(bounds)), 1 << BITS)
+    seen, among = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for label, ids, _ in rows:  # a row has a term once
+        seen[ids] += 1
+        among[ids] += label
     mean = seen * y.mean()
     spread = seen * (1 - seen / len(y)) * y.mean() * (1 - y.mean())
     chi2 = np.maximum(np.abs(among - mean) - 0.5, 0) ** 2 / np.maximum(spread, 1e-9)
     kept = np.flatnonzero((seen >= min_docs) & ((chi2 >= min_chi2) | (seen >= common * len(y))))
     place = np.full(1 << BITS, -1)
     place[kept] = np.arange(len(kept))
-    local = place[ids]
-    use = local >= 0
-    bounds, local = np.concatenate(([0], np.cumsum(use)))[bounds], local[use]
+    known = [p[p >= 0] for p in (place[r[1]] for r in rows)]
+    local, bounds = np.concatenate(known), np.concatenate(([0], np.cumsum([len(k) for k in known])))
     rng = np.random.default_rng(seed)
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     weights = np.zeros((len(kept), 1 + rank))
