@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, langid, pii, quality, secret_scan, toxicity, winnowing
+from tallyhouse.llm import bpe, jaccard_join, langid, pii, quality, secret_scan, toxicity, winnowing
 from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,9 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document; a document is a repository, its source the owner. Counts and digest are of the base spans."""
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("text_key", "live_spans")
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies that every document is in."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
