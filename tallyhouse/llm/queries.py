@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, jaccard_join, langid, pii, quality, secret_scan, toxicity, winnowing
+from tallyhouse.llm import bpe, jaccard_join, langid, licenses, pii, quality, secret_scan, toxicity, winnowing
 from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,9 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near copies that every document is in."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
