@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import BETWEEN, LOWER, hash_spans, row_blocks, rows_of, spans, sum_rows, utf8
+from tallyhouse.llm.text import BETWEEN, fold, hash_spans, row_blocks, rows_of, spans, sum_rows, utf8
 from tallyhouse.session import settle
 
 PART = 64
@@ -40,8 +40,8 @@ _CHUNK = 64
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of every row, lower-cased in ASCII, and where each row's begin."""
-    low = LOWER[data]
+    """Hashes of the words of every row, lower-cased in Latin-1, and where each row's begin."""
+    low = fold(data)
     starts, ends, bounds = spans(low, offsets, BETWEEN)
     return hash_spans(low, starts, ends), bounds
 

@@ -44,6 +44,15 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 _UP, _DOWN = _powers(_ODD, HASHED + 1), _powers(_INVERSE, HASHED + 1)
 
 
+def fold(data: np.ndarray) -> np.ndarray:
+    """ASCII and Latin-1 letters in lower case; every other character as it is."""
+    low = LOWER[data]
+    accented = np.flatnonzero(data[:-1] == 0xC3) + 1
+    upper = accented[(data[accented] <= 0x9E) & (data[accented] != 0x97)]
+    low[upper] += 0x20
+    return low
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column."""
     if column.null_count:

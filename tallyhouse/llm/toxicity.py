@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
 score(x) = sigmoid(bias + sum_i w_i + sum_{i<j} <v_i, v_j>) over the hashed terms i present in a text: its words, lower-cased
-in ASCII, and their first three to five bytes. The pairwise part is computed as half of (|sum v|^2 - sum |v|^2), so its cost is
+in Latin-1, and their first three to five bytes. The pairwise part is computed as half of (|sum v|^2 - sum |v|^2), so its cost is
 linear in the terms. A pair such as an insult next to a group's name gets a weight that neither term has.
 
 It is fitted on the driver on at most `max_train` labelled rows, chosen by a hash of the id. Terms have a weight if they go with
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.learning import Adagrad, collect_features, sample, sigmoid, take
-from tallyhouse.llm.text import BETWEEN, LOWER, distinct_packed, hash_spans, mix, row_blocks, rows_of, spans, sum_rows, utf8
+from tallyhouse.llm.text import BETWEEN, distinct_packed, fold, hash_spans, mix, row_blocks, rows_of, spans, sum_rows, utf8
 
 BITS = 18
 PREFIXES = (3, 4, 5)
@@ -29,7 +29,7 @@ PREFIXES = (3, 4, 5)
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, None, np.ndarray]:
     """Distinct hashed terms of every row."""
-    low = LOWER[data]
+    low = fold(data)
     starts, ends, bounds = spans(low, offsets, BETWEEN)
     rows = rows_of(bounds)
     hashes = [hash_spans(low, starts, ends)]
