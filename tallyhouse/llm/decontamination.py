@@ -382,3 +382,8 @@ def find(
         out = out.unionByName(verify(rows, near, passages, hashes))
     best = F.max_by(F.struct("kind", "lcs", "rare_lcs", "answer_lcs", "cosine", "start", "end"), F.struct("lcs", "rare_lcs", "cosine", -F.col("start"))).alias("best")
     return out.groupBy(F.col("id").alias(id), "item_id").agg(best).select(id, "item_id", "best.*")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
+    """`docs` without the documents that hold a benchmark item; rows without id stay."""
+    return docs.join(settle(find(docs, benchmark, text, id, **options).select(id).distinct(), "contaminated"), id, "left_anti").select(*docs.columns)

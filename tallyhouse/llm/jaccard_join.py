@@ -301,3 +301,14 @@ def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 4)
     out = rows.withColumn("set", F.when(F.col("size") > 0, F.col("set"))).join(least, "set", "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id), F.col("size").alias("n_shingles"), own.alias("component_id"))
+
+
+def deduplicate(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+    """`df` with one document of each component, the one of least id; rows without id stay. Of rows that repeat an id with the
+    same text, one stays."""
+    found = settle(join(df, text, id), "jaccard-components")
+    out = df.join(found.where(F.col("component_id") != F.col(id)).select(id).distinct(), id, "left_anti").select(*df.columns)
+    # Ids are unique in most tables; only where they aren't are the texts compared.
+    if found.where(F.col(id).isNotNull()).groupBy(id).count().where("count > 1").isEmpty():
+        return out
+    return out.where(F.col(id).isNull()).unionByName(out.where(F.col(id).isNotNull()).dropDuplicates([id, text]))

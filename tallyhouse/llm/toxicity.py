@@ -118,3 +118,18 @@ def scores(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text"
 
     picked = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     return picked.mapInArrow(run, "id long, score double").withColumnRenamed("id", id)
+
+
+def reject(docs: DataFrame, model: Model, cut: float = 0.3, text: str = "text") -> DataFrame:
+    """`docs` without the rows whose score is `cut` or more; all columns stay, and no row is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(at))
+            for lo, hi in row_blocks(offsets):
+                ids, _, bounds = terms(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                yield batch.slice(lo, hi - lo).filter(pa.array(score_block(shared.value, ids, bounds) < cut))
+
+    return docs.mapInArrow(run, docs.schema)
