@@ -25,7 +25,8 @@ def descending_runs(df: DataFrame, id: str, text: str, partitions: int | None =
     total = rows.count()
     every = max(1, total // (PER_CUT * n))
     seen = sorted(float(r.id) for r in rows.where("id IS NOT NULL").where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("id").collect())
-    cuts = sorted({seen[k * len(seen) // n] for k in range(1, n)}) if seen else []
+    # One cut at least, wherever it lies.
+    cuts = sorted({seen[k * len(seen) // n] for k in range(1, n)} if seen else ()) or [0.0]
     # NULL goes below every id.
     keyed = rows.withColumn("key", F.coalesce(F.col("id").cast("double"), F.lit(-1e300)))
     keyed = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="key", outputCol="run").transform(keyed)

@@ -139,20 +139,20 @@ def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: str = "
 
 def redact(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: str = "source", repo: str = "doc_id", mask: str = "[secret]", shared_by: int = SHARED_BY) -> DataFrame:
     """`docs` with live secrets replaced by `mask`; columns and rows stay, texts without one are untouched."""
-    found = scan(docs, text, id, owner, repo, shared_by).where("n_live > 0").select(F.col(id).alias("_id"), F.col("text_key").alias("_key"), F.col("live_spans").alias("_spans"))
+    found = scan(docs, text, id, owner, repo, shared_by).where("n_live > 0").select(F.col(id).alias("id"), "text_key", F.col("live_spans").alias("spans"))
     # Equal texts of equal id have equal spans.
-    found = found.groupBy("_id", "_key").agg(F.first("_spans").alias("_spans"))
+    found = found.groupBy("id", "text_key").agg(F.first("spans").alias("spans"))
     suspect = F.coalesce(F.col(text).rlike(SUSPECT), F.lit(False))
-    hit = docs.where(suspect).withColumn("_key", F.xxhash64(text))
-    hit = hit.join(found, F.col(id).cast("long").eqNullSafe(F.col("_id")) & (hit["_key"] == found["_key"]), "left")
+    # The row travels as one column, so that its names can't clash with those used here.
+    hit = docs.where(suspect).select(F.struct(*docs.columns).alias("row"), F.col(id).cast("long").alias("own"), F.col(text).alias("body"), F.xxhash64(text).alias("own_key"))
+    hit = hit.join(found, F.expr("own <=> id AND own_key = text_key"), "left").select("row", "body", "spans")
     # Spans of one document may touch or overlap across kinds: a piece begins where the furthest span so far has ended.
-    reach = F.transform("_spans", lambda s, k: F.array_max(F.transform(F.slice("_spans", F.lit(1), k + 1), lambda x: x["end"])))
-    bounds = F.transform("_spans", lambda s, k: F.struct(F.when(k == 0, F.lit(0).cast("long")).otherwise(F.element_at("_reach", F.greatest(k, F.lit(1)))).alias("from"), s["start"].alias("to"), k.alias("k")))
-    pieces = F.transform(
-        F.filter("_bounds", lambda b: (b["k"] == 0) | (b["to"] >= b["from"])), lambda b: F.substring(F.col(text), (b["from"] + 1).cast("int"), F.greatest(b["to"] - b["from"], F.lit(0)).cast("int"))
-    )
-    rest = F.substring(F.col(text), (F.element_at("_reach", -1) + 1).cast("int"), F.lit(2**31 - 1))
-    masked = F.array_join(F.concat("_pieces", F.array(rest)), mask)
-    done = hit.withColumn("_reach", reach).withColumn("_bounds", bounds).withColumn("_pieces", pieces)
-    done = done.withColumn(text, F.when(F.col("_spans").isNotNull(), masked).otherwise(F.col(text)))
-    return docs.where(~suspect).unionByName(done.select(*docs.columns))
+    hit = hit.withColumn("reach", F.transform("spans", lambda s, k: F.array_max(F.transform(F.slice("spans", F.lit(1), k + 1), lambda x: x["end"]))))
+    begin = lambda k: F.when(k == 0, F.lit(0).cast("long")).otherwise(F.element_at("reach", F.greatest(k, F.lit(1))))
+    hit = hit.withColumn("bounds", F.transform("spans", lambda s, k: F.struct(begin(k).alias("from"), s["start"].alias("to"), k.alias("k"))))
+    kept = F.filter("bounds", lambda b: (b["k"] == 0) | (b["to"] >= b["from"]))
+    pieces = F.transform(kept, lambda b: F.substring(F.col("body"), (b["from"] + 1).cast("int"), F.greatest(b["to"] - b["from"], F.lit(0)).cast("int")))
+    rest = F.substring(F.col("body"), (F.element_at("reach", -1) + 1).cast("int"), F.lit(2**31 - 1))
+    masked = F.when(F.col("spans").isNotNull(), F.array_join(F.concat(pieces, F.array(rest)), mask)).otherwise(F.col("body"))
+    done = hit.select(*[masked.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
+    return docs.where(~suspect).unionByName(done)
