@@ -12,7 +12,7 @@ from tallyhouse.catalog.star import BRIDGE
 from tallyhouse.operators import scd2
 from tallyhouse.plans.warehouse import History, Warehouse, run_cycle
 from tallyhouse.session import scratch, settle
-from tallyhouse.sources.tables import Snapshots, read_table
+from tallyhouse.sources.tables import Store, read_table
 from tallyhouse.streaming import jobs
 
 CUTS = ("2024-01-11", "2024-01-21")
@@ -51,7 +51,7 @@ def stream_daily_summary(t):
     src = sources(t)
     house = house_with_dimensions(t, "stream-daily", src)
     jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.gaming_stream(plays, house, src, f"{house.root}/checkpoint"))
-    return house.stored("daily_summary")
+    return house.daily_summary()
 
 
 @query("stream_bridge", f"WITH {Q.EVENT_PLAYS} {BRIDGE} FROM eplays GROUP BY 1, 2")
@@ -71,9 +71,9 @@ def stream_late_dimension(t):
     at = F.lit(AS_OF).cast("timestamp_ntz")
     house.load_dimensions({**src, "player": early}, at, 0)
     jobs.in_steps(t.event_plays(), "play_time", (), lambda plays: jobs.gaming_stream(plays, house, src, f"{house.root}/checkpoint"))
-    house.load_dimensions({"player": src["player"]}, at, 1000)
-    house.add_plays(t.event_plays().where(F.lit(False)), src, 1000)
-    return house.stored("gaming").groupBy("game_name").agg(F.count(F.lit(1)).alias("plays"), F.sum("bet_amount").alias("bets"))
+    house.load_dimensions({"player": src["player"]}, at, 1)
+    house.add_plays(t.event_plays().where(F.lit(False)), src, 1)
+    return house.gaming().groupBy("game_name").agg(F.count(F.lit(1)).alias("plays"), F.sum("bet_amount").alias("bets"))
 
 
 @query(
@@ -87,7 +87,7 @@ def stream_txn_fact(t):
     house = house_with_dimensions(t, "stream-txn", src)
     rows = t.transaction().withColumn("game_name", F.lit(None).cast("string"))
     jobs.in_steps(rows, "transaction_time", CUTS, lambda stream: jobs.transaction_stream(stream, house, src, f"{house.root}/checkpoint"))
-    fact = house.stored("transactions")
+    fact = house.table("transactions")
     return fact.groupBy("transaction_type", "full_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.sum("loyalty_points_earned").alias("earned"), F.sum("loyalty_points_redeemed").alias("redeemed")
     )
@@ -97,9 +97,9 @@ def stream_txn_fact(t):
 def stream_scd2(t):
     """The customers' priorities as a stream in three steps, many states of a customer in each."""
     table, checkpoint = jobs.new_paths(t.spark, "stream-scd2")
-    history = History(Snapshots(t.spark, table), "dim_priority")
+    history = History(Store(t.spark, table), "dim_priority", "player_key")
     cuts = ("1997-01-01", "1999-01-01")
-    jobs.in_steps(priority_feed(t), "at", cuts, lambda changes: jobs.scd2_stream(changes, history, "player_key", ["priority"], "at", checkpoint, ["seq"], width="year"))
+    jobs.in_steps(priority_feed(t), "at", cuts, lambda changes: jobs.scd2_stream(changes, history, ["priority"], "at", checkpoint, ["seq"], width="year"))
     return history.rows()
 
 
@@ -111,8 +111,9 @@ def stream_scd2_check(t):
 @query("stream_devices", f"WITH {DEVICE} SELECT DISTINCT device_type, device AS device_model FROM devices")
 def stream_devices(t):
     table, checkpoint = jobs.new_paths(t.spark, "stream-device")
-    jobs.in_steps(t.login_history(), "login_time", CUTS, lambda logins: jobs.device_stream(logins, table, checkpoint))
-    return read_table(t.spark, table).select("device_type", "device_model")
+    store = Store(t.spark, table)
+    jobs.in_steps(t.login_history(), "login_time", CUTS, lambda logins: jobs.device_stream(logins, store, checkpoint))
+    return store.read("dim_device").select("device_type", "device_model")
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events")
@@ -199,4 +200,4 @@ def incremental_cycle(t):
     run_cycle(house, src | {"player_game": plays.where(F.col("play_time") < F.lit("2024-01-20 12:00:00").cast("timestamp_ntz"))}, F.lit(AS_OF).cast("timestamp_ntz"), 0)
     later = plays.where(F.col("play_time") >= F.lit("2024-01-19").cast("timestamp_ntz"))
     run_cycle(house, src | {"player_game": later}, F.lit("2024-02-02").cast("timestamp_ntz"), 1)
-    return house.stored("daily_summary")
+    return house.daily_summary()

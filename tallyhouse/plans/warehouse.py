@@ -1,13 +1,10 @@
-"""The warehouse in a folder: first load, incremental cycles, and the batches of a stream.
+"""The warehouse in a folder: first load, incremental cycles, and the batches of streams, side by side.
 
-Every change carries a batch number. A step that already ran for a batch is skipped or
-replaces its own files, so a batch may be run again after a failure at any point.
+Every change carries a feed and a batch number of that feed. A step that already ran for a batch is skipped or replaces its own
+part, so a batch may be run again after a failure at any point, and feeds never touch each other's parts.
 
-    tables/          dimensions, compacted bridge and pending plays, versioned (`Snapshots`)
-    bridge_changes/  batch_id=<n>/                 totals of one batch per player and game
-    gaming/          batch_id=<n>/full_date=<d>/   one row per play
-    transactions/    batch_id=<n>/full_date=<d>/
-    daily_summary/   full_date=<d>/                only touched dates are rewritten
+    tables/          all tables as listed parts (`Store`): dimensions, facts, bridge changes, pending plays, last plays
+    daily_summary/   full_date=<d>/    only touched dates are rewritten
     run_log/
 """
 
@@ -19,17 +16,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import dimensions, facts, merge, scd2, summaries
+from tallyhouse.functions import scalars as S
+from tallyhouse.operators import dimensions, facts, joins, merge, scd2, summaries, windows
 from tallyhouse.session import settle
 from tallyhouse.sources import run_log
-from tallyhouse.sources.tables import Snapshots, append_batch, read_table
+from tallyhouse.sources.tables import Store, read_table
 
 FACT_KEY = ("full_date", "player_key", "game_name", "play_time")
-
-
-def _flagged(df: DataFrame) -> DataFrame:
-    """A partition column comes back as text."""
-    return df.withColumn("is_current", F.col("is_current").cast("boolean"))
+LOAD = "load"
+PLAY_ORDER = ("game_name", "bet_amount", "win_amount")
 
 
 def _dates(df: DataFrame) -> list:
@@ -38,60 +33,91 @@ def _dates(df: DataFrame) -> list:
 
 
 class History:
-    """A type-2 dimension of which a batch rewrites only the open versions.
+    """A type-2 dimension of which a batch writes only the keys it touches.
 
-    Each listed version holds the open rows and the rows that this batch closed, in two
-    partitions. The whole history is the open rows of the last version and the closed
-    rows of all of them.
+    A batch's part holds the new open version of each touched key and the versions it closed. Closed versions are those of all
+    parts; the open version of a key is the one of its last part. `compact` folds everything into one part.
     """
 
-    def __init__(self, snapshots: Snapshots, name: str):
-        self.snapshots, self.name = snapshots, name
-
-    def open_rows(self) -> DataFrame | None:
-        last = self.snapshots.read(self.name)
-        return None if last is None else _flagged(last).where(F.col("is_current"))
+    def __init__(self, store: Store, name: str, key: str):
+        self.store, self.name, self.key = store, name, key
+
+    def _rows(self) -> DataFrame | None:
+        return self.store.read(self.name, versions=True)
+
+    def open_rows(self, keys: DataFrame | None = None) -> DataFrame | None:
+        """The open versions, or those of the given keys only."""
+        rows = self._rows()
+        if rows is None:
+            return None
+        now = rows.where(F.col("is_current"))
+        if keys is not None:
+            now = now.join(keys, self.key, "left_semi")
+        parts = self.store.parts(self.name)
+        if len(parts) == 1:
+            return now.drop("version")
+        ground = parts[0].version if parts[0].whole else -1
+        later = now.where(F.col("version") > ground)
+        # The ground is large and stays in place; later parts hold a few keys each.
+        last = joins.latest_per_key(later, self.key, [c for c in now.columns if c not in (self.key, "version")], ["version"])
+        kept = now.where(F.col("version") == ground).join(later.select(self.key).distinct(), self.key, "left_anti")
+        columns = [c for c in now.columns if c != "version"]
+        return kept.select(*columns).unionByName(last.select(*columns))
 
     def rows(self) -> DataFrame:
-        last = self.snapshots.version(self.name)
-        all_versions = read_table(self.snapshots.spark, f"{self.snapshots.root}/{self.name}")
-        mine = (F.col("version") < last) & ~F.col("is_current") | (F.col("version") == last)
-        return _flagged(all_versions).where(mine).drop("version")
+        closed = self._rows().where(~F.col("is_current")).drop("version")
+        return closed.unionByName(self.open_rows())
 
-    def merge(self, batch: DataFrame, batch_id: int, key: str, tracked: Sequence[str], at: Column | str, ties: Sequence[str] = (), width: str | None = None) -> None:
-        if self.snapshots.version(self.name) >= batch_id:
+    def merge(self, batch: DataFrame, batch_id: int, tracked: Sequence[str], at: Column | str, ties: Sequence[str] = (), width: str | None = None, feed: str = LOAD) -> None:
+        if self.store.done(self.name, feed) >= batch_id:
             return
-        now = self.open_rows()
-        if now is None:
+        batch = settle(batch, "states")
+        touched = self.open_rows(batch.select(self.key).distinct())
+        if touched is None:
             extra = {at, *ties} if isinstance(at, str) else set(ties)
             attrs = [c for c in batch.columns if c not in extra]
-            now = scd2.init(batch.select(*attrs), F.lit(None)).where(F.lit(False))
-        merged = scd2.merge(now, settle(batch, "states"), key, tracked, at, ties, width=width)
-        self.snapshots.write(self.name, merged, batch_id, ["is_current"])
+            touched = scd2.init(batch.select(*attrs), F.lit(None)).where(F.lit(False))
+        else:
+            touched = settle(touched, "touched")
+        merged = scd2.merge(touched, batch, self.key, tracked, at, ties, width=width)
+        self.store.write(self.name, merged, feed, batch_id, ["is_current"], whole=False)
+
+    def compact(self) -> None:
+        """Fold all parts into one; readers see either the parts or the one."""
+        if len(self.store.parts(self.name)) > 1:
+            self.store.write(self.name, self.rows(), "compaction", None, ["is_current"])
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = Snapshots(spark, f"{self.root}/tables")
-        self.players = History(self.tables, "dim_player")
-        self.staff = History(self.tables, "dim_staff")
+        self.tables = Store(spark, f"{self.root}/tables")
+        self.players = History(self.tables, "dim_player", "player_key")
+        self.staff = History(self.tables, "dim_staff", "staff_key")
 
     # -- reading
 
     def table(self, name: str) -> DataFrame | None:
         return self.tables.read(name)
 
-    def stored(self, name: str, before: int | None = None) -> DataFrame | None:
-        """A table that grows by batches; `before` leaves out that batch and later ones."""
+    def daily_summary(self) -> DataFrame | None:
         try:
-            df = read_table(self.spark, f"{self.root}/{name}")
+            return read_table(self.spark, f"{self.root}/daily_summary")
         except AnalysisException as err:
             if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
                 return None
             raise
-        return df if before is None else df.where(F.col("batch_id") < before)
+
+    def gaming(self, width: str = "hour") -> DataFrame | None:
+        """The plays. Minutes since the previous play are as booked, but computed again for players one of whose plays came
+        after a later one had been booked."""
+        fact, late = self.table("gaming"), self.table("late_players")
+        if fact is None or late is None:
+            return fact
+        late = late.select("player_key").distinct()
+        again = windows.minutes_since_previous(fact.join(late, "player_key", "left_semi"), ["player_key"], "play_time", PLAY_ORDER, width=width)
+        return fact.join(late, "player_key", "left_anti").unionByName(again.select(*fact.columns))
 
     def log(self) -> DataFrame:
         return run_log.read_log(self.spark, f"{self.root}/run_log")
@@ -101,12 +127,13 @@ class Warehouse:
     def _step(self, name: str, step):
         return run_log.run_step(self.spark, f"{self.root}/run_log", name, step)
 
-    def _put(self, name: str, df: DataFrame, batch_id: int) -> int:
-        if self.tables.version(name) < batch_id:
-            return self.tables.write(name, df, batch_id).count()
+    def _put(self, name: str, df: DataFrame, batch_id: int, feed: str) -> int:
+        """A table that is replaced as a whole."""
+        if self.tables.done(name, feed) < batch_id:
+            return self.tables.write(name, df, feed, batch_id).count()
         return self.table(name).count()
 
-    def load_dimensions(self, src: Mapping[str, DataFrame], as_of: Column, batch_id: int) -> None:
+    def load_dimensions(self, src: Mapping[str, DataFrame], as_of: Column, batch_id: int, feed: str = LOAD) -> None:
         """Dates, games, places, machines, players, staff, devices, in this order; any may be missing."""
         builders = {
             "dim_time": ("player_game", lambda df, old: dimensions.date_dim(df, "play_time") if old is None else dimensions.ensure_dates(old, df, "play_time")),
@@ -117,24 +144,27 @@ class Warehouse:
         }
         for name, (source, build) in builders.items():
             if source in src:
-                self._step(name, lambda name=name, source=source, build=build: self._put(name, build(src[source], self.table(name)), batch_id))
+                self._step(name, lambda name=name, source=source, build=build: self._put(name, build(src[source], self.table(name)), batch_id, feed))
         if "player" in src:
             rows = dimensions.player_rows(src["player"], as_of.cast("date"))
-            self._step("dim_player", lambda: self.players.merge(rows, batch_id, "player_key", dimensions.PLAYER_TRACKED, as_of))
+            self._step("dim_player", lambda: self.players.merge(rows, batch_id, dimensions.PLAYER_TRACKED, as_of, feed=feed))
         if "staff" in src:
             rows = dimensions.staff_rows(src["staff"])
-            self._step("dim_staff", lambda: self.staff.merge(rows, batch_id, "staff_key", dimensions.STAFF_TRACKED, as_of))
+            self._step("dim_staff", lambda: self.staff.merge(rows, batch_id, dimensions.STAFF_TRACKED, as_of, feed=feed))
 
-    def add_plays(self, plays: DataFrame, src: Mapping[str, DataFrame], batch_id: int, session: str | None = None) -> None:
+    def add_plays(self, plays: DataFrame, src: Mapping[str, DataFrame], batch_id: int, session: str | None = None, feed: str = LOAD) -> None:
         """Plays of one batch into fact, bridge and daily summary.
 
-        Plays of a player or game that has no dimension row yet wait in the table
-        `pending` and are tried again with the next batch.
+        Plays of a player or game that has no dimension row yet wait in the table `pending` and are tried again with the next
+        batch. `session` adds the minutes since the player's previous play, in whatever batch that came.
         """
+        if self.tables.done("pending", feed) >= batch_id:
+            # Fact and bridge were complete before `pending` was listed for this batch.
+            self._step("daily_summary", lambda: self.refresh_days(batch_id, feed))
+            return
         plays = settle(plays, "plays")
         waiting = self.table("pending")
-        done = self.tables.version("pending") >= batch_id
-        offered = plays if waiting is None or done else plays.unionByName(waiting.select(*plays.columns))
+        offered = plays if waiting is None else plays.unionByName(waiting.select(*plays.columns))
         known_players = self.players.open_rows().select(F.col("player_key").alias("player_email"))
         known_games = self.table("dim_game").select("game_name")
 
@@ -150,79 +180,106 @@ class Warehouse:
                 src.get("slot_play"),
                 src.get("slot_machine"),
                 src.get("login_history"),
-                session=session,
+                session=None,
             )
-            return self._append_fact("gaming", built, FACT_KEY, batch_id)
+            return self._append_fact("gaming", built, FACT_KEY, batch_id, feed, session)
 
         def write_bridge() -> int:
-            append_batch(summaries.bridge(self._batch("gaming", batch_id)), f"{self.root}/bridge_changes", batch_id)
-            return self._batch("bridge_changes", batch_id).count()
+            return self.tables.write("bridge_changes", summaries.bridge(self.tables.batch("gaming", feed, batch_id)), feed, batch_id, whole=False).count()
 
         def write_pending() -> int:
             unknown = offered.join(known_players, "player_email", "left_anti")
             misplaced = offered.join(known_players, "player_email", "left_semi").join(known_games, "game_name", "left_anti")
-            return self._put("pending", unknown.unionByName(misplaced), batch_id)
+            return self._put("pending", unknown.unionByName(misplaced), batch_id, feed)
 
-        if done:
-            # Fact and bridge were complete before `pending` was listed for this batch.
-            self._step("daily_summary", lambda: self.refresh_days(batch_id))
-            return
         self._step("fact_gaming_activity", write_fact)
         self._step("bridge_game_player", write_bridge)
-        self._step("daily_summary", lambda: self.refresh_days(batch_id))
+        self._step("daily_summary", lambda: self.refresh_days(batch_id, feed))
         self._step("pending", write_pending)
 
-    def _append_fact(self, name: str, built: DataFrame, key: Sequence[str], batch_id: int) -> int:
-        """Append the rows that earlier batches lack. The date is in the key, so only touched dates are looked at."""
-        before = self.stored(name, batch_id)
+    def _append_fact(self, name: str, built: DataFrame, key: Sequence[str], batch_id: int, feed: str, session: str | None = None) -> int:
+        """Append the rows that all other batches lack. The date is in the key, so only touched dates are looked at."""
+        before = self.tables.read(name, without=(feed, batch_id))
         if before is not None:
             built = settle(built, f"batch-{name}")
             built = merge.append_new(before.where(F.col("full_date").isin(_dates(built))), built, key)
-        append_batch(built, f"{self.root}/{name}", batch_id, ["full_date"])
-        return self._batch(name, batch_id).count()
-
-    def _batch(self, name: str, batch_id: int) -> DataFrame:
-        return self.stored(name).where(F.col("batch_id") == batch_id).drop("batch_id")
-
-    def refresh_days(self, batch_id: int) -> int:
+        if session:
+            built = self._with_minutes(settle(built, f"new-{name}"), batch_id, feed, session)
+        return self.tables.write(name, built, feed, batch_id, ["full_date"], whole=False).count()
+
+    def _with_minutes(self, new: DataFrame, batch_id: int, feed: str, width: str) -> DataFrame:
+        """Minutes since the previous play, of which the player's last one in earlier batches is kept as state."""
+        keyed = windows.minutes_since_previous(new, ["player_key"], "play_time", PLAY_ORDER, width=width)
+        ends = new.groupBy("player_key").agg(F.min("play_time").alias("first_play"), F.max("play_time").alias("last_play"))
+        state = self.tables.read("last_plays", without=(feed, batch_id))
+        if state is not None:
+            earlier = state.join(new.select("player_key").distinct(), "player_key", "left_semi").groupBy("player_key").agg(F.max("last_play").alias("before"))
+            # Equal times are ordered by game and amounts, which only the whole history shows.
+            late = ends.join(earlier, "player_key").where("first_play <= before").select("player_key")
+            self.tables.write("late_players", late, feed, batch_id, whole=False)
+            keyed = keyed.join(earlier, "player_key", "left")
+            carried = F.when(F.col("session_duration_minutes").isNull(), S.minutes_between("play_time", "before")).otherwise(F.col("session_duration_minutes"))
+            keyed = keyed.withColumn("session_duration_minutes", carried).drop("before")
+        self.tables.write("last_plays", ends.select("player_key", "last_play"), feed, batch_id, whole=False)
+        return keyed.select(*new.columns)
+
+    def refresh_days(self, batch_id: int, feed: str = LOAD) -> int:
         """Compute the summary of the dates in the batch again and replace just these dates."""
-        days = _dates(self._batch("gaming", batch_id))
+        batch = self.tables.batch("gaming", feed, batch_id)
+        days = [] if batch is None else _dates(batch)
         if not days:
             return 0
-        fresh = summaries.daily_summary(self.stored("gaming").where(F.col("full_date").isin(days)))
+        fresh = summaries.daily_summary(self.table("gaming").where(F.col("full_date").isin(days)))
         path = f"{self.root}/daily_summary"
         fresh.hint("rebalance", "full_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("full_date").parquet(path)
         return len(days)
 
     def bridge(self) -> DataFrame:
-        """Totals per player and game: the compacted totals and the changes of later batches."""
-        changes = self.stored("bridge_changes").where(F.col("batch_id") > self.tables.version("bridge_game_player")).drop("batch_id")
-        base = self.table("bridge_game_player")
-        return merge.accumulate(changes if base is None else base, changes if base is not None else changes.limit(0), summaries.BRIDGE_KEY, summaries.BRIDGE_FOLDS)
-
-    def compact_bridge(self, batch_id: int) -> None:
-        """Fold the changes up to the last batch, which is `batch_id`, into the stored totals."""
-        self._put("bridge_game_player", self.bridge(), batch_id)
-
-    def add_transactions(self, transactions: DataFrame, src: Mapping[str, DataFrame], batch_id: int) -> None:
+        """Totals per player and game: the changes of all batches folded; compaction leaves one change per pair."""
+        changes = self.table("bridge_changes")
+        return merge.accumulate(changes, changes.limit(0), summaries.BRIDGE_KEY, summaries.BRIDGE_FOLDS)
+
+    def compact(self) -> None:
+        """Fold the parts of every table that grows by batches into one part each. Not while a batch is half done."""
+        for name in ("gaming", "bridge_changes"):
+            for part in self.tables.parts(name):
+                if not part.whole and part.batch_id > self.tables.done("pending", part.feed):
+                    raise RuntimeError(f"batch {part.batch_id} of feed {part.feed} has not ended")
+        folded = {
+            "gaming": (self.gaming, ["full_date"]),
+            "transactions": (lambda: self.table("transactions"), ["full_date"]),
+            "bridge_changes": (self.bridge, []),
+            "last_plays": (lambda: self.table("last_plays").groupBy("player_key").agg(F.max("last_play").alias("last_play")), []),
+        }
+        for name, (rows, partition) in folded.items():
+            if len(self.tables.parts(name)) > 1:
+                self.tables.write(name, rows(), "compaction", None, partition)
+        if self.table("late_players") is not None:
+            # Their minutes are now right in the fact itself.
+            self.tables.write("late_players", self.table("late_players").limit(0), "compaction")
+        self.players.compact()
+        self.staff.compact()
+
+    def add_transactions(self, transactions: DataFrame, src: Mapping[str, DataFrame], batch_id: int, feed: str = LOAD) -> None:
         def write() -> int:
             built = facts.txn_fact(transactions, self.players.open_rows(), src["table_game"], src["staff_assigned_tables"], self.staff.open_rows())
-            return self._append_fact("transactions", built, ["full_date", "transaction_code"], batch_id)
+            return self._append_fact("transactions", built, ["full_date", "transaction_code"], batch_id, feed)
 
-        self._step("fact_financial_transactions", write)
+        if self.tables.done("transactions", feed) < batch_id:
+            self._step("fact_financial_transactions", write)
 
 
-def run_cycle(house: Warehouse, src: Mapping[str, DataFrame], as_of: Column, batch_id: int, session: str | None = None) -> None:
+def run_cycle(house: Warehouse, src: Mapping[str, DataFrame], as_of: Column, batch_id: int, session: str | None = None, feed: str = LOAD) -> None:
     """One cycle: dimensions, then facts, bridge and summaries, each step logged.
 
     The first load and every later one, daily or monthly, are this function on another scope.
     """
 
     def cycle():
-        house.load_dimensions(src, as_of, batch_id)
+        house.load_dimensions(src, as_of, batch_id, feed)
         if "player_game" in src:
-            house.add_plays(src["player_game"], src, batch_id, session)
+            house.add_plays(src["player_game"], src, batch_id, session, feed)
         if "transaction" in src:
-            house.add_transactions(src["transaction"], src, batch_id)
+            house.add_transactions(src["transaction"], src, batch_id, feed)
 
     house._step("cycle", cycle)

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tallyhouse.operators import dimensions, merge
 from tallyhouse.plans.warehouse import History, Warehouse
 from tallyhouse.session import scratch
-from tallyhouse.sources.tables import append, append_batch, stream_table
+from tallyhouse.sources.tables import Store, append, stream_table
 
 
 def in_steps(df: DataFrame, at: str, cuts: Sequence[str], run: Callable[[DataFrame], None], label: str = "feed") -> None:
     """Play a stored table as a stream: the rows before the first cut arrive and are run, then those before the next, and so on.
 
-    `run` gets the same stream each time and goes on from its checkpoint.
+    Rows without a time arrive first. `run` gets the same stream each time and goes on from its checkpoint.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
@@ -27,19 +29,47 @@ def in_steps(df: DataFrame, at: str, cuts: Sequence[str], run: Callable[[DataFra
         if low:
             part = part.where(F.col(at) >= F.lit(low).cast("timestamp_ntz"))
         if high:
-            part = part.where(F.col(at) < F.lit(high).cast("timestamp_ntz"))
+            before = F.col(at) < F.lit(high).cast("timestamp_ntz")
+            part = part.where(before if low else before | F.col(at).isNull())
         append(part, path)
         run(stream_table(spark, path, df.schema))
 
 
-def finish(query: StreamingQuery, seconds: int = 1800) -> int:
-    """Wait until everything available is done; returns the number of rows dropped as late."""
-    if not query.awaitTermination(seconds):
+class LateRows(StreamingQueryListener):
+    """Counts the rows that a query's watermark dropped, over all its micro-batches."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.rows.setdefault(str(event.runId), 0)
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait until everything available is done; with `seconds`, stop and fail after that long."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream still running after {seconds} s")
     if query.exception():
         raise query.exception()
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def feed_of(checkpoint: str) -> str:
+    """The name of a stream's batches in a store: a checkpoint numbers its batches on its own."""
+    return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
 def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -49,32 +79,43 @@ def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], check
 
 def run_append(stream: DataFrame, path: str, checkpoint: str) -> int:
     """Append to a Parquet table, each row exactly once; returns the number of late rows."""
-    writer: DataStreamWriter = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-    return finish(writer.trigger(availableNow=True).start())
+    spark, late = stream.sparkSession, LateRows()
+    spark.streams.addListener(late)
+    try:
+        writer: DataStreamWriter = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+        query = writer.trigger(availableNow=True).start()
+        finish(query)
+        # Events come in order, that of the end last.
+        run = str(query.runId)
+        while run not in late.ended:
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(late)
+    return late.rows.get(run, 0)
 
 
 # -- dimensions
 
 
-def scd2_stream(stream: DataFrame, history: History, key: str, tracked: Sequence[str], at: str, checkpoint: str, ties: Sequence[str] = (), width: str | None = None) -> None:
+def scd2_stream(stream: DataFrame, history: History, tracked: Sequence[str], at: str, checkpoint: str, ties: Sequence[str] = (), width: str | None = None) -> None:
     """Apply a change feed to a type-2 dimension; several states of a key in one batch count in time order."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        history.merge(batch, batch_id, key, tracked, at, ties, width)
+        history.merge(batch, batch_id, tracked, at, ties, width, feed_of(checkpoint))
 
     run_batches(stream, step, checkpoint)
 
 
-def device_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
+def device_stream(stream: DataFrame, store: Store, checkpoint: str, name: str = "dim_device") -> None:
     """Add the devices of new logins; a batch that runs again leaves out its own rows when it looks for known ones."""
+    feed = feed_of(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = dimensions.device_dim(batch)
-        if batch_id > 0:
-            known = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
+        known = store.read(name, without=(feed, batch_id))
+        if known is not None:
             rows = merge.append_new(known, rows, "device_id")
-        append_batch(rows, path, batch_id)
+        store.write(name, rows, feed, batch_id, whole=False)
 
     run_batches(stream, step, checkpoint)
 
@@ -82,13 +123,13 @@ def device_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
 # -- facts
 
 
-def gaming_stream(stream: DataFrame, house: Warehouse, src: Mapping[str, DataFrame], checkpoint: str) -> None:
+def gaming_stream(stream: DataFrame, house: Warehouse, src: Mapping[str, DataFrame], checkpoint: str, session: str | None = None) -> None:
     """Plays into fact, bridge and summary, in that order; players and games may come later than their plays."""
-    run_batches(stream, lambda batch, batch_id: house.add_plays(batch, src, batch_id), checkpoint)
+    run_batches(stream, lambda batch, batch_id: house.add_plays(batch, src, batch_id, session, feed_of(checkpoint)), checkpoint)
 
 
 def transaction_stream(stream: DataFrame, house: Warehouse, src: Mapping[str, DataFrame], checkpoint: str) -> None:
-    run_batches(stream, lambda batch, batch_id: house.add_transactions(batch, src, batch_id), checkpoint)
+    run_batches(stream, lambda batch, batch_id: house.add_transactions(batch, src, batch_id, feed_of(checkpoint)), checkpoint)
 
 
 # -- event-time results

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import scd2, summaries
 from tallyhouse.plans.warehouse import History, Warehouse, run_cycle
 from tallyhouse.session import scratch
-from tallyhouse.sources.tables import Snapshots
+from tallyhouse.sources.tables import Store
 from tallyhouse.streaming import jobs
 
 
@@ -42,14 +42,15 @@ def test_batches_that_run_again(spark, rows):
     house.add_plays(first, src, 0)
     house.add_plays(second, src, 1)
     house.add_plays(second, src, 1)
-    fact = house.stored("gaming")
+    fact = house.gaming()
     assert rows(fact, "player_key", "play_time") == [("p1", at(1)), ("p1", at(1, 5)), ("p1", at(2)), ("p2", at(1))]
     assert rows(house.bridge()) == rows(summaries.bridge(fact))
-    house.compact_bridge(1)
-    assert rows(house.bridge()) == rows(summaries.bridge(fact))
-    assert rows(house.table("bridge_game_player")) == rows(summaries.bridge(fact))
+    house.compact()
+    assert rows(house.bridge()) == rows(summaries.bridge(fact)) == rows(house.table("bridge_changes"))
+    house.add_plays(second, src, 1)
+    assert rows(Warehouse(spark, house.root).gaming()) == rows(fact)
     whole = summaries.daily_summary(fact)
-    assert rows(house.stored("daily_summary").select(*whole.columns)) == rows(whole)
+    assert rows(house.daily_summary().select(*whole.columns)) == rows(whole)
 
 
 def test_failure_between_fact_and_summary(spark, rows, monkeypatch):
@@ -58,14 +59,14 @@ def test_failure_between_fact_and_summary(spark, rows, monkeypatch):
     house.load_dimensions(src, F.lit("2024-01-01").cast("timestamp_ntz"), 0)
     batch = plays(spark, [("p1", "g1", at(1), 10, 5), ("zz", "g1", at(1), 1, 1)])
     real = house.refresh_days
-    monkeypatch.setattr(house, "refresh_days", lambda n: 1 / 0)
+    monkeypatch.setattr(house, "refresh_days", lambda *_: 1 / 0)
     try:
         house.add_plays(batch, src, 0)
     except ZeroDivisionError:
         pass
     monkeypatch.setattr(house, "refresh_days", real)
     house.add_plays(batch, src, 0)
-    assert house.stored("gaming").count() == 1
+    assert house.gaming().count() == 1
     assert rows(house.bridge(), "total_plays") == [(1,)]
     assert rows(house.table("pending"), "player_email") == [("zz",)]
     assert house.log().where("status = 'ERROR'").count() == 1
@@ -75,9 +76,9 @@ def test_late_player_and_cycles(spark, rows):
     house = Warehouse(spark, scratch(spark, "late"))
     src = sources(spark, ["p1"])
     run_cycle(house, src | {"player_game": plays(spark, [("p1", "g1", at(1), 10, 5), ("p2", "g1", at(1), 2, 2)])}, F.lit("2024-01-01").cast("timestamp_ntz"), 0)
-    assert house.stored("gaming").count() == 1
+    assert house.gaming().count() == 1
     run_cycle(house, sources(spark) | {"player_game": plays(spark, [("p1", "g1", at(3), 1, 1)])}, F.lit("2024-01-02").cast("timestamp_ntz"), 1)
-    assert rows(house.stored("gaming"), "player_key") == [("p1",), ("p1",), ("p2",)]
+    assert rows(house.gaming(), "player_key") == [("p1",), ("p1",), ("p2",)]
     assert house.table("pending").count() == 0
     assert rows(house.players.rows(), "player_key", "version_number") == [("p1", 1), ("p2", 1)]
 
@@ -89,13 +90,20 @@ def test_history_in_steps(spark, rows):
         [("a", "G", at(2)), ("a", "P", at(3)), ("a", "P", at(4))],
         [("a", "S", at(5)), ("b", "S", at(5)), ("c", "G", at(5))],
     ]
-    history = History(Snapshots(spark, scratch(spark, "history")), "dim")
+    history = History(Store(spark, scratch(spark, "history")), "dim", "k")
     for n, data in enumerate(steps):
         for _ in range(2):
-            history.merge(spark.createDataFrame(data, schema), n, "k", ["tier"], "at")
+            history.merge(spark.createDataFrame(data, schema), n, ["tier"], "at")
     whole = scd2.build(spark.createDataFrame(sum(steps, []), schema), "k", ["tier"], "at")
     assert rows(history.rows().select(*whole.columns)) == rows(whole)
     assert history.open_rows().count() == 3
+    parts = history.store.parts("dim")
+    assert [spark.read.parquet(p.path).select("k").distinct().count() for p in parts] == [2, 1, 3]
+    before = rows(history.rows())
+    history.compact()
+    assert len(history.store.parts("dim")) == 1 and rows(history.rows()) == before
+    history.merge(spark.createDataFrame([("b", "G", at(6))], schema), 3, ["tier"], "at")
+    assert rows(history.open_rows(), "k", "tier", "version_number") == [("a", "S", 4), ("b", "G", 2), ("c", "G", 1)]
 
 
 def test_late_rows_are_counted(spark, rows):
@@ -112,3 +120,45 @@ def test_late_rows_are_counted(spark, rows):
         dropped += jobs.run_append(jobs.tumbling(stream, "at", "1 hour", "10 minutes", [], "v"), table, checkpoint)
     assert dropped == 1
     assert rows(spark.read.parquet(table), "window_start", "n") == [(at(1), 2), (at(1, 3), 2)]
+
+
+def test_feeds_share_a_warehouse(spark, rows):
+    """A first load and a stream whose batches both count from 0, each batch run twice, lose and overwrite nothing."""
+    house, src = Warehouse(spark, scratch(spark, "feeds")), sources(spark)
+    house.load_dimensions(src, F.lit("2024-01-01").cast("timestamp_ntz"), 0)
+    loads = [[("p1", "g1", at(1), 10, 5)], [("p2", "g1", at(2), 4, 0)]]
+    streamed = [[("p1", "g1", at(1, 3), 1, 0), ("p2", "g1", at(1), 2, 2)], [("p1", "g1", at(1), 10, 5), ("p1", "g1", at(4), 3, 3)]]
+    for feed, batches in (("load", loads[:1]), ("stream-x", streamed), ("load", loads)):
+        for n, data in enumerate(batches):
+            for _ in range(2):
+                house.add_plays(plays(spark, data), src, n, "hour", feed)
+    whole = {(p, t): (b, w) for data in loads + streamed for p, _, t, b, w in data}
+    fact = house.gaming()
+    assert rows(fact, "player_key", "play_time") == sorted(whole)
+    minutes = {(r.player_key, r.play_time): r.session_duration_minutes for r in fact.collect()}
+    assert minutes == {("p1", at(1)): None, ("p1", at(1, 3)): 180, ("p1", at(4)): 69 * 60, ("p2", at(1)): None, ("p2", at(2)): 24 * 60}
+    assert rows(house.bridge()) == rows(summaries.bridge(fact))
+    daily = summaries.daily_summary(fact)
+    assert rows(house.daily_summary().select(*daily.columns)) == rows(daily)
+    kept = rows(fact)
+    house.compact()
+    assert rows(Warehouse(spark, house.root).gaming()) == kept
+
+
+def test_late_plays_set_the_minutes_right(spark, rows):
+    house, src = Warehouse(spark, scratch(spark, "minutes")), sources(spark)
+    house.load_dimensions(src, F.lit("2024-01-01").cast("timestamp_ntz"), 0)
+    for n, data in enumerate([[("p1", "g1", at(1), 1, 1), ("p1", "g1", at(3), 1, 1), ("p2", "g1", at(1), 1, 1)], [("p1", "g1", at(2), 1, 1), ("p2", "g1", at(1, 1), 1, 1)]]):
+        house.add_plays(plays(spark, data), src, n, "hour")
+    want = [("p1", at(1), None), ("p1", at(2), 1440), ("p1", at(3), 1440), ("p2", at(1), None), ("p2", at(1, 1), 60)]
+    got = house.gaming().select("player_key", "play_time", "session_duration_minutes").collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[:2]) == want
+    house.compact()
+    assert sorted((tuple(r) for r in house.table("gaming").select("player_key", "play_time", "session_duration_minutes").collect()), key=lambda r: r[:2]) == want
+
+
+def test_rows_without_time_are_played(spark, rows):
+    df = spark.createDataFrame([(1, at(1)), (2, None), (3, at(9))], "id int, at timestamp_ntz")
+    table, checkpoint = jobs.new_paths(spark, "timeless")
+    jobs.in_steps(df, "at", ["2024-01-05"], lambda stream: jobs.run_append(stream, table, checkpoint))
+    assert rows(spark.read.parquet(table), "id") == [(1,), (2,), (3,)]

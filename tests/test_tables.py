@@ -3,33 +3,39 @@ from pyspark.sql import functions as F
 
 from tallyhouse import session
 from tallyhouse.sources import run_log
-from tallyhouse.sources.tables import Snapshots, append_batch, read_table
+from tallyhouse.sources.tables import Store
 
 
-def test_a_version_counts_when_it_is_listed(spark, rows, tmp_path):
+def test_a_part_counts_when_it_is_listed(spark, rows, tmp_path):
     root = str(tmp_path / "tables")
-    store = Snapshots(spark, root)
-    assert store.read("t") is None and store.version("t") == -1
+    store = Store(spark, root)
+    assert store.read("t") is None and store.version("t") == -1 and store.done("t", "load") == -1
     assert store.read("t", spark.range(0).schema).count() == 0
     store.write("t", spark.range(3))
-    # A run that died before listing its version leaves the old one in force.
+    # A run that died before listing its part leaves the table as it was.
     spark.range(9).write.parquet(f"{root}/t/version=1")
-    assert Snapshots(spark, root).read("t").count() == 3
+    assert Store(spark, root).read("t").count() == 3
     store.write("t", spark.range(5))
-    other = Snapshots(spark, root)
-    assert other.version("t") == 1 and other.read("t").count() == 5
-    store.write("t", spark.range(7), version=1)
+    other = Store(spark, root)
+    assert other.version("t") == 1 and other.read("t").count() == 5 and other.done("t", "load") == 1
+    store.write("t", spark.range(7))
+    assert other.read("t").count() == 5
     other.refresh()
     assert other.read("t").count() == 7
 
 
-def test_a_batch_replaces_itself(spark, tmp_path):
-    path = str(tmp_path / "fact")
+def test_a_batch_replaces_its_own_part_only(spark, rows, tmp_path):
+    store = Store(spark, str(tmp_path / "tables"))
     df = spark.range(10).withColumn("day", F.col("id") % 2)
-    append_batch(df, path, 0, ["day"])
-    append_batch(df, path, 1, ["day"])
-    append_batch(df.limit(4), path, 1, ["day"])
-    assert read_table(spark, path).count() == 14
+    for feed, batch, data in (("a", 0, df), ("b", 0, df), ("a", 1, df), ("a", 1, df.limit(4))):
+        store.write("fact", data, feed, batch, ["day"], whole=False)
+    for seen in (store, Store(spark, store.root)):
+        assert seen.read("fact").count() == 24 and seen.read("fact", without=("b", 0)).count() == 14
+        assert seen.batch("fact", "a", 1).count() == 4 and seen.done("fact", "a") == 1 and seen.done("fact", "b") == 0
+    store.write("fact", store.read("fact"), "compaction", None, ["day"])
+    assert len(store.parts("fact")) == 1 and Store(spark, store.root).read("fact").count() == 24
+    store.write("fact", df, "b", 1, ["day"], whole=False)
+    assert Store(spark, store.root).read("fact").count() == 34 and store.done("fact", "a") == 1
 
 
 def test_log(spark, tmp_path):
