@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.small import join_small
 from tallyhouse.llm.text import BETWEEN, fold, hash_spans, row_blocks, rows_of, spans, sum_rows, utf8
 from tallyhouse.session import settle
 
@@ -326,7 +327,7 @@ def verify(docs: DataFrame, found: DataFrame, passages: list[Passage], hashes: n
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names)
 
     spots = found.groupBy("id").agg(F.collect_list(F.struct("passage", "start", "cosine")).alias("spots"))
-    joined = docs.join(spots, "id").select("id", "text", "spots")
+    joined = join_small(docs, settle(spots, "spots"), "id", "inner").select("id", "text", "spots")
     return joined.mapInArrow(run, "id long, item_id long, kind string, lcs double, rare_lcs double, answer_lcs double, cosine double, start long, end long")
 
 
@@ -386,4 +387,5 @@ def find(
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
     """`docs` without the documents that hold a benchmark item; rows without id stay."""
-    return docs.join(settle(find(docs, benchmark, text, id, **options).select(id).distinct(), "contaminated"), id, "left_anti").select(*docs.columns)
+    found = settle(find(docs, benchmark, text, id, **options).select(id).distinct(), "contaminated")
+    return join_small(docs, found, id, "left_anti").select(*docs.columns)
