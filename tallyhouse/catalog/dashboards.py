@@ -102,11 +102,19 @@ def pareto_players(t):
 
 @query(
     "session_gap_minutes",
-    f"WITH {Q.EVENT_FACT} SELECT player_email, game_name, CAST(play_time AS VARCHAR) AS play_time, minutes AS session_duration_minutes FROM efact",
+    f"""WITH {Q.EVENT_PLAYS}, holes AS (SELECT CASE WHEN player_email % 29 <> 0 THEN player_email END AS player_email, game_name, amount_bet,
+      CASE WHEN minute(play_time) % 7 <> 0 THEN play_time END AS play_time FROM eplays)
+    SELECT player_email, game_name, CAST(play_time AS VARCHAR) AS play_time,
+      (epoch_us(play_time) - epoch_us(lag(play_time) OVER (PARTITION BY player_email ORDER BY play_time NULLS FIRST, game_name, amount_bet)) + 30000000) // 60000000 AS session_duration_minutes FROM holes""",
 )
 def session_gap_minutes(t):
+    """Minutes since the previous event, where some players and some times are unknown."""
+    holes = {
+        "player_email": F.when(F.col("player_email") % 29 != 0, F.col("player_email")),
+        "play_time": F.when(F.minute("play_time") % 7 != 0, F.col("play_time")),
+    }
     # Users with more events are cut by the hour, so that both ways run on the test tables.
-    stepped = windows.minutes_since_previous(t.event_plays(), ["player_email"], "play_time", ["game_name", "amount_bet"], hot_rows=66)
+    stepped = windows.minutes_since_previous(t.event_plays().withColumns(holes), ["player_email"], "play_time", ["game_name", "amount_bet"], hot_rows=66)
     return stepped.select("player_email", "game_name", "play_time", "session_duration_minutes")
 
 

@@ -109,17 +109,17 @@ def machine_of_play(t):
 @query(
     "staff_on_shift",
     """WITH e AS (SELECT event_id, user_id % (SELECT count(*) FROM supplier) AS s, ts FROM events),
-    shift AS (SELECT DISTINCT s_suppkey, o_orderdate + INTERVAL (year(TIMESTAMP '2024-01-01') - 1998) YEAR AS a FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN orders ON o_orderkey = l_orderkey WHERE year(o_orderdate) = 1998)
-    SELECT event_id AS play_id, CASE WHEN count(a) > 0 THEN min(s) END AS staff_email FROM e LEFT JOIN shift ON s_suppkey = s AND ts >= a AND ts < a + INTERVAL 1 DAY GROUP BY 1""",
+    shift AS (SELECT DISTINCT l_suppkey, TIMESTAMP '2024-01-01' + to_hours(CAST((epoch(l_shipdate) // 86400) % 744 AS INTEGER)) AS a, to_hours(CAST(l_quantity % 5 AS INTEGER)) AS d FROM lineitem)
+    SELECT event_id AS play_id, CASE WHEN count(a) > 0 THEN min(s) END AS staff_email FROM e LEFT JOIN shift ON l_suppkey = s AND ts >= a AND ts < a + d GROUP BY 1""",
 )
 def staff_on_shift(t):
-    """Events during a day on which their table's staff had a shift; shifts follow the orders of one year."""
+    """Events during a shift of their table's staff. Every line is a shift of up to four hours; its ship date, counted in days, gives the hour of the month at which it starts."""
     suppliers = t.raw("supplier").agg(F.count(F.lit(1))).scalar()
     plays = t.raw("events").select(F.col("event_id").alias("play_id"), F.pmod(F.col("user_id"), suppliers).alias("table_code"), F.col("ts").alias("play_time"))
-    orders = t.raw("orders").where(F.year("o_orderdate") == 1998).select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    worked = t.raw("lineitem").select("l_orderkey", "l_suppkey").join(orders, "l_orderkey")
-    start = F.col("o_orderdate") + F.expr("interval 26 years")
-    shifts = worked.select(F.col("l_suppkey").alias("table_code"), F.col("l_suppkey").alias("staff_email"), start.alias("shift_start"), (start + F.expr("interval 1 day")).alias("shift_end")).distinct()
+    hour = F.pmod(F.datediff("l_shipdate", F.lit("1970-01-01").cast("date")), F.lit(744))
+    start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour)
+    end = start + F.make_dt_interval(F.lit(0), (F.col("l_quantity") % 5).cast("int"))
+    shifts = t.raw("lineitem").select(F.col("l_suppkey").alias("table_code"), F.col("l_suppkey").alias("staff_email"), start.alias("shift_start"), end.alias("shift_end")).distinct()
     return facts.staff_on_shift(plays, shifts).select("play_id", "staff_email")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import presets as P
 from tallyhouse.functions import scalars as S
-from tallyhouse.operators import dedup, merge
+from tallyhouse.operators import merge
 
 
 def time_id(col: Column | str) -> Column:
@@ -61,8 +61,9 @@ def ensure_dates(dim: DataFrame, df: DataFrame, at: str) -> DataFrame:
 
 
 def dim_type0(src: DataFrame, key: str, attrs: Sequence[str], dim: DataFrame | None = None) -> DataFrame:
-    """First seen row per key stays: insert if absent."""
-    rows = dedup.keep_one(src.select(key, *attrs), key)
+    """First seen row per key stays: insert if absent. Of rows that repeat a key the least one counts, by an aggregate, so rows are ordered by key at most."""
+    least = F.min(F.struct(*[F.struct(F.col(a).isNull().alias("n"), F.col(a).alias("v")).alias(a) for a in attrs])).alias("row")
+    rows = src.groupBy(key).agg(least).select(key, *[F.col(f"row.{a}.v").alias(a) for a in attrs])
     return rows if dim is None else merge.insert_absent(dim, rows, key)
 
 

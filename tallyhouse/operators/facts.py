@@ -43,7 +43,7 @@ def staff_on_shift(plays: DataFrame, shifts: DataFrame, at: str = "play_time") -
     `plays` needs a table_code and a unique `play_id`.
     """
     spans = shifts.select("table_code", "shift_start", "shift_end", "staff_email")
-    found = joins.in_interval(plays.select("play_id", "table_code", at), spans, "table_code", at, "shift_start", "shift_end", "inner")
+    found = joins.in_interval(plays.select("play_id", "table_code", at), spans, "table_code", at, "shift_start", "shift_end", "inner", width="day")
     picked = found.groupBy("play_id").agg(F.min("staff_email").alias("staff_email"))
     return plays.join(picked, "play_id", "left")
 

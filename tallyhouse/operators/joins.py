@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,14 +44,36 @@ def first_per_key(df: DataFrame, key, value: Sequence[str], order: Sequence[str]
     return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
 
 
-def in_interval(df: DataFrame, spans: DataFrame, on, at: str, start: str, end: str, how: str = "left") -> DataFrame:
+# A key with more spans than these is cut by time.
+MANY_SPANS = 64
+
+
+def in_interval(df: DataFrame, spans: DataFrame, on, at: str, start: str, end: str, how: str = "left", width: str = "month", many: int = MANY_SPANS) -> DataFrame:
     """Equi-join plus `start <= at < end`; an open end is NULL.
 
-    The equality keeps it a hash or merge join; the range is a residual filter on it.
+    Within a key every row would meet every span. So the spans of a key that has more than `many` are laid out over the
+    `width`s (month, day, hour) of time they touch, as far as `df` reaches, and the bucket joins the equality; a row then meets
+    the spans of its bucket. Other keys are one bucket. The result does not depend on either.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    right = spans.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in spans.columns if c not in keys])
-    cond = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
+    named = [F.col(k).alias(f"_k_{k}") for k in keys]
+    right = spans.select(*named, *[c for c in spans.columns if c not in keys])
+    same = F.lit(True)
     for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_k_{k}"))
-    return df.join(right, cond, how).drop(*[f"_k_{k}" for k in keys])
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+    busy = spans.groupBy(*named).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > many).drop("_n").withColumn("_busy", F.lit(True))
+
+    def cut(time: Column) -> Column:
+        return F.date_trunc(width, time.cast("timestamp"))
+
+    reach = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+    lo, hi = reach.select("lo").scalar(), reach.select("hi").scalar()
+    first, last = F.greatest(F.col(start), lo), F.coalesce(F.least(F.col(end), hi), hi)
+    touched = F.when(first <= last, F.sequence(cut(first), cut(last), F.expr(f"interval 1 {width}")))
+    whole = F.lit("1970-01-01").cast("timestamp")
+    right = right.join(busy, [f"_k_{k}" for k in keys], "left")
+    right = right.withColumn("_bucket", F.explode(F.when(F.col("_busy"), touched).otherwise(F.array(whole)))).drop("_busy")
+    left = df.join(busy, same, "left").drop(*[f"_k_{k}" for k in keys])
+    left = left.withColumn("_of", F.when(F.col("_busy"), cut(F.col(at))).otherwise(whole)).drop("_busy")
+    cond = same & (F.col("_of") == F.col("_bucket")) & (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
+    return left.join(right, cond, how).drop(*[f"_k_{k}" for k in keys], "_of", "_bucket")

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.rules import GateError
-from tallyhouse.session import settle
 
 
 def _parent_keys(parent: DataFrame, child_keys: Sequence[str], parent_keys: Sequence[str]) -> DataFrame:
@@ -54,18 +53,10 @@ def orphans(df: DataFrame, parent: DataFrame, key, parent_key=None) -> DataFrame
     return found.join(_parent_keys(parent, keys, parents), keys, "left_anti")
 
 
-def orphan_report(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None, show: int = 1000) -> DataFrame:
-    """One row: number of orphan keys and rows, and the first `show` keys as one text.
-
-    The text is for a message. The numbers are of all orphans, and `orphans` gives
-    every one of them.
-    """
-    lost = settle(orphans(df, parent, key, parent_key), "orphans")
-    name = F.col(key).cast("string")
-    totals = lost.agg(F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"))
-    first = lost.select(name.alias("k")).orderBy("k").limit(show)
-    keys = first.agg(F.array_join(F.array_sort(F.collect_list("k")), ", ").alias("keys"))
-    return totals.select("orphan_keys", "orphan_rows", F.nullif(keys.scalar(), F.lit("")).alias("keys"))
+def orphan_counts(df: DataFrame, parent: DataFrame, key, parent_key=None) -> DataFrame:
+    """One row: number of orphan keys and of rows that have one; `orphans` names every key."""
+    lost = orphans(df, parent, key, parent_key)
+    return lost.agg(F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows"))
 
 
 def fk_gate(df: DataFrame, parent: DataFrame, key, parent_key=None, message: str = "unknown keys") -> DataFrame:

@@ -74,7 +74,8 @@ def merge(
 
     bucket = None
     if width:
-        bucket = F.when(F.col("_new") == 0, F.lit(-(1 << 62))).otherwise(F.unix_micros(F.date_trunc(width, F.col("_at").cast("timestamp"))))
+        # The stored state comes first, then states without a time.
+        bucket = F.when(F.col("_new") == 0, F.lit(-(1 << 62))).when(F.col("_at").isNull(), F.lit(-(1 << 61))).otherwise(F.unix_micros(F.date_trunc(width, F.col("_at").cast("timestamp"))))
     sequence = ["_new", "_at", *order]
     seen = windows.neighbours(states, [key], sequence, lag=[*tracked, "_one"], bucket=bucket, hot_rows=hot_rows)
     changed = F.col("prev__one").isNull()
@@ -115,10 +116,10 @@ def with_id(dim: DataFrame, key: str, out: str) -> DataFrame:
     return dim.withColumn(out, S.surrogate(key, "version_number"))
 
 
-def as_of(fact: DataFrame, dim: DataFrame, key: str, at: str, columns: Sequence[str], how: str = "left") -> DataFrame:
-    """Attributes that were valid at the time of each fact row."""
+def as_of(fact: DataFrame, dim: DataFrame, key: str, at: str, columns: Sequence[str], how: str = "left", width: str = "month", many: int = joins.MANY_SPANS) -> DataFrame:
+    """Attributes that were valid at the time of each fact row; `width` and `many` as in `joins.in_interval`."""
     spans = dim.select(key, "start_date", "end_date", *columns)
-    return joins.in_interval(fact, spans, key, at, "start_date", "end_date", how).drop("start_date", "end_date")
+    return joins.in_interval(fact, spans, key, at, "start_date", "end_date", how, width, many).drop("start_date", "end_date")
 
 
 def check(dim: DataFrame, key: str, width: str | None = None) -> DataFrame:

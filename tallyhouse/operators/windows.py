@@ -29,8 +29,9 @@ def neighbours(
     """Adds `prev_<c>`, `next_<c>` and `run_<c>` (sum up to this row) per key in `order`.
 
     A key with more than `hot_rows` rows is cut by `bucket`, which must never fall as
-    `order` rises (the hour of the time, say), so that no task holds all of it; the
-    others, and all keys without a bucket, are one window each. Counting the keys is a
+    `order` rises, NULL first (the hour of the time, say), so that no task holds all of
+    it; the others, and all keys without a bucket, are one window each. Both ways give
+    the same result, also where keys, order columns or values are NULL. Counting the keys is a
     job of its own that reads only the key columns.
     """
     plain = (list(keys), order, lag, lead, running)
@@ -77,8 +78,8 @@ def _cut(df: DataFrame, bucket: Column, keys, order, lag, lead, running) -> Data
         carried.append(F.lag("_last").over(across).alias("_last"))
     if lead:
         carried.append(F.lead("_first").over(across).alias("_first"))
-    carried += [F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_sum_{c}") for c in running]
-    same = (F.col("_b") == F.col("_kb")) & _same_keys(keys)
+    carried += [F.sum(f"_sum_{c}").over(before).alias(f"_sum_{c}") for c in running]
+    same = F.col("_b").eqNullSafe(F.col("_kb")) & _same_keys(keys)
     joined = _within(cut.join(edges.select(*carried), same, "left"), [*keys, "_b"], order, lag, lead, running)
     out = [F.col(c) for c in df.columns]
     edge = Window.partitionBy(*keys, "_b").orderBy(*order)
@@ -90,7 +91,8 @@ def _cut(df: DataFrame, bucket: Column, keys, order, lag, lead, running) -> Data
         last = F.lead(F.lit(1)).over(edge).isNull()
         joined = joined.withColumn("_is_last", last)
         out += [F.when(F.col("_is_last"), F.col(f"_first.{c}")).otherwise(F.col(f"next_{c}")).alias(f"next_{c}") for c in lead]
-    out += [(F.col(f"run_{c}") + F.col(f"_sum_{c}")).alias(f"run_{c}") for c in running]
+    # As with one window: NULL only while no value has come yet.
+    out += [F.coalesce(F.col(f"run_{c}") + F.col(f"_sum_{c}"), F.col(f"run_{c}"), F.col(f"_sum_{c}")).alias(f"run_{c}") for c in running]
     return joined.select(*out)
 
 
@@ -159,14 +161,26 @@ def share_of_total(df: DataFrame, shares: Mapping[str, str]) -> DataFrame:
     return df.withColumns({out: S.ratio(F.col(value), df.agg(F.sum(value)).scalar()) for value, out in shares.items()})
 
 
-def descending_prefix(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
+# Distinct values summed in one task.
+RANGE_ROWS = 1_000_000
+
+
+def _ranges(df: DataFrame, value: str) -> int:
+    """So many ranges that one holds about `RANGE_ROWS` distinct values, 8 at least."""
+    distinct = df.agg(F.approx_count_distinct(value)).first()[0]
+    return max(8, -(-distinct // RANGE_ROWS))
+
+
+def descending_prefix(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
     """For every distinct value, from the highest down: rows and sum at it and above it.
 
     Columns: `value`, n, n_before, distinct_before, n_through, sum_through. Values are
     grouped first, so equal rows are one row however many there are; the values are cut
     at quantiles into ranges, each summed in its own task, and only the range totals
-    (at most `buckets` rows) go through one.
+    go through one. `buckets` is the number of ranges; without it, it follows the number
+    of distinct values.
     """
+    buckets = buckets or _ranges(df, value)
     at = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.select(F.col(value).cast("double").alias("v")).approxQuantile("v", at, 0.2 / buckets))) if at else []
     values = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
@@ -194,7 +208,7 @@ def descending_prefix(df: DataFrame, value: str, buckets: int = 64) -> DataFrame
     )
 
 
-def rank_desc(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
+def rank_desc(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
     """Adds `rank` and `dense_rank` over the whole table, highest value first.
 
     `df` is read several times: give it a settled table when it is costly.
@@ -203,7 +217,7 @@ def rank_desc(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
     return df.join(places, value)
 
 
-def cumulative_share(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
+def cumulative_share(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
     """Adds the share of rows and of the total at or above each row's value.
 
     Rows of equal value share one result. `df` is settled first, since it is read several times.

@@ -144,7 +144,7 @@ def lifetime_value(fact: DataFrame, width: str | None = None) -> DataFrame:
     return windows.neighbours(monthly, ["player_key"], ["month"], running=["revenue"], bucket=F.trunc("month", width) if width else None).withColumnRenamed("run_revenue", "lifetime_value")
 
 
-def revenue_concentration(fact: DataFrame, buckets: int = 64) -> DataFrame:
+def revenue_concentration(fact: DataFrame, buckets: int | None = None) -> DataFrame:
     """Per player: the share of players who bet at least as much, and their share of all bets."""
     totals = fact.groupBy("player_key").agg(S.total(fact, "bet_amount").alias("revenue"))
     return windows.cumulative_share(totals, "revenue", buckets)

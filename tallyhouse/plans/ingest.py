@@ -26,7 +26,7 @@ class Load:
     report: DataFrame
 
 
-def stage(spark: SparkSession, spec: TableSpec, path: str, multiline: bool = True) -> DataFrame:
+def stage(spark: SparkSession, spec: TableSpec, path: str, multiline: bool = False) -> DataFrame:
     """The text file, with the place of each row where the last row per key wins."""
     df = read_csv_staging(spark, path, list(spec.columns), spec.force_null, multiline)
     return with_scan_order(df) if spec.dedup == "last" else df
@@ -101,10 +101,10 @@ def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents:
     return Load(merged.drop("action"), merged, rejected, lost, report)
 
 
-def load_file(spark: SparkSession, name: str, path: str, current: DataFrame | None = None, parents: Mapping[str, DataFrame] | None = None, **kwargs) -> Load:
-    """Load the file of a known table; the text is parsed once into a staging table."""
+def load_file(spark: SparkSession, name: str, path: str, current: DataFrame | None = None, parents: Mapping[str, DataFrame] | None = None, null_fk: str = "drop", multiline: bool = False) -> Load:
+    """Load the file of a known table; the text is parsed once into a staging table. `multiline` allows quoted line breaks."""
     spec = TABLES[name]
-    return load(spec, settle(stage(spark, spec, path), f"stage-{name}"), current, parents or {}, **kwargs)
+    return load(spec, settle(stage(spark, spec, path, multiline), f"stage-{name}"), current, parents or {}, null_fk)
 
 
 # Parents before children.

@@ -43,7 +43,6 @@ class TableSpec:
     key_folded: bool = False
     trim: Sequence[str] = ()
     normalise: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
-    lenient: Sequence[str] = ()
     defaults: Mapping[str, str] = field(default_factory=dict)
     limits: Mapping[str, int] = field(default_factory=dict)
     force_null: bool = False
@@ -88,7 +87,6 @@ _SPECS = [
         blank="trimmed",
         trim=["game_name"],
         normalise={"type": P.GAME_TYPES},
-        lenient=["min_bet", "max_bet"],
         bad_rows="drop",
         dedup="latest",
         latest_by=["min_bet"],

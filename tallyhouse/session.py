@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings the library is designed for; every one may be set at run time.
@@ -22,16 +23,24 @@ SQL_SETTINGS = {
     # Broadcast only what Spark measured as small; nothing in the library hints it.
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    # Adaptive execution lowers the number of shuffle partitions to what the data needs and never
+    # raises it, so it starts high. On terabytes set it to about the input's gigabytes times ten.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     # Spark 4.1 may take a union of shuffled inputs for partitioned by their key and then,
     # after the adaptive coalescing of one input, fails to line up the partitions.
     "spark.sql.unionOutputPartitioning": "false",
 }
 
 
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set them on a session that was built elsewhere."""
+    """Set them on a session that was built elsewhere; a number of shuffle partitions that someone chose stays."""
+    chosen = spark.conf.get("spark.sql.shuffle.partitions") != "200" or spark.conf.get(INITIAL, None) is not None
     for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
+        if key != INITIAL or not chosen:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -40,32 +49,45 @@ def build_session(app: str = "tallyhouse", master: str | None = None, partitions
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
+    settings = {**SQL_SETTINGS, **extra}
     if partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
-    for key, value in {**SQL_SETTINGS, **extra}.items():
+        settings |= {"spark.sql.shuffle.partitions": str(partitions), INITIAL: str(partitions)}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in `spark.checkpoint.dir`.
+# Folders given out by `scratch`, by application.
+_GIVEN: dict[str, list[str]] = {}
 
-    Only a local session, where driver and executors are one machine, may go
-    without the setting.
-    """
+
+def work_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach: `spark.checkpoint.dir`, or else a folder in the warehouse, which is shared too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return os.path.join(tempfile.gettempdir(), "tallyhouse-work")
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name inside the shared folder."""
-    return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders given out within the block when it ends; results have to be written or collected before."""
+    given = _GIVEN.setdefault(spark.sparkContext.applicationId, [])
+    before = len(given)
+    try:
+        yield
+    finally:
+        for path in given[before:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del given[before:]
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

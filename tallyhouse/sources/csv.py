@@ -13,13 +13,27 @@ NO_NULL_TEXT = "\u0001"
 SCAN_ORDER = ("_file", "_block", "_row")
 
 
-def read_csv_staging(spark: SparkSession, path: str, columns: Sequence[str], force_null: bool = False, multiline: bool = True) -> DataFrame:
+class BrokenLines(Exception):
+    """A file has line breaks inside quoted fields and was read line by line."""
+
+
+def check_lines(spark: SparkSession, path: str) -> None:
+    """Refuse a file in which some line has an odd number of quotes: a quoted field goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    broken = spark.read.text(path).where(quotes % 2 == 1).limit(1).count()
+    if broken:
+        raise BrokenLines(f"{path} has line breaks inside quotes; read it with multiline=True")
+
+
+def read_csv_staging(spark: SparkSession, path: str, columns: Sequence[str], force_null: bool = False, multiline: bool = False) -> DataFrame:
     """Every column as text, in file order, types never inferred.
 
     An unquoted empty field is NULL and a quoted one is ''; force_null makes both NULL.
-    multiline=True reads quoted line breaks, one task per file; set it to False for
-    large files without such breaks, which are then split.
+    A file is split into tasks, line by line, which a quoted line break rules out: such a
+    file is refused. multiline=True reads it, one task per file.
     """
+    if not multiline:
+        check_lines(spark, path)
     reader = spark.read.schema(_text_schema(columns)).option("header", True).option("multiLine", multiline).option("escape", '"')
     if force_null:
         reader = reader.option("nullValue", "")

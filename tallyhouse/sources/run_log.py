@@ -46,7 +46,7 @@ def run_step(spark: SparkSession, path: str, process: str, step: Callable[[], in
     try:
         done = step()
     except Exception as err:
-        log_event(spark, path, process, ERROR, error=str(err)[:4000], start=start)
+        log_event(spark, path, process, ERROR, error=str(err), start=start)
         raise
     log_event(spark, path, process, COMPLETED, done or 0, start=start)
     return done

@@ -5,7 +5,7 @@ import pytest
 from tallyhouse.operators.rules import GateError
 from tallyhouse.plans import ingest
 from tallyhouse.schemas import TABLES
-from tallyhouse.sources.csv import read_csv_staging, with_scan_order, write_csv
+from tallyhouse.sources.csv import BrokenLines, read_csv_staging, with_scan_order, write_csv
 
 FILES = {
     "player": """email,first_name,last_name,dob,phone,registration_date,loyalty_points
@@ -97,7 +97,7 @@ def loads(spark, tmp_path_factory):
     for name in ingest.LOAD_ORDER:
         path = folder / f"{name}.csv"
         path.write_text(FILES[name])
-        done[name] = ingest.load_file(spark, name, str(path), parents=tables)
+        done[name] = ingest.load_file(spark, name, str(path), parents=tables, multiline=name == "audit_log")
         tables[name] = done[name].rows
     return done
 
@@ -199,11 +199,13 @@ def test_transaction_without_game_may_be_kept(spark, loads, rows):
 def test_empty_and_missing_fields(spark, rows, tmp_path):
     path = tmp_path / "f.csv"
     path.write_text('a,b,c\n1,"",\n2,"x ""y""\nz",w\n')
-    assert rows(read_csv_staging(spark, str(path), ["a", "b", "c"])) == [("1", "", None), ("2", 'x "y"\nz', "w")]
-    assert rows(read_csv_staging(spark, str(path), ["a", "b", "c"], force_null=True)) == [("1", None, None), ("2", 'x "y"\nz', "w")]
+    with pytest.raises(BrokenLines):
+        read_csv_staging(spark, str(path), ["a", "b", "c"])
+    assert rows(read_csv_staging(spark, str(path), ["a", "b", "c"], multiline=True)) == [("1", "", None), ("2", 'x "y"\nz', "w")]
+    assert rows(read_csv_staging(spark, str(path), ["a", "b", "c"], force_null=True, multiline=True)) == [("1", None, None), ("2", 'x "y"\nz', "w")]
     out = str(tmp_path / "out")
-    write_csv(read_csv_staging(spark, str(path), ["a", "b", "c"]), out)
-    assert rows(read_csv_staging(spark, out, ["a", "b", "c"])) == [("1", "", None), ("2", 'x "y"\nz', "w")]
+    write_csv(read_csv_staging(spark, str(path), ["a", "b", "c"], multiline=True), out)
+    assert rows(read_csv_staging(spark, out, ["a", "b", "c"], multiline=True)) == [("1", "", None), ("2", 'x "y"\nz', "w")]
 
 
 def test_scan_order(spark, tmp_path):

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -29,6 +30,24 @@ def test_cut_windows_equal_whole_ones(spark, rows):
             assert rows(cut.select(*whole.columns)) == rows(whole)
 
 
+def test_cut_windows_equal_whole_ones_with_nulls(spark, rows):
+    """Keys, times and values that are NULL here and there, in every combination."""
+    rng = random.Random(5)
+    for _ in range(4):
+        data = []
+        for i in range(150):
+            key = rng.choice([None, "hot", "hot", f"k{rng.randint(0, 2)}"])
+            time = None if rng.random() < 0.25 else datetime(2024, 1, 1) + timedelta(minutes=rng.randint(0, 2000))
+            data.append((key, time, i, None if rng.random() < 0.5 else rng.randint(-3, 3)))
+        df = spark.createDataFrame(data, "k string, at timestamp_ntz, id int, v int")
+        bucket = F.date_trunc("hour", F.col("at").cast("timestamp"))
+        for args in ({"lag": ["at", "v"], "lead": ["v"], "running": ["v"]}, {"lag": ["at"], "lead": ["at"]}):
+            whole = windows.neighbours(df, ["k"], ["at", "id"], **args)
+            for hot_rows in (0, 40):
+                cut = windows.neighbours(df, ["k"], ["at", "id"], bucket=bucket, hot_rows=hot_rows, **args)
+                assert rows(cut.select(*whole.columns)) == rows(whole)
+
+
 def test_minutes_round_half_up(spark, rows):
     at = [datetime(2024, 1, 1, 0, 0, 0), datetime(2024, 1, 1, 0, 1, 30), datetime(2024, 1, 1, 0, 2, 59)]
     df = spark.createDataFrame([("a", x) for x in at], "k string, at timestamp_ntz")
@@ -39,7 +58,7 @@ def test_distributed_ranks_and_shares(spark):
     values = [i % 17 if i % 3 else 5 for i in range(400)] + [None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
     known = [v for v in values if v is not None]
-    for buckets in (1, 8, 64):
+    for buckets in (1, 8, 64, None):
         got = {r["id"]: r for r in windows.rank_desc(df, "v", buckets).collect()}
         assert len(got) == 400
         for i, v in enumerate(values[:-1]):
