@@ -7,4 +7,4 @@ __all__ = ["ORACLES", "QUERIES", "load_all", "run"]
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tallyhouse.catalog import dashboards, history, loading, reports, star, streams  # noqa: F401
+    from tallyhouse.catalog import dashboards, files, history, loading, reports, star, streams  # noqa: F401

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.bindings import AS_OF
@@ -9,7 +12,8 @@ from tallyhouse.catalog import sql as Q
 from tallyhouse.catalog.history import DEVICE, FEED_ROWS, priority_feed
 from tallyhouse.catalog.registry import query
 from tallyhouse.catalog.star import BRIDGE
-from tallyhouse.operators import scd2
+from tallyhouse.functions import scalars as S
+from tallyhouse.operators import dimensions, scd2
 from tallyhouse.plans.warehouse import History, Warehouse, run_cycle
 from tallyhouse.session import scratch, settle
 from tallyhouse.sources.tables import Store, read_table
@@ -167,28 +171,100 @@ def stream_sessions(t):
     return read_table(t.spark, table)
 
 
+@query(
+    "stream_staff",
+    """WITH c AS (SELECT s_suppkey, unnest([0, 1, 2]) AS step, s_name, s_nationkey FROM supplier),
+    p AS (SELECT *, CASE WHEN s_suppkey % 3 = 0 AND step > 0 THEN 'Floor Manager' WHEN s_suppkey % 3 = 1 AND step = 2 THEN 'Security' ELSE 'Dealer' END AS position FROM c WHERE NOT (s_suppkey % 7 = 0 AND step = 0)),
+    f AS (SELECT *, lag(position) OVER w AS before FROM p WINDOW w AS (PARTITION BY s_suppkey ORDER BY step)),
+    v AS (SELECT s_suppkey, s_name, s_nationkey, position, step, lead(step) OVER w AS until, row_number() OVER w AS version_number FROM f WHERE before IS NULL OR before <> position WINDOW w AS (PARTITION BY s_suppkey ORDER BY step))
+    SELECT s_suppkey AS staff_key, s_name AS first_name, CAST(s_nationkey AS VARCHAR) AS last_name, position, CASE position WHEN 'Floor Manager' THEN 'Management' WHEN 'Security' THEN 'Security' ELSE 'Gaming' END AS department,
+      true AS is_active, CAST(TIMESTAMP '2024-01-01' + to_days(CAST(step AS INTEGER)) AS VARCHAR) AS start_date, CAST(TIMESTAMP '2024-01-01' + to_days(CAST(until AS INTEGER)) AS VARCHAR) AS end_date, until IS NULL AS is_current, version_number FROM v""",
+)
+def stream_staff(t):
+    """States of the staff on three days as a stream: some are promoted, some come late; each step is a part of its own."""
+    k, step = F.col("staff_email"), F.col("step")
+    states = t.staff().withColumn("step", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).where(~((k % 7 == 0) & (step == 0)))
+    position = F.when((k % 3 == 0) & (step > 0), "Floor Manager").when((k % 3 == 1) & (step == 2), "Security").otherwise("Dealer")
+    at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(step)
+    feed = states.withColumn("position", position).select(F.col("staff_email").alias("staff_key"), "first_name", "last_name", "position", S.department("position").alias("department"), F.lit(True).alias("is_active"), at.alias("at"))
+    table, checkpoint = jobs.new_paths(t.spark, "stream-staff")
+    history = History(Store(t.spark, table), "dim_staff", "staff_key")
+    jobs.in_steps(feed, "at", ("2024-01-02", "2024-01-03"), lambda changes: jobs.scd2_stream(changes, history, dimensions.STAFF_TRACKED, "at", checkpoint))
+    return history.rows()
+
+
 # -- cycles
 
 
+LOADED = {
+    "dim_time": ("count(DISTINCT CAST(ts AS DATE))", "(SELECT sum(day(d)) FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events))", "events", lambda: F.sum("day_of_month")),
+    "dim_game": ("count(DISTINCT event_type)", "(SELECT sum(m) FROM (SELECT max(CAST(value AS DECIMAL(10,2))) AS m FROM events GROUP BY event_type))", "events", lambda: F.sum("max_bet")),
+    "dim_location": ("count(*)", "sum(length(n_name) + 6)", "nation", lambda: F.sum(F.length("location_name"))),
+    "dim_slot_machine": ("count(*)", "count(*) FILTER (WHERE s_suppkey % 3 = 0)", "supplier", lambda: F.count_if("is_active")),
+    "dim_player": ("count(*)", f"sum(length({Q.TIER_WAREHOUSE.format(p='CAST(floor(c_acctbal) AS BIGINT)')}))", "customer", lambda: F.sum(F.length("loyalty_tier"))),
+    "dim_staff": ("count(*)", "sum(CASE s_suppkey % 5 WHEN 0 THEN 10 WHEN 1 THEN 6 WHEN 2 THEN 8 ELSE 10 END)", "supplier", lambda: F.sum(F.length("department"))),
+    "dim_device": ("count(DISTINCT device)", "count(DISTINCT device) FILTER (WHERE device_type = 'Mobile')", "devices", lambda: F.count_if("is_mobile")),
+    "gaming": ("count(*)", "sum(amount_won - amount_bet)", "eplays", lambda: F.sum("net_result")),
+    "transactions": ("count(*)", "sum(amount)", "txn", lambda: F.sum("amount")),
+    "bridge_changes": ("count(DISTINCT (player_email, game_name))", "sum(amount_won)", "eplays", lambda: F.sum("total_win_amount")),
+    "daily_summary": ("count(DISTINCT (CAST(play_time AS DATE), game_name))", "count(DISTINCT (CAST(play_time AS DATE), game_name, player_email))", "eplays", lambda: F.sum("total_players")),
+}
+
+
 @query(
     "initial_load",
-    f"""WITH {DEVICE} SELECT 'dim_time' AS table_name, count(DISTINCT CAST(ts AS DATE)) AS row_count FROM events UNION ALL SELECT 'dim_game', count(DISTINCT event_type) FROM events
-    UNION ALL SELECT 'dim_location', count(*) FROM nation UNION ALL SELECT 'dim_slot_machine', count(*) FROM supplier UNION ALL SELECT 'dim_player', count(*) FROM customer
-    UNION ALL SELECT 'dim_staff', count(*) FROM supplier UNION ALL SELECT 'dim_device', count(DISTINCT device) FROM devices UNION ALL SELECT 'gaming', count(*) FROM events
-    UNION ALL SELECT 'transactions', count(*) FROM events UNION ALL SELECT 'bridge_game_player', count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)
-    UNION ALL SELECT 'daily_summary', count(*) FROM (SELECT DISTINCT CAST(ts AS DATE), event_type FROM events)""",
+    f"WITH {DEVICE}, {Q.EVENT_PLAYS}, {Q.TXN} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, {rows} AS row_count, {Q.dbl(total)} AS total FROM {source}" for n, (rows, total, source, _) in LOADED.items()),
 )
 def initial_load(t):
-    """Everything from the sources to the summaries in one cycle; rows per table."""
-    from tallyhouse.operators.quality import row_counts
-
+    """Everything from the sources to the summaries in one cycle: rows and a total of values for each table."""
     src = sources(t) | {"player_game": t.event_plays(), "slot_machine": t.slot_machine(), "transaction": t.transaction().withColumn("game_name", F.lit(None).cast("string"))}
     house = Warehouse(t.spark, scratch(t.spark, "initial"))
     run_cycle(house, src, F.lit(AS_OF).cast("timestamp_ntz"), 0)
-    house.compact_bridge(0)
-    names = ("dim_time", "dim_game", "dim_location", "dim_slot_machine", "dim_player", "dim_staff", "dim_device", "bridge_game_player")
-    counted = {n: house.table(n) for n in names} | {n: house.stored(n) for n in ("gaming", "transactions", "daily_summary")}
-    return row_counts(counted)
+    house.compact()
+    tables = {n: house.daily_summary() if n == "daily_summary" else house.table(n) for n in LOADED}
+    counted = [tables[n].agg(F.count(F.lit(1)).alias("row_count"), total().cast("double").alias("total")).select(F.lit(n).alias("table_name"), "row_count", "total") for n, (*_, total) in LOADED.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+HALF = "2024-01-15 12:00:00"
+NET = Q.dbl("amount_won - amount_bet")
+KEYS = "CAST({a} AS VARCHAR) AS key_a, CAST({b} AS VARCHAR) AS key_b, CAST({c} AS VARCHAR) AS key_c"
+
+
+@query(
+    "load_then_stream",
+    f"""WITH {Q.EVENT_FACT}, {EVENT_PLACE}, {Q.TXN}
+    SELECT 'gaming' AS table_name, {KEYS.format(a='player_email', b='game_name', c='play_time')}, 1 AS n, {NET} AS total, minutes FROM efact
+    UNION ALL SELECT 'bridge', {KEYS.format(a='player_email', b='game_name', c='max(play_time)')}, count(*), {Q.dbl('sum(amount_bet)')}, NULL FROM efact GROUP BY player_email, game_name
+    UNION ALL SELECT 'daily', {KEYS.format(a='full_date', b='location_code', c='game_name')}, count(DISTINCT player_email), {Q.dbl('sum(amount_won - amount_bet)')}, NULL FROM efact JOIN place USING (game_name) GROUP BY full_date, location_code, game_name
+    UNION ALL SELECT 'transactions', {KEYS.format(a='transaction_code', b='transaction_type', c='transaction_time')}, 1, {Q.dbl('amount')}, NULL FROM txn""",
+)
+def load_then_stream(t):
+    """A first load of the events up to the middle, numbered 0, then the rest as streams in two steps, numbered from 0 too, into one warehouse."""
+    src = sources(t)
+    house = Warehouse(t.spark, scratch(t.spark, "load-stream"))
+    plays, money = t.event_plays(), t.transaction().withColumn("game_name", F.lit(None).cast("string"))
+    middle = F.lit(HALF).cast("timestamp_ntz")
+    first = {"player_game": plays.where(F.col("play_time") < middle), "transaction": money.where(F.col("transaction_time") < middle)}
+    run_cycle(house, src | first, F.lit(AS_OF).cast("timestamp_ntz"), 0, session="hour")
+    later = plays.where(F.col("play_time") >= middle)
+    jobs.in_steps(later, "play_time", CUTS[1:], lambda stream: jobs.gaming_stream(stream, house, src, f"{house.root}/checkpoint-plays", session="hour"))
+    later = money.where(F.col("transaction_time") >= middle)
+    jobs.in_steps(later, "transaction_time", CUTS[1:], lambda stream: jobs.transaction_stream(stream, house, src, f"{house.root}/checkpoint-money"))
+
+    def shaped(df, name, a, b, c, n, total, minutes=None):
+        keys = [F.col(x).cast("string").alias(k) for x, k in ((a, "key_a"), (b, "key_b"), (c, "key_c"))]
+        extra = F.col(minutes) if minutes else F.lit(None)
+        return df.select(F.lit(name).alias("table_name"), *keys, n.cast("long").alias("n"), F.col(total).cast("double").alias("total"), extra.cast("long").alias("minutes"))
+
+    one = F.lit(1)
+    parts = [
+        shaped(house.gaming(), "gaming", "player_key", "game_name", "play_time", one, "net_result", "session_duration_minutes"),
+        shaped(house.bridge(), "bridge", "player_key", "game_name", "last_play_date", F.col("total_plays"), "total_bet_amount"),
+        shaped(house.daily_summary(), "daily", "full_date", "location_code", "game_name", F.col("total_players"), "net_revenue"),
+        shaped(house.table("transactions"), "transactions", "transaction_code", "transaction_type", "transaction_time", one, "amount"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("incremental_cycle", DAILY_SQL)

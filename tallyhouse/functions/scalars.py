@@ -199,6 +199,12 @@ def surrogate(*cols: Column | str) -> Column:
     return F.xxhash64(*[_c(c) for c in cols])
 
 
+def row_uuid(*cols: Column | str) -> Column:
+    """A key in the form of a UUID, from the row's own values: a retried task gives the same one."""
+    digest = F.md5(F.to_json(F.struct(*[_c(c).alias(f"c{i}") for i, c in enumerate(cols)])).cast("binary"))
+    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+
+
 def points_earned(kind: Column | str, amount: Column | str) -> Column:
     return F.when(_c(kind) == "Bet", F.floor(_c(amount))).otherwise(F.lit(0)).cast("int")
 

@@ -17,7 +17,7 @@ def con():
 
 
 # Whole warehouse cycles take half a minute each; tests/test_streams.py covers them on small data.
-SLOW = ("stream_daily_summary", "stream_bridge", "stream_late_dimension", "stream_txn_fact", "stream_scd2_check", "initial_load", "incremental_cycle")
+SLOW = ("stream_daily_summary", "stream_bridge", "stream_late_dimension", "stream_txn_fact", "stream_scd2_check", "initial_load", "incremental_cycle", "load_then_stream", "stream_staff")
 
 
 @pytest.mark.parametrize("name", [n for n in contract.queries() if os.environ.get("TEST_SLOW") or n not in SLOW])
