@@ -4,7 +4,7 @@
    A passage's informative terms are those in at most `stop_share` of all passages, and its `rarest` rarest ones anyway.
 2. Every document is reduced to where informative terms stand in it. On that table, which is small, the corpus passages form a
    TF-IDF matrix, whose leading right singular vectors are found by a randomised SVD: tasks multiply their rows with a random
-   matrix and back, the products are added up, and one Rayleigh-Ritz step turns them into singular vectors. The benchmark's own
+   matrix and back, twice, the products are added up, and one Rayleigh-Ritz step turns them into singular vectors. The benchmark's own
    passages weigh as much as the corpus, so that the latent space holds all of them.
 3. Windows of every document that share at least a quarter of a passage's informative terms are compared with it by their
    cosine in the latent space.
@@ -223,7 +223,8 @@ def latent_space(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, n_
         return corpus_gram(sieved, idf, right) + weight * mine
 
     start = np.random.default_rng(seed).normal(size=(len(idf), min(len(idf), rank + 16)))
-    basis, _ = np.linalg.qr(product(start))
+    # A second product draws the basis towards the leading vectors.
+    basis, _ = np.linalg.qr(product(np.linalg.qr(product(start))[0]))
     _, turn = np.linalg.eigh(basis.T @ product(basis))
     return (basis @ turn[:, ::-1])[:, :rank]
 

@@ -35,6 +35,12 @@ def sample(rows: DataFrame, label: str, limit: int, id: str = "doc_id") -> DataF
     return salted.withColumn("turn", turn).where(F.col("turn") <= limit).orderBy("turn", "salt", F.xxhash64("id"), "id", "label").limit(limit).select("id", "label")
 
 
+def natural_sample(rows: DataFrame, label: str, limit: int, id: str = "doc_id") -> DataFrame:
+    """At most `limit` rows (id, label), chosen by a hash of the id, labels as frequent as they are."""
+    known = rows.where(F.col(id).isNotNull() & F.col(label).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(label).alias("label"))
+    return known.orderBy(F.xxhash64("id"), "id", "label").limit(limit)
+
+
 def collect_features(docs: DataFrame, chosen: DataFrame, features: Features, id: str = "doc_id", text: str = "text") -> list[tuple]:
     """(label, ids, values) of the chosen rows, values empty for all 1; `chosen` is bounded by `sample`, so it is broadcast and collected."""
 

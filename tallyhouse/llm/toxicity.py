@@ -46,7 +46,7 @@ class Model:
     table: np.ndarray
 
 
-def fit(rows: list[tuple], rank: int = 4, epochs: int = 8, batch: int = 256, rate: float = 0.1, ridge: float = 1e-5, min_docs: int = 5, min_chi2: float = 20.0, common: float = 0.2, seed: int = 7) -> Model:
+def fit(rows: list[tuple], rank: int = 4, epochs: int = 16, batch: int = 256, rate: float = 0.1, ridge: float = 1e-5, min_docs: int = 5, min_chi2: float = 20.0, common: float = 0.2, seed: int = 7) -> Model:
     """Logistic loss by Adagrad over mini-batches; rows are (label, term ids, _)."""
     table = np.zeros((1 << BITS, 1 + rank), np.float32)
     if not rows:
@@ -65,10 +65,10 @@ def fit(rows: list[tuple], rank: int = 4, epochs: int = 8, batch: int = 256, rat
     known = [p[p >= 0] for p in (place[r[1]] for r in rows)]
     local, bounds = np.concatenate(known), np.concatenate(([0], np.cumsum([len(k) for k in known])))
     rng = np.random.default_rng(seed)
-    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    share = float(y.mean())
     weights = np.zeros((len(kept), 1 + rank))
     weights[:, 1:] = rng.normal(0, 0.01, (len(kept), rank))
-    bias = np.array([np.log(share / (1 - share))])
+    bias = np.array([_logit(share)])
     step, step_bias = Adagrad(weights.shape, rate), Adagrad(1, rate)
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -100,8 +100,21 @@ def score_block(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 16_000, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Fit on labelled rows: `labels` has the id and a 0/1 label."""
-    return fit(collect_features(docs, sample(labels, label, max_train, id), terms, id, text))
+    """Fit on labelled rows: `labels` has the id and a 0/1 label.
+
+    The sample has as many toxic rows as there are; the bias is then set back to their share among all labelled rows.
+    """
+    rows = collect_features(docs, sample(labels, label, max_train, id), terms, id, text)
+    model = fit(rows)
+    all_rows = labels.where(F.col(id).isNotNull()).agg(F.avg(F.col(label).cast("double"))).first()[0]
+    if rows and all_rows is not None:
+        model.bias += _logit(all_rows) - _logit(np.mean([float(r[0]) for r in rows]))
+    return model
+
+
+def _logit(share: float) -> float:
+    share = min(max(share, 1e-3), 1 - 1e-3)
+    return float(np.log(share / (1 - share)))
 
 
 def scores(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
