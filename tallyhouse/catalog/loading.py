@@ -281,6 +281,12 @@ def upsert_result(t):
     return merge.upsert(first_snapshot(t), second_snapshot(t), "c_custkey")
 
 
+@query("upsert_like_sized", f"WITH {SNAPSHOTS} SELECT c_custkey, c_name, CAST(c_acctbal AS DOUBLE) AS c_acctbal, action FROM merged")
+def upsert_like_sized(t):
+    """The same by one full outer join, for a batch as large as the table."""
+    return merge.upsert(first_snapshot(t), second_snapshot(t), "c_custkey", like_sized=True)
+
+
 @query(
     "upsert_action_counts",
     f"""WITH {SNAPSHOTS} SELECT count(*) FILTER (WHERE action = 'insert') AS inserted, count(*) FILTER (WHERE action = 'update') AS updated,
@@ -388,7 +394,7 @@ def load_report(t):
     CASE WHEN e3 THEN 'dob not date' END, CASE WHEN e4 THEN 'loyalty_points not int' END], lambda x: x IS NOT NULL), '; ') AS reasons FROM checked WHERE e1 OR e2 OR e3 OR e4""",
 )
 def load_rejects(t):
-    bad = ingest.load(TABLES["player"], dirty_players(t), loaded_players(t), {}).rejected
+    bad = ingest.rejects(TABLES["player"], dirty_players(t))
     return bad.select("email", "first_name", F.array_join("reasons", "; ").alias("reasons"))
 
 

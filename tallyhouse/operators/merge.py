@@ -16,11 +16,13 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def upsert(current: DataFrame, incoming: DataFrame, key, compare: Sequence[str] | None = None) -> DataFrame:
+def upsert(current: DataFrame, incoming: DataFrame, key, compare: Sequence[str] | None = None, like_sized: bool = False) -> DataFrame:
     """The new table with a column `action`: insert, update, same or keep.
 
     A row is updated only where a compared column differs (NULL equals NULL). Columns
-    are those of `current`; keys are unique and not NULL on both sides.
+    are those of `current`; keys are unique and not NULL on both sides. A small batch is
+    broadcast, and the current table, read twice, stays where it is. For a batch about as
+    large as the table `like_sized` reads and shuffles both once, in a full outer join.
     """
     keys = _keys(key)
     values = [c for c in current.columns if c not in keys]
@@ -30,6 +32,11 @@ def upsert(current: DataFrame, incoming: DataFrame, key, compare: Sequence[str]
     for c in compare:
         changed = changed | ~F.col(c).eqNullSafe(F.col(f"_in_{c}"))
     action = F.when(F.col("_in").isNull(), "keep").when(changed, "update").otherwise("same")
+    if like_sized:
+        known = current.withColumn("_now", F.lit(True))
+        merged = known.join(batch, keys, "full").withColumn("action", F.when(F.col("_now").isNull(), "insert").otherwise(action))
+        taken = F.col("action").isin("insert", "update")
+        return merged.select(*[c if c in keys else F.when(taken, F.col(f"_in_{c}")).otherwise(F.col(c)).alias(c) for c in current.columns], "action")
     touched = (
         current.join(batch, keys, "left")
         .withColumn("action", action)

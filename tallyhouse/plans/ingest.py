@@ -40,6 +40,13 @@ def row_rules(spec: TableSpec) -> list[rules.Rule]:
     return out
 
 
+def rejects(spec: TableSpec, staged: DataFrame) -> DataFrame:
+    """The rows that break a row rule, with their `reasons`; nothing is loaded or written."""
+    rows = rules.drop_empty(staged, list(spec.columns)) if spec.force_null else staged
+    checks = row_rules(spec)
+    return rows.where(rules.any_broken(checks)).withColumn("reasons", rules.reasons(checks))
+
+
 def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents: Mapping[str, DataFrame], null_fk: str = "drop") -> Load:
     """Gates run one aggregate each; the rows that get in are written once, since the upsert reads them several times."""
     names = list(spec.columns)
@@ -52,7 +59,7 @@ def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents:
     if spec.bad_rows == "stop":
         rules.gate(rows, checks, f"{spec.name}: validation failed")
     good = rows.where(~bad)
-    rejected = rows.where(bad).withColumn("reasons", rules.reasons(checks))
+    rejected = rejects(spec, staged)
 
     if spec.trim:
         good = rules.trim_cols(good, spec.trim)
