@@ -11,7 +11,8 @@ documents; it decides the order only, so its rounding costs time, never a link.
 
 Sets that share a list are not paired all with all. In rounds, all members of a list meet one member of it (the hub), and what links
 becomes one component. Then members of different components that may still link by size and position are paired, all of them.
-So components are exact, and a group of copies of any size costs its members, not their square.
+So components are exact, and a group of copies of any size costs its members, not their square. Pairs whose lists share too
+little are ruled out first; only of the rest are the texts read again and the whole sets compared.
 
 Lists of shingles that occur very often are spread over their members instead of going to one task. Links, components and sets
 stay tables in the shared folder. Rows without id link with nothing and have no component. Repeated rows, NULL and empty texts:
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
+from tallyhouse.llm.small import join_small
 from tallyhouse.llm.text import LOWER, SPACE, distinct_per_row, hash_spans, mix, row_blocks, rows_of, spans, sum_rows, utf8
 from tallyhouse.session import settle
 
@@ -38,6 +40,7 @@ WORDS = 5
 COUNTERS = 20
 _CHUNK = 4096
 _ODD = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
+RECENT = 16
 # Largest size for which subsets are thought of.
 MOST_SMALL = 12
 
@@ -197,22 +200,55 @@ def posting_pass(docs: DataFrame, counters: np.ndarray, boundary: int, heavy: in
 
 
 def shared_lists(postings: DataFrame) -> DataFrame:
-    """The rows whose key stands in two sets or more; those of spread lists all."""
-    w = Window.partitionBy("deal", "key").orderBy("set")
-    beside = (F.lag("set").over(w) != F.col("set")) | (F.lead("set").over(w) != F.col("set"))
-    return postings.withColumn("beside", beside).where("deal <> 0 OR beside").select("key", "set", "size", "band", "place")
+    """The rows whose key stands in two sets or more, a row for each set, with `n`, the number of sets.
+
+    A key of exactly two sets is one row: the first set, and the other one as `other`. Lists that are spread count as long.
+    """
+    keyed = Window.partitionBy("deal", "key")
+    first = F.coalesce(F.lag("set").over(keyed.orderBy("set")) != F.col("set"), F.lit(True))
+    member = F.struct("set", "size", "band", "place")
+    rows = postings.withColumn("first", first).withColumn("n", F.sum(F.col("first").cast("int")).over(keyed)).withColumn("other", F.max(member).over(keyed))
+    rows = rows.withColumn("n", F.when(F.col("deal") != 0, F.lit(3)).otherwise(F.col("n").cast("int")))
+    return rows.where("first AND (n > 2 OR n = 2 AND set <> other.set)").select("key", "set", "size", "band", "place", "n", F.when(F.col("n") == 2, F.col("other")).alias("other"))
+
+
+def _bits(id: str, bits: int) -> list:
+    return [F.pmod(F.xxhash64(id, F.lit(k)), F.lit(bits)) for k in range(2)]
+
+
+def id_filter(wanted: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits set for the wanted ids, at most 2**26 (8 MB), which come to the driver.
+
+    An id that isn't wanted passes rarely; above some million ids it passes more often, which costs work, no result.
+    """
+    bits = min(1 << 26, max(1 << 12, 1 << (16 * wanted.count()).bit_length()))
+    places = wanted.select(F.explode(F.array(*_bits("id", bits))).alias("bit"))
+    words = places.groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("set"))
+    out = np.zeros(bits // 64, np.int64)
+    for r in words.collect():
+        out[r.word] = r.set
+    return out, bits
 
 
 def load_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`set` and its `shingles`, of the documents whose ids are in `wanted`."""
+    """`set` and its `shingles`, of the documents whose ids are in `wanted`, and now and then of another.
+
+    The texts stay where they are read: a filter of bounded size goes to them instead.
+    """
+    table, bits = id_filter(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, values, bounds in _blocks(batch, 0):
+            passes = np.ones(batch.num_rows, bool)
+            for column in (1, 2):
+                bit = batch.column(column).to_numpy()
+                passes &= shared.value[bit // 64] >> (bit % 64) & 1 == 1
+            for _, _, values, bounds in _blocks(batch.filter(pa.array(passes)), 0):
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(set_ids(values, bounds)), lists], ["set", "shingles"])
 
-    return docs.join(wanted, "id", "left_semi").select("text").mapInArrow(run, "set long, shingles array<long>").dropDuplicates(["set"])
+    return docs.select("text", *_bits("id", bits)).mapInArrow(run, "set long, shingles array<long>").dropDuplicates(["set"])
 
 
 # Sizes s <= t link only if 3 t <= 4 s; from the first shared shingle on, either set has at most what follows it.
@@ -220,14 +256,39 @@ _FITS = "4 * least({x}.size, {y}.size) >= 3 * greatest({x}.size, {y}.size) AND (
 
 
 def _pairs(found: DataFrame, x: str, y: str) -> DataFrame:
+    """(a, b, total, most, subset): sets that may link, their sizes' sum and maximum, and if they share a subset."""
+    columns = [F.least(f"{x}.set", f"{y}.set").alias("a"), F.greatest(f"{x}.set", f"{y}.set").alias("b")]
+    columns += [(F.col(f"{x}.size") + F.col(f"{y}.size")).alias("total"), F.greatest(f"{x}.size", f"{y}.size").alias("most"), (F.col(f"{x}.place") < 0).alias("subset")]
     chosen = found.where(F.expr(_FITS.format(x=x, y=y))).where(f"{x}.set <> {y}.set")
-    return chosen.select(F.least(f"{x}.set", f"{y}.set").alias("a"), F.greatest(f"{x}.set", f"{y}.set").alias("b")).distinct()
+    return chosen.select(*columns).groupBy("a", "b", "total", "most").agg(F.max("subset").alias("subset"))
+
+
+def two_set_pairs(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From the keys of exactly two sets: pairs that may link, and how many such keys any two sets share."""
+    twos = lists.where("n = 2").select(F.struct("set", "size", "place").alias("m"), F.col("other").alias("h"))
+    shared = twos.where("m.place >= 0").groupBy(F.col("m.set").alias("a"), F.col("h.set").alias("b")).agg(F.count("*").alias("twos"))
+    return _pairs(twos, "m", "h"), shared
+
+
+def promising(pairs: DataFrame, twos: DataFrame, long: DataFrame) -> DataFrame:
+    """The pairs whose lists share enough; `twos` and `long` are the shared keys of two sets and of more.
+
+    Of the set whose list ends first in the common order, what is listed and not shared is not in the other set. So the overlap
+    is at most ceil(0.75 s) - 1 unlisted shingles, for the larger s, and the shared listed ones.
+    """
+    listed = long.where("place >= 0").select("set", "key")
+    mine = pairs.select("a", "b").join(listed.withColumnRenamed("set", "a"), "a")
+    more = mine.join(listed.withColumnRenamed("set", "b"), ["b", "key"]).groupBy("a", "b").agg(F.count("*").alias("more"))
+    counted = pairs.join(twos, ["a", "b"], "left").join(more, ["a", "b"], "left").withColumn("shared", F.coalesce("twos", F.lit(0)) + F.coalesce("more", F.lit(0)))
+    return counted.where("subset OR 7 * ((3 * most + 3) div 4 - 1 + shared) >= 3 * total").select("a", "b")
 
 
 def hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
     """Every member of a list with one member of the same and of the next lower band, where they may link and are not one component yet."""
-    # The hub is the least by a hash that changes with the turn; reduced per task before the shuffle.
-    pick = F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("luck"), "set", "size", "place", "component")).alias("hub")
+    # First the member in which the shared shingle stands foremost: an original has no shingles of its own before it, as its edited
+    # copies have, so that it is the centre of its group. In later turns another by a hash. Reduced per task before the shuffle.
+    luck = F.xxhash64("set", F.lit(turn))
+    pick = F.min(F.struct((F.col("place") if turn == 0 else luck).alias("first"), luck.alias("luck"), "set", "size", "place", "component")).alias("hub")
     hubs = lists.groupBy("key", "band").agg(pick).select("key", "band", "hub.set", "hub.size", "hub.place", "hub.component")
     reach = hubs.union(hubs.withColumn("band", F.col("band") + 1))
     met = lists.alias("m").join(reach.alias("h"), F.expr("m.key = h.key AND m.band = h.band AND m.component <> h.component"))
@@ -236,29 +297,45 @@ def hub_pairs(lists: DataFrame, turn: int) -> DataFrame:
 
 def rest_pairs(lists: DataFrame) -> DataFrame:
     """All pairs of members of a list that are in different components and may link."""
-    groups = lists.select("key", "component").distinct()
-    apart = groups.alias("p").join(groups.alias("q"), F.expr("p.key = q.key AND p.component < q.component")).select("p.key", F.col("p.component").alias("first"), F.col("q.component").alias("second"))
-    left = apart.join(lists.select("key", F.col("component").alias("first"), F.struct("set", "size", "place").alias("m")), ["key", "first"])
-    both = left.join(lists.select("key", F.col("component").alias("second"), F.struct("set", "size", "place").alias("h")), ["key", "second"])
-    return _pairs(both, "m", "h")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, by their whole sets."""
+    # Two sets that share many keys need to meet once only: not where they also share one of the `RECENT` keys just before.
+    recent = Window.partitionBy("set").orderBy("place", "key").rowsBetween(-RECENT, -1)
+    seen = lists.withColumn("before", F.collect_list("key").over(recent))
+    # Of each component in a list, what its best member could reach; pairs of components that can't link are never laid out.
+    best = [F.min("size").alias("small"), F.max("size").alias("large"), F.max(F.col("size") - F.col("place")).alias("reach"), F.min("place").alias("place"), F.count("*").alias("n")]
+    alone = F.when(F.count("*") == 1, F.min("before")).otherwise(F.array().cast("array<bigint>"))
+    groups = seen.groupBy("key", "component").agg(*best, alone.alias("before"))
+    may = "4 * p.large >= 3 * q.small AND 4 * q.large >= 3 * p.small AND (p.place < 0 OR 7 * least(p.reach, q.reach) >= 3 * (p.small + q.small)) AND NOT arrays_overlap(p.before, q.before)"
+    # The component with fewer members there comes first, so that a single one is not repeated for each member of a large one.
+    fewer = "(p.n < q.n OR p.n = q.n AND p.component < q.component)"
+    apart = groups.alias("p").join(groups.alias("q"), F.expr(f"p.key = q.key AND {fewer} AND {may}"))
+    apart = apart.select("p.key", F.col("p.component").alias("first"), F.col("q.component").alias("second"))
+    member = F.struct("set", "size", "place", "before")
+    left = apart.join(seen.select("key", F.col("component").alias("first"), member.alias("m")), ["key", "first"])
+    both = left.join(seen.select("key", F.col("component").alias("second"), member.alias("h")), ["key", "second"])
+    return _pairs(both.where("NOT arrays_overlap(m.before, h.before)"), "m", "h")
+
+
+def verified(left: DataFrame, docs: DataFrame, first_of: DataFrame) -> DataFrame:
+    """The pairs that link, by their whole sets, which are made again from one document of each."""
+    needed = left.select(F.col("a").alias("set")).union(left.select("b")).distinct()
+    sets = settle(load_sets(docs, settle(first_of.join(needed, "set").select(F.col("first").alias("id")), "jaccard-wanted")), "jaccard-sets")
     first, second = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(first, "a").join(second, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
-    return both.where("100 * shared >= 75 * (size(x) + size(y) - shared)").select("a", "b")
+    both = left.join(first, "a").join(second, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
+    return settle(both.where("100 * shared >= 75 * (size(x) + size(y) - shared)").select("a", "b"), "jaccard-links")
 
 
-def _with_components(lists: DataFrame, found: DataFrame) -> DataFrame:
+def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists that still have members of more than one component, with these."""
     named = lists.drop("component").join(found.select(F.col("node").alias("set"), F.col("component")), "set", "left")
-    return settle(named.withColumn("component", F.coalesce("component", "set")), "lists")
+    named = settle(named.withColumn("component", F.coalesce("component", "set")), "jaccard-named")
+    open_keys = named.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q").select("key")
+    return settle(named.join(open_keys, "key", "left_semi"), "jaccard-open")
 
 
-def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 4) -> DataFrame:
+def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 8) -> DataFrame:
     """`id`, `n_shingles` and `component_id` (the least id reachable by links, its own included) of every row.
 
-    `turns`: rounds with hubs at most before the rest is paired in full; they end early when few pairs are left.
+    `turns`: rounds with hubs at most before the rest is paired in full. Any number gives the same result.
     """
     docs = df.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     counted = settle(count_pass(docs), "jaccard-counts")
@@ -268,30 +345,43 @@ def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 4)
     boundary = choose_boundary(sizes)
     heavy = max(256, int(4 * counters.mean()))
     known = docs.where("id IS NOT NULL")
-    first_of = rows.where("size > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("first"))
+    first_of = settle(rows.where("size > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("first")), "jaccard-first")
 
     lists = settle(shared_lists(posting_pass(known, counters, boundary, heavy)), "jaccard-lists")
-    wanted = first_of.join(lists.select("set").distinct(), "set", "left_semi").select(F.col("first").alias("id"))
-    sets = settle(load_sets(known, wanted), "jaccard-sets")
-    links, found = None, None
-    current = lists.withColumn("component", F.col("set"))
-    total = lists.count()
+    long = lists.where("n > 2").select("key", "set", "size", "band", "place")
+    pairs, twos = two_set_pairs(lists)
+    twos = settle(twos, "jaccard-twos")
+    # Keys of two sets are settled by their one pair; only the longer lists need turns.
+    current, links, found, tried = long.withColumn("component", F.col("set")), None, None, None
+
+    def link(met: DataFrame) -> int:
+        """Verify the pairs that are new, and take up what links."""
+        nonlocal links, found, tried
+        left = promising(met, twos, long)
+        left = settle(left if tried is None else left.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        tried = left if tried is None else tried.union(left)
+        fresh = verified(left, known, first_of)
+        n = fresh.count()
+        if n:
+            links = fresh if links is None else links.union(fresh)
+            found = components(links)
+        return n
+
     for turn in range(turns):
-        fresh = settle(verified(hub_pairs(current, turn), sets), "jaccard-links")
-        if fresh.isEmpty():
+        met = hub_pairs(current, turn)
+        if turn == 0:
+            met = met.unionByName(pairs).groupBy("a", "b", "total", "most").agg(F.max("subset").alias("subset"))
+        new = link(met)
+        if new:
+            current = _open_lists(current, found)
+        # Another hub helps a group whose members link widely; where it links few, the rest is paired at once.
+        if turn and 20 * new < current.select("set").distinct().count():
             break
-        links = fresh if links is None else links.union(fresh)
-        found = components(links)
-        current = _with_components(current, found)
-        groups = current.groupBy("key", "component").agg(F.countDistinct("set").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        left = groups.agg(F.sum(F.col("n") * F.col("n") - F.col("own"))).first()[0] or 0
-        if left <= 2 * total:
-            break
-    rest = settle(verified(rest_pairs(current), sets), "jaccard-links")
-    if not rest.isEmpty():
-        links = rest if links is None else links.union(rest)
-        found = components(links)
+    link(rest_pairs(current) if turns else rest_pairs(current).unionByName(pairs))
+    return _named(rows, first_of, found, id)
+
 
+def _named(rows: DataFrame, first_of: DataFrame, found: DataFrame | None, id: str) -> DataFrame:
     named = first_of if found is None else first_of.join(found.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     if found is None:
         least = named.select("set", F.col("first").alias("component_id"))
@@ -307,7 +397,8 @@ def deduplicate(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFr
     """`df` with one document of each component, the one of least id; rows without id stay. Of rows that repeat an id with the
     same text, one stays."""
     found = settle(join(df, text, id), "jaccard-components")
-    out = df.join(found.where(F.col("component_id") != F.col(id)).select(id).distinct(), id, "left_anti").select(*df.columns)
+    others = settle(found.where(F.col("component_id") != F.col(id)).select(id).distinct(), "jaccard-copies")
+    out = join_small(df, others, id, "left_anti").select(*df.columns)
     # Ids are unique in most tables; only where they aren't are the texts compared.
     if found.where(F.col(id).isNotNull()).groupBy(id).count().where("count > 1").isEmpty():
         return out
