@@ -324,12 +324,15 @@ def verified(left: DataFrame, docs: DataFrame, first_of: DataFrame) -> DataFrame
     return settle(both.where("100 * shared >= 75 * (size(x) + size(y) - shared)").select("a", "b"), "jaccard-links")
 
 
-def _open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """The lists that still have members of more than one component, with these."""
+def _with_components(lists: DataFrame, found: DataFrame) -> DataFrame:
     named = lists.drop("component").join(found.select(F.col("node").alias("set"), F.col("component")), "set", "left")
-    named = settle(named.withColumn("component", F.coalesce("component", "set")), "jaccard-named")
-    open_keys = named.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q").select("key")
-    return settle(named.join(open_keys, "key", "left_semi"), "jaccard-open")
+    return settle(named.withColumn("component", F.coalesce("component", "set")), "jaccard-named")
+
+
+def _left_to_pair(lists: DataFrame) -> int:
+    """How often two components meet in a list."""
+    held = lists.select("key", "component").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    return held.agg(F.sum(F.expr("n * (n - 1) div 2"))).first()[0] or 0
 
 
 def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 8) -> DataFrame:
@@ -367,15 +370,16 @@ def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 8)
             found = components(links)
         return n
 
+    rows_listed, members = long.count(), long.select("set").distinct().count()
     for turn in range(turns):
         met = hub_pairs(current, turn)
         if turn == 0:
             met = met.unionByName(pairs).groupBy("a", "b", "total", "most").agg(F.max("subset").alias("subset"))
         new = link(met)
         if new:
-            current = _open_lists(current, found)
-        # Another hub helps a group whose members link widely; where it links few, the rest is paired at once.
-        if turn and 20 * new < current.select("set").distinct().count():
+            current = _with_components(current, found)
+        # Another hub helps a group whose members link widely; where little is left or it links few, the rest is paired at once.
+        if turn and 20 * new < members or _left_to_pair(current) <= 4 * rows_listed:
             break
     link(rest_pairs(current) if turns else rest_pairs(current).unionByName(pairs))
     return _named(rows, first_of, found, id)

@@ -5,9 +5,9 @@ in Latin-1, and their first three to five bytes. The pairwise part is computed a
 linear in the terms. A pair such as an insult next to a group's name gets a weight that neither term has.
 
 It is fitted on the driver on at most `max_train` labelled rows, chosen by a hash of the id. Terms have a weight if they go with
-the label (chi-squared of at least `min_chi2`) or are in `common` of the training rows, where pairs of them may tell what neither
-does; the rest would only be learned by heart. Scoring reads every text whole. NULL and empty texts have the score of the bias alone; equal texts have
-equal scores. Without any training row (empty tables) every score is 0.
+the label (chi-squared of at least 20) or are in a fifth of the training rows, where pairs of them may tell what neither
+does; the rest would only be learned by heart. Scoring reads every text whole. NULL and empty texts have the score of the bias
+alone; equal texts have equal scores. Without any training row (empty tables) every score is 0.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.learning import Adagrad, collect_features, sample, sigmoid, take
 from tallyhouse.llm.text import BETWEEN, distinct_packed, fold, hash_spans, mix, row_blocks, rows_of, spans, sum_rows, utf8
+from tallyhouse.session import settle
 
 BITS = 18
 PREFIXES = (3, 4, 5)
@@ -46,8 +47,45 @@ class Model:
     table: np.ndarray
 
 
-def fit(rows: list[tuple], rank: int = 4, epochs: int = 16, batch: int = 256, rate: float = 0.1, ridge: float = 1e-5, min_docs: int = 5, min_chi2: float = 20.0, common: float = 0.2, seed: int = 7) -> Model:
-    """Logistic loss by Adagrad over mini-batches; rows are (label, term ids, _)."""
+def telling(seen, among, rows, positive, min_docs: int = 5, min_chi2: float = 20.0, common: float = 0.2):
+    """If a term has a weight, from the rows that hold it and those of them with label 1; for columns and for arrays alike."""
+    share = positive / rows
+    off = among - seen * share
+    least = min_chi2 * seen * (1 - seen / rows) * share * (1 - share)
+    far = ((off > 0.5) & ((off - 0.5) * (off - 0.5) >= least)) | ((off < -0.5) & ((off + 0.5) * (off + 0.5) >= least))
+    return (seen >= min_docs) & (far | (seen >= common * rows))
+
+
+def telling_terms(found: DataFrame) -> np.ndarray:
+    """A mark for each term that has a weight, counted where the sampled rows (label, text) are; few terms come to the driver."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last place counts the rows.
+        seen, among = np.zeros((1 << BITS) + 1, np.int64), np.zeros((1 << BITS) + 1, np.int64)
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            label = np.array(batch.column(0).to_pylist(), np.int64)
+            for lo, hi in row_blocks(offsets):
+                ids, _, bounds = terms(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                seen += np.bincount(ids, minlength=len(seen))
+                among += np.bincount(ids[np.repeat(label[lo:hi] == 1, np.diff(bounds))], minlength=len(seen))
+            seen[-1] += len(label)
+            among[-1] += int((label == 1).sum())
+        held = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(seen[held]), pa.array(among[held])], ["term", "seen", "among"])
+
+    counts = settle(found.mapInArrow(run, "term long, seen long, among long").groupBy("term").agg(F.sum("seen").alias("seen"), F.sum("among").alias("among")), "terms")
+    out = np.zeros(1 << BITS, bool)
+    total = counts.where(f"term = {1 << BITS}").first()
+    if total is not None and 0 < total.among < total.seen:
+        rows, positive = float(total.seen), float(total.among)
+        kept = counts.where(f"term < {1 << BITS}").where(telling(F.col("seen"), F.col("among"), rows, positive)).select("term")
+        out[[r.term for r in kept.collect()]] = True
+    return out
+
+
+def fit(rows: list[tuple], rank: int = 4, epochs: int = 16, batch: int = 256, rate: float = 0.1, ridge: float = 1e-5, seed: int = 7) -> Model:
+    """Logistic loss by Adagrad over mini-batches; rows are (label, term ids, _), of which the telling ones are used."""
     table = np.zeros((1 << BITS, 1 + rank), np.float32)
     if not rows:
         return Model(-40.0, table)
@@ -56,12 +94,9 @@ def fit(rows: list[tuple], rank: int = 4, epochs: int = 16, batch: int = 256, ra
     for label, ids, _ in rows:  # a row has a term once
         seen[ids] += 1
         among[ids] += label
-    mean = seen * y.mean()
-    spread = seen * (1 - seen / len(y)) * y.mean() * (1 - y.mean())
-    chi2 = np.maximum(np.abs(among - mean) - 0.5, 0) ** 2 / np.maximum(spread, 1e-9)
-    kept = np.flatnonzero((seen >= min_docs) & ((chi2 >= min_chi2) | (seen >= common * len(y))))
-    place = np.full(1 << BITS, -1)
-    place[kept] = np.arange(len(kept))
+    kept = np.flatnonzero(telling(seen, among, float(len(y)), float(y.sum())))
+    place = np.full(1 << BITS, -1, np.int32)
+    place[kept] = np.arange(len(kept), dtype=np.int32)
     known = [p[p >= 0] for p in (place[r[1]] for r in rows)]
     local, bounds = np.concatenate(known), np.concatenate(([0], np.cumsum([len(k) for k in known])))
     rng = np.random.default_rng(seed)
@@ -104,7 +139,17 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 16_000, id: str =
 
     The sample has as many toxic rows as there are; the bias is then set back to their share among all labelled rows.
     """
-    rows = collect_features(docs, sample(labels, label, max_train, id), terms, id, text)
+    chosen = settle(sample(labels, label, max_train, id), "sample")
+    # Bounded by the sample's size.
+    found = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("label", "text")
+    useful = telling_terms(found)
+
+    def useful_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, None, np.ndarray]:
+        ids, _, bounds = terms(data, offsets)
+        keep = useful[ids]
+        return ids[keep], None, np.concatenate(([0], np.cumsum(keep)))[bounds]
+
+    rows = collect_features(docs, chosen, useful_terms, id, text)
     model = fit(rows)
     all_rows = labels.where(F.col(id).isNotNull()).agg(F.avg(F.col(label).cast("double"))).first()[0]
     if rows and all_rows is not None:
