@@ -23,7 +23,7 @@ from tallyhouse.llm.text import string_blocks
 
 # Fixed value: the split of byte-level BPE before the merges.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE = 200_000
+CACHE = 100_000
 
 
 def byte_letters() -> list[str]:

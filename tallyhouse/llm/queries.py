@@ -24,10 +24,13 @@ def query(function: Query) -> Query:
 
 
 def importable(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver found it; installed or shipped packages are found anyway."""
+    """Python workers look for this package where the driver found it (installed or shipped packages are found anyway), and get
+    texts in small batches."""
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    # Rows sent to a worker at once: some megabytes of text, of which the worker and the executor hold several copies.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
