@@ -9,6 +9,9 @@ all documents, rarest first. A block that holds ceil(threshold |T|) of a templat
 |T| - ceil(threshold |T|) + 1 (prefix), has that many template words at all (length), and as many from the shared one on
 (position); blocks that pass are counted whole. So no block that meets the threshold is missed.
 
+With `runs`, blocks are also all runs of consecutive words, 1 / threshold times as many as the template has words, so that line
+breaks and blank lines don't decide. Only of documents that hold enough of a template at all are the words' places kept.
+
 Every text is read whole, once. NULL and empty texts have no words, places or labels; repeated rows have a result each.
 """
 
@@ -47,6 +50,11 @@ def words_of(template: str) -> list[str]:
     return sorted(set(re.findall(r"[0-9a-z]+", template.lower())))
 
 
+def run_of(template: str, threshold: float) -> int:
+    """Words of a run: the template's, and as large a share of other words as may be missing."""
+    return math.ceil(len(re.findall(r"[0-9a-z]+", template.lower())) / threshold - 1e-9)
+
+
 def _n_words(words: Column) -> Column:
     """Size of a split at gaps, without an empty first or last piece."""
     empty = lambda at: (F.element_at(words, at) == "").cast("int")
@@ -65,8 +73,9 @@ def _places(text: Column) -> Column:
     return F.struct(F.size(found).alias("n"), F.array_distinct(F.transform(phrase, lambda p: label[p])).alias("labels"), before.alias("first"), behind.alias("behind"))
 
 
-def read(docs: DataFrame, vocabulary: list[str], least: int, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """One row for each document: words, base places, the template words it holds, and by line where they may be enough."""
+def read(docs: DataFrame, vocabulary: list[str], least: int, text: str = "text", id: str = "doc_id", placed: Column | None = None) -> DataFrame:
+    """One row for each document: words, base places, the template words it holds, and by line where they may be enough; where
+    `placed` is true also the place of each template word."""
     body = F.coalesce(F.col(text), F.lit(""))
     known = F.array(*[F.lit(w) for w in vocabulary])
     split = F.transform(F.split(F.lower(body), "\n", -1), lambda line: F.split(line, f"{_GAP}+", -1))
@@ -76,22 +85,44 @@ def read(docs: DataFrame, vocabulary: list[str], least: int, text: str = "text",
         F.col(id).cast("long").alias("id"),
         by_line.alias("by_line"),
         F.when(body.rlike(PLACE), _places(body)).alias("base"),
+        *([] if placed is None else [body.alias("body")]),
     )
     held = F.transform("by_line", lambda x: x["held"])
-    rows = rows.select("uid", "id", "base", F.aggregate("by_line", F.lit(0).cast("long"), lambda total, x: total + x["n"]).alias("n_words"), held.alias("lines"))
+    rows = rows.select("uid", "id", "base", *rows.columns[4:], F.aggregate("by_line", F.lit(0).cast("long"), lambda total, x: total + x["n"]).alias("n_words"), held.alias("lines"))
     rows = rows.withColumn("held", F.array_distinct(F.flatten("lines")))
+    if placed is not None:
+        words = F.transform(F.split(F.lower("body"), f"{_GAP}+", -1), lambda w, at: F.when(F.array_contains(known, w), F.struct(at.alias("at"), w.alias("word"))))
+        rows = rows.withColumn("spots", F.when(placed, F.filter(words, lambda x: x.isNotNull()))).drop("body")
     # A document that holds too few template words has no block that holds more.
     return rows.withColumn("lines", F.when(F.size("held") >= least, F.col("lines")))
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, span: int = SPAN, text: str = "text", id: str = "doc_id") -> DataFrame:
+def _in_runs(rows: DataFrame, wanted: Column) -> DataFrame:
+    """(uid, template, size, shared) of the templates of which a run of words holds enough; `wanted`: what `scan` has of each."""
+    pairs = rows.where("spots IS NOT NULL").select("uid", "held", "spots", F.explode(wanted).alias("t")).where("size(array_intersect(held, t.words)) >= t.need")
+    pairs = pairs.select("uid", "t", F.filter("spots", lambda x: F.array_contains(F.col("t.words"), x["word"])).alias("own"))
+
+    def held(x: Column, k: Column) -> Column:
+        run = F.filter(F.slice("own", k + 1, F.col("t.run")), lambda y: y["at"] < x["at"] + F.col("t.run"))
+        return F.size(F.array_distinct(F.transform(run, lambda y: y["word"])))
+
+    best = pairs.select("uid", "t.template", F.size("t.words").alias("size"), "t.need", F.array_max(F.transform("own", held)).alias("shared"))
+    return best.where("shared >= need").drop("need")
+
+
+def scan(
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, span: int = SPAN, text: str = "text", id: str = "doc_id", runs: bool = False
+) -> DataFrame:
     """One row for each document: `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`, `labels`, `score` (the largest
-    share of a template that a block holds, 1 at a base place, 0 below the threshold)."""
+    share of a template that a block holds, 1 at a base place, 0 below the threshold). `runs`: blocks by words as well as lines."""
     spark = docs.sparkSession
     sets = [(label, words_of(t)) for label, t in templates]
     need = [math.ceil(threshold * len(words) - 1e-9) for _, words in sets]
     vocabulary = sorted({w for _, words in sets for w in words})
-    rows = settle(read(docs, vocabulary, min(need, default=1), text, id), "licenses")
+    parts = [(number, need[number], run_of(t, threshold), F.array(*[F.lit(w) for w in sets[number][1]])) for number, (_, t) in enumerate(templates)]
+    wanted = F.array(*[F.struct(F.lit(k).alias("template"), F.lit(n).alias("need"), F.lit(run).alias("run"), words.alias("words")) for k, n, run, words in parts])
+    enough = F.exists(wanted, lambda t: F.size(F.array_intersect("held", t["words"])) >= t["need"]) if runs else None
+    rows = settle(read(docs, vocabulary, min(need, default=1), text, id, enough), "licenses")
 
     # As many rows as the templates have words.
     held = {r.word: r.n for r in rows.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
@@ -110,6 +141,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     blocks = blocks.select("uid", "line", F.array_sort(F.transform("words", lambda w: rank_of[w])).alias("block"))
     met = blocks.select("uid", "line", "block", F.posexplode("block").alias("place", "rank")).join(F.broadcast(heads), "rank")
     met = met.where("size(block) >= need AND size(block) - place >= need").withColumn("shared", F.size(F.array_intersect("block", "ranks"))).where("shared >= need")
+    met = met.select("uid", "template", "size", "shared")
+    if runs:
+        met = met.unionByName(_in_runs(rows, wanted))
     label_of = F.array(*[F.lit(label) for label, _ in sets])
     found = met.groupBy("uid").agg(F.collect_set(F.element_at(label_of, F.col("template") + 1)).alias("more"), F.max(F.col("shared") / F.col("size")).alias("best"))
 

@@ -113,4 +113,4 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices of every document."""
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), runs=True)

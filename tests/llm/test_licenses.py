@@ -62,3 +62,60 @@ def test_nothing(nothing):
 def test_no_python_in_the_plan(table):
     plan = licenses.scan(table([(1, "mit license")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def wrapped(text, width):
+    lines = [""]
+    for word in text.split():
+        if lines[-1] and len(lines[-1]) + 1 + len(word) > width:
+            lines.append("")
+        lines[-1] = f"{lines[-1]} {word}".strip()
+    return lines
+
+
+def by_runs(text):
+    """Label and best share over all runs of words."""
+    words, out = WORD.findall(low(text)), {}
+    for label, template in licenses.TEMPLATES:
+        wanted, size = set(licenses.words_of(template)), licenses.run_of(template, licenses.THRESHOLD)
+        n = max((len(set(words[k : k + size]) & wanted) for k in range(len(words))), default=0)
+        if n >= -(-len(wanted) * 8 // 10):
+            out[label] = n / len(wanted)
+    return out
+
+
+def test_wrapped_notices(table):
+    random.seed(7)
+    texts, planted = [None, "", "no notice"], [None] * 3
+    for label, template in licenses.TEMPLATES:
+        for width in (12, 20, 30, 40, 50, 60, 80):
+            for gap in ("\n", "\n\n", "\n \n\n", "\n# ", "\r\n"):
+                texts.append("some words\n" * 3 + gap.join(wrapped(template, width)) + "\nother words")
+                planted.append(label)
+        for _ in range(20):
+            words = [random.choice(["foo", "bar baz", w, w, w, w, w, w]) for w in template.split()]
+            texts.append("\n\n".join(words))
+            planted.append(None)
+    rows = licenses.scan(table(list(enumerate(texts))), runs=True).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text, whole = texts[r.doc_id], brute(texts[r.doc_id])
+        more = by_runs(text)
+        assert set(filter(None, r.labels.split(","))) == {*filter(None, whole[5].split(",")), *more}, text
+        assert r.score == max([whole[6], *more.values()]), text
+        assert tuple(r)[1:6] == whole[:5]
+        if planted[r.doc_id]:
+            assert planted[r.doc_id] in r.labels.split(",") and r.score == 1.0, text
+
+
+def test_query_finds_wrapped_notices(spark, table, tmp_path):
+    from tallyhouse.llm.queries import QUERIES
+
+    text = "\n\n".join(wrapped(dict(licenses.TEMPLATES)["mit"], 30))
+    table([(1, text)]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert [(r.labels, r.score) for r in QUERIES["op9_licenses"](spark, str(tmp_path)).collect()] == [("mit", 1.0)]
+
+
+def test_no_python_in_the_plan_of_runs(table):
+    plan = licenses.scan(table([(1, "mit license")]), runs=True)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
