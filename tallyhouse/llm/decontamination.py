@@ -7,7 +7,8 @@
    matrix and back, twice, the products are added up, and one Rayleigh-Ritz step turns them into singular vectors. The benchmark's own
    passages weigh as much as the corpus, so that the latent space holds all of them.
 3. Windows of every document that share at least a quarter of a passage's informative terms are compared with it by their
-   cosine in the latent space.
+   cosine in the latent space. Since other items may stand beside a short passage, windows of its own length or twice that
+   (`WIDTHS`) are compared as well, and those that hold nearly all of its terms are candidates whatever the cosine.
 4. Candidates are read again, and the longest common subsequence of words decides: nearly all words of the passage in order are
    a copy; half of all its words, of its informative words and of its answer, in order, are a paraphrase. The answer is the
    benchmark's `answer` column, or else the passage's last sentence.
@@ -36,6 +37,8 @@ from tallyhouse.session import settle
 
 PART = 64
 WINDOW, STRIDE = 64, 24
+# Windows for short passages: those of a quarter of the width to all of it. They begin as far apart, for their width, as the others.
+WIDTHS = (8, 16, 32)
 # Terms whose rows of a product travel together.
 _CHUNK = 64
 
@@ -229,52 +232,67 @@ def latent_space(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, n_
     return (basis @ turn[:, ::-1])[:, :rank]
 
 
-def candidates(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, space: np.ndarray, share: float, cosine: float) -> DataFrame:
-    """(id, passage, start, cosine) of the windows (first word `start`) that are near a passage in the latent space."""
+def candidates(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, space: np.ndarray, share: float, cosine: float, enough: float = 0.9) -> DataFrame:
+    """(id, passage, start, width, cosine) of the windows (first word `start`) that are near a passage in the latent space, or
+    are about as long and hold `enough` of its terms."""
     owner = np.repeat(np.arange(len(passages)), [len(p.terms) for p in passages])
     flat = np.concatenate([p.terms for p in passages])
     terms, values, bounds = _rows_of_matrix(owner, flat, idf)
     wanted = sum_rows(space[terms] * values[:, None], bounds)
     wanted /= np.maximum(np.linalg.norm(wanted, axis=1, keepdims=True), 1e-12)
+    sizes, own = np.array([len(p.words) for p in passages]), np.diff(bounds)
+    need, plenty = np.maximum(2, np.ceil(share * own)), np.maximum(2, np.ceil(enough * own))
     by_term = np.argsort(terms, kind="stable")
-    held = rows_of(bounds)[by_term]
-    begin = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
-    need = np.maximum(2, np.ceil(share * np.diff(bounds)))
+    held, owned = rows_of(bounds)[by_term], terms[by_term]
+    # The passages of each width, by term; the widest windows are for all.
+    scales = []
+    for width in (*WIDTHS, WINDOW):
+        members = (sizes * 4 > width) & (sizes <= width) | (width == WINDOW)
+        chosen = members[held]
+        if chosen.any():
+            scales.append((width, held[chosen], np.searchsorted(owned[chosen], np.arange(len(idf) + 1))))
     # Bounded by the block of the benchmark: terms x rank, passages x rank.
-    shared = sieved.sparkSession.sparkContext.broadcast((idf, space.astype(np.float32), wanted.astype(np.float32), held, begin, need))
+    shared = sieved.sparkSession.sparkContext.broadcast((idf, space.astype(np.float32), wanted.astype(np.float32), scales, need, np.where(sizes * 4 > WINDOW, plenty, np.inf), plenty))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, vectors, goal, members, first, least = shared.value
-        n, reach = len(goal), WINDOW // STRIDE + 1
+        weights, vectors, goal, scales, least, most_wide, most_narrow = shared.value
+        n = len(goal)
         for batch in batches:
             for ids, row, at, term in _unpacked(batch, 256):
-                # The windows that hold a word: those that begin at most WINDOW - 1 before it.
-                last = at // STRIDE
-                begins = last[:, None] - np.arange(reach)
-                inside = (begins >= 0) & (at[:, None] - begins * STRIDE < WINDOW)
-                w_row, w_begin, w_term = np.repeat(row, reach)[inside.ravel()], begins[inside], np.repeat(term, reach)[inside.ravel()]
-                names, window = np.unique(w_row << 40 | w_begin, return_inverse=True)
-                pair = np.unique(window * len(weights) + w_term)
-                p_window, p_term = pair // len(weights), pair % len(weights)
-                count = first[p_term + 1] - first[p_term]
-                ends = np.cumsum(count)
-                met = members[np.repeat(first[p_term] - ends + count, count) + np.arange(int(ends[-1]) if len(ends) else 0)]
-                both, common = np.unique(np.repeat(p_window, count) * n + met, return_counts=True)
-                both = both[common >= least[both % n]]
-                if not len(both):
-                    continue
-                near = np.isin(window, np.unique(both // n))
-                chosen, local = np.unique(window[near], return_inverse=True)
-                t, v, cut = _rows_of_matrix(local, w_term[near], weights)
-                latent = sum_rows(vectors[t] * v[:, None], cut)
-                latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-                close = (latent[np.searchsorted(chosen, both // n)] * goal[both % n]).sum(1)
-                good = close >= cosine
-                name = names[both[good] // n]
-                columns = [ids.take(pa.array(name >> 40)), pa.array((both[good] % n).astype(np.int32)), pa.array(((name & ((1 << 40) - 1)) * STRIDE).astype(np.int64)), pa.array(close[good].astype(np.float64))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "passage", "start", "cosine"])
-
-    return sieved.mapInArrow(run, "id long, passage int, start long, cosine double")
+                for width, members, first in scales:
+                    stride, most = width * STRIDE // WINDOW, most_wide if width == WINDOW else most_narrow
+                    reach = width // stride + 1
+                    if not (first[term + 1] > first[term]).any():
+                        continue
+                    # The windows that hold a word: those that begin at most width - 1 before it.
+                    last = at // stride
+                    begins = last[:, None] - np.arange(reach)
+                    inside = ((begins >= 0) & (at[:, None] - begins * stride < width)).ravel()
+                    w_row, w_begin, w_term = np.repeat(row, reach)[inside], begins.ravel()[inside], np.repeat(term, reach)[inside]
+                    names, window = np.unique(w_row << 40 | w_begin, return_inverse=True)
+                    pair = np.unique(window * len(weights) + w_term)
+                    p_window, p_term = pair // len(weights), pair % len(weights)
+                    count = first[p_term + 1] - first[p_term]
+                    ends = np.cumsum(count)
+                    met = members[np.repeat(first[p_term] - ends + count, count) + np.arange(int(ends[-1]) if len(ends) else 0)]
+                    both, common = np.unique(np.repeat(p_window, count) * n + met, return_counts=True)
+                    kept = common >= least[both % n]
+                    both, common = both[kept], common[kept]
+                    if not len(both):
+                        continue
+                    near = np.isin(window, np.unique(both // n))
+                    chosen, local = np.unique(window[near], return_inverse=True)
+                    t, v, cut = _rows_of_matrix(local, w_term[near], weights)
+                    latent = sum_rows(vectors[t] * v[:, None], cut)
+                    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+                    close = (latent[np.searchsorted(chosen, both // n)] * goal[both % n]).sum(1)
+                    good = (close >= cosine) | (common >= most[both % n])
+                    name = names[both[good] // n]
+                    starts = ((name & ((1 << 40) - 1)) * stride).astype(np.int64)
+                    columns = [ids.take(pa.array(name >> 40)), pa.array((both[good] % n).astype(np.int32)), pa.array(starts), pa.array(np.full(len(name), width, np.int32)), pa.array(close[good].astype(np.float64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "passage", "start", "width", "cosine"])
+
+    return sieved.mapInArrow(run, "id long, passage int, start long, width int, cosine double")
 
 
 def common_subsequence(masks: dict, size: int, words: list) -> int:
@@ -314,7 +332,7 @@ def verify(docs: DataFrame, found: DataFrame, passages: list[Passage], hashes: n
                     text = words[bounds[k] : bounds[k + 1]]
                     for c in whole[seen].as_py():
                         item, size, masks, told, told_masks, rare, asked, answer = shared.value[c["passage"]]
-                        lo, hi = max(0, c["start"] - size // 2), min(len(text), c["start"] + WINDOW + size // 2)
+                        lo, hi = max(0, c["start"] - size // 2), min(len(text), c["start"] + c["width"] + size // 2)
                         part = text[lo:hi].tolist()
                         lcs = common_subsequence(masks, size, part) / size
                         if lcs < 0.5:
@@ -327,7 +345,7 @@ def verify(docs: DataFrame, found: DataFrame, passages: list[Passage], hashes: n
                     seen += 1
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names)
 
-    spots = found.groupBy("id").agg(F.collect_list(F.struct("passage", "start", "cosine")).alias("spots"))
+    spots = found.groupBy("id").agg(F.collect_list(F.struct("passage", "start", "width", "cosine")).alias("spots"))
     joined = join_small(docs, settle(spots, "spots"), "id", "inner").select("id", "text", "spots")
     return joined.mapInArrow(run, "id long, item_id long, kind string, lcs double, rare_lcs double, answer_lcs double, cosine double, start long, end long")
 
@@ -358,6 +376,7 @@ def find(
     rarest: int = 8,
     share: float = 0.25,
     cosine: float = 0.4,
+    enough: float = 0.9,
 ) -> DataFrame:
     """One row for each document and benchmark item that it holds: id, `item_id`, `kind` (copy or paraphrase), the shares of the
     passage's words, informative words and answer found in order, the cosine, and the region in words."""
@@ -380,7 +399,7 @@ def find(
         idf = np.log((total + 1) / (frequency + 1)) + 0.1
         sieved = settle(sieve(rows, hashes, 2), "sieved")
         space = latent_space(sieved, passages, idf, total)
-        near = settle(candidates(sieved, passages, idf, space, share, cosine), "near")
+        near = settle(candidates(sieved, passages, idf, space, share, cosine, enough), "near")
         out = out.unionByName(verify(rows, near, passages, hashes))
     best = F.max_by(F.struct("kind", "lcs", "rare_lcs", "answer_lcs", "cosine", "start", "end"), F.struct("lcs", "rare_lcs", "cosine", -F.col("start"))).alias("best")
     return out.groupBy(F.col("id").alias(id), "item_id").agg(best).select(id, "item_id", "best.*")

@@ -119,3 +119,15 @@ def test_a_row_that_is_repeated_is_reported_once(spark, table):
     found = dc.find(docs, spark.createDataFrame([(5, text)], "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id, r.kind) for r in found] == [(1, 5, "copy")]
     assert sorted(str(r.doc_id) for r in dc.clean(docs, spark.createDataFrame([(5, text)], "item_id long, text string")).collect()) == ["2", "None"]
+
+
+@pytest.mark.parametrize("size", [6, 8, 12, 20])
+def test_short_items_listed_back_to_back(spark, table, corpus, size):
+    rng = random.Random(size)
+    rare = [word(rng) for _ in range(2_000)]
+    items = [(k, sentence(rng, size, rare)) for k in range(48)]
+    lists = [(1000 + k, " ".join(text for _, text in items[k : k + 12])) for k in range(0, 48, 12)]
+    found = dc.find(table(corpus[1] + lists), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = {(1000 + k - k % 12, k) for k in range(48)}
+    got = {(r.doc_id, r.item_id) for r in found if r.kind == "copy"}
+    assert len(want & got) / len(want) >= 0.98
