@@ -1,12 +1,12 @@
 r"""Personal data by offset-preserving deobfuscation.
 
 Identifiers are found twice. Once in the text as it is (the base spans). And once in what transducers make of it: look-alike
-letters and digits become ASCII, invisible characters go, "john (at) mail dot org" gets its @ and dots, and runs of spelled
-digits become digits. Every character of the rewritten text remembers the source characters it came from, so a span found there
+letters and digits become ASCII, invisible characters go, "john dot doe (at) mail [.] org" and "10 dot 0 dot 0 [.] 1" get
+their @ and dots, and runs of spelled digits become digits. Every character of the rewritten text remembers the source characters it came from, so a span found there
 is reported in source code points. It is added if it overlaps no base span of its kind.
 
 A cheap look at the bytes of a block decides which texts need either search: without a digit, an @ or a plus sign there is no
-base span, and without a look-alike, a spelled digit, a "dot" or a bracketed "at" nothing to rewrite. Every text is searched
+base span, and without a look-alike, a spelled digit, a "dot" or a bracketed "at", "@" or "." nothing to rewrite. Every text is searched
 whole, in time linear in its length. NULL and empty texts have no spans; equal texts have equal spans.
 
 Kinds, leftmost and non-overlapping each, failing matches dropped:
@@ -92,12 +92,16 @@ INVISIBLE = "​‌‍⁠﻿­"
 DIGITS = dict(zip("zero one two three four five six seven eight nine".split(), "0123456789", strict=True))
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
-_AT = rf"\s{{0,8}}{_OPEN}\s{{0,8}}at\s{{0,8}}{_CLOSE}\s{{0,8}}"
-_DOT = rf"\s{{0,8}}{_OPEN}\s{{0,8}}dot\s{{0,8}}{_CLOSE}\s{{0,8}}|\s{{1,8}}dot\s{{1,8}}"
-# A bare word "at" counts only before a spelled dot; a bracketed one before any.
+_AT = rf"\s{{0,8}}{_OPEN}\s{{0,8}}(?:at|@)\s{{0,8}}{_CLOSE}\s{{0,8}}"
+_DOT = rf"\s{{0,8}}{_OPEN}\s{{0,8}}(?:dot|\.)\s{{0,8}}{_CLOSE}\s{{0,8}}|\s{{1,8}}dot\s{{1,8}}"
+# A bare word "at" counts only before a spelled dot or behind a bracketed one (`maybe`); a bracketed one before any.
 _DISGUISED = re.compile(
-    rf"(?P<at>{_AT})(?P<host>[a-z0-9-]++(?:(?:{_DOT}|\.)[a-z0-9-]++)++)|(?P<word>\s{{1,8}}at\s{{1,8}}|@)(?P<name>[a-z0-9-]++(?:\.[a-z0-9-]++)*+(?:(?:{_DOT})[a-z0-9-]++(?:\.[a-z0-9-]++)*+)++)", re.IGNORECASE
+    rf"(?P<at>{_AT})(?P<host>[a-z0-9-]++(?:(?:{_DOT}|\.)[a-z0-9-]++)++)|(?P<word>\s{{1,8}}at\s{{1,8}}|@)(?P<name>[a-z0-9-]++(?:\.[a-z0-9-]++)*+(?:(?:{_DOT})[a-z0-9-]++(?:\.[a-z0-9-]++)*+)++)"
+    r"|(?P<maybe>\s{1,8}at\s{1,8})(?P<plain>[a-z0-9-]++(?:\.[a-z0-9-]++)++)",
+    re.IGNORECASE,
 )
+# As _IP, with spelled and bracketed dots too.
+_QUAD = re.compile(rf"[0-9](?<![0-9][0-9])[0-9]*+(?:(?:\.|{_DOT})[0-9]++){{3}}", re.IGNORECASE)
 _SPELLED_DOT = re.compile(_DOT, re.IGNORECASE)
 _DIGIT_WORD = "|".join(DIGITS)
 _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?P<plus>plus[\s,-]{{1,3}})?(?P<run>(?:{_DIGIT_WORD}|[0-9])(?:[\s,-]{{1,3}}(?:{_DIGIT_WORD}|[0-9])(?![A-Za-z0-9]))+)", re.IGNORECASE)
@@ -124,11 +128,41 @@ def _glyphs(t: str) -> list[Edit]:
 
 def _separators(t: str) -> list[Edit]:
     out: list[Edit] = []
+    dots: dict[int, int] | None = None
+    done = 0
     for m in _DISGUISED.finditer(t):
-        which, host = ("at", "host") if m["at"] else ("word", "name")
+        which, host = ("at", "host") if m["at"] else ("word", "name") if m["word"] else ("maybe", "plain")
+        if dots is None:
+            dots = {d.end(): d.start() for d in _SPELLED_DOT.finditer(t)}
+        # The dots of the local part, from its end on.
+        at, local = m.start(which), []
+        while True:
+            before = at
+            while at > done and t[at - 1] in _LOCAL:
+                at -= 1
+            start = dots.get(at, -1)
+            if at == before or start <= done or t[start - 1] not in _LOCAL:
+                break
+            local.append((start, at, "."))
+            at = start
+        if which == "maybe" and not (local and any(c in "[({<" for lo, hi, _ in local for c in t[lo:hi])):
+            continue
+        done = m.end()
+        out += local[::-1]
         out.append((*m.span(which), "@"))
         out += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(t, *m.span(host))]
-    return out
+    quads: list[Edit] = []
+    for m in _QUAD.finditer(t):
+        if all(map(_small, _NOT_DIGIT.split(m.group()))):
+            quads += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(t, *m.span())]
+    if not quads:
+        return out
+    # An address may be a host too: the same dots.
+    merged: list[Edit] = []
+    for edit in sorted({*out, *quads}):
+        if not merged or edit[0] >= merged[-1][1]:
+            merged.append(edit)
+    return merged
 
 
 def _spelled(t: str) -> list[Edit]:
@@ -194,6 +228,10 @@ _FOREIGN = np.zeros(256, bool)
 _FOREIGN[[0xCE, 0xCF, *range(0xD0, 0xD5), 0xD9, 0xDB, 0xDF, *range(0xE0, 0xF0), 0xF0]] = True
 _MARK = np.zeros(256, bool)
 _MARK[[*b"0123456789@+"]] = True
+# Opening brackets; white space, of other scripts by its last byte.
+_BRACKET, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
+_BRACKET[[*b"[({<"]] = True
+_BLANK[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0]] = True
 
 
 def _word_hash(word: str) -> np.uint64:
@@ -224,6 +262,15 @@ def suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     if len(blank):
         bracket = sum_rows(np.isin(data, np.frombuffer(b"[({<", np.uint8)).astype(np.int64), offsets) > 0
         rewrite[blank[bracket[blank]]] = True
+    # "(@)" and "[.]", or with a blank there.
+    sign = np.flatnonzero((data == 0x2E) | (data == 0x40))
+    before = data[np.maximum(sign - 1, 0)]
+    opened, apart = sign[_BRACKET[before]], sign[_BLANK[before]]
+    rewrite[np.searchsorted(offsets, opened, "right") - 1] = True
+    if len(apart):
+        blank = np.searchsorted(offsets, apart, "right") - 1
+        bracket = sum_rows(_BRACKET[data].astype(np.int64), offsets) > 0
+        rewrite[blank[bracket[blank]]] = True
     rewrite |= np.bincount(row[np.isin(hashes, _DIGIT_HASHES)], minlength=n) > 0
     return base, rewrite
 

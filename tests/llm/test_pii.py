@@ -91,3 +91,37 @@ def test_digests(odd, table):
 
 def test_nothing(nothing):
     assert pii.digests(nothing).collect() == [] and pii.find(nothing).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("host 10 dot 0 dot 0 dot 1, ok", "ip", "10 dot 0 dot 0 dot 1"),
+        ("host 10[dot]0[dot]0[dot]1 ok", "ip", "10[dot]0[dot]0[dot]1"),
+        ("host 10[.]0[.]0[.]1 ok", "ip", "10[.]0[.]0[.]1"),
+        ("host 10.0 ( . ) 0 DOT 255.", "ip", "10.0 ( . ) 0 DOT 255"),
+        ("é 10[.]0[.]0[.]1", "ip", "10[.]0[.]0[.]1"),
+        ("to john@mail[.]com now", "email", "john@mail[.]com"),
+        ("to john@mail [ . ] com now", "email", "john@mail [ . ] com"),
+        ("to john (@) mail.com now", "email", "john (@) mail.com"),
+        ("to john ( @ ) mail.com now", "email", "john ( @ ) mail.com"),
+        ("to john dot doe at mail dot com", "email", "john dot doe at mail dot com"),
+        ("john[.]a dot doe (at) mail[dot]com", "email", "john[.]a dot doe (at) mail[dot]com"),
+        ("john[dot]doe at mail.com", "email", "john[dot]doe at mail.com"),
+        ("root at 10 dot 0 dot 0 dot 1", "ip", "10 dot 0 dot 0 dot 1"),
+        ("root at 10 dot 0 dot 0 dot 1", "email", "root at 10 dot 0 dot 0 dot 1"),
+    ],
+)
+def test_spelled_and_bracketed_signs(table, text, kind, value):
+    found = [(r.kind, r.value, text[r.start : r.end]) for r in pii.find(table([(1, "filler"), (2, text)])).where("disguised").collect()]
+    assert (kind, value, value) in found
+
+
+@pytest.mark.parametrize("text", ["300 dot 1 dot 1 dot 1", "1 dot 2 dot 3", "a red dot here at example.com", "f(x)[.] and (@) alone"])
+def test_signs_in_prose_are_left_alone(table, text):
+    assert pii.find(table([(1, text)])).collect() == []
+
+
+def test_long_disguises_are_linear():
+    for text in ("a dot " * 60_000 + "at b dot c", "1 dot " * 60_000, "[.]" * 100_000, "(@) a" * 60_000, "a[.]b@c[.]d " * 20_000, "a dot b at c.d " * 20_000, " at a.b" * 50_000):
+        pii.added_spans(text, pii.base_spans(text))
