@@ -15,7 +15,8 @@
 
 The benchmark is taken in blocks of `block_items` passages, so what a block sends to the driver or to all tasks (terms times the
 rank of the space) is bounded; the corpus is searched whole for each block. Long items are cut into passages of `PART` words.
-Items of fewer than `min_words` words are not searched for. Rows without id cannot be reported and are left out; NULL and empty
+Items of fewer than `min_words` words are searched for as they are, word after word (with an `answer` column, half of the answer
+must stand near): a copy has no cosine, and an item of one common word is in many documents. Items without words are in none. Rows without id cannot be reported and are left out; NULL and empty
 texts are clean; a row that is repeated is reported once.
 """
 
@@ -350,17 +351,64 @@ def verify(docs: DataFrame, found: DataFrame, passages: list[Passage], hashes: n
     return joined.mapInArrow(run, "id long, item_id long, kind string, lcs double, rare_lcs double, answer_lcs double, cosine double, start long, end long")
 
 
-def _blocks(benchmark: DataFrame, text: str, item: str, answer: str | None, size: int, min_words: int) -> Iterator[list[Passage]]:
+def _keys(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of `size` words, by its first."""
+    n = max(0, len(words) - size + 1)
+    out = words[:n].copy()
+    for k in range(1, size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : n + k]
+    return out
+
+
+def exact(docs: DataFrame, shorts: list[Passage]) -> DataFrame:
+    """The rows of `verify` for short items whose words stand one after the other, the best place of each document."""
+    by_size = []
+    for size in sorted({len(p.words) for p in shorts}):
+        chosen = [(_keys(p.words, size)[0], p.item, p.words, len(p.answer), _masks(p.answer.tolist())) for p in shorts if len(p.words) == size]
+        known = np.unique(np.array([c[0] for c in chosen], np.uint64))
+        by_size.append((size, Terms(known), [[c[1:] for c in chosen if c[0] == key] for key in known]))
+    shared = docs.sparkSession.sparkContext.broadcast(by_size)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "item_id", "kind", "lcs", "rare_lcs", "answer_lcs", "cosine", "start", "end"]
+        types = [pa.int64(), pa.int64(), pa.string(), *[pa.float64()] * 4, pa.int64(), pa.int64()]
+        for own, words, bounds in _text_blocks(batches):
+            best: dict[tuple[int, int], tuple[float, int, int]] = {}
+            for size, known, items in shared.value:
+                at, keys = known.find(_keys(words, size))
+                rows = np.searchsorted(bounds, at, "right") - 1
+                inside = at + size <= bounds[rows + 1]
+                for place, key, row in zip(at[inside].tolist(), keys[inside].tolist(), rows[inside].tolist(), strict=True):
+                    for item, wanted, asked, answer in items[key]:
+                        if best.get((row, item), (0.0,))[0] == 1.0 or (words[place : place + size] != wanted).any():
+                            continue
+                        lo, hi = max(bounds[row], place - WINDOW), min(bounds[row + 1], place + size + WINDOW)
+                        said = common_subsequence(answer, asked, words[lo:hi].tolist()) / asked if asked else 1.0
+                        if said >= 0.5 and said > best.get((row, item), (0.0,))[0]:
+                            best[row, item] = (said, place - int(bounds[row]), place - int(bounds[row]) + size)
+            out = [(own[row].as_py(), item, "copy", 1.0, 1.0, said, None, lo, hi) for (row, item), (said, lo, hi) in best.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names)
+
+    return docs.mapInArrow(run, "id long, item_id long, kind string, lcs double, rare_lcs double, answer_lcs double, cosine double, start long, end long")
+
+
+def _blocks(benchmark: DataFrame, text: str, item: str, answer: str | None, size: int, min_words: int) -> Iterator[tuple[list[Passage], list[Passage]]]:
+    """Blocks of passages and of short items."""
     block: list[Passage] = []
+    short: list[Passage] = []
     columns = [F.col(item).cast("long").alias("item"), F.col(text).alias("text"), (F.col(answer) if answer else F.lit(None)).cast("string").alias("answer")]
     known = benchmark.select(*columns).where("item IS NOT NULL AND text IS NOT NULL").distinct()
     for r in known.orderBy("item", "text").toLocalIterator():
-        block += passages_of(r.item, r.text, r.answer, min_words)
-        if len(block) >= size:
-            yield block
-            block = []
-    if block:
-        yield block
+        words = hashes_of(r.text)
+        if 0 < len(words) < min_words:
+            short.append(Passage(r.item, words, hashes_of(r.answer or "")))
+        else:
+            block += passages_of(r.item, r.text, r.answer, min_words)
+        if len(block) + len(short) >= size:
+            yield block, short
+            block, short = [], []
+    if block or short:
+        yield block, short
 
 
 def find(
@@ -383,7 +431,11 @@ def find(
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     schema = "id long, item_id long, kind string, lcs double, rare_lcs double, answer_lcs double, cosine double, start long, end long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for passages in _blocks(benchmark, f"{text}", item, answer, block_items, min_words):
+    for passages, shorts in _blocks(benchmark, f"{text}", item, answer, block_items, min_words):
+        if shorts:
+            out = out.unionByName(exact(rows, shorts))
+        if not passages:
+            continue
         hashes = np.unique(np.concatenate([p.words for p in passages]))
         frequency, total = passage_frequencies(rows, hashes)
         known = np.zeros(len(hashes), bool)

@@ -131,3 +131,27 @@ def test_short_items_listed_back_to_back(spark, table, corpus, size):
     want = {(1000 + k - k % 12, k) for k in range(48)}
     got = {(r.doc_id, r.item_id) for r in found if r.kind == "copy"}
     assert len(want & got) / len(want) >= 0.98
+
+
+@pytest.mark.parametrize("block", [256, 1])
+def test_items_of_few_words(spark, table, block):
+    items = [(1, "Who wrote the blue book?", "Ann Bell"), (2, "capital of Freeland", None), (3, "Zyx", None), (4, "", None), (5, "...", None), (6, "same same", None), (7, "a much longer item that has enough words for the other search", None)]
+    docs = [
+        (1, "quiz: who wrote, the BLUE book -- it was ann bell of course"),
+        (2, "who wrote the blue book is not known"),
+        (3, "who wrote the old blue book, ann bell asked"),
+        (4, "the capital"),
+        (5, "of freeland and zyx; capital of freeland capital of freeland"),
+        (6, "same"),
+        (7, "same same same"),
+        (8, None),
+        (None, "zyx"),
+        (9, " ".join(["filler"] * 500) + " who wrote the blue book " + " ".join(["filler"] * 500) + " ann bell who wrote the blue book"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string, answer string")
+    found = dc.find(table(docs), benchmark, answer="answer", block_items=block).collect()
+    assert {(r.doc_id, r.item_id, r.kind, r.start, r.end) for r in found} == {(1, 1, "copy", 1, 6), (5, 2, "copy", 4, 7), (5, 3, "copy", 3, 4), (7, 6, "copy", 0, 2), (9, 1, "copy", 1007, 1012)}
+    assert len(found) == 5 and all(r.lcs == 1.0 and r.cosine is None for r in found)
+    # Without the answers their words need not be there.
+    assert {r.doc_id for r in dc.find(table(docs), benchmark, block_items=block).where("item_id = 1").collect()} == {1, 2, 9}
+    assert {r.doc_id for r in dc.clean(table(docs), benchmark, answer="answer").collect()} == {None, 2, 3, 4, 6, 8}
