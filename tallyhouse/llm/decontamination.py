@@ -458,6 +458,9 @@ def find(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
-    """`docs` without the documents that hold a benchmark item; rows without id stay."""
-    found = settle(find(docs, benchmark, text, id, **options).select(id).distinct(), "contaminated")
-    return join_small(docs, found, id, "left_anti").select(*docs.columns)
+    """`docs` without the documents that hold a benchmark item; rows without id stay. Of rows that repeat an id, those go whose
+    text holds one."""
+    # A hash of id and text instead of the id, which need not be unique.
+    key = F.when(F.col(id).isNotNull(), F.xxhash64(id, text))
+    found = settle(find(docs.select(key.alias("own_key"), text), benchmark, text, "own_key", **options).select("own_key").distinct(), "contaminated")
+    return join_small(docs.withColumn("own_key", key), found, "own_key", "left_anti").select(*docs.columns)

@@ -399,11 +399,19 @@ def _named(rows: DataFrame, first_of: DataFrame, found: DataFrame | None, id: st
 
 def deduplicate(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """`df` with one document of each component, the one of least id; rows without id stay. Of rows that repeat an id with the
-    same text, one stays."""
-    found = settle(join(df, text, id), "jaccard-components")
-    others = settle(found.where(F.col("component_id") != F.col(id)).select(id).distinct(), "jaccard-copies")
-    out = join_small(df, others, id, "left_anti").select(*df.columns)
-    # Ids are unique in most tables; only where they aren't are the texts compared.
-    if found.where(F.col(id).isNotNull()).groupBy(id).count().where("count > 1").isEmpty():
-        return out
-    return out.where(F.col(id).isNull()).unionByName(out.where(F.col(id).isNotNull()).dropDuplicates([id, text]))
+    same text, one stays; with different texts each is a document of its own."""
+    # Ids are unique in most tables; only where they aren't do the texts tell rows apart.
+    if df.where(F.col(id).isNotNull()).groupBy(id).count().where("count > 1").isEmpty():
+        found = settle(join(df, text, id), "jaccard-components")
+        others = settle(found.where(F.col("component_id") != F.col(id)).select(id).distinct(), "jaccard-copies")
+        return join_small(df, others, id, "left_anti").select(*df.columns)
+    own = F.when(F.col(id).isNotNull(), F.xxhash64(id, text))
+    keyed = df.withColumn("own_key", own)
+    one = keyed.where("own_key IS NOT NULL").dropDuplicates(["own_key"])
+    named = one.select("own_key", F.struct(F.col(id).alias("id"), F.col("own_key").alias("key")).alias("rank"))
+    found = settle(join(one, text, "own_key").join(named, "own_key"), "jaccard-components")
+    # Of each component the row of least id, and of least hash where it repeats the id.
+    least = found.groupBy("component_id").agg(F.min("rank").alias("least"))
+    others = settle(found.join(least, "component_id").where("rank <> least").select("own_key"), "jaccard-copies")
+    out = join_small(keyed, others, "own_key", "left_anti")
+    return out.where("own_key IS NULL").unionByName(out.where("own_key IS NOT NULL").dropDuplicates(["own_key"])).select(*df.columns)

@@ -155,3 +155,10 @@ def test_items_of_few_words(spark, table, block):
     # Without the answers their words need not be there.
     assert {r.doc_id for r in dc.find(table(docs), benchmark, block_items=block).where("item_id = 1").collect()} == {1, 2, 9}
     assert {r.doc_id for r in dc.clean(table(docs), benchmark, answer="answer").collect()} == {None, 2, 3, 4, 6, 8}
+
+
+def test_a_repeated_id_goes_only_where_its_text_holds_an_item(spark, table):
+    item = "seven quick zebras jumped over lazy purple dogs near the old mill. They answered quietly at dawn."
+    docs = table([(1, f"intro {item} outro"), (1, "a clean text of the same number"), (2, "nothing of the kind is in here at all")])
+    left = dc.clean(docs, spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert left.columns == docs.columns and sorted((r.doc_id, r.text[:7]) for r in left.collect()) == [(1, "a clean"), (2, "nothing")]

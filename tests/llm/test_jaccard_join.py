@@ -106,3 +106,13 @@ def test_stars(spark):
         parent[max(a, b)] = min(a, b)
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {k: got.get(k, k) for k in parent} == {k: root(k) for k in parent}
+
+
+def test_a_repeated_id_goes_only_where_its_text_is_a_copy(table):
+    first, second, third = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    near = " ".join(second.split()[:-1])
+    rows = [(1, first), (5, first), (5, second), (5, second), (6, near), (7, third), (7, third + " end"), (8, None), (8, ""), (None, first)]
+    left = sorted((str(r.doc_id), r.text) for r in jaccard_join.deduplicate(table(rows)).collect() if r.doc_id not in (7, 8))
+    assert left == sorted([("1", first), ("5", second), ("None", first)])
+    kept = [r.doc_id for r in jaccard_join.deduplicate(table(rows)).collect()]
+    assert kept.count(7) == 1 and kept.count(8) == 2
