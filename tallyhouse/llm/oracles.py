@@ -52,3 +52,26 @@ def op5() -> str:
       count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example FROM kept GROUP BY 1)
     SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example FROM documents LEFT JOIN per USING (doc_id)"""
+
+
+def op11(k: int = 5) -> str:
+    """Every query with every other row."""
+    return f"""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= {k}"""
+
+
+def op12(k: int = 20) -> str:
+    """Every item's terms with every document's."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    split = f"unnest(regexp_extract_all(translate(text, '{capitals}', '{capitals.lower()}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'))"
+    return f"""WITH d AS (SELECT doc_id, {split} AS t FROM documents), q AS (SELECT item_id, {split} AS t FROM benchmark),
+    tfs AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY 1, 2), sizes AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1),
+    total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS occurrences FROM sizes),
+    weight AS (SELECT t, CAST(floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, total GROUP BY t),
+    norm AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // occurrences) AS m FROM sizes, total),
+    scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN tfs USING (t) JOIN weight USING (t) JOIN norm USING (doc_id) GROUP BY 1, 2),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {k}"""

@@ -9,13 +9,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, decontamination, jaccard_join, langid, licenses, oracles, pii, quality, secret_scan, toxicity, winnowing
+from tallyhouse.llm import bpe, decontamination, jaccard_join, langid, licenses, oracles, pii, quality, ranked_search, secret_scan, toxicity, vector_search, winnowing
 from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 # The others have no SQL form; tests/llm holds them against plain loops, a library or held-out labels.
-ORACLES: dict[str, str] = {"op5_secrets": oracles.op5(), "op9_licenses": oracles.op9()}
+ORACLES: dict[str, str] = {"op5_secrets": oracles.op5(), "op9_licenses": oracles.op9(), "op11_vector_search": oracles.op11(), "op12_ranked_search": oracles.op12()}
 
 
 def query(function: Query) -> Query:
@@ -114,3 +114,15 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"), runs=True)
+
+
+@query
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest other vectors, by integer inner product, of every vector whose id is divisible by 50."""
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return ranked_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
