@@ -75,3 +75,41 @@ def op12(k: int = 20) -> str:
     scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM q JOIN tfs USING (t) JOIN weight USING (t) JOIN norm USING (doc_id) GROUP BY 1, 2),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
     SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {k}"""
+
+
+def op13() -> str:
+    """Damage with a table-driven CRC, and the least (cost, edits) of every node, row by row."""
+    edits = [(node, f"left(role, 1) = '{initial}' AND NOT gone", "3 * cut", "K", "[role || ':' || text]", to) for node, initial, to in ((0, "s", 1), (0, "u", 2), (1, "u", 2), (2, "a", 3), (3, "u", 2))]
+    fills = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+    edits += [(node, "NOT gone", "3 + 3 * cut", "R", f"['{role}:' || text]", to) for node, (role, to) in fills.items()]
+    edits += [(node, "true", "4", "D", "CAST([] AS VARCHAR[])", node) for node in range(4)]
+    step = " UNION ALL ".join(f"SELECT conv_id, i, {to} AS node, cost + {cost} AS cost, audit || '{edit}' AS audit, list_concat(lines, {line}) AS lines FROM met WHERE node = {node} AND {where}" for node, where, cost, edit, line, to in edits)
+
+    def insert(source: str, node: str = "node") -> str:
+        role = f"CASE WHEN {node} = 2 THEN 'assistant' ELSE 'user' END"
+        return f"SELECT conv_id, i, CASE WHEN {node} = 2 THEN 3 ELSE 2 END AS node, cost + 3 AS cost, audit || 'I' AS audit, list_append(lines, {role} || ':') AS lines FROM {source}"
+
+    least = "SELECT conv_id, i, node, min({'cost': cost, 'audit': audit, 'lines': lines}) AS best FROM {source} GROUP BY conv_id, i, node"
+    opened = lambda source: f"(SELECT conv_id, i, node, best.cost AS cost, best.audit AS audit, best.lines AS lines FROM {source})"
+    best = lambda source: least.replace("{source}", source)
+    return f"""WITH RECURSIVE tab AS (SELECT list(list_reduce(list_prepend(CAST(n AS BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) r(n)),
+    keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))) AS l FROM conversations),
+    coded AS (SELECT conv_id, turn, role, text, xor(list_reduce(l, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS code FROM keyed, tab),
+    damaged AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM coded),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged),
+    ended AS (SELECT *, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+      left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair FROM placed),
+    rows_ AS (SELECT *, last = '' AS blank, last <> '' AND again AS duplicate, last <> '' AND NOT again AND last NOT IN ('.', '!', '?') AS truncated FROM ended),
+    coded_rows AS (SELECT conv_id, i, role, text, blank OR duplicate AS gone, CAST(truncated AS INTEGER) AS cut FROM rows_),
+    begun AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS node, 0 AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM conversations),
+    dp AS (
+      SELECT * FROM (SELECT * FROM begun UNION ALL {insert('begun')} UNION ALL {insert('(' + insert('begun') + ')')})
+      UNION ALL
+      SELECT * FROM (WITH met AS (SELECT dp.conv_id, dp.i + 1 AS i, node, cost, audit, lines, role, text, gone, cut FROM dp JOIN coded_rows r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1),
+        used AS ({step}), first AS ({best('used')}), filled AS (SELECT * FROM {opened('first')} UNION ALL {insert(opened('first'))} UNION ALL {insert('(' + insert(opened('first')) + ')')}), second AS ({best('filled')})
+        SELECT * FROM {opened('second')})),
+    size AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+      count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows_ GROUP BY conv_id),
+    done AS (SELECT dp.conv_id, min({{'cost': cost, 'audit': audit, 'lines': lines}}) AS best FROM dp LEFT JOIN size ON size.conv_id IS NOT DISTINCT FROM dp.conv_id WHERE dp.i = coalesce(n, 0) AND node IN (0, 3) GROUP BY dp.conv_id)
+    SELECT done.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+      sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256 FROM done LEFT JOIN size ON size.conv_id IS NOT DISTINCT FROM done.conv_id"""

@@ -9,13 +9,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, decontamination, jaccard_join, langid, licenses, oracles, pii, quality, ranked_search, secret_scan, toxicity, vector_search, winnowing
+from tallyhouse.llm import bpe, conversation_repair, decontamination, jaccard_join, langid, licenses, oracles, pii, quality, ranked_search, secret_scan, toxicity, vector_search, winnowing
 from tallyhouse.llm.learning import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 # The others have no SQL form; tests/llm holds them against plain loops, a library or held-out labels.
-ORACLES: dict[str, str] = {"op5_secrets": oracles.op5(), "op9_licenses": oracles.op9(), "op11_vector_search": oracles.op11(), "op12_ranked_search": oracles.op12()}
+ORACLES: dict[str, str] = {"op5_secrets": oracles.op5(), "op9_licenses": oracles.op9(), "op11_vector_search": oracles.op11(), "op12_ranked_search": oracles.op12(), "op13_conversation_repair": oracles.op13()}
 
 
 def query(function: Query) -> Query:
@@ -126,3 +126,9 @@ def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty best documents for every benchmark item."""
     return ranked_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
