@@ -16,7 +16,7 @@ from tallyhouse.functions import scalars as S
 from tallyhouse.operators import dimensions, scd2
 from tallyhouse.plans.warehouse import History, Warehouse, run_cycle
 from tallyhouse.session import scratch, settle
-from tallyhouse.sources.tables import Store, read_table
+from tallyhouse.sources.tables import all_batches, read_table
 from tallyhouse.streaming import jobs
 
 CUTS = ("2024-01-11", "2024-01-21")
@@ -101,7 +101,7 @@ def stream_txn_fact(t):
 def stream_scd2(t):
     """The customers' priorities as a stream in three steps, many states of a customer in each."""
     table, checkpoint = jobs.new_paths(t.spark, "stream-scd2")
-    history = History(Store(t.spark, table), "dim_priority", "player_key")
+    history = History(t.spark, table, "player_key")
     cuts = ("1997-01-01", "1999-01-01")
     jobs.in_steps(priority_feed(t), "at", cuts, lambda changes: jobs.scd2_stream(changes, history, ["priority"], "at", checkpoint, ["seq"], width="year"))
     return history.rows()
@@ -115,9 +115,8 @@ def stream_scd2_check(t):
 @query("stream_devices", f"WITH {DEVICE} SELECT DISTINCT device_type, device AS device_model FROM devices")
 def stream_devices(t):
     table, checkpoint = jobs.new_paths(t.spark, "stream-device")
-    store = Store(t.spark, table)
-    jobs.in_steps(t.login_history(), "login_time", CUTS, lambda logins: jobs.device_stream(logins, store, checkpoint))
-    return store.read("dim_device").select("device_type", "device_model")
+    jobs.in_steps(t.login_history(), "login_time", CUTS, lambda logins: jobs.device_stream(logins, table, checkpoint))
+    return all_batches(t.spark, table).select("device_type", "device_model")
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events")
@@ -181,14 +180,14 @@ def stream_sessions(t):
       true AS is_active, CAST(TIMESTAMP '2024-01-01' + to_days(CAST(step AS INTEGER)) AS VARCHAR) AS start_date, CAST(TIMESTAMP '2024-01-01' + to_days(CAST(until AS INTEGER)) AS VARCHAR) AS end_date, until IS NULL AS is_current, version_number FROM v""",
 )
 def stream_staff(t):
-    """States of the staff on three days as a stream: some are promoted, some come late; each step is a part of its own."""
+    """States of the staff on three days as a stream: some are promoted, some come late; each step is a batch of its own."""
     k, step = F.col("staff_email"), F.col("step")
     states = t.staff().withColumn("step", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).where(~((k % 7 == 0) & (step == 0)))
     position = F.when((k % 3 == 0) & (step > 0), "Floor Manager").when((k % 3 == 1) & (step == 2), "Security").otherwise("Dealer")
     at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(step)
     feed = states.withColumn("position", position).select(F.col("staff_email").alias("staff_key"), "first_name", "last_name", "position", S.department("position").alias("department"), F.lit(True).alias("is_active"), at.alias("at"))
     table, checkpoint = jobs.new_paths(t.spark, "stream-staff")
-    history = History(Store(t.spark, table), "dim_staff", "staff_key")
+    history = History(t.spark, table, "staff_key")
     jobs.in_steps(feed, "at", ("2024-01-02", "2024-01-03"), lambda changes: jobs.scd2_stream(changes, history, dimensions.STAFF_TRACKED, "at", checkpoint))
     return history.rows()
 
@@ -220,8 +219,8 @@ def initial_load(t):
     src = sources(t) | {"player_game": t.event_plays(), "slot_machine": t.slot_machine(), "transaction": t.transaction().withColumn("game_name", F.lit(None).cast("string"))}
     house = Warehouse(t.spark, scratch(t.spark, "initial"))
     run_cycle(house, src, F.lit(AS_OF).cast("timestamp_ntz"), 0)
-    house.compact()
-    tables = {n: house.daily_summary() if n == "daily_summary" else house.table(n) for n in LOADED}
+    whole = {"daily_summary": house.daily_summary, "dim_player": house.players.rows, "dim_staff": house.staff.rows}
+    tables = {n: whole[n]() if n in whole else house.table(n) for n in LOADED}
     counted = [tables[n].agg(F.count(F.lit(1)).alias("row_count"), total().cast("double").alias("total")).select(F.lit(n).alias("table_name"), "row_count", "total") for n, (*_, total) in LOADED.items()]
     return reduce(DataFrame.unionByName, counted)
 

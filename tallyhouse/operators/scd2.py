@@ -107,6 +107,38 @@ def build(
     return merge(empty, incoming, key, tracked, at, ties, width=width, hot_rows=hot_rows)
 
 
+def splice(
+    dim: DataFrame,
+    incoming: DataFrame,
+    known: DataFrame | None,
+    seen: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    at: str,
+    ties: Sequence[str] = (),
+    width: str | None = None,
+    hot_rows: int = windows.HOT_ROWS,
+) -> DataFrame:
+    """As `merge`, but a state that comes late takes the place its time gives it, whatever order states come in.
+
+    `known` are all states that the dimension was made from, also those that changed nothing, and `seen` the time of the last one
+    per key, as `at`. A key with news up to that time is built again from all its states: the interval that a late state falls in
+    is split, later versions are renumbered, and neighbours that have become equal are one. Only such keys read `known`; all others
+    are merged at their open version.
+    """
+    last = seen.select(key, F.col(at).alias("_seen"))
+    # Times are compared with NULL lowest, as they are ordered.
+    order = lambda c: F.struct(F.col(c).isNotNull(), F.col(c))
+    firsts = incoming.groupBy(key).agg(F.min(order(at)).alias("_first")).join(last, key)
+    late = settle(firsts.where(F.col("_first") <= order("_seen")).select(key), "late-keys")
+    if known is None or late.isEmpty():
+        return merge(dim, incoming, key, tracked, at, ties, width=width, hot_rows=hot_rows)
+    states = known.select(*incoming.columns).unionByName(incoming).join(late, key, "left_semi")
+    again = build(states, key, tracked, at, ties, width=width, hot_rows=hot_rows)
+    rest = merge(dim.join(late, key, "left_anti"), incoming.join(late, key, "left_anti"), key, tracked, at, ties, width=width, hot_rows=hot_rows)
+    return rest.unionByName(again)
+
+
 def current(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("is_current"))
 

@@ -1,10 +1,12 @@
 """The warehouse in a folder: first load, incremental cycles, and the batches of streams, side by side.
 
-Every change carries a feed and a batch number of that feed. A step that already ran for a batch is skipped or replaces its own
-part, so a batch may be run again after a failure at any point, and feeds never touch each other's parts.
+Every change carries a feed and a batch number of that feed, which are partition columns. A batch leaves out what all other batches
+have, and overwrites its own partition; so it may run again after a failure at any point, or any time later, and feeds never touch
+each other's rows.
 
-    tables/          all tables as listed parts (`Store`): dimensions, facts, bridge changes, pending plays, last plays
-    daily_summary/   full_date=<d>/    only touched dates are rewritten
+    <table>/feed=<f>/batch_id=<n>/   dimensions, facts (below it full_date=<d>/), bridge changes, pending plays, last plays
+    dim_player/, dim_staff/          histories, see `History`
+    daily_summary/full_date=<d>/     only touched dates are rewritten
     run_log/
 """
 
@@ -12,15 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import scalars as S
-from tallyhouse.operators import dimensions, facts, joins, merge, scd2, summaries, windows
+from tallyhouse.operators import dimensions, facts, merge, scd2, summaries, windows
 from tallyhouse.session import settle
 from tallyhouse.sources import run_log
-from tallyhouse.sources.tables import Store, read_table
+from tallyhouse.sources.tables import all_batches, batch_of, put_batch, read_if_any, replace_partitions
 
 FACT_KEY = ("full_date", "player_key", "game_name", "play_time")
 LOAD = "load"
@@ -33,81 +34,86 @@ def _dates(df: DataFrame) -> list:
 
 
 class History:
-    """A type-2 dimension of which a batch writes only the keys it touches.
+    """A type-2 dimension in a folder, which may get its states late and in any order.
 
-    A batch's part holds the new open version of each touched key and the versions it closed. Closed versions are those of all
-    parts; the open version of a key is the one of its last part. `compact` folds everything into one part.
+        states/   the states as they came, by feed and batch
+        rows/     the versions, by a hash of the key (`part`), each with the time of its key's last state (`seen`)
+
+    A batch rewrites only the parts that its keys lie in. A batch that runs again replaces its states and builds its keys from all
+    their states, so nothing counts twice.
     """
 
-    def __init__(self, store: Store, name: str, key: str):
-        self.store, self.name, self.key = store, name, key
+    def __init__(self, spark: SparkSession, path: str, key: str, parts: int = 16):
+        self.spark, self.path, self.key, self.parts = spark, path.rstrip("/"), key, parts
+
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("int")
 
-    def _rows(self) -> DataFrame | None:
-        return self.store.read(self.name, versions=True)
+    def rows(self) -> DataFrame | None:
+        rows = read_if_any(self.spark, f"{self.path}/rows")
+        return None if rows is None else rows.drop("part", "seen")
 
     def open_rows(self, keys: DataFrame | None = None) -> DataFrame | None:
         """The open versions, or those of the given keys only."""
-        rows = self._rows()
+        rows = self.rows()
         if rows is None:
             return None
         now = rows.where(F.col("is_current"))
-        if keys is not None:
-            now = now.join(keys, self.key, "left_semi")
-        parts = self.store.parts(self.name)
-        if len(parts) == 1:
-            return now.drop("version")
-        ground = parts[0].version if parts[0].whole else -1
-        later = now.where(F.col("version") > ground)
-        # The ground is large and stays in place; later parts hold a few keys each.
-        last = joins.latest_per_key(later, self.key, [c for c in now.columns if c not in (self.key, "version")], ["version"])
-        kept = now.where(F.col("version") == ground).join(later.select(self.key).distinct(), self.key, "left_anti")
-        columns = [c for c in now.columns if c != "version"]
-        return kept.select(*columns).unionByName(last.select(*columns))
-
-    def rows(self) -> DataFrame:
-        closed = self._rows().where(~F.col("is_current")).drop("version")
-        return closed.unionByName(self.open_rows())
+        return now if keys is None else now.join(keys, self.key, "left_semi")
 
     def merge(self, batch: DataFrame, batch_id: int, tracked: Sequence[str], at: Column | str, ties: Sequence[str] = (), width: str | None = None, feed: str = LOAD) -> None:
-        if self.store.done(self.name, feed) >= batch_id:
-            return
-        batch = settle(batch, "states")
-        touched = self.open_rows(batch.select(self.key).distinct())
-        if touched is None:
-            extra = {at, *ties} if isinstance(at, str) else set(ties)
-            attrs = [c for c in batch.columns if c not in extra]
-            touched = scd2.init(batch.select(*attrs), F.lit(None)).where(F.lit(False))
+        when = (F.col(at) if isinstance(at, str) else at).cast("timestamp_ntz")
+        states = f"{self.path}/states"
+        ran = batch_of(self.spark, states, feed, batch_id) is not None
+        others = all_batches(self.spark, states, without=(feed, batch_id))
+        batch = batch.withColumn("_at", when)
+        batch = put_batch(batch.drop(at) if isinstance(at, str) else batch, states, feed, batch_id)
+        parts = sorted(r["part"] for r in batch.select(self._part().alias("part")).distinct().collect())  # `parts` at most
+        rows = read_if_any(self.spark, f"{self.path}/rows")
+        if rows is None:
+            now = scd2.init(batch.drop(*ties, "_at"), F.lit(None)).where(F.lit(False))
+            seen = batch.select(self.key, "_at").where(F.lit(False))
         else:
-            touched = settle(touched, "touched")
-        merged = scd2.merge(touched, batch, self.key, tracked, at, ties, width=width)
-        self.store.write(self.name, merged, feed, batch_id, ["is_current"], whole=False)
-
-    def compact(self) -> None:
-        """Fold all parts into one; readers see either the parts or the one."""
-        if len(self.store.parts(self.name)) > 1:
-            self.store.write(self.name, self.rows(), "compaction", None, ["is_current"])
+            rows = rows.where(F.col("part").isin(parts))
+            now, seen = rows.drop("part", "seen"), rows.where(F.col("is_current")).select(self.key, F.col("seen").alias("_at"))
+        if ran and rows is not None:
+            # What the earlier run added is in the rows: take its keys for late.
+            seen = seen.join(batch.select(self.key).distinct(), self.key, "left_anti").unionByName(batch.groupBy(self.key).agg(F.max("_at").alias("_at")))
+            others = batch.limit(0) if others is None else others
+        merged = scd2.splice(now, batch, others, seen, self.key, tracked, "_at", ties, width=width)
+        last = seen.unionByName(batch.select(self.key, "_at")).groupBy(self.key).agg(F.max("_at").alias("seen"))
+        merged = settle(merged.join(last, self.key, "left").withColumn("part", self._part()), "versions")
+        replace_partitions(merged, f"{self.path}/rows", ["part"])
+
+
+# Dimensions without history: source, rows, key.
+PLAIN = {
+    "dim_time": ("player_game", lambda df: dimensions.date_dim(df, "play_time"), "full_date"),
+    "dim_game": ("game", dimensions.game_dim, "game_name"),
+    "dim_location": ("casino_location", dimensions.location_dim, "location_code"),
+    "dim_slot_machine": ("slot_machine", dimensions.slot_machine_dim, "machine_code"),
+    "dim_device": ("login_history", dimensions.device_dim, "device_id"),
+}
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = Store(spark, f"{self.root}/tables")
-        self.players = History(self.tables, "dim_player", "player_key")
-        self.staff = History(self.tables, "dim_staff", "staff_key")
+        self.players = History(spark, self._path("dim_player"), "player_key")
+        self.staff = History(spark, self._path("dim_staff"), "staff_key")
+
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     # -- reading
 
-    def table(self, name: str) -> DataFrame | None:
-        return self.tables.read(name)
+    def table(self, name: str, without: tuple[str, int] | None = None) -> DataFrame | None:
+        """A table that is written by batches; `without` leaves out one of them."""
+        return all_batches(self.spark, self._path(name), without)
 
     def daily_summary(self) -> DataFrame | None:
-        try:
-            return read_table(self.spark, f"{self.root}/daily_summary")
-        except AnalysisException as err:
-            if "PATH_NOT_FOUND" in str(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
-                return None
-            raise
+        return read_if_any(self.spark, self._path("daily_summary"))
 
     def gaming(self, width: str = "hour") -> DataFrame | None:
         """The plays. Minutes since the previous play are as booked, but computed again for players one of whose plays came
@@ -119,6 +125,14 @@ class Warehouse:
         again = windows.minutes_since_previous(fact.join(late, "player_key", "left_semi"), ["player_key"], "play_time", PLAY_ORDER, width=width)
         return fact.join(late, "player_key", "left_anti").unionByName(again.select(*fact.columns))
 
+    def pending(self, without: tuple[str, int] | None = None) -> DataFrame | None:
+        """Plays that had no player or game when they came and aren't booked yet. `without`: as if that batch hadn't run."""
+        waiting, fact = self.table("pending", without), self.table("gaming", without)
+        if waiting is None or fact is None:
+            return waiting
+        booked = fact.select(F.col("player_key").alias("player_email"), "game_name", "play_time")
+        return merge.append_new(booked, waiting, ["player_email", "game_name", "play_time"])
+
     def log(self) -> DataFrame:
         return run_log.read_log(self.spark, f"{self.root}/run_log")
 
@@ -127,24 +141,20 @@ class Warehouse:
     def _step(self, name: str, step):
         return run_log.run_step(self.spark, f"{self.root}/run_log", name, step)
 
-    def _put(self, name: str, df: DataFrame, batch_id: int, feed: str) -> int:
-        """A table that is replaced as a whole."""
-        if self.tables.done(name, feed) < batch_id:
-            return self.tables.write(name, df, feed, batch_id).count()
-        return self.table(name).count()
+    def _put(self, name: str, df: DataFrame, feed: str, batch_id: int, partition: Sequence[str] = ()) -> int:
+        return put_batch(df, self._path(name), feed, batch_id, partition).count()
 
     def load_dimensions(self, src: Mapping[str, DataFrame], as_of: Column, batch_id: int, feed: str = LOAD) -> None:
-        """Dates, games, places, machines, players, staff, devices, in this order; any may be missing."""
-        builders = {
-            "dim_time": ("player_game", lambda df, old: dimensions.date_dim(df, "play_time") if old is None else dimensions.ensure_dates(old, df, "play_time")),
-            "dim_game": ("game", dimensions.game_dim),
-            "dim_location": ("casino_location", dimensions.location_dim),
-            "dim_slot_machine": ("slot_machine", dimensions.slot_machine_dim),
-            "dim_device": ("login_history", dimensions.device_dim),
-        }
-        for name, (source, build) in builders.items():
-            if source in src:
-                self._step(name, lambda name=name, source=source, build=build: self._put(name, build(src[source], self.table(name)), batch_id, feed))
+        """Dates, games, places, machines, devices, players, staff, in this order; any may be missing."""
+
+        def add(name: str) -> int:
+            source, build, key = PLAIN[name]
+            rows, known = build(src[source]), self.table(name, without=(feed, batch_id))
+            return self._put(name, rows if known is None else merge.append_new(known, rows, key), feed, batch_id)
+
+        for name in PLAIN:
+            if PLAIN[name][0] in src:
+                self._step(name, lambda name=name: add(name))
         if "player" in src:
             rows = dimensions.player_rows(src["player"], as_of.cast("date"))
             self._step("dim_player", lambda: self.players.merge(rows, batch_id, dimensions.PLAYER_TRACKED, as_of, feed=feed))
@@ -155,15 +165,11 @@ class Warehouse:
     def add_plays(self, plays: DataFrame, src: Mapping[str, DataFrame], batch_id: int, session: str | None = None, feed: str = LOAD) -> None:
         """Plays of one batch into fact, bridge and daily summary.
 
-        Plays of a player or game that has no dimension row yet wait in the table `pending` and are tried again with the next
+        Plays of a player or game that has no dimension row yet wait in the table `pending` and are tried again with every later
         batch. `session` adds the minutes since the player's previous play, in whatever batch that came.
         """
-        if self.tables.done("pending", feed) >= batch_id:
-            # Fact and bridge were complete before `pending` was listed for this batch.
-            self._step("daily_summary", lambda: self.refresh_days(batch_id, feed))
-            return
         plays = settle(plays, "plays")
-        waiting = self.table("pending")
+        waiting = self.pending(without=(feed, batch_id))
         offered = plays if waiting is None else plays.unionByName(waiting.select(*plays.columns))
         known_players = self.players.open_rows().select(F.col("player_key").alias("player_email"))
         known_games = self.table("dim_game").select("game_name")
@@ -185,12 +191,13 @@ class Warehouse:
             return self._append_fact("gaming", built, FACT_KEY, batch_id, feed, session)
 
         def write_bridge() -> int:
-            return self.tables.write("bridge_changes", summaries.bridge(self.tables.batch("gaming", feed, batch_id)), feed, batch_id, whole=False).count()
+            new = batch_of(self.spark, self._path("gaming"), feed, batch_id)
+            return 0 if new is None else self._put("bridge_changes", summaries.bridge(new), feed, batch_id)
 
         def write_pending() -> int:
-            unknown = offered.join(known_players, "player_email", "left_anti")
-            misplaced = offered.join(known_players, "player_email", "left_semi").join(known_games, "game_name", "left_anti")
-            return self._put("pending", unknown.unionByName(misplaced), batch_id, feed)
+            unknown = plays.join(known_players, "player_email", "left_anti")
+            misplaced = plays.join(known_players, "player_email", "left_semi").join(known_games, "game_name", "left_anti")
+            return self._put("pending", unknown.unionByName(misplaced), feed, batch_id)
 
         self._step("fact_gaming_activity", write_fact)
         self._step("bridge_game_player", write_bridge)
@@ -199,74 +206,51 @@ class Warehouse:
 
     def _append_fact(self, name: str, built: DataFrame, key: Sequence[str], batch_id: int, feed: str, session: str | None = None) -> int:
         """Append the rows that all other batches lack. The date is in the key, so only touched dates are looked at."""
-        before = self.tables.read(name, without=(feed, batch_id))
+        before = self.table(name, without=(feed, batch_id))
         if before is not None:
             built = settle(built, f"batch-{name}")
             built = merge.append_new(before.where(F.col("full_date").isin(_dates(built))), built, key)
         if session:
             built = self._with_minutes(settle(built, f"new-{name}"), batch_id, feed, session)
-        return self.tables.write(name, built, feed, batch_id, ["full_date"], whole=False).count()
+        return self._put(name, built, feed, batch_id, ["full_date"])
 
     def _with_minutes(self, new: DataFrame, batch_id: int, feed: str, width: str) -> DataFrame:
         """Minutes since the previous play, of which the player's last one in earlier batches is kept as state."""
         keyed = windows.minutes_since_previous(new, ["player_key"], "play_time", PLAY_ORDER, width=width)
         ends = new.groupBy("player_key").agg(F.min("play_time").alias("first_play"), F.max("play_time").alias("last_play"))
-        state = self.tables.read("last_plays", without=(feed, batch_id))
+        state = self.table("last_plays", without=(feed, batch_id))
         if state is not None:
             earlier = state.join(new.select("player_key").distinct(), "player_key", "left_semi").groupBy("player_key").agg(F.max("last_play").alias("before"))
             # Equal times are ordered by game and amounts, which only the whole history shows.
             late = ends.join(earlier, "player_key").where("first_play <= before").select("player_key")
-            self.tables.write("late_players", late, feed, batch_id, whole=False)
+            self._put("late_players", late, feed, batch_id)
             keyed = keyed.join(earlier, "player_key", "left")
             carried = F.when(F.col("session_duration_minutes").isNull(), S.minutes_between("play_time", "before")).otherwise(F.col("session_duration_minutes"))
             keyed = keyed.withColumn("session_duration_minutes", carried).drop("before")
-        self.tables.write("last_plays", ends.select("player_key", "last_play"), feed, batch_id, whole=False)
+        self._put("last_plays", ends.select("player_key", "last_play"), feed, batch_id)
         return keyed.select(*new.columns)
 
     def refresh_days(self, batch_id: int, feed: str = LOAD) -> int:
         """Compute the summary of the dates in the batch again and replace just these dates."""
-        batch = self.tables.batch("gaming", feed, batch_id)
+        batch = batch_of(self.spark, self._path("gaming"), feed, batch_id)
         days = [] if batch is None else _dates(batch)
         if not days:
             return 0
         fresh = summaries.daily_summary(self.table("gaming").where(F.col("full_date").isin(days)))
-        path = f"{self.root}/daily_summary"
-        fresh.hint("rebalance", "full_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("full_date").parquet(path)
+        replace_partitions(fresh, self._path("daily_summary"), ["full_date"])
         return len(days)
 
     def bridge(self) -> DataFrame:
-        """Totals per player and game: the changes of all batches folded; compaction leaves one change per pair."""
+        """Totals per player and game: the changes of all batches folded."""
         changes = self.table("bridge_changes")
         return merge.accumulate(changes, changes.limit(0), summaries.BRIDGE_KEY, summaries.BRIDGE_FOLDS)
 
-    def compact(self) -> None:
-        """Fold the parts of every table that grows by batches into one part each. Not while a batch is half done."""
-        for name in ("gaming", "bridge_changes"):
-            for part in self.tables.parts(name):
-                if not part.whole and part.batch_id > self.tables.done("pending", part.feed):
-                    raise RuntimeError(f"batch {part.batch_id} of feed {part.feed} has not ended")
-        folded = {
-            "gaming": (self.gaming, ["full_date"]),
-            "transactions": (lambda: self.table("transactions"), ["full_date"]),
-            "bridge_changes": (self.bridge, []),
-            "last_plays": (lambda: self.table("last_plays").groupBy("player_key").agg(F.max("last_play").alias("last_play")), []),
-        }
-        for name, (rows, partition) in folded.items():
-            if len(self.tables.parts(name)) > 1:
-                self.tables.write(name, rows(), "compaction", None, partition)
-        if self.table("late_players") is not None:
-            # Their minutes are now right in the fact itself.
-            self.tables.write("late_players", self.table("late_players").limit(0), "compaction")
-        self.players.compact()
-        self.staff.compact()
-
     def add_transactions(self, transactions: DataFrame, src: Mapping[str, DataFrame], batch_id: int, feed: str = LOAD) -> None:
         def write() -> int:
             built = facts.txn_fact(transactions, self.players.open_rows(), src["table_game"], src["staff_assigned_tables"], self.staff.open_rows())
             return self._append_fact("transactions", built, ["full_date", "transaction_code"], batch_id, feed)
 
-        if self.tables.done("transactions", feed) < batch_id:
-            self._step("fact_financial_transactions", write)
+        self._step("fact_financial_transactions", write)
 
 
 def run_cycle(house: Warehouse, src: Mapping[str, DataFrame], as_of: Column, batch_id: int, session: str | None = None, feed: str = LOAD) -> None:

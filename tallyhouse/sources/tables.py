@@ -1,26 +1,18 @@
-"""Parquet tables: typed reads, appends, and tables made of listed parts."""
+"""Parquet tables: typed reads, appends, and tables partitioned by the batch that wrote them."""
 
 from __future__ import annotations
 
-import json
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PARTS = T.StructType(
-    [
-        T.StructField("table_name", T.StringType(), False),
-        T.StructField("version", T.LongType(), False),
-        T.StructField("path", T.StringType(), False),
-        T.StructField("feed", T.StringType(), False),
-        T.StructField("batch_id", T.LongType(), False),
-        T.StructField("whole", T.BooleanType(), False),
-        T.StructField("schema", T.StringType(), False),
-    ]
-)
+# Partition columns of a table that is written batch by batch. A feed is one source of batches, numbered on its own: a first
+# load, or a stream with its checkpoint.
+FEED, BATCH = "feed", "batch_id"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -54,93 +46,46 @@ def append_row(spark: SparkSession, path: str, schema: T.StructType, row: Sequen
     spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(path)
 
 
-class Store:
-    """Named tables under one folder, made of parts that count once they are listed.
+def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table in a folder, None while nothing has been written there."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _is_batch(feed: str, batch_id: int) -> Column:
+    return (F.col(FEED) == feed) & (F.col(BATCH) == batch_id)
 
-    A part is written to a folder of its own and then listed in a small append-only table, with the feed and the batch it
-    came from and its schema, so that reading infers nothing. A whole part takes the place of all parts before it, any other
-    adds to them. A feed is one source of batches, numbered on its own: a first load, or a stream with its checkpoint. What one
-    feed wrote is never touched by another; the same batch of the same feed written again replaces its own part. A run
-    that fails before listing leaves the table as it was. One writer is assumed: it knows its own parts, others call
-    `refresh` to see them. Compaction (a whole part) keeps the number of parts small.
+
+def put_batch(df: DataFrame, path: str, feed: str, batch_id: int, partition: Sequence[str] = ()) -> DataFrame:
+    """Make `df` the rows of one batch of the table, in place of what an earlier run of the batch wrote, and read them back.
+
+    The batch's own partition is overwritten, not only the partitions below it that `df` has rows for, as dynamic overwriting
+    would: a run that ends with fewer dates, or with nothing, must not leave the others behind. No other batch is touched.
     """
+    if not re.fullmatch(r"[\w.-]*[A-Za-z][\w.-]*", feed):
+        raise ValueError(f"{feed!r} can't name a partition")
+    own = f"{path}/{FEED}={feed}/{BATCH}={batch_id}"
+    _by(df, partition).write.mode("overwrite").partitionBy(*partition).parquet(own)
+    return df.sparkSession.read.schema(df.schema).parquet(own)
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self._parts: dict[str, list[Row]] | None = None
-        self._done: dict[tuple[str, str], int] = {}
-
-    def refresh(self) -> None:
-        self._parts = None
-
-    def _listed(self) -> dict[str, list[Row]]:
-        """Parts in force: those since the last whole one of each table come to the driver, and one number per table and feed."""
-        if self._parts is None:
-            try:
-                listed = self.spark.read.schema(PARTS).parquet(f"{self.root}/_parts")
-            except AnalysisException as err:
-                if "PATH_NOT_FOUND" not in str(err):
-                    raise
-                self._parts, self._done = {}, {}
-                return self._parts
-            since = listed.groupBy(F.col("table_name").alias("t")).agg(F.max(F.when(F.col("whole"), F.col("version"))).alias("since"))
-            live = listed.join(since, F.expr("table_name = t AND version >= coalesce(since, 0)")).select(*PARTS.names).orderBy("version")
-            self._parts = {}
-            for part in live.collect():
-                self._list(part)
-            self._done = {(r["table_name"], r["feed"]): r["b"] for r in listed.groupBy("table_name", "feed").agg(F.max("batch_id").alias("b")).collect()}
-        return self._parts
-
-    def _list(self, part: Row) -> None:
-        old = [] if part.whole else self._parts.get(part.table_name, [])
-        # The same batch again: its earlier part no longer counts, a whole one stays as the ground for what follows.
-        self._parts[part.table_name] = [x for x in old if x.whole or (x.feed, x.batch_id) != (part.feed, part.batch_id)] + [part]
-
-    def parts(self, name: str) -> list[Row]:
-        return list(self._listed().get(name, []))
-
-    def version(self, name: str) -> int:
-        """Version of the last part, -1 when there is none."""
-        return max((p.version for p in self.parts(name)), default=-1)
-
-    def done(self, name: str, feed: str) -> int:
-        """The last batch of the feed that the table has, -1 when there is none."""
-        self._listed()
-        return self._done.get((name, feed), -1)
-
-    def batch(self, name: str, feed: str, batch_id: int) -> DataFrame | None:
-        """The rows of one batch that isn't folded into a whole part."""
-        return self._read([p for p in self.parts(name) if (p.feed, p.batch_id, p.whole) == (feed, batch_id, False)])
-
-    def read(self, name: str, schema: T.StructType | None = None, without: tuple[str, int] | None = None, versions: bool = False) -> DataFrame | None:
-        """The table; without any part an empty one when a schema is given, else None. `without` leaves out the part of a feed
-        and batch, `versions` adds the version each row came with."""
-        found = self._read([p for p in self.parts(name) if p.whole or (p.feed, p.batch_id) != without], versions)
-        if found is None and schema is not None:
-            return self.spark.createDataFrame([], schema)
-        return found
-
-    def _read(self, parts: list[Row], versions: bool = False) -> DataFrame | None:
-        if not parts:
-            return None
-        schema = T.StructType.fromJson(json.loads(parts[-1].schema))
-        folder = parts[-1].path.rsplit("/version=", 1)[0]
-        df = self.spark.read.schema(schema).option("basePath", folder).parquet(*[p.path for p in parts])
-        columns = [*schema.names, "version"] if versions else schema.names
-        return df.select(*columns)
-
-    def write(self, name: str, df: DataFrame, feed: str = "load", batch_id: int | None = None, partition: Sequence[str] = (), whole: bool = True) -> DataFrame:
-        """Write and list a part; without a batch number it is the feed's next one."""
-        # Numbers grow over everything ever listed here; a folder that was never listed is overwritten.
-        number = self.version(name) + 1
-        batch_id = self.done(name, feed) + 1 if batch_id is None else batch_id
-        path = f"{self.root}/{name}/version={number}"
-        _by(df, partition).write.mode("overwrite").partitionBy(*partition).parquet(path)
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        row = (name, number, path, feed, batch_id, whole, schema.json())
-        append_row(self.spark, f"{self.root}/_parts", PARTS, row)
-        part = Row(*PARTS.names)(*row)
-        self._list(part)
-        self._done[name, feed] = max(batch_id, self._done.get((name, feed), -1))
-        return self._read([part])
+
+def batch_of(spark: SparkSession, path: str, feed: str, batch_id: int) -> DataFrame | None:
+    """The rows of one batch, None if it never ran."""
+    return read_if_any(spark, f"{path}/{FEED}={feed}/{BATCH}={batch_id}")
+
+
+def all_batches(spark: SparkSession, path: str, without: tuple[str, int] | None = None) -> DataFrame | None:
+    """The rows of all batches, or of all but one; which are read is partition pruning."""
+    found = read_if_any(spark, path)
+    if found is None:
+        return None
+    return (found.where(~_is_batch(*without)) if without else found).drop(FEED, BATCH)
+
+
+def replace_partitions(df: DataFrame, path: str, partition: Sequence[str]) -> None:
+    """Overwrite just the partitions that `df` has rows for. `df` must not read them: settle it first."""
+    _by(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)

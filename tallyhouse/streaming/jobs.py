@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from tallyhouse.operators import dimensions, merge
 from tallyhouse.plans.warehouse import History, Warehouse
 from tallyhouse.session import scratch
-from tallyhouse.sources.tables import Store, append, stream_table
+from tallyhouse.sources.tables import all_batches, append, put_batch, stream_table
 
 
 def in_steps(df: DataFrame, at: str, cuts: Sequence[str], run: Callable[[DataFrame], None], label: str = "feed") -> None:
@@ -68,7 +68,7 @@ def finish(query: StreamingQuery, seconds: int | None = None) -> None:
 
 
 def feed_of(checkpoint: str) -> str:
-    """The name of a stream's batches in a store: a checkpoint numbers its batches on its own."""
+    """The name of a stream's batches in a table: a checkpoint numbers its batches on its own."""
     return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
@@ -106,16 +106,14 @@ def scd2_stream(stream: DataFrame, history: History, tracked: Sequence[str], at:
     run_batches(stream, step, checkpoint)
 
 
-def device_stream(stream: DataFrame, store: Store, checkpoint: str, name: str = "dim_device") -> None:
+def device_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Add the devices of new logins; a batch that runs again leaves out its own rows when it looks for known ones."""
     feed = feed_of(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = dimensions.device_dim(batch)
-        known = store.read(name, without=(feed, batch_id))
-        if known is not None:
-            rows = merge.append_new(known, rows, "device_id")
-        store.write(name, rows, feed, batch_id, whole=False)
+        known = all_batches(batch.sparkSession, path, without=(feed, batch_id))
+        put_batch(rows if known is None else merge.append_new(known, rows, "device_id"), path, feed, batch_id)
 
     run_batches(stream, step, checkpoint)
 

@@ -1,13 +1,15 @@
 """Micro-batches that run twice, dimension rows that come late, histories in steps."""
 
+import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import scd2, summaries
 from tallyhouse.plans.warehouse import History, Warehouse, run_cycle
 from tallyhouse.session import scratch
-from tallyhouse.sources.tables import Store
+from tallyhouse.sources.tables import batch_of
 from tallyhouse.streaming import jobs
 
 
@@ -44,11 +46,13 @@ def test_batches_that_run_again(spark, rows):
     house.add_plays(second, src, 1)
     fact = house.gaming()
     assert rows(fact, "player_key", "play_time") == [("p1", at(1)), ("p1", at(1, 5)), ("p1", at(2)), ("p2", at(1))]
+    kept = rows(fact)
     assert rows(house.bridge()) == rows(summaries.bridge(fact))
-    house.compact()
-    assert rows(house.bridge()) == rows(summaries.bridge(fact)) == rows(house.table("bridge_changes"))
+    # Long done batches, in any order.
+    house.add_plays(first, src, 0)
     house.add_plays(second, src, 1)
-    assert rows(Warehouse(spark, house.root).gaming()) == rows(fact)
+    fact = Warehouse(spark, house.root).gaming()
+    assert rows(fact) == kept and rows(house.bridge()) == rows(summaries.bridge(fact))
     whole = summaries.daily_summary(fact)
     assert rows(house.daily_summary().select(*whole.columns)) == rows(whole)
 
@@ -68,7 +72,7 @@ def test_failure_between_fact_and_summary(spark, rows, monkeypatch):
     house.add_plays(batch, src, 0)
     assert house.gaming().count() == 1
     assert rows(house.bridge(), "total_plays") == [(1,)]
-    assert rows(house.table("pending"), "player_email") == [("zz",)]
+    assert rows(house.pending(), "player_email") == [("zz",)]
     assert house.log().where("status = 'ERROR'").count() == 1
 
 
@@ -79,7 +83,7 @@ def test_late_player_and_cycles(spark, rows):
     assert house.gaming().count() == 1
     run_cycle(house, sources(spark) | {"player_game": plays(spark, [("p1", "g1", at(3), 1, 1)])}, F.lit("2024-01-02").cast("timestamp_ntz"), 1)
     assert rows(house.gaming(), "player_key") == [("p1",), ("p1",), ("p2",)]
-    assert house.table("pending").count() == 0
+    assert house.pending().count() == 0
     assert rows(house.players.rows(), "player_key", "version_number") == [("p1", 1), ("p2", 1)]
 
 
@@ -90,20 +94,47 @@ def test_history_in_steps(spark, rows):
         [("a", "G", at(2)), ("a", "P", at(3)), ("a", "P", at(4))],
         [("a", "S", at(5)), ("b", "S", at(5)), ("c", "G", at(5))],
     ]
-    history = History(Store(spark, scratch(spark, "history")), "dim", "k")
+    history = History(spark, scratch(spark, "history"), "k", parts=4)
     for n, data in enumerate(steps):
         for _ in range(2):
             history.merge(spark.createDataFrame(data, schema), n, ["tier"], "at")
     whole = scd2.build(spark.createDataFrame(sum(steps, []), schema), "k", ["tier"], "at")
     assert rows(history.rows().select(*whole.columns)) == rows(whole)
     assert history.open_rows().count() == 3
-    parts = history.store.parts("dim")
-    assert [spark.read.parquet(p.path).select("k").distinct().count() for p in parts] == [2, 1, 3]
-    before = rows(history.rows())
-    history.compact()
-    assert len(history.store.parts("dim")) == 1 and rows(history.rows()) == before
     history.merge(spark.createDataFrame([("b", "G", at(6))], schema), 3, ["tier"], "at")
     assert rows(history.open_rows(), "k", "tier", "version_number") == [("a", "S", 4), ("b", "G", 2), ("c", "G", 1)]
+    assert batch_of(spark, f"{history.path}/states", "load", 3).count() == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_history_of_states_in_random_order(spark, rows, seed):
+    """Late states split closed versions, confirm them, or join equal neighbours; batches run again or twice; NULL times and values."""
+    rng = random.Random(seed)
+    schema = "k string, tier string, note string, at timestamp_ntz, seq int"
+    states = [(rng.choice("abcd"), rng.choice(["S", "G", None]), f"n{i}", None if i % 17 == 0 else at(rng.randint(1, 9)), i) for i in range(60)]
+    whole = scd2.build(spark.createDataFrame(states, schema), "k", ["tier"], "at", ["seq"])
+    rng.shuffle(states)
+    history = History(spark, scratch(spark, "random"), "k", parts=3)
+    cuts = [0, 5, 6, 25, 60]
+    for n, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        for again in {n, rng.randint(0, n)}:
+            history.merge(spark.createDataFrame(states[cuts[again] : cuts[again + 1]], schema), again, ["tier"], "at", ["seq"])
+    assert rows(history.rows().select(*whole.columns)) == rows(whole)
+    assert {r.breaches for r in scd2.check(whole.where("start_date IS NOT NULL"), "k").where("rule IN ('overlap', 'gap', 'open_flag')").collect()} == {0}
+
+
+def test_only_late_keys_are_built_again(spark, rows, monkeypatch):
+    schema = "k string, tier string, at timestamp_ntz"
+    history = History(spark, scratch(spark, "late-keys"), "k", parts=2)
+    history.merge(spark.createDataFrame([("a", "S", at(1)), ("a", "G", at(5)), ("b", "S", at(1))], schema), 0, ["tier"], "at")
+    built, real = [], scd2.build
+    monkeypatch.setattr(scd2, "build", lambda states, *a, **b: (built.append(rows(states, "k")), real(states, *a, **b))[1])
+    history.merge(spark.createDataFrame([("b", "G", at(2))], schema), 1, ["tier"], "at")
+    assert built == []
+    history.merge(spark.createDataFrame([("a", "P", at(3)), ("b", "P", at(3))], schema), 2, ["tier"], "at")
+    assert built == [[("a",)] * 3]
+    want = [("a", "S", at(1), at(3), 1), ("a", "P", at(3), at(5), 2), ("a", "G", at(5), None, 3), ("b", "S", at(1), at(2), 1), ("b", "G", at(2), at(3), 2), ("b", "P", at(3), None, 3)]
+    assert sorted((tuple(r) for r in history.rows().select("k", "tier", "start_date", "end_date", "version_number").collect()), key=lambda r: (r[0], r[4])) == want
 
 
 def test_late_rows_are_counted(spark, rows):
@@ -140,9 +171,7 @@ def test_feeds_share_a_warehouse(spark, rows):
     assert rows(house.bridge()) == rows(summaries.bridge(fact))
     daily = summaries.daily_summary(fact)
     assert rows(house.daily_summary().select(*daily.columns)) == rows(daily)
-    kept = rows(fact)
-    house.compact()
-    assert rows(Warehouse(spark, house.root).gaming()) == kept
+    assert rows(Warehouse(spark, house.root).gaming()) == rows(fact)
 
 
 def test_late_plays_set_the_minutes_right(spark, rows):
@@ -153,8 +182,6 @@ def test_late_plays_set_the_minutes_right(spark, rows):
     want = [("p1", at(1), None), ("p1", at(2), 1440), ("p1", at(3), 1440), ("p2", at(1), None), ("p2", at(1, 1), 60)]
     got = house.gaming().select("player_key", "play_time", "session_duration_minutes").collect()
     assert sorted((tuple(r) for r in got), key=lambda r: r[:2]) == want
-    house.compact()
-    assert sorted((tuple(r) for r in house.table("gaming").select("player_key", "play_time", "session_duration_minutes").collect()), key=lambda r: r[:2]) == want
 
 
 def test_rows_without_time_are_played(spark, rows):

@@ -1,41 +1,42 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse import session
-from tallyhouse.sources import run_log
-from tallyhouse.sources.tables import Store
-
-
-def test_a_part_counts_when_it_is_listed(spark, rows, tmp_path):
-    root = str(tmp_path / "tables")
-    store = Store(spark, root)
-    assert store.read("t") is None and store.version("t") == -1 and store.done("t", "load") == -1
-    assert store.read("t", spark.range(0).schema).count() == 0
-    store.write("t", spark.range(3))
-    # A run that died before listing its part leaves the table as it was.
-    spark.range(9).write.parquet(f"{root}/t/version=1")
-    assert Store(spark, root).read("t").count() == 3
-    store.write("t", spark.range(5))
-    other = Store(spark, root)
-    assert other.version("t") == 1 and other.read("t").count() == 5 and other.done("t", "load") == 1
-    store.write("t", spark.range(7))
-    assert other.read("t").count() == 5
-    other.refresh()
-    assert other.read("t").count() == 7
-
-
-def test_a_batch_replaces_its_own_part_only(spark, rows, tmp_path):
-    store = Store(spark, str(tmp_path / "tables"))
+from tallyhouse.sources import run_log, tables
+
+
+def test_a_batch_replaces_its_own_rows_only(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    assert tables.all_batches(spark, path) is None and tables.batch_of(spark, path, "a", 0) is None
     df = spark.range(10).withColumn("day", F.col("id") % 2)
-    for feed, batch, data in (("a", 0, df), ("b", 0, df), ("a", 1, df), ("a", 1, df.limit(4))):
-        store.write("fact", data, feed, batch, ["day"], whole=False)
-    for seen in (store, Store(spark, store.root)):
-        assert seen.read("fact").count() == 24 and seen.read("fact", without=("b", 0)).count() == 14
-        assert seen.batch("fact", "a", 1).count() == 4 and seen.done("fact", "a") == 1 and seen.done("fact", "b") == 0
-    store.write("fact", store.read("fact"), "compaction", None, ["day"])
-    assert len(store.parts("fact")) == 1 and Store(spark, store.root).read("fact").count() == 24
-    store.write("fact", df, "b", 1, ["day"], whole=False)
-    assert Store(spark, store.root).read("fact").count() == 34 and store.done("fact", "a") == 1
+    for feed, batch, data in (("a", 0, df), ("b", 0, df), ("a", 1, df), ("a", 1, df.where("day = 1").limit(4))):
+        assert tables.put_batch(data, path, feed, batch, ["day"]).count() == data.count()
+    assert tables.all_batches(spark, path).count() == 24 and tables.all_batches(spark, path, without=("b", 0)).count() == 14
+    # Dates of the earlier run are gone, and a run that ends with nothing leaves nothing.
+    assert tables.batch_of(spark, path, "a", 1).where("day = 0").count() == 0
+    tables.put_batch(df.limit(0), path, "a", 1, ["day"])
+    assert tables.all_batches(spark, path).count() == 20 and tables.batch_of(spark, path, "a", 1) is None
+    for feed in ("a/b", "12", "x=y", ""):
+        with pytest.raises(ValueError):
+            tables.put_batch(df, path, feed, 0)
+
+
+def test_other_batches_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    for batch in range(3):
+        tables.put_batch(spark.range(5), path, "load", batch)
+    others = tables.all_batches(spark, path, without=("load", 1))
+    shutil.rmtree(f"{path}/feed=load/batch_id=1")
+    assert others.count() == 10
+
+
+def test_partitions_are_replaced(spark, rows, tmp_path):
+    path = str(tmp_path / "days")
+    tables.replace_partitions(spark.createDataFrame([(1, "x"), (2, "y")], "v int, day string"), path, ["day"])
+    tables.replace_partitions(spark.createDataFrame([(3, "y"), (4, "z")], "v int, day string"), path, ["day"])
+    assert rows(spark.read.parquet(path), "v") == [(1,), (3,), (4,)]
 
 
 def test_log(spark, tmp_path):
