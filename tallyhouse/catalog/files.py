@@ -371,16 +371,17 @@ def scd2_plain_compare(t):
 
 @query(
     "fact_gaming_all",
-    f"""WITH {Q.LINES}, w AS (SELECT l_partkey AS game_name, l_suppkey, s_nationkey, count(*) AS n, count(*) FILTER (WHERE l_suppkey % 2 = 0) AS seen FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2, 3),
-    p AS (SELECT game_name, count(*) AS plays, sum(amount_bet) AS bet FROM lines GROUP BY 1)
-    SELECT game_name, s_nationkey AS location_code, CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey END AS staff_key, CAST(sum(plays * n) AS BIGINT) AS plays, {Q.dbl('sum(bet * n)')} AS bets FROM p JOIN w USING (game_name) GROUP BY 1, 2, 3""",
+    f"""WITH {Q.PLAYS}, w AS (SELECT l_partkey AS game_name, l_suppkey, s_nationkey, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2, 3),
+    p AS (SELECT game_name, player_email % 5 AS band, count(*) AS plays, sum(amount_bet) AS bet, sum(player_email) AS players FROM plays GROUP BY 1, 2)
+    SELECT game_name, band AS player_band, s_nationkey AS location_code, CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey END AS staff_key, CAST(sum(plays * n) AS BIGINT) AS plays, {Q.dbl('sum(bet * n)')} AS bets, CAST(sum(p.players * n) AS BIGINT) AS player_sum
+    FROM p JOIN w USING (game_name) GROUP BY 1, 2, 3, 4""",
 )
 def fact_gaming_all(t):
     """The fact that repeats a play for every table of its game and every shift there; half the staff are inactive."""
     staff = t.dim_staff().withColumn("is_active", F.col("staff_key") % 2 == 0)
-    plays = t.line_plays().withColumn("player_email", F.lit(1).cast("long"))
-    fact = facts.gaming_fact(plays, t.dim_player(), t.dim_game(), t.table_game(), t.shifts(), staff, fanout="all", session=None)
-    return fact.groupBy("game_name", "location_code", "staff_key").agg(F.count(F.lit(1)).alias("plays"), F.sum("bet_amount").alias("bets"))
+    fact = facts.gaming_fact(t.plays(), t.dim_player(), t.dim_game(), t.table_game(), t.shifts(), staff, fanout="all", session=None)
+    band = (F.col("player_key") % 5).alias("player_band")
+    return fact.groupBy("game_name", band, "location_code", "staff_key").agg(F.count(F.lit(1)).alias("plays"), F.sum("bet_amount").alias("bets"), F.sum("player_key").alias("player_sum"))
 
 
 @query(

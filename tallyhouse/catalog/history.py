@@ -203,19 +203,23 @@ def scd2_current(t):
     return scd2.current(feed_history(t)).groupBy("priority").agg(F.count(F.lit(1)).alias("players"))
 
 
-@query(
-    "scd2_check",
-    f"""WITH {FEED}, r AS (SELECT player_key, since, CASE WHEN player_key % 7 = 0 AND version_number = 1 THEN until + INTERVAL 400 DAY ELSE until END AS until, until IS NULL AND player_key % 11 <> 0 AS is_current, version_number
+DAMAGED = f"""WITH {FEED}, r AS (SELECT player_key, since, CASE WHEN player_key % 7 = 0 AND version_number = 1 THEN until + INTERVAL 400 DAY ELSE until END AS until, until IS NULL AND player_key % 11 <> 0 AS is_current, version_number
       FROM v WHERE NOT (player_key % 5 = 0 AND version_number = 2)),
     seen AS (SELECT *, lead(since) OVER w AS follow, coalesce(lag(version_number) OVER w, 0) AS before FROM r WINDOW w AS (PARTITION BY player_key ORDER BY since, version_number)),
     k AS (SELECT player_key, count(*) FILTER (WHERE is_current) AS n FROM r GROUP BY 1)
     SELECT unnest(['overlap', 'gap', 'version_jump', 'open_flag', 'one_current']) AS rule, unnest([count(*) FILTER (WHERE until > follow), count(*) FILTER (WHERE follow IS NOT NULL AND (until IS NULL OR until < follow)),
-      count(*) FILTER (WHERE version_number <> before + 1), count(*) FILTER (WHERE is_current <> (until IS NULL)), (SELECT count(*) FROM k WHERE n <> 1)]) AS breaches FROM seen""",
-)
-def scd2_check(t):
-    """A history built in two batches and then damaged: second versions lost, first ends moved, open flags unset."""
+      count(*) FILTER (WHERE version_number <> before + 1), count(*) FILTER (WHERE is_current <> (until IS NULL)), (SELECT count(*) FROM k WHERE n <> 1)]) AS breaches FROM seen"""
+
+
+def damaged(history):
+    """Second versions lost, first ends moved, open flags unset."""
     key, first = F.col("player_key"), F.col("version_number") == 1
     moved = F.when((key % 7 == 0) & first, F.col("end_date") + F.expr("interval 400 days")).otherwise(F.col("end_date"))
-    rows = scd2_feed_in_two_batches(t).where(~((key % 5 == 0) & (F.col("version_number") == 2)))
-    rows = rows.withColumns({"end_date": moved, "is_current": F.col("is_current") & (key % 11 != 0)})
-    return scd2.check(settle(rows, "history"), "player_key", width="year")
+    rows = history.where(~((key % 5 == 0) & (F.col("version_number") == 2)))
+    return settle(rows.withColumns({"end_date": moved, "is_current": F.col("is_current") & (key % 11 != 0)}), "history")
+
+
+@query("scd2_check", DAMAGED)
+def scd2_check(t):
+    """A history built in two batches and then damaged."""
+    return scd2.check(damaged(scd2_feed_in_two_batches(t)), "player_key", width="year")

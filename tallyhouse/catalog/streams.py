@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.bindings import AS_OF
 from tallyhouse.catalog import sql as Q
-from tallyhouse.catalog.history import DEVICE, FEED_ROWS, priority_feed
+from tallyhouse.catalog.history import DAMAGED, DEVICE, FEED_ROWS, damaged, priority_feed
 from tallyhouse.catalog.registry import query
 from tallyhouse.catalog.star import BRIDGE
 from tallyhouse.functions import scalars as S
@@ -107,9 +107,58 @@ def stream_scd2(t):
     return history.rows()
 
 
-@query("stream_scd2_check", "SELECT unnest(['overlap', 'gap', 'version_jump', 'open_flag', 'one_current']) AS rule, unnest([0, 0, 0, 0, (SELECT 0 * count(*) FROM orders)]) AS breaches")
+@query("stream_scd2_check", DAMAGED)
 def stream_scd2_check(t):
-    return scd2.check(stream_scd2(t), "player_key")
+    """The stored history of the stream, damaged."""
+    return scd2.check(damaged(stream_scd2(t)), "player_key")
+
+
+@query("stream_scd2_any_order", FEED_ROWS)
+def stream_scd2_any_order(t):
+    """The same states in three steps that have nothing to do with their times: most come late, into closed versions."""
+    table, checkpoint = jobs.new_paths(t.spark, "stream-any-order")
+    history = History(t.spark, table, "player_key")
+    arrival = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("seq") * 7919 % 3).cast("int"))
+
+    def run(changes):
+        jobs.scd2_stream(changes.drop("arrival"), history, ["priority"], "at", checkpoint, ["seq"], width="year")
+
+    jobs.in_steps(priority_feed(t).withColumn("arrival", arrival), "arrival", ("2024-01-02", "2024-01-03"), run)
+    return history.rows()
+
+
+WAITS = """first_seen AS (SELECT user_id, min(ts) + CASE WHEN user_id % 7 = 0 THEN INTERVAL 8 DAY ELSE INTERVAL 3 DAY END AS known_at FROM events GROUP BY 1),
+people_seen AS (SELECT user_id, CASE WHEN user_id % 3 = 0 OR user_id % 10 = 1 THEN NULL ELSE known_at END AS known_at FROM first_seen),
+passed AS (SELECT least((SELECT max(ts) FROM events), max(known_at)) - INTERVAL 1 HOUR AS w FROM (SELECT known_at FROM people_seen
+  UNION ALL SELECT TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 31 AS INTEGER)) FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)))"""
+
+
+@query(
+    "stream_waiting_plays",
+    f"""WITH {Q.PLAYERS}, {WAITS}, e AS (SELECT event_id, user_id, event_type, ts, loyalty_tier, CASE WHEN user_id % 3 = 0 THEN 'known' WHEN known_at <= ts + INTERVAL 5 DAY THEN 'waited' ELSE 'unmatched' END AS booked
+      FROM events JOIN people_seen USING (user_id) JOIN segments ON player_email = user_id)
+    SELECT event_id, user_id AS player_email, event_type AS game_name, CAST(ts AS VARCHAR) AS play_time, booked, CASE WHEN booked <> 'unmatched' THEN loyalty_tier END AS loyalty_tier
+    FROM e, passed WHERE booked <> 'unmatched' OR ts + INTERVAL 5 DAY <= w""",
+)
+def stream_waiting_plays(t):
+    """A third of the players is known; the others come as a stream some days after their first play, or never, among players who
+    don't play. The plays wait in the stream itself and come out with the player, or without when it is too late for that."""
+    table, checkpoint = jobs.new_paths(t.spark, "stream-waiting")
+    plays = t.raw("events").select("event_id", F.col("user_id").alias("player_email"), F.col("event_type").alias("game_name"), F.col("ts").alias("play_time"))
+    people = settle(t.dim_player().select(F.col("player_key").alias("player_email"), "loyalty_tier"), "people")
+    k = F.col("player_email")
+    later = F.when(k % 7 == 0, F.expr("interval 8 days")).otherwise(F.expr("interval 3 days"))
+    first = plays.groupBy("player_email").agg(F.min("play_time").alias("first_play")).where((k % 3 != 0) & (k % 10 != 1))
+    idle = people.join(plays, "player_email", "left_anti").select("player_email", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((k % 31).cast("int"))).alias("known_at"))
+    new = first.select("player_email", (F.col("first_play") + later).alias("known_at")).unionByName(idle).join(people, "player_email").select("player_email", "known_at", "loyalty_tier")
+    games = settle(t.event_game().select("game_name"), "games")
+
+    def run(some_plays, some_players):
+        rows = jobs.waiting_plays(some_plays, some_players, people.where(k % 3 == 0), games, ["loyalty_tier"], "5 days", "40 days", "1 hour")
+        jobs.run_append(rows, table, checkpoint)
+
+    jobs.in_steps_together([(plays, "play_time"), (new, "known_at")], CUTS, run, "waiting")
+    return read_table(t.spark, table).withColumn("play_time", F.col("play_time").cast("timestamp_ntz"))
 
 
 @query("stream_devices", f"WITH {DEVICE} SELECT DISTINCT device_type, device AS device_model FROM devices")
@@ -119,13 +168,28 @@ def stream_devices(t):
     return all_batches(t.spark, table).select("device_type", "device_model")
 
 
-@query("stream_dedup", "SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events")
+SHIFT = "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END"
+
+
+@query(
+    "stream_dedup",
+    f"""WITH a AS (SELECT event_id, user_id, event_type, ts, {SHIFT} AS step FROM events),
+    again AS (SELECT event_id, user_id, event_type, ts + INTERVAL 10 DAY AS ts, step + 1 AS step, ts AS first_ts FROM a WHERE event_id % 3 = 1 AND step < 3),
+    seen AS (SELECT step, ts FROM a UNION ALL SELECT step, ts FROM again),
+    mark AS (SELECT step + 1 AS step, max(max(ts)) OVER (ORDER BY step) - INTERVAL 1 HOUR AS w FROM seen GROUP BY step)
+    SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) AS ts FROM a
+    UNION ALL SELECT event_id, user_id, event_type, CAST(ts AS VARCHAR) FROM again JOIN mark USING (step) WHERE first_ts + INTERVAL 1 HOUR <= w""",
+)
 def stream_dedup(t):
-    """Every event is sent twice; each is kept once."""
+    """A third of the events comes again in the next step and is left out; of another third the id is used again ten days later,
+    which counts as new unless the watermark still keeps the first one."""
     table, checkpoint = jobs.new_paths(t.spark, "stream-dedup")
-    events = t.raw("events").select("event_id", "user_id", "event_type", "ts").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    events = events.drop("copy")
-    jobs.in_steps(events, "ts", CUTS, lambda stream: jobs.run_append(jobs.deduplicated(stream, ["event_id"], "ts", "1 hour"), table, checkpoint))
+    first = t.raw("events").select("event_id", "user_id", "event_type", "ts", F.col("ts").alias("arrival"))
+    ten, early = F.expr("interval 10 days"), F.col("ts") < F.lit(CUTS[1]).cast("timestamp_ntz")
+    again = first.where((F.col("event_id") % 3 == 0) & early).withColumn("arrival", F.col("ts") + ten)
+    reused = first.where((F.col("event_id") % 3 == 1) & early).withColumn("ts", F.col("ts") + ten).withColumn("arrival", F.col("ts"))
+    feed = first.unionByName(again).unionByName(reused)
+    jobs.in_steps(feed, "arrival", CUTS, lambda stream: jobs.run_append(jobs.deduplicated(stream.drop("arrival"), ["event_id"], "ts", "1 hour"), table, checkpoint))
     return read_table(t.spark, table).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -133,15 +197,45 @@ def stream_dedup(t):
 CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 
+def event_plays_with_arrival(t):
+    """Every fiftieth play arrives ten days late."""
+    plays = t.event_plays()
+    slow = F.unix_micros(F.col("play_time").cast("timestamp")) % 50 == 0
+    return plays.withColumn("arrival", F.when(slow, F.col("play_time") + F.expr("interval 10 days")).otherwise(F.col("play_time")))
+
+
 @query(
     "stream_tumbling",
-    f"""SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, CAST(date_trunc('hour', ts) + INTERVAL 1 HOUR AS VARCHAR) AS window_end, event_type AS game_name, count(*) AS n,
-    {Q.dbl(f'sum({Q.EVENT_BET})')} AS total FROM events GROUP BY date_trunc('hour', ts), event_type HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED}""",
+    f"""WITH a AS (SELECT *, {Q.EVENT_BET} AS bet, date_trunc('hour', ts) + INTERVAL 1 HOUR AS e, CASE WHEN epoch_us(ts) % 50 = 0 THEN ts + INTERVAL 10 DAY ELSE ts END AS arrival FROM events),
+    s AS (SELECT *, CASE WHEN arrival < TIMESTAMP '2024-01-11' THEN 1 WHEN arrival < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS step FROM a),
+    mark AS (SELECT step + 1 AS step, max(max(ts)) OVER (ORDER BY step) - INTERVAL 1 HOUR AS w FROM s GROUP BY step),
+    r AS (SELECT s.*, coalesce(e <= w, false) AS late FROM s LEFT JOIN mark USING (step))
+    SELECT CAST(e - INTERVAL 1 HOUR AS VARCHAR) AS window_start, CAST(e AS VARCHAR) AS window_end, event_type AS game_name, count(*) FILTER (WHERE NOT late) AS n, {Q.dbl('sum(bet) FILTER (WHERE NOT late)')} AS total, count(*) FILTER (WHERE late) AS late
+    FROM r WHERE e <= {CLOSED} GROUP BY e, event_type""",
 )
 def stream_tumbling(t):
+    """Hours with totals, and for each how many plays came too late for it."""
     table, checkpoint = jobs.new_paths(t.spark, "stream-tumbling")
+    plays = event_plays_with_arrival(t)
+    jobs.in_steps(plays, "arrival", CUTS, lambda stream: jobs.run_append(jobs.tumbling(stream.drop("arrival"), "play_time", "1 hour", "1 hour", ["game_name"], "amount_bet"), table, checkpoint))
+    closed = plays.agg(F.max("play_time") - F.expr("interval 1 hour")).scalar()
+    return jobs.with_late(read_table(t.spark, table).drop("players"), plays, "play_time", "1 hour", ["game_name"], closed)
+
+
+@query(
+    "stream_players",
+    f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type AS game_name, count(DISTINCT user_id) AS players, true AS near FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED} GROUP BY 1, 2""",
+)
+def stream_players(t):
+    """Players by day and game, folded from the sketches of the stream's hours, and if the estimate is within the stated error."""
+    table, checkpoint = jobs.new_paths(t.spark, "stream-players")
     jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.run_append(jobs.tumbling(plays, "play_time", "1 hour", "1 hour", ["game_name"], "amount_bet"), table, checkpoint))
-    return read_table(t.spark, table).drop("players_approx")
+    hours = read_table(t.spark, table)
+    estimate = jobs.players_by(hours, F.to_date("window_start").alias("day"), "game_name").withColumnRenamed("players", "estimate")
+    last = hours.agg(F.max("window_end")).scalar()
+    exact = t.event_plays().where(F.date_trunc("hour", F.col("play_time").cast("timestamp")).cast("timestamp_ntz") < last).groupBy(F.to_date("play_time").alias("day"), "game_name").agg(F.count_distinct("player_email").alias("players"))
+    near = F.abs(F.col("estimate") - F.col("players")) <= F.greatest(F.lit(1), F.col("players") * jobs.SKETCH_ERROR)
+    return exact.join(estimate, ["day", "game_name"]).select("day", "game_name", "players", near.alias("near"))
 
 
 @query(
@@ -154,7 +248,7 @@ def stream_tumbling(t):
 def stream_sliding(t):
     table, checkpoint = jobs.new_paths(t.spark, "stream-sliding")
     jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.run_append(jobs.sliding(plays, "play_time", "1 hour", "10 minutes", "1 hour", ["game_name"], "amount_bet"), table, checkpoint))
-    return read_table(t.spark, table).drop("players_approx")
+    return read_table(t.spark, table).drop("players")
 
 
 @query(

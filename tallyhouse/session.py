@@ -29,6 +29,9 @@ SQL_SETTINGS = {
     # Spark 4.1 may take a union of shuffled inputs for partitioned by their key and then,
     # after the adaptive coalescing of one input, fails to line up the partitions.
     "spark.sql.unionOutputPartitioning": "false",
+    # The state of streams lies on local disk instead of the executors' heap, and a batch adds only its changes to the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -21,18 +21,24 @@ def in_steps(df: DataFrame, at: str, cuts: Sequence[str], run: Callable[[DataFra
 
     Rows without a time arrive first. `run` gets the same stream each time and goes on from its checkpoint.
     """
-    spark = df.sparkSession
-    path = scratch(spark, label)
+    in_steps_together([(df, at)], cuts, run, label)
+
+
+def in_steps_together(feeds: Sequence[tuple[DataFrame, str]], cuts: Sequence[str], run: Callable[..., None], label: str = "feed") -> None:
+    """As `in_steps` for several tables, each with the time its rows arrive; `run` gets a stream of each."""
+    spark = feeds[0][0].sparkSession
+    paths = [scratch(spark, label) for _ in feeds]
     edges = [None, *cuts, None]
     for low, high in zip(edges, edges[1:], strict=False):
-        part = df
-        if low:
-            part = part.where(F.col(at) >= F.lit(low).cast("timestamp_ntz"))
-        if high:
-            before = F.col(at) < F.lit(high).cast("timestamp_ntz")
-            part = part.where(before if low else before | F.col(at).isNull())
-        append(part, path)
-        run(stream_table(spark, path, df.schema))
+        for (df, at), path in zip(feeds, paths, strict=True):
+            part = df
+            if low:
+                part = part.where(F.col(at) >= F.lit(low).cast("timestamp_ntz"))
+            if high:
+                before = F.col(at) < F.lit(high).cast("timestamp_ntz")
+                part = part.where(before if low else before | F.col(at).isNull())
+            append(part, path)
+        run(*[stream_table(spark, path, df.schema) for (df, _), path in zip(feeds, paths, strict=True)])
 
 
 class LateRows(StreamingQueryListener):
@@ -126,6 +132,28 @@ def gaming_stream(stream: DataFrame, house: Warehouse, src: Mapping[str, DataFra
     run_batches(stream, lambda batch, batch_id: house.add_plays(batch, src, batch_id, session, feed_of(checkpoint)), checkpoint)
 
 
+def waiting_plays(
+    plays: DataFrame, new_players: DataFrame, known_players: DataFrame, games: DataFrame, attrs: Sequence[str], wait: str, keep: str, delay: str, at: str = "play_time", known_at: str = "known_at"
+) -> DataFrame:
+    """Plays with the attributes of their player, who may be known, or come later as a stream; no batch has to be repeated for that.
+
+    Games and known players are tables, joined as each micro-batch comes. A play of a player who isn't known there waits in the
+    state of the join for `wait` of event time and comes out as soon as the player does, or without attributes when
+    the watermark says that none will. Players who come are kept for `keep` of event time, for plays that follow. `booked` is
+    known, waited or unmatched. Each player comes once in `new_players`.
+    """
+    timed = with_event_time(plays, at, delay).join(games, "game_name", "left_semi")
+    known = known_players.select("player_email", *attrs, F.lit(True).alias("_known"))
+    looked_up = timed.join(known, "player_email", "left")
+    direct = looked_up.where(F.col("_known")).drop("_known").withColumn("booked", F.lit("known"))
+    left = looked_up.where(F.col("_known").isNull()).drop("_known", *attrs)
+    right = with_event_time(new_players.select(F.col("player_email").alias("_player"), known_at, *attrs), known_at, delay)
+    meets = F.expr(f"player_email = _player AND {known_at} <= {at} + interval {wait} AND {known_at} >= {at} - interval {keep}")
+    waited = left.join(right, meets, "left").withColumn("booked", F.when(F.col("_player").isNull(), "unmatched").otherwise("waited"))
+    columns = [*plays.columns, *attrs, "booked"]
+    return direct.select(*columns).unionByName(waited.select(*columns))
+
+
 def transaction_stream(stream: DataFrame, house: Warehouse, src: Mapping[str, DataFrame], checkpoint: str) -> None:
     run_batches(stream, lambda batch, batch_id: house.add_transactions(batch, src, batch_id, feed_of(checkpoint)), checkpoint)
 
@@ -143,9 +171,31 @@ def deduplicated(stream: DataFrame, key: Sequence[str], at: str, delay: str) ->
     return with_event_time(stream, at, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+# Bits of a sketch of players: its standard error is 1.04 / 2**(bits / 2), about 1.6 %.
+SKETCH_BITS = 12
+SKETCH_ERROR = 0.05  # three standard errors
+
+
 def _window_totals(stream: DataFrame, window: Column, keys: Sequence[str], value: str) -> DataFrame:
-    grouped = stream.groupBy(window.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.approx_count_distinct("player_email").alias("players_approx"))
-    return grouped.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "n", "total", "players_approx")
+    grouped = stream.groupBy(window.alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.hll_sketch_agg("player_email", SKETCH_BITS).alias("players"))
+    return grouped.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "n", "total", "players")
+
+
+def players_by(windows: DataFrame, *groups: Column | str) -> DataFrame:
+    """Distinct players of coarser groups (days, all games) from the sketches of the windows, without a look at the plays."""
+    return windows.groupBy(*groups).agg(F.hll_sketch_estimate(F.hll_union_agg("players")).alias("players"))
+
+
+def with_late(totals: DataFrame, arrived: DataFrame, at: str, width: str, keys: Sequence[str], closed: Column) -> DataFrame:
+    """The stored totals of windows with `late`, how many of a window's rows came after it had been given out.
+
+    `arrived` are all rows that ever came, as a table; windows that end after `closed` may still be open and are left out.
+    """
+    window = F.window(F.col(at).cast("timestamp"), width)
+    counted = arrived.groupBy(window.alias("w"), *keys).agg(F.count(F.lit(1)).alias("arrived"))
+    counted = counted.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "arrived")
+    both = counted.where(F.col("window_end") <= closed).join(totals, ["window_start", "window_end", *keys], "left")
+    return both.withColumn("n", F.coalesce("n", F.lit(0))).withColumn("late", F.col("arrived") - F.col("n")).drop("arrived")
 
 
 def tumbling(stream: DataFrame, at: str, width: str, delay: str, keys: Sequence[str], value: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +190,57 @@ def test_rows_without_time_are_played(spark, rows):
     table, checkpoint = jobs.new_paths(spark, "timeless")
     jobs.in_steps(df, "at", ["2024-01-05"], lambda stream: jobs.run_append(stream, table, checkpoint))
     assert rows(spark.read.parquet(table), "id") == [(1,), (2,), (3,)]
+
+
+def waiting(spark, root, steps):
+    """Plays and players as two streams, in steps, a new query each time."""
+    play, person = "event_id int, player_email string, game_name string, play_time timestamp_ntz", "player_email string, known_at timestamp_ntz, tier string"
+    known = spark.createDataFrame([("old", "Gold")], "player_email string, tier string")
+    games = spark.createDataFrame([("g1",)], "game_name string")
+    for n, (some, people) in enumerate(steps):
+        spark.createDataFrame(some, play).coalesce(1).write.mode("append").parquet(f"{root}/plays")
+        spark.createDataFrame(people, person).coalesce(1).write.mode("append").parquet(f"{root}/people")
+        streams = [spark.readStream.schema(x).parquet(f"{root}/{y}") for x, y in ((play, "plays"), (person, "people"))]
+        jobs.run_append(jobs.waiting_plays(*streams, known, games, ["tier"], "2 days", "20 days", "1 hour"), f"{root}/table", f"{root}/checkpoint")
+        yield n, sorted((r.event_id, r.booked, r.tier) for r in spark.read.parquet(f"{root}/table").collect())
+
+
+def test_plays_wait_for_their_player_in_the_stream(spark):
+    steps = [
+        ([(1, "old", "g1", at(1)), (2, "new", "g1", at(1)), (3, "never", "g1", at(1)), (4, "slow", "g1", at(1)), (5, "old", "none", at(1)), (6, None, "g1", at(1))], [("else", at(1), "X")]),
+        ([(7, "new", "g1", at(2))], [("new", at(2), "Silver")]),
+        ([(8, "slow", "g1", at(9)), (9, "new", "g1", at(9))], [("slow", at(9), "Bronze")]),
+        ([(10, "late", "g1", at(12))], [("else2", at(12), "X")]),
+    ]
+    seen = dict(waiting(spark, scratch(spark, "waiting"), steps))
+    assert seen[0] == [(1, "known", "Gold")]
+    assert seen[1] == [(1, "known", "Gold"), (2, "waited", "Silver"), (7, "waited", "Silver")]
+    # The player "slow" came eight days after the play 4, and "never" not at all.
+    done = [(1, "known", "Gold"), (2, "waited", "Silver"), (3, "unmatched", None), (4, "unmatched", None), (6, "unmatched", None), (7, "waited", "Silver"), (8, "waited", "Bronze"), (9, "waited", "Silver")]
+    assert seen[3] == done
+
+
+def test_state_lies_in_rocksdb_and_outlives_a_restart(spark, rows):
+    root = scratch(spark, "rocks")
+    schema = "event_id int, ts timestamp_ntz"
+    # The same id in a later batch, within the delay, after it, and late.
+    for part in ([(1, at(1)), (2, at(1, 1)), (3, at(1, 2))], [(3, at(1, 2)), (2, at(1, 3)), (4, at(2))], [(3, at(3)), (1, at(1)), (4, at(2))]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/feed")
+        jobs.run_append(jobs.deduplicated(stream, ["event_id"], "ts", "4 hours"), f"{root}/table", f"{root}/checkpoint")
+    got = spark.read.parquet(f"{root}/table").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    assert rows(got) == [(1, at(1)), (2, at(1, 1)), (3, at(1, 2)), (3, at(3)), (4, at(2))]
+    kept = [str(p) for p in Path(f"{root}/checkpoint/state").rglob("*")]
+    assert any(p.endswith(".changelog") for p in kept) and not any(p.endswith(".delta") for p in kept)
+
+
+def test_players_are_folded_from_sketches(spark):
+    data = [(f"p{i % 700}", at(1 + i % 3, i % 24), 1) for i in range(6000)]
+    df = spark.createDataFrame(data, "player_email string, at timestamp_ntz, v int")
+    hours = jobs._window_totals(df.withColumn("at", F.col("at").cast("timestamp")), F.window("at", "1 hour"), [], "v")
+    exact = df.select("player_email").distinct().count()
+    assert abs(jobs.players_by(hours).first().players - exact) <= jobs.SKETCH_ERROR * exact
+    days = {r.d: r.players for r in jobs.players_by(hours, F.to_date("window_start").alias("d")).collect()}
+    for day in (1, 2, 3):
+        own = len({p for p, t, _ in data if t.day == day})
+        assert abs(days[at(day).date()] - own) <= jobs.SKETCH_ERROR * own
