@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.catalog import sql as Q
 from tallyhouse.catalog.history import DEVICE
 from tallyhouse.catalog.registry import query
 from tallyhouse.operators import dimensions, facts, joins, summaries
-from tallyhouse.session import settle
+from tallyhouse.session import scratch, settle
+from tallyhouse.sources import tables
 
 PLACES = f"""{Q.PLAYS},
 one AS (SELECT l_partkey AS game_name, min({Q.TABLE_CODE}) AS table_code FROM lineitem GROUP BY 1),
@@ -234,3 +238,53 @@ def distinct_concat(t):
     return per_name.groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_list("city")), ", ").alias("nations"), F.sum("n").alias("suppliers"))
 
 
+
+
+def placed_events(t):
+    """The events as plays at the nation of their user."""
+    homes = t.raw("customer").select(F.col("c_custkey").alias("player_key"), F.col("c_nationkey").alias("location_code"))
+    return t.event_fact(session=False).join(homes, "player_key")
+
+
+@query(
+    "players_folded",
+    """WITH e AS (SELECT user_id, event_type AS game_name, strftime(ts, '%Y-%m') AS month, CAST(ts AS DATE) AS day, r_name AS region FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)
+    SELECT 'month and game' AS level, month AS a, game_name AS b, count(DISTINCT user_id) AS total_players FROM e GROUP BY 2, 3
+    UNION ALL SELECT 'month and region', month, region, count(DISTINCT user_id) FROM e GROUP BY 2, 3
+    UNION ALL SELECT 'day', CAST(day AS VARCHAR), NULL, count(DISTINCT user_id) FROM e GROUP BY 2
+    UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT user_id) FROM e""",
+)
+def players_folded(t):
+    """Distinct players of months, regions and days from the stored players of each day, place and game; the numbers of the second
+    half of the month's new players come after those of the first."""
+    fact = settle(placed_events(t), "placed")
+    middle = F.lit("2024-01-03").cast("date")
+    numbers = settle(summaries.number_players(fact.where(F.col("full_date") < middle)), "numbers")
+    numbers = settle(numbers.unionByName(summaries.number_players(fact, numbers)), "all-numbers")
+    stored = settle(summaries.daily_players(fact, numbers), "daily-players")
+    nation, region = t.raw("nation").select(F.col("n_nationkey").alias("location_code"), "n_regionkey"), t.raw("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    months = stored.join(nation, "location_code").join(region, "n_regionkey").withColumn("month", F.date_format("full_date", "yyyy-MM"))
+
+    def level(name, a, b, *groups):
+        none = F.lit(None).cast("string")
+        named = [(F.col(c).cast("string") if c else none).alias(x) for c, x in ((a, "a"), (b, "b"))]
+        return summaries.fold_players(months, *groups).select(F.lit(name).alias("level"), *named, "total_players")
+
+    parts = [level("month and game", "month", "game_name", "month", "game_name"), level("month and region", "month", "r_name", "month", "r_name"), level("day", "full_date", None, "full_date"), level("all", None, None)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("bucketed_join", f"WITH {Q.EVENT_PLAYS}, {Q.PLAYERS} SELECT loyalty_tier, game_name, count(*) AS plays, {Q.dbl('sum(amount_bet)')} AS bets FROM eplays JOIN segments USING (player_email) GROUP BY 1, 2")
+def bucketed_join(t):
+    """Plays and players stored in buckets of the player: their join moves no play."""
+    plays, people = bucketed_tables(t)
+    return plays.join(people, "player_email").groupBy("loyalty_tier", "game_name").agg(F.count(F.lit(1)).alias("plays"), F.sum("amount_bet").alias("bets"))
+
+
+def bucketed_tables(t, buckets: int = 8):
+    def stored(df, label, order=()):
+        path = scratch(t.spark, label)
+        return tables.write_bucketed(df, "tallyhouse_" + path.rsplit("-", 1)[-1], path, "player_email", buckets, order)
+
+    people = t.dim_player().select(F.col("player_key").alias("player_email"), "loyalty_tier")
+    return stored(t.event_plays(), "bucketed-plays", ["play_time"]), stored(people, "bucketed-people")

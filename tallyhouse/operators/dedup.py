@@ -38,7 +38,7 @@ def keep_one(df: DataFrame, key) -> DataFrame:
 
 
 def keep_last(df: DataFrame, key, ordinal: Sequence[str]) -> DataFrame:
-    """The last row in file order; `ordinal` as given by `sources.csv.with_scan_order`."""
+    """The last row in file order; `ordinal` as given by `sources.csv.read_csv_staging`."""
     return keep_latest(df, key, [F.col(c).desc() for c in ordinal])
 
 

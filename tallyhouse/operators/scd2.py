@@ -148,10 +148,15 @@ def with_id(dim: DataFrame, key: str, out: str) -> DataFrame:
     return dim.withColumn(out, S.surrogate(key, "version_number"))
 
 
-def as_of(fact: DataFrame, dim: DataFrame, key: str, at: str, columns: Sequence[str], how: str = "left", width: str = "month", many: int = joins.MANY_SPANS) -> DataFrame:
-    """Attributes that were valid at the time of each fact row; `width` and `many` as in `joins.in_interval`."""
+def as_of(fact: DataFrame, dim: DataFrame, key: str, at: str, columns: Sequence[str], how: str = "left", width: str = "month") -> DataFrame:
+    """Attributes that were valid at the time of each fact row, NULL or with how="inner" no row where there was no version.
+
+    Versions of a key don't overlap, so the last one is carried forward, see `joins.carried_forward`."""
+    if how not in ("left", "inner"):
+        raise ValueError("how is left or inner")
     spans = dim.select(key, "start_date", "end_date", *columns)
-    return joins.in_interval(fact, spans, key, at, "start_date", "end_date", how, width, many).drop("start_date", "end_date")
+    found = joins.carried_forward(fact, spans, key, at, "start_date", "end_date", width)
+    return (found if how == "left" else found.where(F.col("start_date").isNotNull())).drop("start_date", "end_date")
 
 
 def check(dim: DataFrame, key: str, width: str | None = None) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import scalars as S
 from tallyhouse.operators import merge
+from tallyhouse.session import settle
 
 BRIDGE_KEY = ("player_key", "game_name")
 BRIDGE_FOLDS = {
@@ -91,3 +92,40 @@ def refresh(summary: DataFrame, fact: DataFrame, batch: DataFrame, keys: Sequenc
     """The summary after a batch: recompute the touched groups, keep the others."""
     fresh = daily_summary(touched_rows(fact, batch, keys), keys)
     return merge.replace_groups(summary, fresh, keys)
+
+
+# -- players that can be counted again over any groups of days, places and games
+
+
+# Hash ranges in which new players are numbered.
+NUMBER_RANGES = 64
+
+
+def number_players(players: DataFrame, known: DataFrame | None = None, key: str = "player_key", ranges: int = NUMBER_RANGES) -> DataFrame:
+    """`key` and `number` of every player that `known` lacks, without gaps from 1 or from the highest known number on.
+
+    Players are numbered range by range, each in its own task; only the sizes of the ranges meet.
+    """
+    new = players.select(key).where(F.col(key).isNotNull()).distinct()
+    if known is not None:
+        new = merge.append_new(known, new, key)
+    new = settle(new.withColumn("_range", F.pmod(F.xxhash64(key), F.lit(ranges))), "new-players")
+    sizes = new.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("_range", F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    last = F.lit(0) if known is None else F.coalesce(known.agg(F.max("number")).scalar(), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    return new.join(before, "_range").select(key, (last + F.col("before") + place).cast("long").alias("number"))
+
+
+def daily_players(fact: DataFrame, numbers: DataFrame, keys: Sequence[str] = DAILY_KEY) -> DataFrame:
+    """Per group the set of its players, as bitmaps of their numbers, one row for each 32,768 numbers that occur."""
+    seen = fact.where(F.col("player_key").isNotNull()).select(*keys, "player_key").distinct().join(numbers, "player_key")
+    bucket = F.bitmap_bucket_number("number").alias("bucket")
+    return seen.groupBy(*keys, bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("players"))
+
+
+def fold_players(daily: DataFrame, *groups) -> DataFrame:
+    """Distinct players of coarser groups (months, regions, all games), exact and without another look at the plays."""
+    merged = daily.groupBy(*groups, "bucket").agg(F.bitmap_or_agg("players").alias("players"))
+    names = [c for c in merged.columns if c not in ("bucket", "players")]
+    return merged.groupBy(*names).agg(F.sum(F.bitmap_count("players")).alias("total_players"))

@@ -31,21 +31,43 @@ def neighbours(
     A key with more than `hot_rows` rows is cut by `bucket`, which must never fall as
     `order` rises, NULL first (the hour of the time, say), so that no task holds all of
     it; the others, and all keys without a bucket, are one window each. Both ways give
-    the same result, also where keys, order columns or values are NULL. Counting the keys is a
-    job of its own that reads only the key columns.
+    the same result, also where keys, order columns or values are NULL. Which keys are hot is
+    a job of its own, see `hot_keys`.
     """
     plain = (list(keys), order, lag, lead, running)
     if bucket is None:
         return _within(df, *plain)
     if hot_rows <= 0:
         return _cut(df, bucket, *plain)
-    counted = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    hot = settle(counted.where(F.col("_n") > hot_rows).drop("_n"), "hot-keys")
-    if hot.isEmpty():
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return _cut(df, bucket, *plain)
+    if not hot:
         return _within(df, *plain)
-    same = _same_keys(keys)
-    calm = _within(df.join(hot, same, "left_anti"), *plain)
-    return calm.unionByName(_cut(df.join(hot, same, "left_semi"), bucket, *plain))
+    is_hot = is_key(keys, hot)
+    return _within(df.where(~is_hot), *plain).unionByName(_cut(df.where(is_hot), bucket, *plain))
+
+
+# Keys that a sketch of frequent keys tracks, and hot ones that are named at most.
+TRACKED = 8192
+NAMED = 1024
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> list[int] | None:
+    """Hashes of the keys with more than `rows` rows, or None if there may be more than `NAMED`.
+
+    From a sketch of frequent items that every task makes of its rows and that are merged, so keys are neither shuffled nor counted
+    one by one. A count may be too high by the rows divided by about `TRACKED`, so another key may be named, but none that is hot is
+    missed unless hot keys are fewer rows than that; the hash may name a second key too. Callers treat a named key another way with
+    the same result.
+    """
+    named = df.select(F.xxhash64(*keys).alias("h")).agg(F.call_function("approx_top_k", F.col("h"), F.lit(NAMED), F.lit(TRACKED)).alias("top")).first()["top"] or []
+    hot = [r["item"] for r in named if r["count"] > rows]
+    return None if len(hot) == NAMED else hot
+
+
+def is_key(keys: Sequence[str], hashes: Sequence[int]) -> Column:
+    return F.xxhash64(*keys).isin(list(hashes))
 
 
 def _same_keys(keys: Sequence[str]) -> Column:

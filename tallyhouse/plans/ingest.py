@@ -12,7 +12,7 @@ from tallyhouse.functions import scalars as S
 from tallyhouse.operators import dedup, merge, quality, referential, rules
 from tallyhouse.schemas import TABLES, TableSpec
 from tallyhouse.session import settle
-from tallyhouse.sources.csv import SCAN_ORDER, read_csv_staging, with_scan_order
+from tallyhouse.sources.csv import SCAN_ORDER, read_csv_staging
 
 
 @dataclass
@@ -26,10 +26,9 @@ class Load:
     report: DataFrame
 
 
-def stage(spark: SparkSession, spec: TableSpec, path: str, multiline: bool = False) -> DataFrame:
+def stage(spark: SparkSession, spec: TableSpec, path: str, multiline: bool | None = None) -> DataFrame:
     """The text file, with the place of each row where the last row per key wins."""
-    df = read_csv_staging(spark, path, list(spec.columns), spec.force_null, multiline)
-    return with_scan_order(df) if spec.dedup == "last" else df
+    return read_csv_staging(spark, path, list(spec.columns), spec.force_null, multiline, ordered=spec.dedup == "last")
 
 
 def row_rules(spec: TableSpec) -> list[rules.Rule]:
@@ -108,8 +107,9 @@ def load(spec: TableSpec, staged: DataFrame, current: DataFrame | None, parents:
     return Load(merged.drop("action"), merged, rejected, lost, report)
 
 
-def load_file(spark: SparkSession, name: str, path: str, current: DataFrame | None = None, parents: Mapping[str, DataFrame] | None = None, null_fk: str = "drop", multiline: bool = False) -> Load:
-    """Load the file of a known table; the text is parsed once into a staging table. `multiline` allows quoted line breaks."""
+def load_file(spark: SparkSession, name: str, path: str, current: DataFrame | None = None, parents: Mapping[str, DataFrame] | None = None, null_fk: str = "drop", multiline: bool | None = None) -> Load:
+    """Load the file of a known table; the text is parsed once into a staging table. `multiline` says if quoted fields hold line
+    breaks; else that is looked up."""
     spec = TABLES[name]
     return load(spec, settle(stage(spark, spec, path, multiline), f"stage-{name}"), current, parents or {}, null_fk)
 

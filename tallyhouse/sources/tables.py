@@ -89,3 +89,20 @@ def all_batches(spark: SparkSession, path: str, without: tuple[str, int] | None
 def replace_partitions(df: DataFrame, path: str, partition: Sequence[str]) -> None:
     """Overwrite just the partitions that `df` has rows for. `df` must not read them: settle it first."""
     _by(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, order: Sequence[str] = ()) -> DataFrame:
+    """A catalog table bucketed by `key`, each bucket sorted by it (and `order`).
+
+    Tables with the same key and number of buckets join and group by the key without an exchange, cycle after cycle; the number is
+    chosen once, about one for each 128 MB of the largest of them. All rows of a key are in one bucket.
+    """
+    by = df.repartition(buckets, key)  # one file a bucket
+    by.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *order).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def write_sorted(df: DataFrame, path: str, order: Sequence[str], files: int | None = None) -> None:
+    """Files that each hold a range of `order`, so that filters on it skip files and row groups by their minima and maxima; as many as
+    the data needs, or `files`."""
+    df.repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)

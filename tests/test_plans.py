@@ -4,9 +4,11 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.bindings import Roles
-from tallyhouse.catalog import QUERIES, load_all
+from tallyhouse.catalog import QUERIES, load_all, star
+from tallyhouse.sources import tables
 
 load_all()
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -49,3 +51,24 @@ def test_player_free_report_does_not_read_orders(spark):
 def test_retention_has_one_row_per_player_before_the_join(spark):
     text = plan(QUERIES["retention_by_cohort"](Roles(spark, SF_DIR)))
     assert "Expand" not in text
+
+
+def test_bucketed_plays_are_not_moved(spark):
+    roles = Roles(spark, SF_DIR)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plays, people = star.bucketed_tables(roles)
+        joined = plan(plays.join(people, "player_email"))
+        counted = plan(plays.groupBy("player_email").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in joined and "Exchange" not in joined and "Exchange" not in counted
+
+
+def test_sorted_files_are_skipped(spark, tmp_path):
+    path = str(tmp_path / "sorted")
+    df = spark.range(0, 200_000, numPartitions=8).select((F.col("id") * 7919 % 200_000).alias("at"), F.col("id").alias("v"))
+    tables.write_sorted(df, path, ["at"], 8)
+    ranges = [(r.lo, r.hi) for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("at").alias("lo"), F.max("at").alias("hi")).collect()]
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(sorted(ranges)[:-1], sorted(ranges)[1:], strict=True))

@@ -3,7 +3,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import windows
+from tallyhouse.operators import joins, summaries, windows
+from tallyhouse.session import settle
 
 
 def events(spark):
@@ -81,3 +82,59 @@ def test_top_per_group_and_share(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 4)], "g string, v int")
     assert rows(windows.top_per_group(df, ["g"], [F.desc("v")], 2)) == [("a", 2, 2), ("a", 3, 1), ("b", 4, 1)]
     assert rows(windows.share_of_total(df, {"v": "share"}), "v", "share") == [(1, 0.1), (2, 0.2), (3, 0.3), (4, 0.4)]
+
+
+def test_hot_keys_are_named_by_a_sketch(spark):
+    data = [("hot",)] * 4000 + [(None,)] * 900 + [(f"k{i % 3000}",) for i in range(6000)]
+    df = spark.createDataFrame(data, "k string").repartition(6)
+    hot = windows.hot_keys(df, ["k"], 500)
+    named = {r.k for r in df.where(windows.is_key(["k"], hot)).distinct().collect()}
+    assert named == {"hot", None}
+    assert windows.hot_keys(df.limit(0), ["k"], 1) == [] and windows.hot_keys(df, ["k"], 10_000) == []
+    many = spark.range(windows.NAMED + 50).select(F.explode(F.array(*[F.col("id")] * 3)).alias("k"))
+    assert windows.hot_keys(many, ["k"], 2) is None
+
+
+def test_only_hot_keys_are_salted(spark, rows):
+    fact = spark.createDataFrame([("hot" if i % 3 == 0 else f"k{i % 7}", i) for i in range(300)], "k string, i int")
+    dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k5", 3)], "k string, v int")
+    hot = windows.hot_keys(fact, ["k"], 60)
+    for how in ("inner", "left", "left_semi"):
+        salted = joins.lookup(fact, dim, "k", how, salts=4, hot=hot)
+        assert rows(salted) == rows(fact.join(dim, "k", how)) == rows(joins.lookup(fact, dim, "k", how, salts=4)) == rows(joins.lookup(fact, dim, "k", how, salts=4, hot=[]))
+
+
+def test_spans_are_carried_forward(spark, rows):
+    """Against the interval join: hot keys, NULL keys and times, zero-length, closed and missing spans."""
+    rng = random.Random(8)
+    day = lambda d: datetime(2024, 1, 1) + timedelta(hours=6 * d)
+    spans = []
+    for key in ["hot", "a", "b", None]:
+        at = sorted(rng.choices(range(800), k=60 if key == "hot" else 4))
+        ends = [*at[1:], None if key != "b" else at[-1] + 3]
+        spans += [(key, day(s), None if e is None else day(e - (1 if rng.random() < 0.3 and e > s else 0)), f"{key}{n}") for n, (s, e) in enumerate(zip(at, ends, strict=True))]
+    spans.append(("a", None, day(3), "timeless"))
+    fact = [(rng.choice(["hot", "hot", "a", "b", "c", None]), None if rng.random() < 0.1 else day(rng.randint(-5, 820)), i) for i in range(400)]
+    fact = spark.createDataFrame(fact, "k string, at timestamp_ntz, i int")
+    spans = spark.createDataFrame(spans, "k string, since timestamp_ntz, until timestamp_ntz, v string")
+    want = joins.in_interval(fact, spans, "k", "at", "since", "until", many=10)
+    for width in ("day", "month"):
+        got = joins.carried_forward(fact, spans, "k", "at", "since", "until", width)
+        assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_players_are_counted_again_from_bitmaps(spark, rows):
+    rng = random.Random(9)
+    fact = spark.createDataFrame([(f"d{rng.randint(1, 9)}", "L", f"g{rng.randint(1, 3)}", None if i % 50 == 0 else rng.randint(0, 70_000)) for i in range(30_000)], "full_date string, location_code string, game_name string, player_key long")
+    first = fact.where("full_date < 'd4'")
+    numbers = summaries.number_players(first)
+    numbers = settle(numbers.unionByName(summaries.number_players(fact, settle(numbers, "numbers"))), "numbers")
+    n = fact.select("player_key").where("player_key IS NOT NULL").distinct().count()
+    assert sorted(r.number for r in numbers.collect()) == list(range(1, n + 1))
+    stored = summaries.daily_players(fact, numbers)
+    assert stored.select("bucket").distinct().count() == 1
+    for groups in (["game_name"], ["full_date"], []):
+        assert rows(summaries.fold_players(stored, *groups)) == rows(fact.groupBy(*groups).agg(F.count_distinct("player_key").alias("total_players")))
+    # Numbers far apart lie in several bitmaps.
+    far = numbers.withColumn("number", F.col("number") * 1000)
+    assert rows(summaries.fold_players(summaries.daily_players(fact, far))) == [(n,)]
