@@ -418,6 +418,7 @@ def find(
     id: str = "doc_id",
     item: str = "item_id",
     answer: str | None = None,
+    item_text: str | None = None,
     block_items: int = 256,
     min_words: int = 6,
     stop_share: float = 0.002,
@@ -427,11 +428,12 @@ def find(
     enough: float = 0.9,
 ) -> DataFrame:
     """One row for each document and benchmark item that it holds: id, `item_id`, `kind` (copy or paraphrase), the shares of the
-    passage's words, informative words and answer found in order, the cosine, and the region in words."""
+    passage's words, informative words and answer found in order, the cosine, and the region in words. The items' texts are in
+    `item_text`, or in a column of the documents' name."""
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     schema = "id long, item_id long, kind string, lcs double, rare_lcs double, answer_lcs double, cosine double, start long, end long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for passages, shorts in _blocks(benchmark, f"{text}", item, answer, block_items, min_words):
+    for passages, shorts in _blocks(benchmark, item_text or text, item, answer, block_items, min_words):
         if shorts:
             out = out.unionByName(exact(rows, shorts))
         if not passages:
@@ -460,7 +462,8 @@ def find(
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", **options) -> DataFrame:
     """`docs` without the documents that hold a benchmark item; rows without id stay. Of rows that repeat an id, those go whose
     text holds one."""
-    # A hash of id and text instead of the id, which need not be unique.
-    key = F.when(F.col(id).isNotNull(), F.xxhash64(id, text))
-    found = settle(find(docs.select(key.alias("own_key"), text), benchmark, text, "own_key", **options).select("own_key").distinct(), "contaminated")
-    return join_small(docs.withColumn("own_key", key), found, "own_key", "left_anti").select(*docs.columns)
+    # A hash of id and text instead of the id, which need not be unique; the row goes along as one column, so no name can clash.
+    rows = docs.select(F.struct("*").alias("row"), F.when(F.col(id).isNotNull(), F.xxhash64(id, text)).alias("own_key"))
+    texts = rows.select("own_key", F.col("row").getField(text).alias("own_text"))
+    found = settle(find(texts, benchmark, "own_text", "own_key", item_text=text, **options).select("own_key").distinct(), "contaminated")
+    return join_small(rows, found, "own_key", "left_anti").select("row.*")

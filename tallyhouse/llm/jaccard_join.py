@@ -14,8 +14,12 @@ becomes one component. Then members of different components that may still link
 So components are exact, and a group of copies of any size costs its members, not their square. Pairs whose lists share too
 little are ruled out first; only of the rest are the texts read again and the whole sets compared.
 
-Lists of shingles that occur very often are spread over their members instead of going to one task. Links, components and sets
-stay tables in the shared folder. Rows without id link with nothing and have no component. Repeated rows, NULL and empty texts:
+Lists of shingles that occur very often are spread over their members instead of going to one task, and a task lists a set that it
+has just listed only once, so copies of one text fill no list. Links, tried pairs, components and sets stay tables in the shared
+folder, to which each round adds its part; components are contracted, so a round handles its new links only.
+
+Pairing the rest in full costs the pairs of components that share a list and may link by size and position. With members that never
+link, that is the square of a list's length: the hubs find nothing to join, and all pairs have to be looked at to know so. Rows without id link with nothing and have no component. Repeated rows, NULL and empty texts:
 a copy links with its twin, a document without words with nothing.
 """
 
@@ -27,14 +31,15 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
+from tallyhouse.llm.rounds import release
 from tallyhouse.llm.small import join_small
 from tallyhouse.llm.text import LOWER, SPACE, distinct_per_row, hash_spans, mix, row_blocks, rows_of, spans, sum_rows, utf8
-from tallyhouse.session import settle
+from tallyhouse.session import scratch, settle
 
 WORDS = 5
 COUNTERS = 20
@@ -43,6 +48,8 @@ _ODD = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 RECENT = 16
 # Largest size for which subsets are thought of.
 MOST_SMALL = 12
+# Sets that a task remembers having listed.
+REMEMBERED = 1 << 18
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,8 +159,8 @@ def bands(most: int) -> np.ndarray:
     return np.array(out)
 
 
-def posting_pass(docs: DataFrame, counters: np.ndarray, boundary: int, heavy: int) -> DataFrame:
-    """Rows (deal, key, set, size, band, place) of all subsets and lists; place is -1 in a subset.
+def posting_pass(docs: DataFrame, counters: np.ndarray, boundary: int, heavy: int) -> tuple[DataFrame, Broadcast]:
+    """Rows (deal, key, set, size, band, place) of all subsets and lists, place is -1 in a subset; and what the tasks share.
 
     `deal` is 0, or the set for a shingle that occurs `heavy` times or more, so that its list is spread.
     """
@@ -162,10 +169,18 @@ def posting_pass(docs: DataFrame, counters: np.ndarray, boundary: int, heavy: in
     edges = bands(1 << 40)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, listed_here = shared.value, set()
         for batch in batches:
             for _, _, values, bounds in _blocks(batch, 0):
-                own, sizes = set_ids(values, bounds), np.diff(bounds)
+                own = set_ids(values, bounds)
+                # A set listed by this task already has nothing to add; what is forgotten is listed again, which changes nothing.
+                fresh = np.ones(len(own), bool)
+                for k, name in enumerate(own.tolist()):
+                    fresh[k] = name not in listed_here
+                    listed_here.add(name)
+                if len(listed_here) > REMEMBERED:
+                    listed_here = set()
+                sizes = np.where(fresh, np.diff(bounds), 0)
                 often = table[(values >> np.uint64(64 - COUNTERS)).astype(np.int64)].astype(np.uint64)
                 # Rarest first; the hash, of which 32 bits decide here, breaks ties alike everywhere.
                 order = often << np.uint64(32) | (values & np.uint64(2**32 - 1))
@@ -196,7 +211,7 @@ def posting_pass(docs: DataFrame, counters: np.ndarray, boundary: int, heavy: in
                 columns = [deal, keys, sets, sizes[row].astype(np.int32), band.astype(np.int32), place.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["deal", "key", "set", "size", "band", "place"])
 
-    return docs.select("text").mapInArrow(run, "deal long, key long, set long, size int, band int, place int")
+    return docs.select("text").mapInArrow(run, "deal long, key long, set long, size int, band int, place int"), shared
 
 
 def shared_lists(postings: DataFrame) -> DataFrame:
@@ -225,13 +240,13 @@ def id_filter(wanted: DataFrame) -> tuple[np.ndarray, int]:
     places = wanted.select(F.explode(F.array(*_bits("id", bits))).alias("bit"))
     words = places.groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("set"))
     out = np.zeros(bits // 64, np.int64)
-    for r in words.collect():
-        out[r.word] = r.set
+    held = words.toArrow()
+    out[held["word"].to_numpy()] = held["set"].to_numpy()
     return out, bits
 
 
-def load_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`set` and its `shingles`, of the documents whose ids are in `wanted`, and now and then of another.
+def load_sets(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """`set` and its `shingles`, of the documents whose ids are in `wanted`, and now and then of another; and what the tasks share.
 
     The texts stay where they are read: a filter of bounded size goes to them instead.
     """
@@ -248,7 +263,7 @@ def load_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(set_ids(values, bounds)), lists], ["set", "shingles"])
 
-    return docs.select("text", *_bits("id", bits)).mapInArrow(run, "set long, shingles array<long>").dropDuplicates(["set"])
+    return docs.select("text", *_bits("id", bits)).mapInArrow(run, "set long, shingles array<long>").dropDuplicates(["set"]), shared
 
 
 # Sizes s <= t link only if 3 t <= 4 s; from the first shared shingle on, either set has at most what follows it.
@@ -318,15 +333,51 @@ def rest_pairs(lists: DataFrame) -> DataFrame:
 def verified(left: DataFrame, docs: DataFrame, first_of: DataFrame) -> DataFrame:
     """The pairs that link, by their whole sets, which are made again from one document of each."""
     needed = left.select(F.col("a").alias("set")).union(left.select("b")).distinct()
-    sets = settle(load_sets(docs, settle(first_of.join(needed, "set").select(F.col("first").alias("id")), "jaccard-wanted")), "jaccard-sets")
+    made, shared = load_sets(docs, settle(first_of.join(needed, "set").select(F.col("first").alias("id")), "jaccard-wanted"))
+    sets = settle(made, "jaccard-sets")
+    shared.destroy()
     first, second = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
     both = left.join(first, "a").join(second, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
-    return settle(both.where("100 * shared >= 75 * (size(x) + size(y) - shared)").select("a", "b"), "jaccard-links")
-
-
-def _with_components(lists: DataFrame, found: DataFrame) -> DataFrame:
-    named = lists.drop("component").join(found.select(F.col("node").alias("set"), F.col("component")), "set", "left")
-    return settle(named.withColumn("component", F.coalesce("component", "set")), "jaccard-named")
+    return both.where("100 * shared >= 75 * (size(x) + size(y) - shared)").select("a", "b")
+
+
+class Found:
+    """Tried pairs and components so far, as tables that every round adds to."""
+
+    PAIR = "a long, b long"
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tried, self.rounds = spark, scratch(spark, "jaccard-tried"), 0
+        # `node` and `component` of every set that links; a component is one of its sets, which is no node.
+        self.labels: DataFrame | None = None
+
+    def new(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that no earlier round has tried; this round now has."""
+        if self.rounds:
+            pairs = pairs.join(self.spark.read.schema(self.PAIR).parquet(f"{self.tried}/*"), ["a", "b"], "left_anti")
+        own = f"{self.tried}/round{self.rounds}"
+        pairs.write.parquet(own)
+        self.rounds += 1
+        return self.spark.read.schema(self.PAIR).parquet(own)
+
+    def link(self, links: DataFrame) -> None:
+        """Join the components that new links connect."""
+        if self.labels is None:
+            self.labels = components(links)
+            return
+        ends = links
+        for end in ("a", "b"):
+            named = self.labels.select(F.col("node").alias(end), F.col("component").alias("of"))
+            ends = ends.join(named, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
+        moved = components(ends)
+        to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        kept = self.labels.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        self.labels = settle(kept.unionByName(moved), "jaccard-labels")
+
+    def name(self, lists: DataFrame) -> DataFrame:
+        """The lists with the component of each set."""
+        named = lists.drop("component").join(self.labels.select(F.col("node").alias("set"), "component"), "set", "left")
+        return settle(named.withColumn("component", F.coalesce("component", "set")), "jaccard-named")
 
 
 def _left_to_pair(lists: DataFrame) -> int:
@@ -350,24 +401,22 @@ def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 8)
     known = docs.where("id IS NOT NULL")
     first_of = settle(rows.where("size > 0 AND id IS NOT NULL").groupBy("set").agg(F.min("id").alias("first")), "jaccard-first")
 
-    lists = settle(shared_lists(posting_pass(known, counters, boundary, heavy)), "jaccard-lists")
+    postings, shared = posting_pass(known, counters, boundary, heavy)
+    lists = settle(shared_lists(postings), "jaccard-lists")
+    shared.destroy()
     long = lists.where("n > 2").select("key", "set", "size", "band", "place")
     pairs, twos = two_set_pairs(lists)
     twos = settle(twos, "jaccard-twos")
     # Keys of two sets are settled by their one pair; only the longer lists need turns.
-    current, links, found, tried = long.withColumn("component", F.col("set")), None, None, None
+    current, found = long.withColumn("component", F.col("set")), Found(df.sparkSession)
 
     def link(met: DataFrame) -> int:
         """Verify the pairs that are new, and take up what links."""
-        nonlocal links, found, tried
-        left = promising(met, twos, long)
-        left = settle(left if tried is None else left.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-        tried = left if tried is None else tried.union(left)
-        fresh = verified(left, known, first_of)
+        fresh = settle(verified(found.new(promising(met, twos, long)), known, first_of), "jaccard-links")
         n = fresh.count()
         if n:
-            links = fresh if links is None else links.union(fresh)
-            found = components(links)
+            found.link(fresh)
+        release(df.sparkSession)
         return n
 
     rows_listed, members = long.count(), long.select("set").distinct().count()
@@ -377,12 +426,12 @@ def join(df: DataFrame, text: str = "text", id: str = "doc_id", turns: int = 8)
             met = met.unionByName(pairs).groupBy("a", "b", "total", "most").agg(F.max("subset").alias("subset"))
         new = link(met)
         if new:
-            current = _with_components(current, found)
+            current = found.name(current)
         # Another hub helps a group whose members link widely; where little is left or it links few, the rest is paired at once.
         if turn and 20 * new < members or _left_to_pair(current) <= 4 * rows_listed:
             break
     link(rest_pairs(current) if turns else rest_pairs(current).unionByName(pairs))
-    return _named(rows, first_of, found, id)
+    return _named(rows, first_of, found.labels, id)
 
 
 def _named(rows: DataFrame, first_of: DataFrame, found: DataFrame | None, id: str) -> DataFrame:
@@ -405,13 +454,13 @@ def deduplicate(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFr
         found = settle(join(df, text, id), "jaccard-components")
         others = settle(found.where(F.col("component_id") != F.col(id)).select(id).distinct(), "jaccard-copies")
         return join_small(df, others, id, "left_anti").select(*df.columns)
-    own = F.when(F.col(id).isNotNull(), F.xxhash64(id, text))
-    keyed = df.withColumn("own_key", own)
-    one = keyed.where("own_key IS NOT NULL").dropDuplicates(["own_key"])
-    named = one.select("own_key", F.struct(F.col(id).alias("id"), F.col("own_key").alias("key")).alias("rank"))
-    found = settle(join(one, text, "own_key").join(named, "own_key"), "jaccard-components")
+    # The row goes along as one column, so no name can clash.
+    keyed = df.select(F.struct("*").alias("row"), F.when(F.col(id).isNotNull(), F.xxhash64(id, text)).alias("own_key"))
+    one = keyed.where("own_key IS NOT NULL").dropDuplicates(["own_key"]).select("own_key", F.col("row").getField(id).alias("own_id"), F.col("row").getField(text).alias("own_text"))
+    named = one.select("own_key", F.struct(F.col("own_id").alias("id"), F.col("own_key").alias("key")).alias("rank"))
+    found = settle(join(one, "own_text", "own_key").join(named, "own_key"), "jaccard-components")
     # Of each component the row of least id, and of least hash where it repeats the id.
     least = found.groupBy("component_id").agg(F.min("rank").alias("least"))
     others = settle(found.join(least, "component_id").where("rank <> least").select("own_key"), "jaccard-copies")
     out = join_small(keyed, others, "own_key", "left_anti")
-    return out.where("own_key IS NULL").unionByName(out.where("own_key IS NOT NULL").dropDuplicates(["own_key"])).select(*df.columns)
+    return out.where("own_key IS NULL").unionByName(out.where("own_key IS NOT NULL").dropDuplicates(["own_key"])).select("row.*")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm import bpe, conversation_repair, decontamination, jaccard_join, langid, licenses, oracles, pii, quality, ranked_search, secret_scan, toxicity, vector_search, winnowing
 from tallyhouse.llm.learning import fold
+from tallyhouse.session import SQL_SETTINGS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +36,9 @@ def importable(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
+    # Those that results depend on; sizes and numbers of partitions are the caller's.
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled", "spark.sql.unionOutputPartitioning"):
+        spark.conf.set(key, SQL_SETTINGS[key])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of some dozen bytes: tens of megabytes.
-MOST = 1_000_000
+# Stored bytes that are sent to all tasks at most; in memory they are some times as many.
+MOST = 8 << 20
 
 
 def join_small(large: DataFrame, small: DataFrame, on: str, how: str, most: int = MOST) -> DataFrame:
-    """`small` is counted, so it should be a stored table. Up to `most` rows it is sent to all tasks and the large table stays
-    where it is; beyond, both are shuffled. The result is the same."""
-    return large.join(F.broadcast(small) if small.limit(most + 1).count() <= most else small, on, how)
+    """`small` is a stored table, whose size Spark knows from its files. Up to `most` bytes it is sent to all tasks and the large table
+    stays where it is; beyond, both are shuffled. The result is the same."""
+    stored = int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return large.join(F.broadcast(small) if stored <= most else small, on, how)

@@ -2,7 +2,7 @@ import pytest
 
 from tallyhouse.llm.queries import importable
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, uid long, size int, score double, start long, spans string, component string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, uid long, size int, score double, start long, spans string, component string, own_key string, own_text string, `row` string, `set` int, first string, item long, label string, vals string"
 
 
 @pytest.fixture(autouse=True)
@@ -18,7 +18,7 @@ def table(spark):
         full = []
         for r in rows:
             doc_id, text, lang, source = (*r, None, None)[:4]
-            full.append((doc_id, text, lang, source, None if text is None else len(text), "x", 7, None, 0.5, 3, "y", None))
+            full.append((doc_id, text, lang, source, None if text is None else len(text), "x", 7, None, 0.5, 3, "y", None, f"keep-{doc_id}", "own", "r", 4, None, 9, "l", "v"))
         return spark.createDataFrame(full, SCHEMA)
 
     return make

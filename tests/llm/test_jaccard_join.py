@@ -116,3 +116,41 @@ def test_a_repeated_id_goes_only_where_its_text_is_a_copy(table):
     assert left == sorted([("1", first), ("5", second), ("None", first)])
     kept = [r.doc_id for r in jaccard_join.deduplicate(table(rows)).collect()]
     assert kept.count(7) == 1 and kept.count(8) == 2
+
+
+def test_columns_of_internal_names_come_back(table):
+    a, b = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    for rows in ([(1, a), (2, a), (3, b)], [(1, a), (1, b), (2, a), (3, None)]):
+        df = table(rows)
+        kept = jaccard_join.deduplicate(df)
+        assert kept.columns == df.columns
+        assert all(r.own_key == f"keep-{r.doc_id}" and r.row == "r" and r.set == 4 for r in kept.collect())
+
+
+def test_copies_of_one_text_fill_no_list(table, monkeypatch):
+    """A third of all rows hold one text; a task lists its set once."""
+    hot = " ".join(f"h{k}" for k in range(60))
+    rows = [(k, hot if k % 3 == 0 else " ".join(f"w{random.Random(k).randint(0, 400)}" for _ in range(30))) for k in range(1500)]
+    df = table(rows).coalesce(4)
+    docs = df.select("doc_id", "text")
+    counted = jaccard_join.count_pass(docs.selectExpr("doc_id AS id", "text"))
+    postings, _ = jaccard_join.posting_pass(docs, jaccard_join.collect_counters(counted), 0, 256)
+    most = postings.groupBy("deal", "key").count().agg({"count": "max"}).first()[0]
+    assert most <= 4 + 40
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(df).collect()}
+    assert {got[k] for k in range(0, 1500, 3)} == {0}
+    monkeypatch.setattr(jaccard_join, "REMEMBERED", 5)
+    assert {r.doc_id: r.component_id for r in jaccard_join.join(df).collect()} == got
+
+
+def test_components_are_contracted(spark):
+    random.seed(3)
+    found, all_links = jaccard_join.Found(spark), []
+    for _ in range(4):
+        links = [(random.randint(1, 80), random.randint(1, 80)) for _ in range(18)]
+        all_links += links
+        found.link(spark.createDataFrame(links, "a long, b long"))
+    whole = {r.node: r.component for r in components(spark.createDataFrame(all_links, "a long, b long")).collect()}
+    got = {r.node: r.component for r in found.labels.collect()}
+    nodes = {x for pair in all_links for x in pair}
+    assert {n: got.get(n, n) for n in nodes} == {n: whole.get(n, n) for n in nodes}
