@@ -4,6 +4,10 @@ The words of a block of texts that are not known yet are merged together: their
 looks every adjacent pair up by binary search over the sorted pair keys, and joins the pairs of lowest rank of every word.
 Known words are kept per Python worker, up to `CACHE` words; then the store starts afresh, so memory is bounded.
 
+The split before the merges needs the classes of letters, numbers and blanks that the library has, which are those of one Unicode version.
+Texts whose characters were all assigned when Python's own Unicode tables were made are split by `regex`, where all versions agree;
+a text with a later one is split by the library's own splitter.
+
 A vocabulary is a `tokenizers` JSON file of kind byte-level BPE. Its special tokens found in a text become their ids, as the
 library does. NULL and the empty text give no ids; texts of any length are encoded whole; equal texts give equal ids.
 """
@@ -12,18 +16,33 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Regex, pre_tokenizers
 
 from tallyhouse.llm.text import string_blocks
 
 # Fixed value: the split of byte-level BPE before the merges.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHE = 100_000
+# Below this code point every character is assigned, or left out for good.
+_LATER = re.compile("[^\0-\u0557]").search
+_UNASSIGNED: list[np.ndarray] = []
+
+
+def later(text: str) -> bool:
+    """If the text has a character that Python's Unicode tables don't know."""
+    if text.isascii() or not _LATER(text):
+        return False
+    if not _UNASSIGNED:
+        _UNASSIGNED.append(np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)]))
+    return bool(_UNASSIGNED[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
 
 
 def byte_letters() -> list[str]:
@@ -37,8 +56,10 @@ class Vocabulary:
     """Arrays for encoding and decoding: symbol of each byte, sorted pair keys with rank and result, bytes of each token."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        with open(path, "rb") as file:
+            content = file.read()
+        self.name = hashlib.sha256(content).hexdigest()
+        spec = json.loads(content)
         model, letters = spec["model"], byte_letters()
         if model["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"] or spec.get("normalizer"):
             raise ValueError(f"{path} is no byte-level BPE without prefix space")
@@ -112,7 +133,8 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, cache: int = CACHE):
         self.v, self.cache = vocabulary, cache
-        self.split = regex.compile(SPLIT).findall
+        self.known_split = regex.compile(SPLIT).findall
+        self.library_split = pre_tokenizers.Split(Regex(SPLIT), "isolated").pre_tokenize_str
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
         self._reset()
@@ -130,6 +152,9 @@ class Encoder:
         self.count = np.concatenate((self.count, np.diff(bounds)))
         self.ids = np.concatenate((self.ids, ids))
 
+    def split(self, text: str) -> list[str]:
+        return [piece for piece, _ in self.library_split(text)] if later(text) else self.known_split(text)
+
     def words(self, text: str) -> list[str]:
         if self.cut is None or not any(s in text for s in self.v.special):
             return self.split(text)
@@ -172,11 +197,12 @@ def decode_bytes(ids: np.ndarray, bounds: np.ndarray, v: Vocabulary) -> list[byt
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _worker_encoder(path: str, shared) -> Encoder:
-    """The encoder of this Python worker, with the words it knows."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(shared.value)
-    return _ENCODERS[path]
+def _worker_encoder(name: str, shared) -> Encoder:
+    """The encoder of this Python worker, with the words it knows; the last vocabulary's only."""
+    if name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[name] = Encoder(shared.value)
+    return _ENCODERS[name]
 
 
 def _spoken(v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,16 +213,17 @@ def _spoken(v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _share(df: DataFrame, path: str):
-    # The vocabulary's size is fixed: some megabytes.
-    return df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    """The vocabulary for all tasks, some megabytes whatever the input, and a digest of its file."""
+    vocabulary = Vocabulary(path)
+    return df.sparkSession.sparkContext.broadcast(vocabulary), vocabulary.name
 
 
 def encode(df: DataFrame, path: str, text: str = "text", id: str = "doc_id") -> DataFrame:
     """`id` (bigint) and `ids` (array of int) of every row."""
-    shared = _share(df, path)
+    shared, name = _share(df, path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _worker_encoder(path, shared)
+        encoder = _worker_encoder(name, shared)
         for batch in batches:
             for lo, hi, texts in string_blocks(batch.column(1)):
                 ids, bounds = encoder.encode(texts)
@@ -209,7 +236,7 @@ def encode(df: DataFrame, path: str, text: str = "text", id: str = "doc_id") ->
 
 def decode(df: DataFrame, path: str, ids: str = "ids", id: str = "doc_id") -> DataFrame:
     """`id` and `text` of every row of token ids; bytes that are no UTF-8 become U+FFFD, NULL gives the empty text."""
-    shared = _share(df, path)
+    shared, _ = _share(df, path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
@@ -226,10 +253,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", id: str = "doc_id") -> Da
 
 def digests(df: DataFrame, path: str, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Encode and decode every row; `n_tokens`, `ids_sha256` (decimal ids joined by commas) and `decoded_sha256` (decoded text)."""
-    shared = _share(df, path)
+    shared, name = _share(df, path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _worker_encoder(path, shared)
+        encoder = _worker_encoder(name, shared)
         v = encoder.v
         letters, begin, width = _spoken(v)
         for batch in batches:

@@ -42,7 +42,10 @@ def natural_sample(rows: DataFrame, label: str, limit: int, id: str = "doc_id")
 
 
 def collect_features(docs: DataFrame, chosen: DataFrame, features: Features, id: str = "doc_id", text: str = "text") -> list[tuple]:
-    """(label, ids, values) of the chosen rows, values empty for all 1; `chosen` is bounded by `sample`, so it is broadcast and collected."""
+    """(label, ids, values) of the chosen rows, values empty for all 1; `chosen` is bounded by `sample`, so it is broadcast and collected.
+
+    Of documents that repeat a chosen id, and of labels that do, one counts: the one with the least features and label.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,7 +59,8 @@ def collect_features(docs: DataFrame, chosen: DataFrame, features: Features, id:
 
     label_type = chosen.schema["label"].dataType.simpleString()
     found = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("label", "text", "id")
-    rows = found.mapInArrow(run, f"label {label_type}, id long, ids binary, vals binary").collect()
+    made = found.mapInArrow(run, f"label {label_type}, id long, ids binary, vals binary")
+    rows = made.groupBy("id").agg(F.min(F.struct("ids", "vals", "label")).alias("one")).select("one.label", "id", "one.ids", "one.vals").collect()
     rows.sort(key=lambda r: (r.id, bytes(r.ids)))  # the same order whatever task ended first
     return [(r.label, np.frombuffer(r.ids, np.int32), np.frombuffer(r.vals, np.float32)) for r in rows]
 

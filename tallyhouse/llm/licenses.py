@@ -10,7 +10,9 @@ all documents, rarest first. A block that holds ceil(threshold |T|) of a templat
 (position); blocks that pass are counted whole. So no block that meets the threshold is missed.
 
 With `runs`, blocks are also all runs of consecutive words, 1 / threshold times as many as the template has words, so that line
-breaks and blank lines don't decide. Only of documents that hold enough of a template at all are the words' places kept.
+breaks and blank lines don't decide. They go through the same filters: a document meets a template by a shared prefix word,
+with enough template words at all, and enough of them from that word's place in the order on; then only the runs around a prefix
+word are counted. Only of documents that hold enough of a template at all are the words' places kept.
 
 Every text is read whole, once. NULL and empty texts have no words, places or labels; repeated rows have a result each.
 """
@@ -97,14 +99,22 @@ def read(docs: DataFrame, vocabulary: list[str], least: int, text: str = "text",
     return rows.withColumn("lines", F.when(F.size("held") >= least, F.col("lines")))
 
 
-def _in_runs(rows: DataFrame, wanted: Column) -> DataFrame:
+def _in_runs(rows: DataFrame, heads: DataFrame, rank_of: Column, wanted: Column) -> DataFrame:
     """(uid, template, size, shared) of the templates of which a run of words holds enough; `wanted`: what `scan` has of each."""
-    pairs = rows.where("spots IS NOT NULL").select("uid", "held", "spots", F.explode(wanted).alias("t")).where("size(array_intersect(held, t.words)) >= t.need")
-    pairs = pairs.select("uid", "t", F.filter("spots", lambda x: F.array_contains(F.col("t.words"), x["word"])).alias("own"))
+    ordered = rows.where("spots IS NOT NULL").select("uid", F.array_sort(F.transform("held", lambda w: rank_of[w])).alias("block"))
+    met = ordered.select("uid", "block", F.posexplode("block").alias("place", "rank")).join(F.broadcast(heads), "rank")
+    met = met.where("size(block) - place >= need").withColumn("shared", F.size(F.array_intersect("block", "ranks"))).where("shared >= need")
+    # A document has as many rows here as there are templates at most.
+    met = met.groupBy("uid", "template").agg(F.collect_set("rank").alias("anchors"))
+    pairs = rows.select("uid", "spots").join(met, "uid").select("uid", "spots", "anchors", F.element_at(wanted, F.col("template") + 1).alias("t"))
+    pairs = pairs.select("uid", "t", "anchors", F.filter("spots", lambda x: F.array_contains(F.col("t.words"), x["word"])).alias("own"))
+    near = F.transform(F.filter("own", lambda x: F.array_contains("anchors", rank_of[x["word"]])), lambda x: x["at"])
+    pairs = pairs.withColumn("near", near)
 
     def held(x: Column, k: Column) -> Column:
         run = F.filter(F.slice("own", k + 1, F.col("t.run")), lambda y: y["at"] < x["at"] + F.col("t.run"))
-        return F.size(F.array_distinct(F.transform(run, lambda y: y["word"])))
+        around = F.exists("near", lambda at: (at >= x["at"]) & (at < x["at"] + F.col("t.run")))
+        return F.when(around, F.size(F.array_distinct(F.transform(run, lambda y: y["word"])))).otherwise(0)
 
     best = pairs.select("uid", "t.template", F.size("t.words").alias("size"), "t.need", F.array_max(F.transform("own", held)).alias("shared"))
     return best.where("shared >= need").drop("need")
@@ -143,7 +153,7 @@ def scan(
     met = met.where("size(block) >= need AND size(block) - place >= need").withColumn("shared", F.size(F.array_intersect("block", "ranks"))).where("shared >= need")
     met = met.select("uid", "template", "size", "shared")
     if runs:
-        met = met.unionByName(_in_runs(rows, wanted))
+        met = met.unionByName(_in_runs(rows, heads, rank_of, wanted))
     label_of = F.array(*[F.lit(label) for label, _ in sets])
     found = met.groupBy("uid").agg(F.collect_set(F.element_at(label_of, F.col("template") + 1)).alias("more"), F.max(F.col("shared") / F.col("size")).alias("best"))
 

@@ -10,20 +10,23 @@ def _quoted(words: list[str]) -> str:
 
 
 def op9() -> str:
-    """Words, phrase places and template containment by lists; every block of lines with every template."""
+    """Words, phrase places and template containment by lists; every block of lines and every run of words with every template."""
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     places = []
     for phrase, label in licenses.PHRASES.items():
         words = phrase.split()
         same = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
         places.append(f"list_transform(list_filter(range(greatest(len(w) - {len(words) - 1}, 0)), lambda i: {same}), lambda i: {{'at': i, 'label': '{label}'}})")
-    templates = " UNION ALL ".join(f"SELECT '{label}' AS label, {_quoted(licenses.words_of(t))} AS t" for label, t in licenses.TEMPLATES)
+    templates = " UNION ALL ".join(f"SELECT '{label}' AS label, {licenses.run_of(t, licenses.THRESHOLD)} AS run, {_quoted(licenses.words_of(t))} AS t" for label, t in licenses.TEMPLATES)
     return f"""WITH low AS (SELECT doc_id, translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}') AS text FROM documents),
     words AS (SELECT doc_id, regexp_extract_all(text, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w, list_transform(string_split(text, chr(10)), lambda x: list_distinct(regexp_extract_all(x, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'))) AS lines FROM low),
     base AS (SELECT doc_id, len(w) AS n_words, list_concat({places[0]}, list_concat({places[1]}, list_concat({places[2]}, {places[3]}))) AS p FROM words),
     blocks AS (SELECT doc_id, list_distinct(flatten(lines[unnest(range(1, len(lines) + 1)) : unnest(range(1, len(lines) + 1)) + {licenses.SPAN - 1}])) AS b FROM words),
     templates AS ({templates}),
-    found AS (SELECT doc_id, label, max(len(list_intersect(b, t)) / len(t)) AS best FROM blocks, templates WHERE len(list_intersect(b, t)) >= ceil({licenses.THRESHOLD} * len(t) - 1e-9) GROUP BY 1, 2),
+    near AS (SELECT doc_id, label, t, w, run FROM words, templates WHERE len(list_intersect(list_distinct(w), t)) >= ceil({licenses.THRESHOLD} * len(t) - 1e-9)),
+    runs AS (SELECT doc_id, label, t, list_max(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN list_contains(t, w[i]) THEN len(list_intersect(list_distinct(w[i : i + run - 1]), t)) ELSE 0 END)) AS shared FROM near),
+    found AS (SELECT doc_id, label, max(shared / len(t)) AS best FROM (SELECT doc_id, label, t, len(list_intersect(b, t)) AS shared FROM blocks, templates UNION ALL SELECT doc_id, label, t, shared FROM runs)
+      WHERE shared >= ceil({licenses.THRESHOLD} * len(t) - 1e-9) GROUP BY 1, 2),
     more AS (SELECT doc_id, list(label) AS labels, max(best) AS best FROM found GROUP BY 1)
     SELECT doc_id, n_words, len(p) AS n_base, list_min(list_transform(p, lambda x: x.at)) AS first_word, list_max(list_transform(p, lambda x: x.at)) AS last_word,
       array_to_string(list_sort(list_distinct(list_transform(p, lambda x: x.label))), ',') AS base_labels,
@@ -43,15 +46,15 @@ def op5() -> str:
               SELECT doc_id, source, regexp_extract_all(text, '{pattern}') AS ms, regexp_extract_all(text, '{pattern}', {group}) AS vs, string_split_regex(text, '{pattern}') AS gaps FROM documents WHERE text IS NOT NULL))
         ) WHERE length(v) >= {least}{extra}""")
     return f"""WITH hits AS ({' UNION ALL '.join(hits)}),
-    owned AS (SELECT v, count(DISTINCT source) AS owners FROM hits GROUP BY 1),
-    known AS (SELECT hits.*, owners, owners < 3 AS live FROM hits JOIN owned USING (v)),
+    owned AS (SELECT v, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repos FROM hits GROUP BY 1),
+    known AS (SELECT hits.*, owners, repos, owners < 3 AND repos < 100 AS live FROM hits JOIN owned USING (v)),
     kept AS (SELECT * FROM known WHERE kind <> 'opaque' UNION ALL SELECT * FROM known o WHERE kind = 'opaque' AND owners = 1
       AND NOT EXISTS (SELECT 1 FROM known b WHERE b.kind <> 'opaque' AND b.doc_id = o.doc_id AND o.s < b.e AND b.s < o.e)),
     per AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
       string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (WHERE kind <> 'opaque') AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans,
-      count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example FROM kept GROUP BY 1)
+      count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example, max(owners) AS most_owners, max(repos) AS most_repos FROM kept GROUP BY 1)
     SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-      coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example FROM documents LEFT JOIN per USING (doc_id)"""
+      coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(most_owners, 0) AS most_owners, coalesce(most_repos, 0) AS most_repos FROM documents LEFT JOIN per USING (doc_id)"""
 
 
 def op11(k: int = 5) -> str:

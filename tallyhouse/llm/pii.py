@@ -92,20 +92,56 @@ INVISIBLE = "​‌‍⁠﻿­"
 DIGITS = dict(zip("zero one two three four five six seven eight nine".split(), "0123456789", strict=True))
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
-_AT = rf"\s{{0,8}}{_OPEN}\s{{0,8}}(?:at|@)\s{{0,8}}{_CLOSE}\s{{0,8}}"
-_DOT = rf"\s{{0,8}}{_OPEN}\s{{0,8}}(?:dot|\.)\s{{0,8}}{_CLOSE}\s{{0,8}}|\s{{1,8}}dot\s{{1,8}}"
+# Any white space, taken from its beginning on, so that a long run is read once.
+_BEFORE, _AROUND, _BEHIND = r"(?<!\s)\s*+", r"(?<!\s)\s++", r"\s*+"
+_AT = rf"{_BEFORE}{_OPEN}{_BEHIND}(?:at|@){_BEHIND}{_CLOSE}{_BEHIND}"
+_DOT = rf"{_BEFORE}{_OPEN}{_BEHIND}(?:dot|\.){_BEHIND}{_CLOSE}{_BEHIND}|{_AROUND}dot\s++"
 # A bare word "at" counts only before a spelled dot or behind a bracketed one (`maybe`); a bracketed one before any.
 _DISGUISED = re.compile(
-    rf"(?P<at>{_AT})(?P<host>[a-z0-9-]++(?:(?:{_DOT}|\.)[a-z0-9-]++)++)|(?P<word>\s{{1,8}}at\s{{1,8}}|@)(?P<name>[a-z0-9-]++(?:\.[a-z0-9-]++)*+(?:(?:{_DOT})[a-z0-9-]++(?:\.[a-z0-9-]++)*+)++)"
-    r"|(?P<maybe>\s{1,8}at\s{1,8})(?P<plain>[a-z0-9-]++(?:\.[a-z0-9-]++)++)",
+    rf"(?P<at>{_AT})(?P<host>[a-z0-9-]++(?:(?:{_DOT}|\.)[a-z0-9-]++)++)|(?P<word>{_AROUND}at\s++|@)(?P<name>[a-z0-9-]++(?:\.[a-z0-9-]++)*+(?:(?:{_DOT})[a-z0-9-]++(?:\.[a-z0-9-]++)*+)++)"
+    rf"|(?P<maybe>{_AROUND}at\s++)(?P<plain>[a-z0-9-]++(?:\.[a-z0-9-]++)++)",
     re.IGNORECASE,
 )
 # As _IP, with spelled and bracketed dots too.
 _QUAD = re.compile(rf"[0-9](?<![0-9][0-9])[0-9]*+(?:(?:\.|{_DOT})[0-9]++){{3}}", re.IGNORECASE)
 _SPELLED_DOT = re.compile(_DOT, re.IGNORECASE)
 _DIGIT_WORD = "|".join(DIGITS)
-_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?P<plus>plus[\s,-]{{1,3}})?(?P<run>(?:{_DIGIT_WORD}|[0-9])(?:[\s,-]{{1,3}}(?:{_DIGIT_WORD}|[0-9])(?![A-Za-z0-9]))+)", re.IGNORECASE)
-_ITEM = re.compile(rf"{_DIGIT_WORD}|[0-9]", re.IGNORECASE)
+_TIMES = {"double": 2, "triple": 3}
+_ONE = rf"(?:(?:double|triple)\s++)?(?:{_DIGIT_WORD}|[0-9])"
+_SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?P<plus>plus(?:\s++|[,-])++)?(?P<run>{_ONE}(?:(?:\s++|[,-])++{_ONE}(?![A-Za-z0-9]))+)", re.IGNORECASE)
+_ITEM = re.compile(rf"(?:(?P<times>double|triple)\s++)?(?P<digit>{_DIGIT_WORD}|[0-9])", re.IGNORECASE)
+# Numbers of a spoken dotted quad: digit by digit, or as one number word after the other.
+_TEENS = dict(zip("ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(), range(10, 20), strict=True))
+_TENS = dict(zip("twenty thirty forty fifty sixty seventy eighty ninety".split(), range(20, 100, 10), strict=True))
+_NUMBER_WORD = "|".join([*_TEENS, *_TENS, *DIGITS, "hundred", "and", "double", "triple"])
+_OCTET = rf"(?:[0-9]{{1,3}}+|(?:{_NUMBER_WORD})(?![A-Za-z0-9])(?:(?:\s++|-)(?:(?:{_NUMBER_WORD})(?![A-Za-z0-9])|[0-9](?![A-Za-z0-9])))*+)"
+_SPOKEN_OCTET = re.compile(rf"(?<![A-Za-z0-9]){_OCTET}(?![A-Za-z0-9])", re.IGNORECASE)
+_SPOKEN_DOT = re.compile(rf"{_DOT}|{_AROUND}point\s++|\.", re.IGNORECASE)
+
+
+def _octet(spoken: str) -> str | None:
+    """The number of a quad's part, None if it is none or above 255."""
+    words = spoken.lower().replace("-", " ").split()
+    times, digits = 1, ""
+    for w in words:
+        if w in _TIMES:
+            times = _TIMES[w]
+        elif w.isdigit() or w in DIGITS:
+            digits, times = digits + DIGITS.get(w, w) * times, 1
+        else:
+            digits = ""
+            break
+    if not digits:
+        value, part = 0, 0
+        for w in words:
+            if w in DIGITS or w in _TEENS or w in _TENS:
+                part += int(DIGITS.get(w, _TEENS.get(w, _TENS.get(w))))
+            elif w == "hundred":
+                value, part = value + 100 * max(part, 1), 0
+            elif w != "and":
+                return None
+        digits = str(value + part)
+    return digits if len(digits) <= 3 and int(digits) <= 255 else None
 
 
 def _plain(c: str) -> str:
@@ -116,7 +152,11 @@ def _plain(c: str) -> str:
     if c in INVISIBLE:
         return ""
     digit = unicodedata.decimal(c, None)
-    return c if digit is None else str(digit)
+    if digit is not None:
+        return str(digit)
+    # Compatibility forms: mathematical, circled, superscript letters and digits.
+    like = unicodedata.normalize("NFKC", c)
+    return like if len(like) == 1 and like.isascii() else c
 
 
 Edit = tuple[int, int, str]
@@ -166,19 +206,43 @@ def _separators(t: str) -> list[Edit]:
 
 
 def _spelled(t: str) -> list[Edit]:
+    """Spelled digits as digits; fewer than seven are no phone or card number and stay."""
     out: list[Edit] = []
     for m in _SPELLED.finditer(t):
         items = list(_ITEM.finditer(t, *m.span("run")))
-        if len(items) < 7 or not any(len(i.group()) > 1 for i in items):
+        said = [DIGITS.get(i["digit"].lower(), i["digit"]) * _TIMES.get((i["times"] or "").lower(), 1) for i in items]
+        if sum(map(len, said)) < 7 or not any(len(i.group()) > 1 for i in items):
             continue
         if m["plus"]:
             out.append((*m.span("plus"), "+"))
-        for a, b in zip(items, [*items[1:], None], strict=True):
-            out.append((a.start(), b.start() if b else a.end(), DIGITS.get(a.group().lower(), a.group())))
+        for a, b, digits in zip(items, [*items[1:], None], said, strict=True):
+            out.append((a.start(), b.start() if b else a.end(), digits))
     return out
 
 
-TRANSDUCERS = (_glyphs, _separators, _spelled)
+def _spoken_quads(t: str) -> list[Edit]:
+    """Quads with spelled numbers, "ten dot zero dot ..."; those of plain numbers are left to the other dots."""
+    out: list[Edit] = []
+    run: list[re.Match] = []
+    for m in _SPOKEN_OCTET.finditer(t):
+        if run and not _SPOKEN_DOT.fullmatch(t, run[-1].end(), m.start()):
+            run = []
+        run.append(m)
+        if len(run) < 4:
+            continue
+        values, spoken = [_octet(p.group()) for p in run], any(not p.group().isdigit() for p in run)
+        if not spoken or None in values:
+            run = run[1:]
+            continue
+        for k, (p, value) in enumerate(zip(run, values, strict=True)):
+            if k:
+                out.append((run[k - 1].end(), p.start(), "."))
+            out.append((*p.span(), value))
+        run = []
+    return out
+
+
+TRANSDUCERS = (_glyphs, _spoken_quads, _separators, _spelled)
 
 
 def normalise(t: str) -> tuple[str, list[int], list[int]]:
@@ -226,6 +290,8 @@ def added_spans(t: str, base: dict[str, list[Span]]) -> dict[str, list[Span]]:
 # Lead bytes of the scripts and signs above, of other decimal digits, and of the soft hyphen.
 _FOREIGN = np.zeros(256, bool)
 _FOREIGN[[0xCE, 0xCF, *range(0xD0, 0xD5), 0xD9, 0xDB, 0xDF, *range(0xE0, 0xF0), 0xF0]] = True
+# Second bytes of the soft hyphen and of ordinal and superscript signs.
+_LATIN_FORMS = np.array([0xAD, 0xAA, 0xB2, 0xB3, 0xB9, 0xBA], np.uint8)
 _MARK = np.zeros(256, bool)
 _MARK[[*b"0123456789@+"]] = True
 # Opening brackets; white space, of other scripts by its last byte.
@@ -246,7 +312,7 @@ def suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Rows that may have base spans, and rows that may need rewriting."""
     n = len(offsets) - 1
     base = sum_rows(_MARK[data].astype(np.int64), offsets) > 0
-    soft = (data == 0xC2) & np.r_[data[1:] == 0xAD, False] if len(data) else np.zeros(0, bool)
+    soft = (data == 0xC2) & np.r_[np.isin(data[1:], _LATIN_FORMS), False] if len(data) else np.zeros(0, bool)
     rewrite = sum_rows((_FOREIGN[data] | soft).astype(np.int64), offsets) > 0
     low = LOWER[data]
     starts, ends, bounds = spans(low, offsets, BETWEEN)

@@ -1,7 +1,8 @@
 r"""Secrets, told apart by how many owners hold them. DataFrame functions only.
 
 Candidates are found by patterns, their values hashed, and the hashes counted over the whole corpus by distinct repositories and
-owners. A value that several owners hold has been copied around and is an example; one that few hold is taken for live.
+owners. A value that several owners hold (`SHARED_BY`), or that stands in very many repositories, if only of one owner
+(`COPIED_INTO`), has been copied around and is an example; one that few hold is taken for live. Only hashes are ever stored.
 
 Base kinds, leftmost and non-overlapping each, failing matches dropped, which stay whatever the counts say:
 assign `(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)`, the words in either case, value of 8
@@ -27,23 +28,29 @@ KINDS = [("assign", ASSIGN, 2, 8), ("access", "AKIA[A-Z0-9]{12,}", 0, 16), ("hex
 BASE = [k[0] for k in KINDS[:3]]
 # Any text with a candidate matches this.
 SUSPECT = r"(?i:passw|secret|token|api_?key)|AKIA[A-Z0-9]|[0-9a-f]{32}|[A-Za-z0-9+/_-]{24}"
-SHARED_BY = 3
+SHARED_BY, COPIED_INTO = 3, 100
 
 
 def _regex(pattern: str) -> Column:
     return F.lit(pattern)
 
 
-def _hits(text: Column, kind: str, pattern: str, group: int) -> Column:
-    """The kind's matches in order: length of the text before each since the last match, length of the match, its value."""
+def _hits(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
+    """The kind's matches in order: length of the text before each since the last match, length of the match, hash of its value if it
+    is one."""
     whole = F.regexp_extract_all(text, _regex(pattern), F.lit(0))
     value = F.regexp_extract_all(text, _regex(pattern), F.lit(group)) if group else whole
     before = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
     zipped = F.arrays_zip(before.alias("before"), whole.alias("whole"), value.alias("value"))
     # One piece more than matches: the rest behind the last.
-    return F.transform(
-        F.slice(zipped, F.lit(1), F.size(whole)), lambda m: F.struct(F.lit(kind).alias("kind"), m["before"].alias("before"), F.char_length(m["whole"]).alias("size"), m["value"].alias("value"))
-    )
+    def hit(m: Column) -> Column:
+        fits = F.char_length(m["value"]) >= least
+        if kind == "opaque":
+            fits = fits & _looks_opaque(m["value"])
+        # The value itself goes no further: what is stored is its hash.
+        return F.struct(F.lit(kind).alias("kind"), m["before"].alias("before"), F.char_length(m["whole"]).alias("size"), F.when(fits, F.sha2(m["value"], 256)).alias("value_hash"))
+
+    return F.transform(F.slice(zipped, F.lit(1), F.size(whole)), hit)
 
 
 def _looks_opaque(value: Column) -> Column:
@@ -56,8 +63,8 @@ def candidates(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: s
     The texts are read once; what was found is written to the shared folder, with a number for each row.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    kind_type = "array<struct<kind:string,before:int,size:int,value:string>>"
-    found = F.flatten(F.array(*[_hits(body, k, p, g) for k, p, g, _ in KINDS]))
+    kind_type = "array<struct<kind:string,before:int,size:int,value_hash:string>>"
+    found = F.flatten(F.array(*[_hits(body, *kind) for kind in KINDS]))
     narrow = docs.select(
         F.monotonically_increasing_id().alias("uid"),
         F.col(id).cast("long").alias("id"),
@@ -71,10 +78,7 @@ def candidates(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: s
     # Places count on within a document and kind, so its window is bounded by the text.
     so_far = Window.partitionBy("uid", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     placed = hits.withColumn("end", F.sum(F.col("before") + F.col("size")).over(so_far)).withColumn("start", F.col("end") - F.col("size"))
-    least = F.create_map(*[F.lit(x) for k, _, _, n in KINDS for x in (k, n)])[F.col("kind")]
-    valid = placed.where((F.char_length("value") >= least) & ((F.col("kind") != "opaque") | _looks_opaque(F.col("value"))))
-    # The values themselves go no further.
-    spans = valid.select("uid", "kind", "start", "end", F.sha2("value", 256).alias("value_hash"), "owner", "repo")
+    spans = placed.where("value_hash IS NOT NULL").select("uid", "kind", "start", "end", "value_hash", "owner", "repo")
     return kept.select("uid", "id", "text_key"), spans
 
 
@@ -89,9 +93,10 @@ def ownership(spans: DataFrame) -> DataFrame:
     return by_owner.groupBy("value_hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
 
 
-def judged(spans: DataFrame, shared_by: int = SHARED_BY) -> DataFrame:
+def judged(spans: DataFrame, shared_by: int = SHARED_BY, copied_into: int = COPIED_INTO) -> DataFrame:
     """Candidates with `owners`, `repos` and `live`; opaque ones only where they count."""
-    known = spans.join(ownership(spans), "value_hash").withColumn("live", F.col("owners") < shared_by)
+    live = (F.col("owners") < shared_by) & (F.col("repos") < copied_into)
+    known = spans.join(ownership(spans), "value_hash").withColumn("live", live)
     opaque = known.where("kind = 'opaque' AND owners = 1")
     base = known.where("kind <> 'opaque'")
     # Both sides of this join are the spans of one document.
@@ -104,15 +109,15 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: str = "source", repo: str = "doc_id", shared_by: int = SHARED_BY) -> DataFrame:
-    """One row for each document: id, `text_key`, counts of the base kinds, `base_sha256`, all `spans`, `n_live`, `n_example`, and the
-    `live_spans` as an array of start and end."""
+def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: str = "source", repo: str = "doc_id", shared_by: int = SHARED_BY, copied_into: int = COPIED_INTO) -> DataFrame:
+    """One row for each document: id, `text_key`, counts of the base kinds, `base_sha256`, all `spans`, `n_live`, `n_example`, the
+    `most_owners` and `most_repos` that one of its values has, and the `live_spans` as an array of start and end."""
     rows, spans = candidates(docs, text, id, owner, repo)
     rank = F.create_map(*[F.lit(x) for n, (k, *_) in enumerate(KINDS) for x in (k, n)])[F.col("kind")]
     span = F.struct("start", rank.alias("rank"), "kind", "end")
     is_base = F.col("kind") != "opaque"
     per_row = (
-        judged(spans, shared_by)
+        judged(spans, shared_by, copied_into)
         .groupBy("uid")
         .agg(
             *[F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in BASE],
@@ -120,6 +125,8 @@ def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: str = "
             F.collect_list(span).alias("every"),
             F.count(F.when(F.col("live"), 1)).alias("n_live"),
             F.count(F.when(~F.col("live"), 1)).alias("n_example"),
+            F.max("owners").alias("most_owners"),
+            F.max("repos").alias("most_repos"),
             F.array_sort(F.collect_list(F.when(F.col("live"), F.struct("start", "end")))).alias("live_spans"),
         )
     )
@@ -133,6 +140,8 @@ def scan(docs: DataFrame, text: str = "text", id: str = "doc_id", owner: str = "
         F.coalesce(_listed(F.col("every")), F.lit("")).alias("spans"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+        F.coalesce("most_owners", F.lit(0)).cast("long").alias("most_owners"),
+        F.coalesce("most_repos", F.lit(0)).cast("long").alias("most_repos"),
         F.coalesce(F.col("live_spans").cast("array<struct<start:bigint,end:bigint>>"), none).alias("live_spans"),
     )
 

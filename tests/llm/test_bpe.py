@@ -1,6 +1,7 @@
 """Encoding against the tokenizers library, and exact round trips."""
 
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -68,3 +69,31 @@ def test_round_trip(odd):
 
 def test_nothing(nothing):
     assert bpe.digests(nothing, PATH).collect() == [] and bpe.encode(nothing, PATH).collect() == []
+
+
+def test_every_code_point_is_split_as_by_the_library(library):
+    encoder = bpe.Encoder(bpe.Vocabulary(PATH))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    step = 64
+    texts = []
+    for lo in range(0, len(points), step):
+        # Each between letters, digits, blanks and signs; characters of a block share a text only if they are alike unknown.
+        part = points[lo : lo + step]
+        for unknown in (False, True):
+            own = [c for c in part if bpe.later(c) == unknown]
+            texts.append("".join(f"a{c}b 1{c}2 {c} .{c}!" for c in own))
+    for lo in range(0, len(texts), 500):
+        ids, bounds = encoder.encode(texts[lo : lo + 500])
+        got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert got == [e.ids for e in library.encode_batch(texts[lo : lo + 500], add_special_tokens=False)]
+
+
+def test_a_changed_vocabulary_at_the_same_path_counts(table, tmp_path):
+    path = tmp_path / "v.json"
+    spec = json.loads(open(PATH).read())
+    path.write_text(json.dumps(spec))
+    df = table([(1, "the other")])
+    first = bpe.encode(df, str(path)).first().ids
+    spec["model"]["merges"] = spec["model"]["merges"][:1]
+    path.write_text(json.dumps(spec))
+    assert len(bpe.encode(df, str(path)).first().ids) > len(first)

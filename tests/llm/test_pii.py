@@ -125,3 +125,33 @@ def test_signs_in_prose_are_left_alone(table, text):
 def test_long_disguises_are_linear():
     for text in ("a dot " * 60_000 + "at b dot c", "1 dot " * 60_000, "[.]" * 100_000, "(@) a" * 60_000, "a[.]b@c[.]d " * 20_000, "a dot b at c.d " * 20_000, " at a.b" * 50_000):
         pii.added_spans(text, pii.base_spans(text))
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "shown"),
+    [
+        ("write to john" + " " * 300 + "at mail" + "\t" * 50 + "dot com today", "email", "john" + " " * 300 + "at mail" + "\t" * 50 + "dot com"),
+        ("host one nine two dot one six eight dot zero dot one is up", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("see ten dot zero dot twenty-five dot two hundred and fifty five now", "ip", "ten dot zero dot twenty-five dot two hundred and fifty five"),
+        ("at 10 dot 0 [.] zero . one", "ip", None),
+        ("at 10 dot 0 [.] zero dot double five", "ip", "10 dot 0 [.] zero dot double five"),
+        ("number three hundred dot one dot one dot one", "ip", None),
+        ("call plus four nine double five one two triple three seven nine", "phone", "plus four nine double five one two triple three seven nine"),
+        ("mail 𝐣𝐨𝐡𝐧@𝑚𝑎𝑖𝑙.𝘤𝘰𝘮 now", "email", "𝐣𝐨𝐡𝐧@𝑚𝑎𝑖𝑙.𝘤𝘰𝘮"),
+        ("ⓐⓑ@ⓜail.com", "email", "ⓐⓑ@ⓜail.com"),
+        ("1.2.3.4.5 and 10.0.0.1", "ip", None),
+    ],
+)
+def test_disguises_of_any_length(text, kind, shown):
+    base = pii.base_spans(text)
+    added = pii.added_spans(text, base)
+    assert [text[s:e] for s, e in added[kind]] == ([shown] if shown else [])
+
+
+def test_long_blanks_are_read_once():
+    import time
+
+    for text in (" " * 400_000, "at " * 100_000, "one " * 100_000, " dot" * 100_000, "[ " * 100_000, "one-" * 100_000):
+        begun = time.time()
+        pii.added_spans(text, pii.base_spans(text))
+        assert time.time() - begun < 20

@@ -82,3 +82,18 @@ def test_nothing(nothing):
 def test_no_python_in_the_plan(table):
     plan = secret_scan.scan(table([(1, "password=12345678")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_widely_copied_values_of_one_owner_are_examples(table):
+    rows = [(k, "password=changeme123", "en", "owner") for k in range(secret_scan.COPIED_INTO)] + [(1000 + k, "password=other99887", "en", "owner") for k in range(9)]
+    got = {r.doc_id: (r.n_live, r.n_example, r.most_owners, r.most_repos) for r in secret_scan.scan(table(rows)).collect()}
+    assert got[0] == (0, 1, 1, secret_scan.COPIED_INTO) and got[1000] == (1, 0, 1, 9)
+
+
+def test_no_value_is_stored(table, spark, tmp_path):
+    value = "Zq8r7s6t5u4Zq8r7s6t5u4xx"
+    before = spark.conf.get("spark.checkpoint.dir")
+    rows, spans = secret_scan.candidates(table([(1, f"password={value} and {value}")]))
+    assert spans.count() == 2
+    files = [f for d in {f.split("/part-")[0] for f in rows.inputFiles()} for f in __import__("glob").glob(d.replace("file://", "").replace("file:", "") + "/part-*")]
+    assert files and all(value.encode() not in open(f, "rb").read() for f in files) and before
