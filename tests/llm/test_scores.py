@@ -174,3 +174,61 @@ def test_the_sample_is_bounded_and_takes_turns(spark):
     chosen = learning.sample(rows, "y", 600).collect()
     assert len(chosen) == 600 and 250 <= sum(r.label for r in chosen) <= 350
     assert {tuple(r) for r in chosen} == {tuple(r) for r in learning.sample(rows.repartition(7), "y", 600).collect()}
+
+
+def test_preference_pairs_are_fitted_as_by_loops():
+    """Every pair's gradient of the logistic loss on the difference of features, bin by bin, and the cut at the quantile."""
+    rng = np.random.default_rng(3)
+    rows = [(int(k % 3 == 0), None, (rng.normal(size=4) + (k % 3 == 0)).astype(np.float32)) for k in range(60)]
+    options = {"pairs": 40, "epochs": 2, "batch": 7, "rate": 0.1, "ridge": 1e-4, "seed": 5}
+    model = quality.fit(rows, **options)
+    x, y = np.stack([r[2] for r in rows]), [r[0] for r in rows]
+    bins = [[sum(float(e) <= float(v) for e in model.edges[k]) for k, v in enumerate(row)] for row in x]
+    better, worse = [k for k, v in enumerate(y) if v], [k for k, v in enumerate(y) if not v]
+    weights, seen = {}, {}
+    draw = np.random.default_rng(5)
+    for _ in range(options["epochs"]):
+        a, b = draw.choice(better, 40), draw.choice(worse, 40)
+        for lo in range(0, 40, 7):
+            pairs = list(zip(a[lo : lo + 7].tolist(), b[lo : lo + 7].tolist(), strict=True))
+            gradient = {(m, n): options["ridge"] * weights.get((m, n), 0.0) for m in range(4) for n in range(quality.BINS)}
+            for up, down in pairs:
+                ahead = sum(weights.get((m, bins[up][m]), 0.0) - weights.get((m, bins[down][m]), 0.0) for m in range(4))
+                pull = 1 / (1 + np.exp(ahead)) / len(pairs)
+                for m in range(4):
+                    gradient[m, bins[up][m]] -= pull
+                    gradient[m, bins[down][m]] += pull
+            for cell, g in gradient.items():
+                seen[cell] = seen.get(cell, 1e-6) + g * g
+                weights[cell] = weights.get(cell, 0.0) - options["rate"] * g / np.sqrt(seen[cell])
+    want = np.array([[weights[m, n] for n in range(quality.BINS)] for m in range(4)])
+    assert np.allclose(model.weights, want)
+    raw = sorted(sum(want[m, own[m]] for m in range(4)) for own in bins)
+    place = len(worse) / len(y) * (len(raw) - 1)
+    low = int(place)
+    assert np.isclose(model.shift, raw[low] + (place - low) * (raw[min(low + 1, len(raw) - 1)] - raw[low]))
+
+
+@pytest.mark.parametrize("classes", [1, 2, 4, 9])
+def test_codewords_are_decoded_as_by_loops(classes):
+    rng = np.random.default_rng(classes)
+    code = langid.codewords(classes)
+    bits = code.shape[1]
+    trust = rng.random(bits)
+    model = langid.Model([f"l{k}" for k in range(classes)], code, np.zeros((1, bits)), np.zeros(bits), trust / trust.sum() if bits else trust, 1.0)
+    raw = rng.normal(size=(50, bits)) * 5
+    best, score, gap = langid.decode(model, raw)
+    for k in range(50):
+        loss = [sum(t * np.log1p(np.exp(-np.clip(r * c, -30, 30))) for r, c, t in zip(raw[k], word, model.trust, strict=True)) for word in code]
+        order = sorted(range(classes), key=lambda j: (loss[j], j))
+        assert best[k] == order[0]
+        if classes > 1:
+            weight = [np.exp(-(v - loss[order[0]]) * bits / 2) for v in loss]
+            assert np.isclose(score[k], 1 / sum(weight)) and np.isclose(gap[k], loss[order[1]] - loss[order[0]])
+
+
+def test_a_sampled_id_that_a_third_of_the_rows_hold_counts_once(spark, table):
+    docs = table([(7 if k % 3 == 0 else 1000 + k, f"word{k % 5} and more words here") for k in range(600)])
+    labels = spark.createDataFrame([(7, 1), (7, 0), (1001, 0), (1001, 0)], "doc_id long, quality int")
+    rows = learning.collect_features(docs, learning.natural_sample(labels, "quality", 100), quality._as_features)
+    assert len(rows) == 2
