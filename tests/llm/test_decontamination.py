@@ -167,5 +167,5 @@ def test_a_repeated_id_goes_only_where_its_text_holds_an_item(spark, table):
 def test_columns_of_internal_names_come_back(spark, table):
     df = table([(1, "nothing of any interest stands here at all"), (2, None), (1, "one two three four five six seven eight nine ten")])
     items = spark.createDataFrame([(5, "one two three four five six seven eight nine ten")], "item_id long, text string")
-    kept = decontamination.clean(df, items)
+    kept = dc.clean(df, items)
     assert kept.columns == df.columns and sorted((r.doc_id, r.own_key, r.row) for r in kept.collect()) == [(1, "keep-1", "r"), (2, "keep-2", "r")]
