@@ -23,6 +23,8 @@ from tallyhouse.llm.order import descending_runs
 from tallyhouse.llm.text import BLOCK, mix, rows_of, string_blocks
 
 K, W = 16, 48
+# Equal rows given out by one task.
+AT_ONCE = 1000
 _BASE = 0x9E3779B97F4A7C15
 _NONE = np.uint64(2**64 - 1)
 # Bits of a position in a packed mark.
@@ -134,7 +136,9 @@ def edited(text: str, following: str) -> str:
 def against_next(df: DataFrame, text: str = "text", id: str = "doc_id", partitions: int | None = None) -> DataFrame:
     """Every row's fingerprint, that of its edited text, and their likeness and that to the next row's, in descending order of id.
 
-    The texts are shuffled once, into ranges of ids. Rows of equal id follow each other by text, NULL ids come last.
+    The texts are shuffled once, into ranges of ids. Rows of equal id follow each other by a hash of the text and the text, so equal
+    rows stand together; NULL ids come last. Of very many equal rows one goes through the ranges, the others are measured once
+    against themselves and given out by several tasks.
     """
 
     def measured(ids: list, texts: list[str], borrowed: list[bool]) -> pa.RecordBatch:
@@ -170,5 +174,20 @@ def against_next(df: DataFrame, text: str = "text", id: str = "doc_id", partitio
                 if len(texts) > 1:
                     yield measured(ids, texts, borrowed)
 
+    def with_itself(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, block in string_blocks(batch.column(1), BLOCK // 2):
+                for i, text in enumerate(block, lo):
+                    (number,) = batch.column(0).slice(i, 1).to_pylist()
+                    one = measured([number] * 2, [text] * 2, [False] * 2)
+                    yield pa.RecordBatch.from_arrays([*one.columns, batch.column(2).slice(i, 1)], [*one.schema.names, "copies"])
+
     schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_marks long"
-    return descending_runs(df, id, text, partitions).mapInArrow(run, schema).withColumnRenamed("id", id)
+    runs, repeats = descending_runs(df, id, text, partitions)
+    rows = runs.mapInArrow(run, schema)
+    if repeats is not None:
+        part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / AT_ONCE)))
+        dealt = repeats.mapInArrow(with_itself, f"{schema}, copies long").withColumn("part", part).repartition("id", "part")
+        times = F.least(F.lit(AT_ONCE).cast("long"), F.col("copies") - F.col("part") * AT_ONCE).cast("int")
+        rows = rows.unionByName(dealt.withColumn("one", F.explode(F.array_repeat(F.lit(0), times))).drop("copies", "part", "one"))
+    return rows.withColumnRenamed("id", id)

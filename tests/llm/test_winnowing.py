@@ -5,8 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import winnowing
+from tallyhouse.llm import order, winnowing
 
 from .conftest import ODD
 
@@ -85,6 +86,29 @@ def test_odd_rows(odd, spark):
     assert max(r.near_next for r in rows if r.doc_id == 4) == 1.0
 
 
+@pytest.mark.parametrize("hot", [12, None, 2**62])
+def test_hot_ids(table, hot):
+    """A third of the rows have one id or none, and a third of all rows are equal: no task holds them, and every row has a successor."""
+    random.seed(5)
+    rows = [(k, f"row {k} " + "lorem ipsum " * (k % 9)) for k in range(400)]
+    rows += [(hot, f"other {k} " + "dolor sit amet " * (k % 7)) for k in range(400)]
+    rows += [(77, "the very same row, word by word")] * 2500 + [(2**62 + 1, "x"), (-(2**62), "y" * 80)]
+    random.shuffle(rows)
+    df = table(rows)
+    runs, repeats = order.descending_runs(df, "doc_id", "text", 8)
+    sizes = [r["count"] for r in runs.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 250 and sum(r.copies for r in repeats.collect()) == 2499
+    placed = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    got = winnowing.against_next(df, partitions=8).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
+    # Within an id the order is that of hashes; what a row's edited text ends in says who follows.
+    marks = dict(df.select("text", F.xxhash64("text")).distinct().collect())
+    placed.sort(key=lambda r: (r[0] is None, -(r[0] or 0), marks[r[1]], r[1]))
+    following = [*placed[1:], placed[0]]
+    want = sorted((str(a[0]), hashlib.sha256(winnowing.edited(a[1], b[1]).encode()).hexdigest()) for a, b in zip(placed, following, strict=True))
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in got) == want
+
+
 def test_one_row_follows_itself(table):
     (r,) = winnowing.against_next(table([(9, "abcdef")])).collect()
     assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest()
