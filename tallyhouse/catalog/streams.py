@@ -58,6 +58,32 @@ def stream_daily_summary(t):
     return house.daily_summary()
 
 
+@query(
+    "stored_players",
+    f"""WITH {Q.EVENT_PLAYS}, {EVENT_PLACE}, p AS (SELECT CAST(play_time AS DATE) AS d, location_code, game_name, player_email FROM eplays JOIN place USING (game_name))
+    SELECT 'week and game' AS level, CAST(CAST(date_trunc('week', d) AS DATE) AS VARCHAR) AS a, game_name AS b, count(DISTINCT player_email) AS total_players FROM p GROUP BY 1, 2, 3
+    UNION ALL SELECT 'place', CAST(location_code AS VARCHAR), NULL, count(DISTINCT player_email) FROM p GROUP BY 2
+    UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT player_email) FROM p""",
+)
+def stored_players(t):
+    """Distinct players of weeks, places and the whole time, from the bitmaps that the warehouse stores with each day of its stream."""
+    src = sources(t)
+    house = house_with_dimensions(t, "stored-players", src)
+    jobs.in_steps(t.event_plays(), "play_time", CUTS, lambda plays: jobs.gaming_stream(plays, house, src, f"{house.root}/checkpoint"))
+    none = F.lit(None).cast("string")
+
+    def level(name, a, b, *groups):
+        return house.players_by(*groups).select(F.lit(name).alias("level"), a.alias("a"), b.alias("b"), "total_players")
+
+    week = F.trunc("full_date", "week").alias("week")
+    parts = [
+        level("week and game", F.col("week").cast("string"), F.col("game_name"), week, "game_name"),
+        level("place", F.col("location_code").cast("string"), none, "location_code"),
+        level("all", none, none),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("stream_bridge", f"WITH {Q.EVENT_PLAYS} {BRIDGE} FROM eplays GROUP BY 1, 2")
 def stream_bridge(t):
     src = sources(t)

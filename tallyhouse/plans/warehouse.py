@@ -6,7 +6,7 @@ each other's rows.
 
     <table>/feed=<f>/batch_id=<n>/   dimensions, facts (below it full_date=<d>/), bridge changes, pending plays, last plays
     dim_player/, dim_staff/          histories, see `History`
-    daily_summary/full_date=<d>/     only touched dates are rewritten
+    daily_summary/full_date=<d>/     only touched dates are rewritten, as in daily_players/, the players of a day as bitmaps
     run_log/
 """
 
@@ -115,6 +115,12 @@ class Warehouse:
     def daily_summary(self) -> DataFrame | None:
         return read_if_any(self.spark, self._path("daily_summary"))
 
+    def players_by(self, *groups) -> DataFrame | None:
+        """Distinct players of any groups of dates, places and games (columns of the daily summary, or expressions of them), from the
+        stored bitmaps: exact, and the plays aren't read."""
+        daily = read_if_any(self.spark, self._path("daily_players"))
+        return None if daily is None else summaries.fold_players(daily, *groups)
+
     def gaming(self, width: str = "hour") -> DataFrame | None:
         """The plays. Minutes since the previous play are as booked, but computed again for players one of whose plays came
         after a later one had been booked."""
@@ -194,6 +200,10 @@ class Warehouse:
             new = batch_of(self.spark, self._path("gaming"), feed, batch_id)
             return 0 if new is None else self._put("bridge_changes", summaries.bridge(new), feed, batch_id)
 
+        def write_numbers() -> int:
+            new = batch_of(self.spark, self._path("gaming"), feed, batch_id)
+            return 0 if new is None else self._number_players(new, batch_id, feed)
+
         def write_pending() -> int:
             unknown = plays.join(known_players, "player_email", "left_anti")
             misplaced = plays.join(known_players, "player_email", "left_semi").join(known_games, "game_name", "left_anti")
@@ -201,6 +211,7 @@ class Warehouse:
 
         self._step("fact_gaming_activity", write_fact)
         self._step("bridge_game_player", write_bridge)
+        self._step("player_numbers", write_numbers)
         self._step("daily_summary", lambda: self.refresh_days(batch_id, feed))
         self._step("pending", write_pending)
 
@@ -230,14 +241,26 @@ class Warehouse:
         self._put("last_plays", ends.select("player_key", "last_play"), feed, batch_id)
         return keyed.select(*new.columns)
 
+    def _number_players(self, plays: DataFrame, batch_id: int, feed: str) -> int:
+        """Numbers for players without one. A number stays for good, since the bitmaps of other batches' days hold it: a batch that
+        runs again keeps what it gave."""
+        fresh = settle(summaries.number_players(plays, self.table("player_numbers")), "numbers")
+        own = batch_of(self.spark, self._path("player_numbers"), feed, batch_id)
+        if own is not None:
+            if fresh.isEmpty():
+                return own.count()
+            fresh = settle(own.unionByName(fresh), "numbers")
+        return self._put("player_numbers", fresh, feed, batch_id)
+
     def refresh_days(self, batch_id: int, feed: str = LOAD) -> int:
-        """Compute the summary of the dates in the batch again and replace just these dates."""
+        """Compute the summary and the players of the dates in the batch again and replace just these dates."""
         batch = batch_of(self.spark, self._path("gaming"), feed, batch_id)
         days = [] if batch is None else _dates(batch)
         if not days:
             return 0
-        fresh = summaries.daily_summary(self.table("gaming").where(F.col("full_date").isin(days)))
-        replace_partitions(fresh, self._path("daily_summary"), ["full_date"])
+        fact = self.table("gaming").where(F.col("full_date").isin(days))
+        replace_partitions(summaries.daily_summary(fact), self._path("daily_summary"), ["full_date"])
+        replace_partitions(summaries.daily_players(fact, self.table("player_numbers")), self._path("daily_players"), ["full_date"])
         return len(days)
 
     def bridge(self) -> DataFrame:

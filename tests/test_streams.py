@@ -56,6 +56,11 @@ def test_batches_that_run_again(spark, rows):
     assert rows(fact) == kept and rows(house.bridge()) == rows(summaries.bridge(fact))
     whole = summaries.daily_summary(fact)
     assert rows(house.daily_summary().select(*whole.columns)) == rows(whole)
+    # The stored players fold to the same counts; a player has one number, whichever batch ran last.
+    per_day = fact.groupBy("full_date").agg(F.count_distinct("player_key").alias("total_players"))
+    assert rows(house.players_by("full_date")) == rows(per_day) and rows(house.players_by()) == [(2,)]
+    numbers = house.table("player_numbers")
+    assert numbers.count() == numbers.select("player_key").distinct().count() == numbers.select("number").distinct().count() == 2
 
 
 def test_failure_between_fact_and_summary(spark, rows, monkeypatch):
