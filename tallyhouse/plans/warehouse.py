@@ -2,11 +2,14 @@
 
 Every change carries a feed and a batch number of that feed, which are partition columns. A batch leaves out what all other batches
 have, and overwrites its own partition; so it may run again after a failure at any point, or any time later, and feeds never touch
-each other's rows.
+each other's rows. It may also run again with other rows: dates, players and keys that only an earlier run had are noted before its
+rows go, and what was derived from them is computed again. Only rows that another batch left out, since this one had them, do not
+come back before that other batch runs again too.
 
     <table>/feed=<f>/batch_id=<n>/   dimensions, facts (below it full_date=<d>/), bridge changes, pending plays, last plays
     dim_player/, dim_staff/          histories, see `History`
     daily_summary/full_date=<d>/     only touched dates are rewritten, as in daily_players/, the players of a day as bitmaps
+    replaced_days/                   dates of earlier runs of a batch, by feed and batch
     run_log/
 """
 
@@ -21,16 +24,16 @@ from tallyhouse.functions import scalars as S
 from tallyhouse.operators import dimensions, facts, merge, scd2, summaries, windows
 from tallyhouse.session import settle
 from tallyhouse.sources import run_log
-from tallyhouse.sources.tables import all_batches, batch_of, put_batch, read_if_any, replace_partitions
+from tallyhouse.sources.tables import all_batches, batch_of, put_batch, read_if_any, remove_batch, remove_partitions, replace_partitions
 
 FACT_KEY = ("full_date", "player_key", "game_name", "play_time")
 LOAD = "load"
 PLAY_ORDER = ("game_name", "bet_amount", "win_amount")
 
 
-def _dates(df: DataFrame) -> list:
+def _dates(df: DataFrame | None) -> list:
     """Calendar dates of a batch: as literals they prune partitions, and there are only so many days."""
-    return [row["full_date"] for row in df.select("full_date").distinct().collect()]
+    return [] if df is None else [row["full_date"] for row in df.select("full_date").distinct().collect()]
 
 
 class History:
@@ -38,9 +41,10 @@ class History:
 
         states/   the states as they came, by feed and batch
         rows/     the versions, by a hash of the key (`part`), each with the time of its key's last state (`seen`)
+        replaced/ keys of earlier runs of a batch, by feed and batch
 
-    A batch rewrites only the parts that its keys lie in. A batch that runs again replaces its states and builds its keys from all
-    their states, so nothing counts twice.
+    A batch rewrites only the parts that its keys lie in. A batch that runs again replaces its states and builds its keys, and those
+    it had before, from all states that there are, so nothing counts twice and nothing stays that no state says.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, parts: int = 16):
@@ -64,11 +68,14 @@ class History:
     def merge(self, batch: DataFrame, batch_id: int, tracked: Sequence[str], at: Column | str, ties: Sequence[str] = (), width: str | None = None, feed: str = LOAD) -> None:
         when = (F.col(at) if isinstance(at, str) else at).cast("timestamp_ntz")
         states = f"{self.path}/states"
-        ran = batch_of(self.spark, states, feed, batch_id) is not None
+        replaced = self._note_replaced(feed, batch_id)
         others = all_batches(self.spark, states, without=(feed, batch_id))
         batch = batch.withColumn("_at", when)
         batch = put_batch(batch.drop(at) if isinstance(at, str) else batch, states, feed, batch_id)
-        parts = sorted(r["part"] for r in batch.select(self._part().alias("part")).distinct().collect())  # `parts` at most
+        touched = batch.select(self.key)
+        if replaced is not None:
+            touched = settle(touched.unionByName(replaced).distinct(), "touched")
+        parts = sorted(r["part"] for r in touched.select(self._part().alias("part")).distinct().collect())  # `parts` at most
         rows = read_if_any(self.spark, f"{self.path}/rows")
         if rows is None:
             now = scd2.init(batch.drop(*ties, "_at"), F.lit(None)).where(F.lit(False))
@@ -76,14 +83,32 @@ class History:
         else:
             rows = rows.where(F.col("part").isin(parts))
             now, seen = rows.drop("part", "seen"), rows.where(F.col("is_current")).select(self.key, F.col("seen").alias("_at"))
-        if ran and rows is not None:
-            # What the earlier run added is in the rows: take its keys for late.
-            seen = seen.join(batch.select(self.key).distinct(), self.key, "left_anti").unionByName(batch.groupBy(self.key).agg(F.max("_at").alias("_at")))
-            others = batch.limit(0) if others is None else others
-        merged = scd2.splice(now, batch, others, seen, self.key, tracked, "_at", ties, width=width)
-        last = seen.unionByName(batch.select(self.key, "_at")).groupBy(self.key).agg(F.max("_at").alias("seen"))
+        if replaced is None:
+            merged = scd2.splice(now, batch, others, seen, self.key, tracked, "_at", ties, width=width)
+            came = batch
+        else:
+            # What the earlier runs added is in the rows: build their keys, and this run's, from all states that there are now.
+            came = batch if others is None else others.select(*batch.columns).unionByName(batch)
+            came = came.join(touched, self.key, "left_semi")
+            again = scd2.build(came, self.key, tracked, "_at", ties, width=width).select(*now.columns)
+            merged = now.join(touched, self.key, "left_anti").unionByName(again)
+            seen = seen.join(touched, self.key, "left_anti")
+        last = seen.unionByName(came.select(self.key, "_at")).groupBy(self.key).agg(F.max("_at").alias("seen"))
         merged = settle(merged.join(last, self.key, "left").withColumn("part", self._part()), "versions")
         replace_partitions(merged, f"{self.path}/rows", ["part"])
+        if replaced is not None:
+            filled = {r["part"] for r in merged.select("part").distinct().collect()}
+            remove_partitions(self.spark, f"{self.path}/rows", "part", [p for p in parts if p not in filled])
+
+    def _note_replaced(self, feed: str, batch_id: int) -> DataFrame | None:
+        """The keys that earlier runs of the batch had, None if there was none; stored before their states are replaced, so that a run
+        which fails in between forgets none."""
+        before = batch_of(self.spark, f"{self.path}/states", feed, batch_id)
+        if before is None:
+            return None
+        keys, noted = before.select(self.key), batch_of(self.spark, f"{self.path}/replaced", feed, batch_id)
+        keys = settle((keys if noted is None else keys.unionByName(noted)).distinct(), "replaced")
+        return put_batch(keys, f"{self.path}/replaced", feed, batch_id)
 
 
 # Dimensions without history: source, rows, key.
@@ -181,6 +206,7 @@ class Warehouse:
         known_games = self.table("dim_game").select("game_name")
 
         def write_fact() -> int:
+            self._note_days(batch_id, feed)
             built = facts.gaming_fact(
                 offered,
                 self.players.open_rows(),
@@ -198,7 +224,10 @@ class Warehouse:
 
         def write_bridge() -> int:
             new = batch_of(self.spark, self._path("gaming"), feed, batch_id)
-            return 0 if new is None else self._put("bridge_changes", summaries.bridge(new), feed, batch_id)
+            if new is None:
+                remove_batch(self.spark, self._path("bridge_changes"), feed, batch_id)
+                return 0
+            return self._put("bridge_changes", summaries.bridge(new), feed, batch_id)
 
         def write_numbers() -> int:
             new = batch_of(self.spark, self._path("gaming"), feed, batch_id)
@@ -231,10 +260,17 @@ class Warehouse:
         ends = new.groupBy("player_key").agg(F.min("play_time").alias("first_play"), F.max("play_time").alias("last_play"))
         state = self.table("last_plays", without=(feed, batch_id))
         if state is not None:
+            # Players of an earlier run only: later batches counted from plays that are gone.
+            before = batch_of(self.spark, self._path("last_plays"), feed, batch_id)
+            noted = batch_of(self.spark, self._path("late_players"), feed, batch_id)
             earlier = state.join(new.select("player_key").distinct(), "player_key", "left_semi").groupBy("player_key").agg(F.max("last_play").alias("before"))
             # Equal times are ordered by game and amounts, which only the whole history shows.
             late = ends.join(earlier, "player_key").where("first_play <= before").select("player_key")
-            self._put("late_players", late, feed, batch_id)
+            if before is not None:
+                late = late.unionByName(before.select("player_key").join(ends, "player_key", "left_anti"))
+            if noted is not None:
+                late = late.unionByName(noted)
+            self._put("late_players", settle(late.distinct(), "late-players"), feed, batch_id)
             keyed = keyed.join(earlier, "player_key", "left")
             carried = F.when(F.col("session_duration_minutes").isNull(), S.minutes_between("play_time", "before")).otherwise(F.col("session_duration_minutes"))
             keyed = keyed.withColumn("session_duration_minutes", carried).drop("before")
@@ -252,15 +288,29 @@ class Warehouse:
             fresh = settle(own.unionByName(fresh), "numbers")
         return self._put("player_numbers", fresh, feed, batch_id)
 
+    def _note_days(self, batch_id: int, feed: str) -> None:
+        """Keep the dates that earlier runs of the batch had plays on, before these are replaced: their summaries change too."""
+        before = batch_of(self.spark, self._path("gaming"), feed, batch_id)
+        if before is None:
+            return
+        days, noted = before.select("full_date"), batch_of(self.spark, self._path("replaced_days"), feed, batch_id)
+        days = days if noted is None else days.unionByName(noted)
+        self._put("replaced_days", settle(days.distinct(), "replaced-days"), feed, batch_id)
+
     def refresh_days(self, batch_id: int, feed: str = LOAD) -> int:
-        """Compute the summary and the players of the dates in the batch again and replace just these dates."""
-        batch = batch_of(self.spark, self._path("gaming"), feed, batch_id)
-        days = [] if batch is None else _dates(batch)
+        """Compute the summary and the players of the dates that the batch has or had plays on again and replace just these dates."""
+        parts = [batch_of(self.spark, self._path(name), feed, batch_id) for name in ("gaming", "replaced_days")]
+        days = sorted({day for part in parts for day in _dates(part) if day is not None})
         if not days:
             return 0
-        fact = self.table("gaming").where(F.col("full_date").isin(days))
-        replace_partitions(summaries.daily_summary(fact), self._path("daily_summary"), ["full_date"])
-        replace_partitions(summaries.daily_players(fact, self.table("player_numbers")), self._path("daily_players"), ["full_date"])
+        fact = self.table("gaming")
+        fact = None if fact is None else fact.where(F.col("full_date").isin(days))
+        played = set(_dates(fact))
+        if played:
+            replace_partitions(summaries.daily_summary(fact), self._path("daily_summary"), ["full_date"])
+            replace_partitions(summaries.daily_players(fact, self.table("player_numbers")), self._path("daily_players"), ["full_date"])
+        for name in ("daily_summary", "daily_players"):
+            remove_partitions(self.spark, self._path(name), "full_date", [day for day in days if day not in played])
         return len(days)
 
     def bridge(self) -> DataFrame:

@@ -86,6 +86,18 @@ def all_batches(spark: SparkSession, path: str, without: tuple[str, int] | None
     return (found.where(~_is_batch(*without)) if without else found).drop(FEED, BATCH)
 
 
+def remove_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    """Delete the partitions of these values of the table's first partition column; those that aren't there are passed over."""
+    for value in values:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_batch(spark: SparkSession, path: str, feed: str, batch_id: int) -> None:
+    """Leave no rows of one batch, as if it never ran."""
+    remove_partitions(spark, f"{path}/{FEED}={feed}", BATCH, [batch_id])
+
+
 def replace_partitions(df: DataFrame, path: str, partition: Sequence[str]) -> None:
     """Overwrite just the partitions that `df` has rows for. `df` must not read them: settle it first."""
     _by(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)

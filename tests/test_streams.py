@@ -129,6 +129,67 @@ def test_history_of_states_in_random_order(spark, rows, seed):
     assert {r.breaches for r in scd2.check(whole.where("start_date IS NOT NULL"), "k").where("rule IN ('overlap', 'gap', 'open_flag')").collect()} == {0}
 
 
+@pytest.mark.parametrize("seed", [4])
+def test_history_after_batches_run_again_with_other_states(spark, rows, seed):
+    """Keys that only an earlier run of a batch had go, or are what the other batches say; later states find the right place."""
+    rng = random.Random(seed)
+    schema = "k string, tier string, at timestamp_ntz, seq int"
+    history = History(spark, scratch(spark, "other-states"), "k", parts=3)
+    now = {}
+    for i, n in enumerate([0, 1, 0, 2, 1, 1, 3]):
+        size = 0 if i == 5 else rng.randint(1, 4)
+        now[n] = [(k, rng.choice(["S", "G", None]), at(rng.randint(1, 9)), 100 * i + j) for j, k in enumerate(rng.sample("abcde", size))]
+        history.merge(spark.createDataFrame(now[n], schema), n, ["tier"], "at", ["seq"])
+        whole = scd2.build(spark.createDataFrame(sum(now.values(), []), schema), "k", ["tier"], "at", ["seq"])
+        assert rows(history.rows().select(*whole.columns)) == rows(whole)
+
+
+def test_last_state_is_known_after_a_batch_runs_again(spark, rows):
+    schema = "k string, tier string, at timestamp_ntz"
+    history = History(spark, scratch(spark, "again-seen"), "k", parts=2)
+    first, second = [("a", "S", at(1))], [("a", "G", at(5))]
+    for n, data in ((0, first), (1, second), (0, first), (2, [("a", "P", at(3))])):
+        history.merge(spark.createDataFrame(data, schema), n, ["tier"], "at")
+    assert rows(history.rows(), "tier", "start_date") == [("G", at(5)), ("P", at(3)), ("S", at(1))]
+
+
+def test_batch_that_runs_again_with_other_rows(spark, rows, monkeypatch):
+    """Dates, players and games that a batch has no more leave summary, bitmaps, bridge and minutes, also when a run in between failed."""
+    house, src = Warehouse(spark, scratch(spark, "other-rows")), sources(spark, ("p1", "p2", "p3"))
+    house.load_dimensions(src, F.lit("2024-01-01").cast("timestamp_ntz"), 0)
+
+    def check(kept):
+        fact = house.gaming()
+        assert rows(fact, "player_key", "play_time") == sorted((p, t) for p, _, t, _, _ in kept)
+        last, minutes = {}, {}
+        for p, _, t, _, _ in sorted(kept, key=lambda r: (r[0], r[2])):
+            minutes[p, t] = None if p not in last else (t - last[p]).total_seconds() // 60
+            last[p] = t
+        assert {(r.player_key, r.play_time): r.session_duration_minutes for r in fact.collect()} == minutes
+        assert rows(house.bridge()) == rows(summaries.bridge(fact))
+        daily = summaries.daily_summary(fact)
+        assert rows(house.daily_summary().select(*daily.columns)) == rows(daily)
+        assert rows(house.players_by("full_date")) == rows(fact.groupBy("full_date").agg(F.count_distinct("player_key").alias("n")))
+
+    base = [("p1", "g1", at(1), 1, 0), ("p2", "g1", at(1), 1, 0)]
+    wrong = [("p1", "g1", at(2), 2, 0), ("p2", "g1", at(3), 2, 0), ("p3", "g1", at(3), 2, 0), ("p1", "g1", at(4), 2, 0)]
+    later = [("p2", "g1", at(6), 1, 0), ("p3", "g1", at(6), 1, 0), ("p1", "g1", at(6), 1, 0)]
+    right = [("p1", "g1", at(2), 2, 0), ("p1", "g1", at(5), 1, 0)]
+    for n, data in ((0, base), (1, wrong), (2, later)):
+        house.add_plays(plays(spark, data), src, n, "hour")
+    check(base + wrong + later)
+    real = house.refresh_days
+    monkeypatch.setattr(house, "refresh_days", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        house.add_plays(plays(spark, right), src, 1, "hour")
+    monkeypatch.setattr(house, "refresh_days", real)
+    for _ in range(2):
+        house.add_plays(plays(spark, right), src, 1, "hour")
+        check(base + right + later)
+    house.add_plays(plays(spark, []), src, 1, "hour")
+    check(base + later)
+
+
 def test_only_late_keys_are_built_again(spark, rows, monkeypatch):
     schema = "k string, tier string, at timestamp_ntz"
     history = History(spark, scratch(spark, "late-keys"), "k", parts=2)
