@@ -14,7 +14,9 @@
    benchmark's `answer` column, or else the passage's last sentence.
 
 The benchmark is taken in blocks of `block_items` passages, so what a block sends to the driver or to all tasks (terms times the
-rank of the space) is bounded; the corpus is searched whole for each block. Long items are cut into passages of `PART` words.
+rank of the space) is bounded. The texts are read once for a group of `group_blocks` blocks in each of the steps 1, 2 and 4, whose
+terms and passages are bounded by that; a block's space and search (2, 3) read only the small table. The corpus is searched whole for each
+block, and grouping changes no result. Long items are cut into passages of `PART` words.
 Items of fewer than `min_words` words are searched for as they are, word after word (with an `answer` column, half of the answer
 must stand near): a copy has no cosine, and an item of one common word is in many documents. Items without words are in none. Rows without id cannot be reported and are left out; NULL and empty
 texts are clean; a row that is repeated is reported once.
@@ -25,6 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.small import join_small
 from tallyhouse.llm.text import BETWEEN, fold, hash_spans, row_blocks, rows_of, spans, sum_rows, utf8
-from tallyhouse.session import settle
+from tallyhouse.session import scratch, settle
 
 PART = 64
 WINDOW, STRIDE = 64, 24
@@ -61,7 +64,9 @@ class Passage:
     item: int
     words: np.ndarray
     answer: np.ndarray
+    # The informative terms, as numbered in the block, and their hashes.
     terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    rare: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
 
 
 def passages_of(item: int, text: str, answer: str | None, min_words: int) -> list[Passage]:
@@ -128,6 +133,7 @@ def passage_frequencies(docs: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray
     out = np.zeros(len(hashes) + 1, np.int64)
     for r in docs.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[r.term] = r.n
+    shared.destroy()
     return out[:-1], int(out[-1])
 
 
@@ -148,13 +154,19 @@ def sieve(docs: DataFrame, hashes: np.ndarray, least: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, at binary, terms binary")
 
 
-def _unpacked(batch: pa.RecordBatch, size: int = 512) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-    """Ids, rows, places and terms of slices of the sieved table."""
+def _unpacked(batch: pa.RecordBatch, numbers: np.ndarray | None, size: int = 512) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, rows, places and terms of slices of the sieved table; `numbers` are those that a block gives to the table's terms, -1 for
+    terms of other blocks."""
     for lo in range(0, batch.num_rows, size):
         part = batch.slice(lo, size)
         at, terms = ([np.frombuffer(x, np.int32) for x in part.column(c).to_pylist()] for c in (1, 2))
         rows = np.repeat(np.arange(part.num_rows), [len(x) for x in at])
-        yield part.column(0), rows, np.concatenate(at).astype(np.int64), np.concatenate(terms).astype(np.int64)
+        places, found = np.concatenate(at).astype(np.int64), np.concatenate(terms).astype(np.int64)
+        if numbers is not None:
+            found = numbers[found]
+            own = found >= 0
+            rows, places, found = rows[own], places[own], found[own]
+        yield part.column(0), rows, places, found
 
 
 def _rows_of_matrix(row: np.ndarray, term: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,16 +193,16 @@ def _gram(terms: np.ndarray, values: np.ndarray, bounds: np.ndarray, right: np.n
             into[t[order][first]] += np.add.reduceat(back[order], first, axis=0)
 
 
-def corpus_gram(sieved: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
+def corpus_gram(sieved: DataFrame, idf: np.ndarray, right: np.ndarray, numbers: np.ndarray | None = None) -> np.ndarray:
     """A' A right over the corpus passages with two informative words or more; the sum, as large as `right`, comes to the driver."""
-    shared = sieved.sparkSession.sparkContext.broadcast((idf, right.astype(np.float32)))
+    shared = sieved.sparkSession.sparkContext.broadcast((idf, right.astype(np.float32), numbers))
     width = right.shape[1]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, matrix = shared.value
+        weights, matrix, own = shared.value
         total = np.zeros(matrix.shape, np.float64)
         for batch in batches:
-            for _, row, at, term in _unpacked(batch):
+            for _, row, at, term in _unpacked(batch, own):
                 place = row * (1 << 32) + at // WINDOW
                 _, passage, words = np.unique(place, return_inverse=True, return_counts=True)
                 more = words[passage] > 1
@@ -211,10 +223,11 @@ def corpus_gram(sieved: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.nda
     for r in once.groupBy("chunk").applyInArrow(added, "chunk int, product binary").collect():
         piece = np.frombuffer(r.product, np.float32).reshape(-1, width)
         out[r.chunk * _CHUNK : r.chunk * _CHUNK + len(piece)] = piece
+    shared.destroy()
     return out
 
 
-def latent_space(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, n_rows: int, extra: int = 32, seed: int = 7) -> np.ndarray:
+def latent_space(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, n_rows: int, numbers: np.ndarray | None = None, extra: int = 32, seed: int = 7) -> np.ndarray:
     """Leading right singular vectors (terms x rank) of the corpus passages and the benchmark's."""
     rank = min(len(idf), len(passages) + extra)
     owner = np.repeat(np.arange(len(passages)), [len(p.terms) for p in passages])
@@ -224,7 +237,7 @@ def latent_space(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, n_
     def product(right: np.ndarray) -> np.ndarray:
         mine = np.zeros(right.shape)
         _gram(*own, right, mine)
-        return corpus_gram(sieved, idf, right) + weight * mine
+        return corpus_gram(sieved, idf, right, numbers) + weight * mine
 
     start = np.random.default_rng(seed).normal(size=(len(idf), min(len(idf), rank + 16)))
     # A second product draws the basis towards the leading vectors.
@@ -233,7 +246,9 @@ def latent_space(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, n_
     return (basis @ turn[:, ::-1])[:, :rank]
 
 
-def candidates(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, space: np.ndarray, share: float, cosine: float, enough: float = 0.9) -> DataFrame:
+def candidates(
+    sieved: DataFrame, passages: list[Passage], idf: np.ndarray, space: np.ndarray, share: float, cosine: float, enough: float = 0.9, numbers: np.ndarray | None = None
+) -> DataFrame:
     """(id, passage, start, width, cosine) of the windows (first word `start`) that are near a passage in the latent space, or
     are about as long and hold `enough` of its terms."""
     owner = np.repeat(np.arange(len(passages)), [len(p.terms) for p in passages])
@@ -253,13 +268,13 @@ def candidates(sieved: DataFrame, passages: list[Passage], idf: np.ndarray, spac
         if chosen.any():
             scales.append((width, held[chosen], np.searchsorted(owned[chosen], np.arange(len(idf) + 1))))
     # Bounded by the block of the benchmark: terms x rank, passages x rank.
-    shared = sieved.sparkSession.sparkContext.broadcast((idf, space.astype(np.float32), wanted.astype(np.float32), scales, need, np.where(sizes * 4 > WINDOW, plenty, np.inf), plenty))
+    shared = sieved.sparkSession.sparkContext.broadcast((idf, space.astype(np.float32), wanted.astype(np.float32), scales, need, np.where(sizes * 4 > WINDOW, plenty, np.inf), plenty, numbers))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, vectors, goal, scales, least, most_wide, most_narrow = shared.value
+        weights, vectors, goal, scales, least, most_wide, most_narrow, own = shared.value
         n = len(goal)
         for batch in batches:
-            for ids, row, at, term in _unpacked(batch, 256):
+            for ids, row, at, term in _unpacked(batch, own, 256):
                 for width, members, first in scales:
                     stride, most = width * STRIDE // WINDOW, most_wide if width == WINDOW else most_narrow
                     reach = width // stride + 1
@@ -313,16 +328,19 @@ def _masks(words: list) -> dict:
     return out
 
 
-def verify(docs: DataFrame, found: DataFrame, passages: list[Passage], hashes: np.ndarray) -> DataFrame:
+def _prepared(p: Passage) -> tuple:
+    """What the subsequence checks look up, of words, informative words and answer."""
+    words, answer, rare = p.words.tolist(), p.answer.tolist(), set(p.rare.tolist())
+    told = [w for w in words if w in rare]
+    return p.item, len(words), _masks(words), len(told), _masks(told), rare, len(answer), _masks(answer)
+
+
+def verify(docs: DataFrame, found: DataFrame, passages: list[Passage]) -> DataFrame:
     """(id, item_id, kind, lcs, rare_lcs, answer_lcs, cosine, start, end) of the candidates that hold up; places in words."""
-    packed = []
-    for p in passages:
-        words, answer, rare = p.words.tolist(), p.answer.tolist(), set(hashes[p.terms].tolist())
-        told = [w for w in words if w in rare]
-        packed.append((p.item, len(words), _masks(words), len(told), _masks(told), rare, len(answer), _masks(answer)))
-    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    shared = docs.sparkSession.sparkContext.broadcast(passages)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: dict[int, tuple] = {}
         names = ["id", "item_id", "kind", "lcs", "rare_lcs", "answer_lcs", "cosine", "start", "end"]
         types = [pa.int64(), pa.int64(), pa.string(), *[pa.float64()] * 4, pa.int64(), pa.int64()]
         for batch in batches:
@@ -332,7 +350,11 @@ def verify(docs: DataFrame, found: DataFrame, passages: list[Passage], hashes: n
                 for k, id in enumerate(own.to_pylist()):
                     text = words[bounds[k] : bounds[k + 1]]
                     for c in whole[seen].as_py():
-                        item, size, masks, told, told_masks, rare, asked, answer = shared.value[c["passage"]]
+                        if c["passage"] not in ready:
+                            if len(ready) >= 256:
+                                ready.clear()
+                            ready[c["passage"]] = _prepared(shared.value[c["passage"]])
+                        item, size, masks, told, told_masks, rare, asked, answer = ready[c["passage"]]
                         lo, hi = max(0, c["start"] - size // 2), min(len(text), c["start"] + c["width"] + size // 2)
                         part = text[lo:hi].tolist()
                         lcs = common_subsequence(masks, size, part) / size
@@ -411,6 +433,19 @@ def _blocks(benchmark: DataFrame, text: str, item: str, answer: str | None, size
         yield block, short
 
 
+def _inform(passages: list[Passage], hashes: np.ndarray, frequency: np.ndarray, total: int, stop_share: float, rarest: int) -> np.ndarray:
+    """Choose the passages' informative terms and number them in the block; returns the block's terms as places in `hashes`."""
+    for p in passages:
+        own = np.unique(np.searchsorted(hashes, p.words))
+        order = own[np.argsort(frequency[own], kind="stable")]
+        p.terms = order[(frequency[order] <= stop_share * total) | (np.arange(len(order)) < rarest)]
+        p.rare = hashes[p.terms]
+    known = np.unique(np.concatenate([p.terms for p in passages]))
+    for p in passages:
+        p.terms = np.searchsorted(known, p.terms)
+    return known
+
+
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -420,6 +455,7 @@ def find(
     answer: str | None = None,
     item_text: str | None = None,
     block_items: int = 256,
+    group_blocks: int = 8,
     min_words: int = 6,
     stop_share: float = 0.002,
     rarest: int = 8,
@@ -433,28 +469,32 @@ def find(
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     schema = "id long, item_id long, kind string, lcs double, rare_lcs double, answer_lcs double, cosine double, start long, end long"
     out = docs.sparkSession.createDataFrame([], schema)
-    for passages, shorts in _blocks(benchmark, item_text or text, item, answer, block_items, min_words):
+    blocks = _blocks(benchmark, item_text or text, item, answer, block_items, min_words)
+    while group := list(islice(blocks, group_blocks)):
+        shorts = [p for _, short in group for p in short]
         if shorts:
             out = out.unionByName(exact(rows, shorts))
-        if not passages:
+        taken = [passages for passages, _ in group if passages]
+        if not taken:
             continue
-        hashes = np.unique(np.concatenate([p.words for p in passages]))
+        hashes = np.unique(np.concatenate([p.words for passages in taken for p in passages]))
         frequency, total = passage_frequencies(rows, hashes)
-        known = np.zeros(len(hashes), bool)
-        for p in passages:
-            own = np.unique(np.searchsorted(hashes, p.words))
-            order = own[np.argsort(frequency[own], kind="stable")]
-            p.terms = order[(frequency[order] <= stop_share * total) | (np.arange(len(order)) < rarest)]
-            known[p.terms] = True
-        number = np.cumsum(known) - 1
-        for p in passages:
-            p.terms = number[p.terms]
-        hashes, frequency = hashes[known], frequency[known]
-        idf = np.log((total + 1) / (frequency + 1)) + 0.1
-        sieved = settle(sieve(rows, hashes, 2), "sieved")
-        space = latent_space(sieved, passages, idf, total)
-        near = settle(candidates(sieved, passages, idf, space, share, cosine, enough), "near")
-        out = out.unionByName(verify(rows, near, passages, hashes))
+        terms = [_inform(passages, hashes, frequency, total, stop_share, rarest) for passages in taken]
+        known = np.unique(np.concatenate(terms))
+        sieved = settle(sieve(rows, hashes[known], 2), "sieved")
+        near, first = scratch(docs.sparkSession, "near"), 0
+        for passages, own in zip(taken, terms, strict=True):
+            numbers = None
+            if len(own) < len(known):
+                numbers = np.full(len(known), -1, np.int32)
+                numbers[np.searchsorted(known, own)] = np.arange(len(own))
+            idf = np.log((total + 1) / (frequency[own] + 1)) + 0.1
+            space = latent_space(sieved, passages, idf, total, numbers)
+            some = candidates(sieved, passages, idf, space, share, cosine, enough, numbers)
+            some.withColumn("passage", F.col("passage") + F.lit(first)).write.mode("append").parquet(near)
+            first += len(passages)
+        found = docs.sparkSession.read.schema("id long, passage int, start long, width int, cosine double").parquet(near)
+        out = out.unionByName(verify(rows, found, [p for passages in taken for p in passages]))
     best = F.max_by(F.struct("kind", "lcs", "rare_lcs", "answer_lcs", "cosine", "start", "end"), F.struct("lcs", "rare_lcs", "cosine", -F.col("start"))).alias("best")
     return out.groupBy(F.col("id").alias(id), "item_id").agg(best).select(id, "item_id", "best.*")
 

@@ -52,6 +52,18 @@ def test_planted_items_are_found_and_clean_documents_are_not(spark, table, corpu
     assert left.columns == table(docs).columns and {r.doc_id for r in left.collect()} == {d[0] for d in docs} - {k for k, _ in got}
 
 
+def test_groups_of_blocks_change_nothing(spark, table, corpus, monkeypatch):
+    """Texts are counted and sieved once a group; every column is as with each block on its own."""
+    items, docs, _ = corpus
+    benchmark = spark.createDataFrame([*items, (90, "zebra quagga"), (91, docs[399][1].split()[0])], "item_id long, text string")
+    sieves, real = [], dc.sieve
+    monkeypatch.setattr(dc, "sieve", lambda *a: (sieves.append(1), real(*a))[1])
+    alone = sorted(map(tuple, dc.find(table(docs), benchmark, block_items=11, group_blocks=1).collect()), key=str)
+    apart = len(sieves)
+    together = sorted(map(tuple, dc.find(table(docs), benchmark, block_items=11, group_blocks=8).collect()), key=str)
+    assert together == alone and any(r[1] == 91 for r in together) and apart == 3 and len(sieves) == apart + 1
+
+
 def test_candidate_search_finds_what_brute_force_finds(spark, table, corpus):
     """Recall of the latent search against all pairs by the exact subsequence."""
     items, docs, planted = corpus
