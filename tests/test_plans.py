@@ -66,6 +66,17 @@ def test_bucketed_plays_are_not_moved(spark):
     assert "SortMergeJoin" in joined and "Exchange" not in joined and "Exchange" not in counted
 
 
+def test_many_rows_in_small_files_are_not_broadcast(spark, tmp_path):
+    """Compressed files of some megabytes hold millions of keys, which the driver would hold as a hash table."""
+    few, many, facts = (str(tmp_path / name) for name in ("few", "many", "facts"))
+    spark.range(2_000).write.parquet(few)
+    spark.range(1_000_000).select("id", F.lit("x").alias("v")).write.parquet(many)
+    spark.range(10).select("id", F.lit("y").alias("w")).write.parquet(facts)
+    fact = spark.read.parquet(facts).union(spark.read.parquet(many))
+    assert "SortMergeJoin" in plan(fact.join(spark.read.parquet(many), "id"))
+    assert "BroadcastHashJoin" in plan(fact.join(spark.read.parquet(few), "id"))
+
+
 def test_sorted_files_are_skipped(spark, tmp_path):
     path = str(tmp_path / "sorted")
     df = spark.range(0, 200_000, numPartitions=8).select((F.col("id") * 7919 % 200_000).alias("at"), F.col("id").alias("v"))
