@@ -5,7 +5,9 @@ the better one's score the higher. Features are shares of characters by kind, wo
 into bins at the training quantiles. The score becomes a threshold by quantile: at the score below which lies the same share of
 training documents as are labelled 0, the result is 0.3.
 
-It is fitted on the driver on at most `max_train` labelled rows, chosen by a hash of the id. Scoring reads every text whole.
+It is fitted on every labelled row. Up to `on_driver` of them are collected and fitted there; more stay where they are: Spark counts
+the quantiles, pairs the rows (each is in a pair) and adds up gradients and curvature of Newton's steps, and the driver only
+gets numbers of fixed size. Scoring reads every text whole.
 NULL counts as the empty text, which has a score like any other; equal texts have equal scores. Without any training row every
 score is 0.5.
 """
@@ -17,11 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.learning import Adagrad, collect_features, natural_sample, sigmoid
 from tallyhouse.llm.text import SPACE, distinct_packed, hash_spans, row_blocks, rows_of, spans, sum_rows, utf8
+from tallyhouse.session import settle
 
 BINS = 16
 WINDOW = 40
@@ -115,9 +118,147 @@ def fit(rows: list[tuple], pairs: int = 200_000, epochs: int = 3, batch: int = 5
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = 16_000, id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
-    """Fit on labelled rows: `labels` has the id and a 0/1 label, 1 for the better."""
-    return fit(collect_features(docs, natural_sample(labels, label, max_train, id), _as_features, id, text))
+# Rows of the more frequent label that are paired in one group, least rows of the other there, and pairs for each.
+GROUP, FEWEST, TURNS = 4096, 64, 4
+# Tasks that add up pairs; each sends the driver one row of some hundred thousand numbers.
+ADDERS = 64
+# Leading bits of a 32-bit float by which values are counted: quantiles are right to one part in 2,000.
+KEY_BITS = 20
+
+
+def _keys(x: np.ndarray) -> np.ndarray:
+    """Leading bits of floats, in the floats' order; 0 and -0 alike."""
+    bits = (x.astype(np.float32) + np.float32(0)).view(np.uint32)
+    return np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31)) >> np.uint32(32 - KEY_BITS)
+
+
+def _lowest(keys: np.ndarray) -> np.ndarray:
+    """The value whose other bits are 0, for each key."""
+    bits = keys.astype(np.uint32) << np.uint32(32 - KEY_BITS)
+    return np.where(bits >> 31, bits & np.uint32((1 << 31) - 1), ~bits).astype(np.uint32).view(np.float32)
+
+
+def _matrix(column: pa.Array, dtype: type) -> np.ndarray:
+    return np.stack([np.frombuffer(v, dtype) for v in column.to_pylist()])
+
+
+def _quantiles(rows: DataFrame, numbers, n: int, shares: np.ndarray) -> np.ndarray:
+    """The values at the given shares of all `n` rows (vals), for each of the columns that `numbers` makes of the measures."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                for k, x in enumerate(numbers(_matrix(batch.column(0), np.float32)).T):
+                    key, held = np.unique(_keys(x), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k)), pa.array(key.astype(np.int64)), pa.array(held)], ["column", "key", "held"])
+
+    held = rows.select("vals").mapInArrow(run, "column long, key long, held long").groupBy("column", "key").agg(F.sum("held").alias("held"))
+    upto = held.withColumn("upto", F.sum("held").over(Window.partitionBy("column").orderBy("key")))
+    places = F.explode(F.array(*[F.lit(int(share * (n - 1))) for share in shares]))
+    at = upto.withColumn("place", places).where((F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("held")))
+    found = at.groupBy("column", "place").agg(F.first("key").alias("key")).orderBy("column", "place").collect()
+    value = {(r.column, r.place): _lowest(np.array([r.key]))[0] for r in found}
+    return np.array([[value[k, int(share * (n - 1))] for share in shares] for k in range(1 + max(r.column for r in found))], np.float32)
+
+
+def _pairs(rows: DataFrame, edges: np.ndarray, better: int, worse: int) -> DataFrame:
+    """Bins of a better row, then of a worse one. Rows are dealt over groups by a hash of the id; where one label is rare, its rows go to
+    several, so that no group lacks them."""
+    often, rare = max(better, worse), min(better, worse)
+    groups = -(-often // GROUP)
+    copies = -(-FEWEST * groups // rare)
+    is_rare = (F.col("label") == 1) == F.lit(better < worse)
+    copy = F.explode(F.when(is_rare, F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0))))
+    dealt = rows.select("id", "label", "vals", copy.alias("copy")).withColumn("group", F.pmod(F.xxhash64("id", "copy"), F.lit(groups)))
+
+    def pair(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("id", "ascending"), ("copy", "ascending")])
+        bins, label = _bins(edges, _matrix(group.column("vals"), np.float32)).astype(np.uint8), group.column("label").to_numpy()
+        up, down = bins[label == 1], bins[label == 0]
+        many = max(len(up), len(down)) if len(up) and len(down) else 0
+        i = np.arange(TURNS * many)
+        joined = np.hstack([up[i % len(up)], down[(i + i // many) % len(down)]]) if many else np.zeros((0, 2), np.uint8)
+        return pa.table({"pair": pa.array([r.tobytes() for r in joined], pa.binary())})
+
+    return dealt.groupBy("group").applyInArrow(pair, "pair binary")
+
+
+def _slope(pairs: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean loss over all pairs, its gradient and its curvature."""
+    size = len(weights)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, loss, gradient, curve = 0, 0.0, np.zeros(size), np.zeros((size, size))
+        for batch in batches:
+            if batch.num_rows:
+                both = _matrix(batch.column(0), np.uint8).astype(np.int64)
+                half = both.shape[1] // 2
+                apart, each = np.zeros((len(both), size)), np.arange(len(both))[:, None]
+                at = np.arange(half) * BINS
+                apart[each, both[:, :half] + at] += 1
+                apart[each, both[:, half:] + at] -= 1
+                ahead = apart @ weights
+                pull = sigmoid(-ahead)
+                n, loss = n + len(both), loss + float(np.logaddexp(0, -ahead).sum())
+                gradient -= apart.T @ pull
+                curve += apart.T @ (apart * (pull * (1 - pull))[:, None])
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(([n, loss], gradient, curve.ravel())).tobytes()], pa.binary())], ["sums"])
+
+    sums = np.zeros(2 + size + size * size)
+    for row in pairs.coalesce(ADDERS).mapInArrow(run, "sums binary").toLocalIterator():
+        sums += np.frombuffer(row.sums)
+    n = max(sums[0], 1.0)
+    return sums[1] / n, sums[2 : 2 + size] / n, sums[2 + size :].reshape(size, size) / n
+
+
+def fit_all(rows: DataFrame, steps: int = 12, ridge: float = 1e-4, least: float = 1e-6) -> Model | None:
+    """From a stored table of id, label and measures, of any size: the weights of least logistic loss over the pairs, by Newton's steps,
+    halved where one leads up."""
+    held = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    n, better, worse = sum(held.values()), held.get(1, 0), held.get(0, 0)
+    if not n:
+        return None
+    edges = _quantiles(rows, lambda x: x, n, np.arange(1, BINS) / BINS)
+    model = Model(edges, np.zeros((len(edges), BINS)), 0.0)
+    if not better or not worse:
+        return model
+    pairs = settle(_pairs(rows, edges, better, worse), "pairs")
+    weights, step, best = np.zeros(model.weights.size), np.zeros(model.weights.size), np.inf
+    for _ in range(steps):
+        loss, gradient, curve = _slope(pairs, weights + step)
+        loss += ridge / 2 * float((weights + step) @ (weights + step))
+        if loss > best:
+            step = step / 2
+            continue
+        weights, gained, best = weights + step, best - loss, loss
+        if gained < least:
+            break
+        step = -np.linalg.solve(curve + ridge * np.eye(len(weights)), gradient + ridge * weights)
+    model.weights = weights.reshape(-1, BINS)
+    model.shift = float(_quantiles(rows, lambda x: raw_scores(model, x)[:, None], n, np.array([worse / n]))[0, 0])
+    return model
+
+
+def _measured(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str) -> DataFrame:
+    """id, label and measures of every labelled row; of repeated ids the one that `collect_features` takes. Texts aren't shuffled."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for lo, hi in row_blocks(offsets):
+                x = measures(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "vals"])
+
+    known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(label).cast("int").alias("label"))
+    found = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id long, vals binary")
+    return found.join(known, "id").groupBy("id").agg(F.min(F.struct("vals", "label")).alias("one")).select("id", "one.label", "one.vals")
+
+
+def train(docs: DataFrame, labels: DataFrame, on_driver: int = 16_000, id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
+    """Fit on all labelled rows: `labels` has the id and a 0/1 label, 1 for the better."""
+    if labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).limit(on_driver + 1).count() <= on_driver:
+        return fit(collect_features(docs, natural_sample(labels, label, on_driver, id), _as_features, id, text))
+    return fit_all(settle(_measured(docs, labels, id, text, label), "measured"))
 
 
 def scores(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str = "text") -> DataFrame:
