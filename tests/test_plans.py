@@ -77,6 +77,20 @@ def test_many_rows_in_small_files_are_not_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" in plan(fact.join(spark.read.parquet(few), "id"))
 
 
+def test_keys_that_a_cycle_joins_many_times_are_not_broadcast(spark, tmp_path):
+    """Neither some hundred thousand keys in files below a megabyte, nor some megabytes of rows after a shuffle."""
+    keys, facts = str(tmp_path / "keys"), str(tmp_path / "facts")
+    spark.range(0, 150_000, 1, 1).write.parquet(keys)
+    spark.range(1_000_000).select("id", F.lit("y").alias("w")).write.parquet(facts)
+    fact = spark.read.parquet(facts)
+    assert "SortMergeJoin" in plan(fact.join(spark.read.parquet(keys), "id"))
+    shuffled = fact.join(spark.range(600_000).groupBy("id").count(), "id")
+    assert shuffled.count() == 600_000
+    counted = shuffled.groupBy().count()
+    counted.collect()
+    assert "SortMergeJoin" in plan(counted) and "BroadcastHashJoin" not in plan(counted)
+
+
 def test_sorted_files_are_skipped(spark, tmp_path):
     path = str(tmp_path / "sorted")
     df = spark.range(0, 200_000, numPartitions=8).select((F.col("id") * 7919 % 200_000).alias("at"), F.col("id").alias("v"))
